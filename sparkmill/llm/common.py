@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words: space and the five ASCII control characters of white space, as Python's bytes.split() has it.
 WHITESPACE = b" \t\n\x0b\x0c\r"
-#: Stands for a null id inside joins; results carry the null itself.
-NULL_ID = -(2**63)
+#: Ids lie below this; a row with a null id gets a number from here on inside joins, by its text, and so comes last.
+NULL_ID = 2**62
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[list(WHITESPACE)] = True
@@ -39,11 +41,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def with_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Only the id and the text: `rid` never null, text null as it is. Other columns, whatever their names, go."""
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("rid"), F.col("text"))
+    own = F.col(id_col).cast("long")
+    return df.select(F.when(own.isNotNull(), own).otherwise(F.lit(NULL_ID) + F.pmod(F.xxhash64("text"), F.lit(NULL_ID))).alias("rid"), F.col("text"))
 
 
 def real_id(col: str = "rid"):
-    return F.when(F.col(col) != NULL_ID, F.col(col))
+    """The id itself: null again where it was null."""
+    return F.when(F.col(col) < NULL_ID, F.col(col))
 
 
 def map_arrow(df: DataFrame, schema: str, per_batch: Callable[[pa.RecordBatch], Iterator[dict[str, object]] | dict[str, object]]) -> DataFrame:
@@ -70,18 +74,25 @@ def ids(batch: pa.RecordBatch, column: str = "rid") -> np.ndarray:
     return batch.column(column).to_numpy(zero_copy_only=False)
 
 
+#: Bytes that the word hash takes at a time.
+BLOCK = 1 << 20
 #: Odd base of the word hash and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
+@functools.lru_cache(maxsize=4)
+def _table(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out, dtype=np.uint64)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    return _table(base, BLOCK)[:n] if n <= BLOCK else _table.__wrapped__(base, n)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply), so that equal low bits of the input do not show."""
     x = x ^ (x >> np.uint64(31))
@@ -119,9 +130,26 @@ class Words:
             self.name = self._names()
 
     def _names(self) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        total = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(self.data)), out=total[1:], dtype=np.uint64)
-        back = _powers(_INVERSE, len(self.data))
-        return mix((total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
+        """Hashes of the words' bytes, from running sums over blocks of words."""
+        out = np.empty(len(self.start), dtype=np.uint64)
+        at = 0
+        while at < len(out):
+            lo = int(self.start[at])
+            upto = max(at + 1, int(np.searchsorted(self.end, lo + BLOCK, side="right")))
+            hi = int(self.end[upto - 1])
+            total = np.zeros(hi - lo + 1, dtype=np.uint64)
+            np.cumsum((self.data[lo:hi].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, hi - lo), out=total[1:], dtype=np.uint64)
+            s, e = self.start[at:upto] - lo, self.end[at:upto] - lo
+            out[at:upto] = mix((total[e] - total[s]) * _powers(_INVERSE, hi - lo)[s] + (e - s).astype(np.uint64))
+            at = upto
+        return out
+
+
+def slices(column: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about `size` bytes of text; a longer text stays whole."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total, lo = np.cumsum(lengths), 0
+    while lo < len(column):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + size, side="right")))
+        yield lo, hi
+        lo = hi

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, token_prefix
+from . import byte_bpe, packing, pii, simhash, substring, token_prefix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,32 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op9_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), packing.word_length())
+
+
+@query
+def op3_simhash(spark, sf_dir):
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 5 = 0, false)")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+@query
+def op7_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+@query
+def op8_substring_dedup(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), text=False)
