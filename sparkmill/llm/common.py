@@ -41,8 +41,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def with_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Only the id and the text: `rid` never null, text null as it is. Other columns, whatever their names, go."""
+    return df.select(row_id(id_col).alias("rid"), F.col("text"))
+
+
+def row_id(id_col: str = "doc_id"):
     own = F.col(id_col).cast("long")
-    return df.select(F.when(own.isNotNull(), own).otherwise(F.lit(NULL_ID) + F.pmod(F.xxhash64("text"), F.lit(NULL_ID))).alias("rid"), F.col("text"))
+    return F.when(own.isNotNull(), own).otherwise(F.lit(NULL_ID) + F.pmod(F.xxhash64("text"), F.lit(NULL_ID)))
 
 
 def real_id(col: str = "rid"):
@@ -66,6 +70,26 @@ def map_arrow(df: DataFrame, schema: str, per_batch: Callable[[pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
+def map_rows(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch], drop: tuple[str, ...] = ()) -> DataFrame:
+    """mapInArrow from rows to rows of the same columns, without those in drop."""
+    schema = df.drop(*drop).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield per_batch(batch)
+
+    return df.mapInArrow(run, schema)
+
+
+def with_text(batch: pa.RecordBatch, text: list[str | None], drop: tuple[str, ...] = ()) -> pa.RecordBatch:
+    """The batch with another text; n_chars, if there is one, follows it."""
+    columns = {n: c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n not in drop}
+    columns["text"] = pa.array(text, batch.column("text").type)
+    if "n_chars" in columns and pa.types.is_integer(columns["n_chars"].type):
+        columns["n_chars"] = pc.utf8_length(columns["text"]).cast(columns["n_chars"].type)
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 

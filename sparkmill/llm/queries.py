@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, pii, simhash, substring, token_prefix, toxicity
+from . import ann, byte_bpe, packing, pii, quality, simhash, substring, token_prefix, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +61,20 @@ def op7_pii(spark, sf_dir):
 @query
 def op8_substring_dedup(spark, sf_dir):
     return substring.remove_repeats(table(spark, sf_dir, "documents"), text=False)
+
+
+@query
+def op2_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.mine(pages, table(spark, sf_dir, "labels")))
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *quality.STATS, "base_failed", "kept", "outlyingness")
+
+
+@query
+def op10_nearest(spark, sf_dir):
+    index = ann.Index(table(spark, sf_dir, "embeddings"))
+    return index.search(index.rows.where("vid % 20 = 0").select("vid", "v"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, mix, real_id, slices, with_id
+from .common import Words, map_arrow, map_rows, mix, real_id, row_id, slices, with_id, with_text
 
 WINDOW, ROUNDS, SIDE = 20, 3, 6
 #: Names that a task holds before it sends them on.
@@ -246,7 +246,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: bool = True) -
     """Per row: n_words, n_removed, kept_sha256 of the kept words joined by spaces, and (with text) the text without the removed words."""
     joined = with_id(docs, id_col).join(covered(docs, id_col), "rid", "left")
 
-    def run(batch: pa.RecordBatch):
+    def run(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
         for lo, hi in slices(batch.column("text")):
             part = batch.slice(lo, hi - lo)
             words = Words(part.column("text"), hashed=False)
@@ -254,15 +254,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: bool = True) -
             for k, spans in enumerate(part.column("spans").to_pylist()):
                 a, b = int(words.first[k]), int(words.first[k + 1])
                 raw = words.data[words.offsets[k] : words.offsets[k + 1]].tobytes()
-                own, kept, gone = raw.split(), None, 0
-                if spans:
-                    span = np.frombuffer(b"".join(spans), dtype=np.int32).reshape(-1, 2).astype(np.int64)
-                    span = span[span[:, 1] + WINDOW <= b - a]
-                    step = np.zeros(b - a + 1, dtype=np.int64)
-                    np.add.at(step, span[:, 0], 1)
-                    np.add.at(step, span[:, 1] + WINDOW, -1)
-                    kept = np.cumsum(step[:-1]) == 0
-                    gone = int((~kept).sum())
+                own, kept = raw.split(), _kept(spans, b - a)
+                gone = 0 if kept is None else int((~kept).sum())
                 out["n_words"].append(b - a)
                 out["n_removed"].append(gone)
                 out["kept_sha256"].append(hashlib.sha256(b" ".join(compress(own, kept.tolist()) if gone else own)).hexdigest())
@@ -274,6 +267,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: bool = True) -
     return map_arrow(joined, schema, run).withColumn("rid", real_id()).withColumnRenamed("rid", id_col)
 
 
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents, all their columns, without the words that repeats cover; none is dropped."""
+    spans = covered(docs, id_col).select(F.col("rid").alias("__rid"), F.col("spans").alias("__spans"))
+    joined = docs.withColumn("__rid", row_id(id_col)).join(spans, "__rid", "left").select(*docs.columns, "__spans")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text = batch.column("text").to_pylist()
+        for k, spans in enumerate(batch.column("__spans").to_pylist()):
+            if spans and text[k]:
+                words = Words(pa.array([text[k]], pa.large_string()), hashed=False)
+                kept = _kept(spans, len(words.start))
+                if kept is not None and not kept.all():
+                    text[k] = _cut(text[k].encode(), words.start, kept)
+        return with_text(batch, text, drop=("__spans",))
+
+    return map_rows(joined, run, drop=("__spans",))
+
+
+def _kept(spans: list[bytes] | None, n: int) -> np.ndarray | None:
+    """Which of n words no covered window holds; None where there is no such window."""
+    if not spans:
+        return None
+    span = np.frombuffer(b"".join(spans), dtype=np.int32).reshape(-1, 2).astype(np.int64)
+    span = span[span[:, 1] + WINDOW <= n]
+    step = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(step, span[:, 0], 1)
+    np.add.at(step, span[:, 1] + WINDOW, -1)
+    return np.cumsum(step[:-1]) == 0
+
+
 def _cut(raw: bytes, start: np.ndarray, kept: np.ndarray) -> str:
     """The text from each kept word up to the next word; white space before the first word stays."""
     upto = np.r_[start[1:], len(raw)]

@@ -22,11 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, real_id, slices, with_id
+from .common import Words, map_arrow, map_rows, real_id, slices, with_id
 
 DIM = 1 << 16
 CACHE = 300_000
-_LOWER = np.arange(256, dtype=np.uint8)
 
 
 def features(word: str) -> list[int]:
@@ -213,6 +212,20 @@ def score(docs: DataFrame, model: Field, id_col: str = "doc_id", spans: bool = T
     return map_arrow(with_id(docs, id_col), schema, run).withColumn("rid", real_id()).withColumnRenamed("rid", id_col)
 
 
+def reject(docs: DataFrame, model: Field, threshold: float = 0.5) -> DataFrame:
+    """The documents that score below the threshold, with all their columns."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for lo, hi in slices(batch.column("text")):
+            words = Words(batch.column("text").slice(lo, hi - lo))
+            p = model.marginals(Tagger.odds(model, words), sentences(words)) if len(words.start) else np.zeros(0)
+            keep.append(model.scores(model.documents(p, words, hi - lo)[0]) < threshold)
+        return batch.filter(pa.array(np.concatenate(keep))) if keep else batch
+
+    return map_rows(docs, run)
+
+
 def _spans(words: Words, bad: np.ndarray, n: int) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in range(n)]
     hit = np.flatnonzero(bad)
