@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 from .common import IS_SPACE, NULL_ID, Words, map_arrow, materialize, slices
 from .substring import both
 
-DIMS, STEPS, SUPPORT, LEAST = 5, 3, 0.75, 200
-#: Chi-squared quantiles with 5 degrees of freedom: of the support, and beyond which a row is an outlier (fixed values; 1e-9 of normal rows).
-SUPPORT_QUANTILE, CUTOFF = 6.6257, 50.9
-#: Least variance of each transformed statistic: smaller spreads say nothing about quality.
-FLOOR = (0.05, 0.01, 0.05, 0.02, 0.02)
+DIMS, STEPS, SUPPORT, LEAST = 5, 3, 0.75, 50
+#: The chi-squared quantile of the support with 5 degrees of freedom, and the scaled squared distance beyond which a row
+#: is an outlier: far beyond what normal rows reach, as the tails of clean text are longer.
+SUPPORT_QUANTILE, CUTOFF = 6.6257, 80.0
+#: Least standard deviation of each transformed statistic: smaller differences say nothing about quality.
+FLOOR = (0.5, 0.05, 0.5, 0.5, 0.15)
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
