@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import functools
 import json
+from array import array
+from itertools import accumulate
 
 import numpy as np
 import regex
@@ -36,6 +38,23 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+SPACE = regex.compile(r"\s*")
+
+
+class Units(dict):
+    """Changes of the count by unit, a byte a character; None where one doesn't fit a byte."""
+
+    def __init__(self, counter: PrefixCounter) -> None:
+        self.counter = counter
+
+    def __missing__(self, unit: str) -> bytes | None:
+        d = self.counter.unit(unit)
+        out = d.tobytes() if d.typecode == "b" else bytes(x & 0xFF for x in d) if max(d) < 128 and min(d) >= -128 else None
+        if len(unit) <= 64:
+            self[unit] = out
+        return out
+
+
 class PrefixCounter:
     """Exact counts at every prefix, in characters, for one byte-level BPE vocabulary file of the tokenizers library."""
 
@@ -50,60 +69,88 @@ class PrefixCounter:
         self.special = [t["content"] for t in file["added_tokens"]]
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.longest = max(map(len, self.ids))
+        self.parts = {a + b: (a, b) for (a, b), _ in sorted(self.rank.items(), key=lambda m: -m[1])}
+        self.edges: tuple[dict, dict] = ({}, {})
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.last: dict[bytes, tuple[bytes, int]] = {b"": (b"", 0)}
-        self.units: dict[str, bytes] = {}
+        self.last: dict[bytes, tuple[bytes, int, bytes]] = {b"": (b"", 0, b"")}
+        self.units = Units(self)
+
+    def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """What stands at a token's end (side 1) or beginning (side 0) while BPE makes it, with the rank of the merge that takes it in."""
+        out = self.edges[side].get(token)
+        if out is None:
+            out, piece = [(token, 1 << 60)], token
+            while piece in self.parts:
+                taken = self.rank[self.parts[piece]]
+                piece = self.parts[piece][side]
+                out.append((piece, taken))
+            self.edges[side][token] = out
+        return out
 
     def _fit(self, a: bytes, b: bytes) -> bool:
-        """Whether BPE makes of a + b the tokens a, b again."""
+        """Whether BPE makes of a + b the tokens a, b again: no merge across comes before those on either side (of equal ranks the left one is first)."""
+        if not a:
+            return True
         if (known := self.fits.get((a, b))) is not None:
             return known
-        parts = [bytes([x]) for x in a + b]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), 1 << 60))
-            if (parts[best], parts[best + 1]) not in self.rank:
+        rank, starts, out = self.rank, self._edge(b, 0), True
+        for x, x_taken in self._edge(a, 1):
+            for y, y_taken in starts:
+                r = rank.get((x, y))
+                if r is not None and r < x_taken and r <= y_taken:
+                    out = False
+                    break
+            if not out:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
         if len(self.fits) > CACHE:
             self.fits.clear()
-        self.fits[a, b] = out = parts == ([a, b] if a else [b])
+        self.fits[a, b] = out
         return out
 
     def _extend(self, piece: bytes, known: int) -> None:
         """Adds the prefixes of `piece` beyond the first `known` bytes to the table."""
-        last, ids = self.last, self.ids
+        last, ids, fit = self.last, self.ids, self._fit
+        _, so_far, changes = last[piece[:known]]
         for i in range(known + 1, len(piece) + 1):
             for n in range(min(i, self.longest), 0, -1):
                 token = piece[i - n : i]
                 if token in ids:
-                    before, count = last[piece[: i - n]]
-                    if self._fit(before, token):
-                        last[piece[:i]] = (token, count + 1)
+                    before, count, _ = last[piece[: i - n]]
+                    if fit(before, token):
+                        changes += bytes([(count + 1 - so_far) & 0xFF])  # within a byte: pieces here have 100 bytes at most
+                        so_far = count + 1
+                        last[piece[:i]] = (token, so_far, changes)
                         break
             else:
                 raise ValueError("the vocabulary lacks a byte")
 
-    def counts(self, piece: str) -> list[int]:
-        """Tokens of each prefix of a pre-token, in characters; the empty one first."""
+    def changes(self, piece: str) -> array:
+        """Change of the count with each character of a pre-token."""
         raw = piece.encode()
-        if len(raw) > 256:
-            return self._long(piece)
-        if raw not in self.last:
-            if len(self.last) > CACHE:
-                self.last = {b"": (b"", 0)}
+        if len(raw) > 100:
+            return array("i", np.diff(self._long(piece)).tolist())
+        last = self.last
+        if raw not in last:
+            if len(last) > CACHE:
+                last = self.last = {b"": (b"", 0, b"")}
             known = len(raw) - 1
-            while raw[:known] not in self.last:
+            while raw[:known] not in last:
                 known -= 1
             self._extend(raw, known)
-        last = self.last
+        by_byte = array("b", last[raw][2])
         if len(raw) == len(piece):
-            return [last[raw[:i]][1] for i in range(len(raw) + 1)]
-        out, at = [0], 0
+            return by_byte
+        out, at = array("i"), 0
         for c in piece:
-            at += len(c.encode())
-            out.append(last[raw[:at]][1])
+            n = len(c.encode())
+            out.append(sum(by_byte[at : at + n]))
+            at += n
         return out
 
+    def counts(self, piece: str) -> list[int]:
+        """Tokens of each prefix of a pre-token, in characters; the empty one first."""
+        return [0, *accumulate(self.changes(piece))]
+
     def _long(self, piece: str) -> list[int]:
         """The same for long pre-tokens, with arrays by position instead of the trie."""
         raw, ids = piece.encode(), self.ids
@@ -120,17 +167,16 @@ class PrefixCounter:
         ends = np.cumsum([0] + [len(c.encode()) for c in piece])
         return np.asarray(count)[ends].tolist()
 
-    def unit(self, unit: str) -> np.ndarray:
+    def unit(self, unit: str) -> array:
         """Change of the count with each character of a unit (white space and the chunk after it)."""
-        body = unit.lstrip() if len(unit.lstrip()) else ""
-        parts = PRETOKEN.findall(unit)
-        n_space = len(unit) - len(body)
-        while n_space and not regex.match(r"\s", unit[n_space - 1]):  # str.lstrip takes a few characters more than \s
-            n_space -= 1
+        first = unit[0]
+        if first != "'" and (first == " " or not first.isspace()) and not unit[1:2].isspace():
+            return self.changes(unit)  # one pre-token
+        n_space = SPACE.match(unit).end()
         out = self.counts(unit[:n_space]) if n_space else [0]  # a prefix that ends in white space: one run of it
         if n_space < len(unit):
             done = at = 0
-            for part in parts:
+            for part in PRETOKEN.findall(unit):
                 if at + len(part) > n_space:
                     inside = self.counts(part)
                     if part[0] == "'" and len(part) == 3 and PRETOKEN.findall(part[:2]) != [part[:2]]:
@@ -140,36 +186,33 @@ class PrefixCounter:
                 else:
                     done += self.counts(part)[-1]
                 at += len(part)
-        return np.diff(np.asarray(out, dtype=np.int32))
-
-    def _plain(self, text: str) -> bytes:
-        units, out = self.units, []
-        for u in UNIT.findall(text):
-            d = units.get(u)
-            if d is None:
-                d = self.unit(u).tobytes()
-                if len(u) <= 64:
-                    if len(units) > CACHE:
-                        units.clear()
-                    units[u] = d
-            out.append(d)
-        return b"".join(out)
+        return array("i", np.diff(out).tolist())
+
+    def _plain(self, text: str) -> np.ndarray:
+        units = UNIT.findall(text)
+        if len(self.units) > CACHE:
+            self.units.clear()
+        found = list(map(self.units.__getitem__, units))
+        try:
+            return np.frombuffer(b"".join(found), dtype=np.int8).astype(np.int32)
+        except TypeError:  # a unit whose changes don't fit a byte
+            return np.concatenate([np.frombuffer(f, dtype=np.int8) if f is not None else np.array(self.unit(u)) for u, f in zip(units, found, strict=True)]).astype(np.int32)
 
     def deltas(self, text: str) -> np.ndarray:
         """Per character of the text: tokens of the prefix that ends with it less tokens of the one before."""
         if self.specials is None or not any(s in text for s in self.special):
-            return np.frombuffer(self._plain(text), dtype=np.int32)
+            return self._plain(text)
         out, at, before = [], 0, ""
         for m in self.specials.finditer(text):
-            head = np.frombuffer(self._plain(text[at : m.start()]), dtype=np.int32)
+            head = self._plain(text[at : m.start()])
             # A prefix that ends inside the special string has it as plain text, joined to what stands before it.
             tail = before_tail(text[at : m.start()])
-            joined = np.cumsum(np.frombuffer(self._plain(tail + m.group()[:-1]), dtype=np.int32))[len(tail) :]
-            base = int(np.frombuffer(self._plain(tail), dtype=np.int32).sum())
+            joined = np.cumsum(self._plain(tail + m.group()[:-1]))[len(tail) :]
+            base = int(self._plain(tail).sum())
             inside = np.concatenate([joined - base, [1]])
             out += [head, np.diff(np.concatenate([[0], inside]))]
             at = m.end()
-        out.append(np.frombuffer(self._plain(text[at:]), dtype=np.int32))
+        out.append(self._plain(text[at:]))
         return np.concatenate(out).astype(np.int32)
 
     def prefix_counts(self, text: str) -> np.ndarray:
