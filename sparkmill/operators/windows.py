@@ -5,24 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import dedup
 
-def prefix(df: DataFrame, key: str, order: list[str], value: Column) -> Column:
-    """Exclusive running sum of a value within a key."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+def with_prefix(df: DataFrame, key: str, order: list[str], value: Column, name: str = "before") -> DataFrame:
+    """With the exclusive running sum of a value within a key, in an order.
+
+    No task holds a whole key: rows are dealt by ranges of the order, ranges and keys are summed, sums of earlier ranges
+    are added to running sums inside the range. The dealt rows are written once, so that ranges stay as they are."""
+    dealt = dedup.written(df.withColumn("__v", value).repartitionByRange(*order).withColumn("__p", F.spark_partition_id()), "ranges")
+    per = dealt.groupBy(F.col(key).alias("__k"), F.col("__p").alias("__q")).agg(F.sum("__v").alias("__s"))
+    earlier = Window.partitionBy("__k").orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)
+    offset = per.select("__k", "__q", F.coalesce(F.sum("__s").over(earlier), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy("__p", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.withColumn("__i", F.coalesce(F.sum("__v").over(inside), F.lit(0)))
+    joined = local.join(offset, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__p") == F.col("__q")))
+    return joined.withColumn(name, F.col("__i") + F.col("__o")).select(*df.columns, name)
 
 
 def under_quota(df: DataFrame, key: str, order: list[str], tokens: str, quota: str) -> DataFrame:
     """Documents in order until the quota of their bucket, each with an end mark; the one that crosses it is cut."""
     n = F.col(tokens) + 1
-    out = df.where(F.col(tokens) > 0).withColumn("before", prefix(df, key, order, n))
+    out = with_prefix(df.where(F.col(tokens) > 0), key, order, n)
     return out.where(F.col("before") < F.col(quota)).withColumn("accepted", F.least(n, F.col(quota) - F.col("before")))
 
 
 def soft_quota(df: DataFrame, key: str, order: list[str], tokens: str, quota: str) -> DataFrame:
     """The same with the crossing document whole."""
     n = F.col(tokens) + 1
-    return df.withColumn("before", prefix(df, key, order, n)).where(F.col("before") < F.col(quota)).withColumn("accepted", n)
+    return with_prefix(df, key, order, n).where(F.col("before") < F.col(quota)).withColumn("accepted", n)
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
@@ -68,7 +79,7 @@ def largest_remainder(df: DataFrame, total: Column, fraction: str, name: str, by
 def pack_windows(df: DataFrame, shard: str, order: list[str], tokens: str, size: int) -> DataFrame:
     """Complete windows of `size` tokens over a shard's documents in order; the rest of the shard is dropped."""
     n = F.size(tokens)
-    at = df.withColumn("at", prefix(df, shard, order, n)).withColumn("n", n).where("n > 0")
+    at = with_prefix(df, shard, order, n, "at").withColumn("n", n).where("n > 0")
     parts = at.select(shard, "at", "n", tokens, F.explode(F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("n") - 1) / size))).alias("window"))
     lo = F.greatest(F.col("at"), F.col("window") * size)
     hi = F.least(F.col("at") + F.col("n"), (F.col("window") + 1) * size)

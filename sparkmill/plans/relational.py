@@ -189,18 +189,18 @@ _QUOTA = "CASE WHEN source = 'src1' THEN 20000 ELSE 9000 END"
 
 @query("w01_select_under_quota", f"SELECT doc_id, least(n_chars + 1, q - b) AS accepted FROM (SELECT doc_id, n_chars, {_QUOTA} AS q, coalesce(sum(n_chars + 1) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM documents WHERE n_chars > 0) WHERE b < q")
 def w01(spark, sf):
-    return windows.under_quota(docs(spark, sf).withColumn("q", F.expr(_QUOTA)), "source", ["doc_id"], "n_chars", "q").select("doc_id", "accepted")
+    return windows.under_quota(docs(spark, sf).select("doc_id", "source", "n_chars").withColumn("q", F.expr(_QUOTA)), "source", ["doc_id"], "n_chars", "q").select("doc_id", "accepted")
 
 
 @query("w02_select_soft_quota", f"SELECT doc_id, n_chars + 1 AS accepted FROM (SELECT doc_id, n_chars, {_QUOTA} AS q, coalesce(sum(n_chars + 1) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < q")
 def w02(spark, sf):
-    return windows.soft_quota(docs(spark, sf).withColumn("q", F.expr(_QUOTA)), "source", ["doc_id"], "n_chars", "q").select("doc_id", "accepted")
+    return windows.soft_quota(docs(spark, sf).select("doc_id", "source", "n_chars").withColumn("q", F.expr(_QUOTA)), "source", ["doc_id"], "n_chars", "q").select("doc_id", "accepted")
 
 
 @query("w03_select_byte_budget", "SELECT doc_id, least(n, 30000 - b) AS bytes FROM (SELECT doc_id, strlen(left(text, 3000)) AS n, coalesce(sum(strlen(left(text, 3000))) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM documents) WHERE b < 30000")
 def w03(spark, sf):
-    rows = docs(spark, sf).withColumn("n", F.octet_length(F.left("text", F.lit(3000))).cast("long"))
-    rows = rows.withColumn("b", windows.prefix(rows, "source", ["doc_id"], F.col("n"))).where("b < 30000")
+    rows = docs(spark, sf).select("doc_id", "source", F.octet_length(F.left("text", F.lit(3000))).cast("long").alias("n"))
+    rows = windows.with_prefix(rows, "source", ["doc_id"], F.col("n"), "b").where("b < 30000")
     return rows.select("doc_id", F.least(F.col("n"), 30000 - F.col("b")).alias("bytes"))
 
 
@@ -314,7 +314,7 @@ def w17(spark, sf):
 def w18(spark, sf):
     d = docs(spark, sf).select("doc_id", "n_chars", (F.col("doc_id") * 0).alias("one"))
     total = d.agg(F.sum("n_chars")).first()[0]
-    d = d.withColumn("a", windows.prefix(d, "one", ["doc_id"], F.col("n_chars"))).withColumn("b", F.col("a") + F.col("n_chars"))
+    d = windows.with_prefix(d, "one", ["doc_id"], F.col("n_chars"), "a").withColumn("b", F.col("a") + F.col("n_chars"))
     k = spark.range(40).select(F.col("id").alias("i"), (F.col("id") * 7919 * 104729 % total).alias("o"))
     return d.join(F.broadcast(k), (F.col("o") >= F.col("a")) & (F.col("o") < F.col("b"))).select("i", "doc_id")
 

@@ -53,7 +53,7 @@ def manifest_violations(df: DataFrame, expected: int | None = None) -> DataFrame
 def token_shards(df: DataFrame, split: str, order: list[str], tokens: str, size: int) -> DataFrame:
     """(split, shard, at, tokens) of documents' tokens laid end to end and cut at shards of `size` tokens."""
     n = F.size(tokens)
-    at = df.withColumn("at", windows.prefix(df, split, order, n)).withColumn("n", n).where("n > 0")
+    at = windows.with_prefix(df, split, order, n, "at").withColumn("n", n).where("n > 0")
     parts = at.select(split, "at", "n", tokens, F.explode(F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("n") - 1) / size))).alias("shard"))
     lo = F.greatest(F.col("at"), F.col("shard") * size)
     hi = F.least(F.col("at") + F.col("n"), (F.col("shard") + 1) * size)
