@@ -45,8 +45,8 @@ def with_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def row_id(id_col: str = "doc_id"):
-    own = F.col(id_col).cast("long")
-    return F.when(own.isNotNull(), own).otherwise(F.lit(NULL_ID) + F.pmod(F.xxhash64("text"), F.lit(NULL_ID)))
+    """Never null by its type, so that a join adds no filter and equal shuffles are shared."""
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID) + F.xxhash64("text").bitwiseAND(F.lit(NULL_ID - 1)))
 
 
 def real_id(col: str = "rid"):
