@@ -27,7 +27,7 @@ from pyspark.sql import Window
 
 from .common import materialize
 
-BRANCH, LEAF, SAMPLE, CALIBRATION = 8, 48, 20_000, 64
+BRANCH, LEAF, SAMPLE, CALIBRATION = 8, 400, 20_000, 64
 #: Vectors of a leaf that one group holds.
 CHUNK = 2048
 
@@ -111,21 +111,25 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products, each summed in the same order whatever stands beside it."""
-    out = np.zeros((len(q), len(v)))
-    for d in range(q.shape[1]):
-        out += q[:, d, None] * v[None, :, d]
-    return out
-
+def nearest_in(ids: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vector row, score) of each query's k nearest among some vectors, itself left out, ties to smaller ids.
 
-def best(score: np.ndarray, vid: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k largest, ties to smaller ids; ids must ascend."""
-    if len(score) > 4 * k:
-        least = np.partition(score, len(score) - k)[len(score) - k]
-        at = np.flatnonzero(score >= least)
-        return at[np.argsort(-score[at], kind="stable")[:k]]
-    return np.argsort(-score, kind="stable")[:k]
+    A matrix product proposes all that come near the k-th score; only those are scored again, each sum in one order."""
+    near = q @ v.T
+    near[ids[:, None] == vid[None, :]] = -np.inf
+    if len(vid) > k:
+        least = np.partition(near, len(vid) - k, axis=1)[:, len(vid) - k]
+        near_enough = near >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
+    else:
+        near_enough = np.ones(near.shape, dtype=bool)
+    row, col = np.nonzero(near_enough & (near > -np.inf))
+    score = np.zeros(len(row))
+    for d in range(q.shape[1]):
+        score += q[row, d] * v[col, d]
+    order = np.lexsort((vid[col], -score, row))
+    row, col, score = row[order], col[order], score[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], col[place < k], score[place < k]
 
 
 HITS = "query_id long, vec_id long, score double, leaf long"
@@ -137,13 +141,9 @@ def exact(vectors: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            order = np.argsort(batch.column("vid").to_numpy())
-            vid, v, leaf = batch.column("vid").to_numpy()[order], matrix(batch.column("v"), dims)[order], batch.column("leaf").to_numpy()[order]
-            rows = []
-            for i, s in zip(ids.tolist(), products(q, v), strict=True):
-                own = np.where(vid == i, -np.inf, s)
-                rows += [(i, int(vid[a]), float(own[a]), int(leaf[a])) for a in best(own, vid, k) if own[a] > -np.inf]
-            yield pa.RecordBatch.from_pylist([dict(zip(("query_id", "vec_id", "score", "leaf"), r, strict=True)) for r in rows], schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("leaf", pa.int64())]))
+            vid, leaf = batch.column("vid").to_numpy(), batch.column("leaf").to_numpy()
+            row, col, score = nearest_in(ids, q, vid, matrix(batch.column("v"), dims), k)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(vid[col]), pa.array(score), pa.array(leaf[col])], names=["query_id", "vec_id", "score", "leaf"])
 
     return vectors.mapInArrow(run, HITS)
 
@@ -219,7 +219,6 @@ class Index:
                 key = np.stack([b.column(c).to_numpy() for c in ("leaf", "chunk", "asks")])
                 ids, x = b.column("vid").to_numpy(), matrix(b.column("v"), dims)
                 cut = np.r_[0, np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1, len(ids)]
-                rows: list[list] = [[], [], [], []]
                 for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                     own = (int(key[0, lo]), int(key[1, lo]))
                     if own != group:
@@ -230,17 +229,11 @@ class Index:
                         continue
                     if not vid:
                         continue
-                    every, held_v = np.concatenate(vid), np.concatenate(v)
+                    if len(vid) > 1:
+                        vid, v = [np.concatenate(vid)], [np.concatenate(v)]
                     for at in range(lo, hi, 256):
                         q = ids[at : min(hi, at + 256)]
-                        for i, s in zip(q.tolist(), products(x[at : at + len(q)], held_v), strict=True):
-                            s = np.where(every == i, -np.inf, s)
-                            top = best(s, every, k)
-                            top = top[s[top] > -np.inf]
-                            rows[0] += [i] * len(top)
-                            rows[1] += every[top].tolist()
-                            rows[2] += s[top].tolist()
-                            rows[3] += [own[0]] * len(top)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64()), pa.array(rows[3], pa.int64())], names=["query_id", "vec_id", "score", "leaf"])
+                        row, col, score = nearest_in(q, x[at : at + len(q)], vid[0], v[0], k)
+                        yield pa.RecordBatch.from_arrays([pa.array(q[row]), pa.array(vid[0][col]), pa.array(score), pa.array(np.full(len(row), own[0]))], names=["query_id", "vec_id", "score", "leaf"])
 
         return nearest(dealt.mapInArrow(answer, HITS), k).select("query_id", "rank", "vec_id", "score")
