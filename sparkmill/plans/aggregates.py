@@ -39,9 +39,9 @@ def a02(spark, sf):
     return reports.by_dimension(d, ["lang", "source", "split"], docs=F.lit(1), bytes=F.octet_length("text").cast("long"))
 
 
-@query("a03_memorised_skeletons", r"SELECT k AS skeleton, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(left(text, 6), '[0-9]+|[零一二三四五六七八九十百千万两]+', '#', 'g'), '\s+', '', 'g') AS k FROM conversations WHERE turn = 0) GROUP BY k HAVING count(*) >= 3")
+@query("a03_memorised_skeletons", r"SELECT k AS skeleton, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(left(text, 2), '[0-9]+|[零一二三四五六七八九十百千万两]+', '#', 'g'), '\s+', '', 'g') AS k FROM conversations WHERE turn = 0) GROUP BY k HAVING count(*) >= 3")
 def a03(spark, sf):
-    return talks(spark, sf).where("turn = 0").groupBy(T.skeleton(F.left("text", F.lit(6))).alias("skeleton")).agg(F.count("*").alias("n")).where("n >= 3")
+    return talks(spark, sf).where("turn = 0").groupBy(T.skeleton(F.left("text", F.lit(2))).alias("skeleton")).agg(F.count("*").alias("n")).where("n >= 3")
 
 
 @query("a04_token_profile", "SELECT dimension, value, count(*) AS docs, sum(n_chars + 1)::BIGINT AS tokens FROM (SELECT unnest(['lang', 'source', 'length_bucket', 'lang_source']) AS dimension, unnest([lang, source, CASE WHEN n_chars < 2000 THEN 'chars_lt_2k' WHEN n_chars < 8000 THEN 'chars_2k_8k' WHEN n_chars < 32000 THEN 'chars_8k_32k' ELSE 'chars_ge_32k' END, lang || '/' || source]) AS value, n_chars FROM documents) GROUP BY ALL")
