@@ -26,9 +26,9 @@ def exact_overlap(docs: DataFrame, index: DataFrame, key: str, action: str = "re
 
 def near_overlap(docs: DataFrame, index: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
     """Ids of documents (with sig) that have a near copy among the signatures of an index."""
-    have = dedup.bands(index.select("sig").distinct()).select(F.col("sig").alias("si"), "band", "x", "y")
-    own = dedup.bands(docs.select(order, "sig"))
-    return own.join(have, ["band", "x", "y"]).where(dedup.similarity("sig", "si") >= threshold).select(order).distinct()
+    have = dedup.band_pairs(index.select("sig").distinct()).select(F.col("sig").alias("si"), "two", "key")
+    own = dedup.band_pairs(docs.select(order, "sig"))
+    return own.join(have, ["two", "key"]).where(dedup.similarity("sig", "si") >= threshold).select(order).distinct()
 
 
 def contained(docs: DataFrame, signatures: DataFrame, key: str = "key", size: int = 24) -> DataFrame:
