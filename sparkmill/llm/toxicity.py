@@ -3,7 +3,7 @@
 Only documents are labelled, so words are labelled first: in a toxic document, those whose form or stem (first five
 characters) is seen in many toxic documents of the sample and hardly in clean ones. The field has two states, hashed
 features of the word and transitions; a sequence is a sentence. Forward-backward gives each word's marginal. A
-document's score is a logistic function, fitted on the same sample, of its summed and its largest marginal.
+document's score is a logistic function, fitted on the same sample, of its summed (cubed) and its largest marginal.
 
 The sample is bounded: `per_class` labelled documents of either class, those with the smallest hash of their id, among
 texts of at most `max_chars` characters. Scoring takes every document and every word, however long the text.
@@ -114,11 +114,13 @@ class Field:
         self.score = b
 
     def documents(self, p: np.ndarray, words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Summed and largest marginal of each text."""
-        total, top = np.zeros(n), np.zeros(n)
+        """What a text's score is made of (its summed cubed marginals, so that many faint ones don't add up, and its
+        largest one), and its expected toxic words."""
+        sharp, top, total = np.zeros(n), np.zeros(n), np.zeros(n)
+        np.add.at(sharp, words.row, p**3)
         np.add.at(total, words.row, p)
         np.maximum.at(top, words.row, p)
-        return np.c_[np.log1p(total), top], total
+        return np.c_[np.log1p(sharp), top], total
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.score is None:
@@ -158,7 +160,7 @@ def learn(texts_: list[tuple[str, int]]) -> Field:
         for c in (0, 1):
             seen[c] += np.bincount(f[y[doc] == c], minlength=len(index))
     # Seen in several toxic documents, and 20 times as often as in clean ones.
-    toxic = (seen[1] >= max(3, 0.01 * n[1])) & (seen[1] / n[1] >= 20 * (seen[0] + 0.5) / n[0])
+    toxic = (seen[1] >= max(5, 0.01 * n[1])) & (seen[1] / n[1] >= 20 * (seen[0] + 1) / n[0])
     label = (toxic[of].any(axis=1)[word] & (y[words.row] == 1)).astype(np.int64)
     feats = np.array([features(w) for w in own])
     begin = sentences(words)
@@ -168,7 +170,7 @@ def learn(texts_: list[tuple[str, int]]) -> Field:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 20_000) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_chars: int = 12_000) -> Field:
     return learn(sample(docs, labels, per_class, max_chars))
 
 
