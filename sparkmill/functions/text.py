@@ -159,8 +159,8 @@ def let(value: Column, f) -> Column:
 
 
 def windows(a: Column, n: int) -> Column:
-    """Runs of n elements of an array; the array must be bound (see let)."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(a) - n + 1, F.lit(1))), lambda i: F.slice(a, i, n))
+    """Runs of n strings of an array, each as one string, which array_distinct hashes; the array must be bound (see let)."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(a) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(a, i, n), "\x01"))
 
 
 def distinct_share(a: Column, n: int) -> Column:
