@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import materialize
+from .common import bounded_sample, materialize
 
 BRANCH, LEAF, SAMPLE, CALIBRATION = 8, 400, 20_000, 64
 #: Vectors of a leaf that one group holds.
@@ -166,7 +166,7 @@ class Index:
         if not length:
             self.rows = rows.withColumn("leaf", F.lit(0).cast("long"))
             return
-        some = rows.orderBy(F.xxhash64("vid", F.lit(1)), "vid").limit(sample_rows).toArrow()
+        some = bounded_sample(rows, ["vid"], sample_rows, length["count"]).toArrow()
         tree = self.tree = Tree(np.unique(matrix(some.column("v").combine_chunks(), self.dims), axis=0))
         dims = self.dims
 
@@ -175,7 +175,7 @@ class Index:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column("v"), dims)), pa.int64())], names=["vid", "v", "leaf"])
 
         self.rows = materialize(rows.mapInArrow(put, "vid long, v array<double>, leaf long"), "leaves")
-        asked = self.rows.orderBy(F.xxhash64("vid", F.lit(2)), "vid").limit(CALIBRATION).toArrow()
+        asked = bounded_sample(self.rows.withColumn("salt", F.lit(2)), ["vid", "salt"], CALIBRATION, length["count"]).toArrow()
         ids, q = asked.column("vid").to_numpy(), matrix(asked.column("v").combine_chunks(), dims)
         found = nearest(exact(self.rows, ids, q, k), k).select("query_id", "leaf").collect()  # CALIBRATION * k rows at most
         place = {int(i): {leaf: n for n, leaf in enumerate(tree.visit(x, tree.n_leaves))} for i, x in zip(ids, q, strict=True)}

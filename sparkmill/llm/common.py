@@ -54,6 +54,14 @@ def real_id(col: str = "rid"):
     return F.when(F.col(col) < NULL_ID, F.col(col))
 
 
+def bounded_sample(df: DataFrame, by: list[str], rows: int, total: int) -> DataFrame:
+    """At most `rows` rows by a hash of some columns, of a table of `total` rows. Hashes beyond the share wanted (and
+    some more) go before the sort, so each partition passes on a few rows only, however many partitions there are."""
+    place = F.pmod(F.xxhash64(*by), F.lit(1 << 40))
+    share = min(1.0, (1.5 * rows + 64) / max(total, 1))
+    return df.where(place < int(share * (1 << 40))).orderBy(place, *by).limit(rows)
+
+
 def map_arrow(df: DataFrame, schema: str, per_batch: Callable[[pa.RecordBatch], Iterator[dict[str, object]] | dict[str, object]]) -> DataFrame:
     """mapInArrow with a function from a batch to the columns of one output batch (a dict), or to several of them."""
     from pyspark.sql.pandas.types import to_arrow_schema
