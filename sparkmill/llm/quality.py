@@ -7,13 +7,17 @@ rows with the least Mahalanobis distance and estimate location and covariance an
 products by group and bin of distance, of which the nearest bins are added up, so no group is gathered, however large.
 Distances are scaled so that the share's quantile is that of chi-squared, and rows beyond `CUTOFF` are rejected.
 
-Rows: a null or empty text has no words and fails the base rules. Null lang or source is a group like another. Groups
-of fewer than `LEAST` rows have no estimate and lose none. Rows that repeat an id are judged each. Other columns are
+Groups of fewer than `LEAST` rows have no estimate of their own. With `back_off` their rows are judged by that of their
+language or, if it has fewer too, by that of all rows, so every row that passes the base rules has a distance at every
+size; without it they have none and are kept.
+
+Rows: a null or empty text has no words and fails the base rules. Null lang or source is a group like another. Rows that repeat an id are judged each. Other columns are
 dropped, whatever their names. An empty table gives none.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +30,22 @@ from .common import IS_SPACE, NULL_ID, Words, map_arrow, materialize, slices
 from .substring import both
 
 DIMS, STEPS, SUPPORT, LEAST = 5, 3, 0.75, 50
-#: The chi-squared quantile of the support with 5 degrees of freedom, and the scaled squared distance beyond which a row
-#: is an outlier: far beyond what normal rows reach, as the tails of clean text are longer.
-SUPPORT_QUANTILE, CUTOFF = 6.6257, 80.0
+#: The share of normal rows that lie beyond the cutoff.
+BEYOND = 1e-9
+
+
+def chi_squared(beyond: float) -> float:
+    """The value that chi-squared with DIMS = 5 degrees of freedom exceeds with the given probability."""
+    tail = lambda x: math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+    lo, hi = 0.0, 1000.0
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if tail(mid) > beyond else (lo, mid)
+    return hi
+
+
+#: The chi-squared quantile of the support, and the scaled squared distance beyond which a row is an outlier.
+SUPPORT_QUANTILE, CUTOFF = chi_squared(1 - SUPPORT), chi_squared(BEYOND)
 #: Least standard deviation of each transformed statistic: smaller differences say nothing about quality.
 FLOOR = (0.5, 0.05, 0.5, 0.5, 0.15)
 
@@ -104,15 +121,22 @@ def vector() -> list[Column]:
 
 
 _PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
-_MODEL = "lang string, source string, " + ", ".join(f"m{i} double" for i in range(DIMS)) + ", " + ", ".join(f"p{i}{j} double" for i, j in _PAIRS) + ", scale double"
+_GROUP = ["level", "lang", "source"]
+_MODEL = "level int, lang string, source string, " + ", ".join(f"m{i} double" for i in range(DIMS)) + ", " + ", ".join(f"p{i}{j} double" for i, j in _PAIRS) + ", scale double"
 
 
 def _same_group() -> Column:
-    return F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
+    return F.expr("level = g_level and lang <=> g_lang and source <=> g_source")
 
 
 def _named(model: DataFrame) -> DataFrame:
-    return model.withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
+    return model.withColumnsRenamed({c: f"g_{c}" for c in _GROUP})
+
+
+def _levels(back_off: bool) -> Column:
+    """The groups that a row is in: language and source, and with `back_off` the language, and all rows."""
+    coarser = ", named_struct('level', 1, 'lang', lang, 'source', string(null)), named_struct('level', 2, 'lang', string(null), 'source', string(null))" * back_off
+    return F.expr(f"array(named_struct('level', 0, 'lang', lang, 'source', source){coarser})")
 
 
 def _distance() -> Column:
@@ -130,39 +154,46 @@ def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for i, j in _PAIRS:
                 cov[i, j] = cov[j, i] = getattr(r, f"q{i}{j}") / r.n - mean[i] * mean[j]
             inverse = np.linalg.inv(cov + np.diag(np.square(FLOOR)))
-            rows.append((r.lang, r.source, *mean, *(inverse[i, j] for i, j in _PAIRS), 1.0))
+            rows.append((r.level, r.lang, r.source, *mean, *(inverse[i, j] for i, j in _PAIRS), 1.0))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in _MODEL.split(", ")])
 
 
 def _nearest(binned: DataFrame) -> DataFrame:
     """Bins in the order of distance, up to and with the one that completes the support."""
-    return binned.selectExpr("*", "sum(n) over (partition by lang, source order by bin) - n as below", "sum(n) over (partition by lang, source) as n_all").where(f"below < {SUPPORT} * n_all")
+    return binned.selectExpr("*", "sum(n) over (partition by level, lang, source order by bin) - n as below", "sum(n) over (partition by level, lang, source) as n_all").where(f"below < {SUPPORT} * n_all")
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
-    """One row per group (lang, source) of LEAST rows or more: location, inverse covariance and the scale of distances."""
+def estimates(vectors: DataFrame, back_off: bool = False) -> DataFrame:
+    """One row per group of LEAST rows or more, or of all rows: location, inverse covariance and the scale of distances."""
+    vectors = vectors.select(F.explode(_levels(back_off)).alias("g"), *(f"x{i}" for i in range(DIMS))).select("g.*", *(f"x{i}" for i in range(DIMS)))
     quartile = [F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"t{i}") for i in range(DIMS)]
-    start = vectors.groupBy("lang", "source").agg(F.count("*").alias("n"), *quartile).where(f"n >= {LEAST}")
+    start = vectors.groupBy(*_GROUP).agg(F.count("*").alias("n"), *quartile).where(f"n >= {LEAST} or level = 2")
     spread = [f"1 / (pow((t{i}[2] - t{i}[0]) / 1.349, 2) + pow({FLOOR[i]}, 2)) as p{i}{i}" for i in range(DIMS)]
-    first = start.selectExpr("lang", "source", *(f"t{i}[1] as m{i}" for i in range(DIMS)), *spread, *(f"0D as p{i}{j}" for i, j in _PAIRS if i != j), "1D as scale")
+    first = start.selectExpr(*_GROUP, *(f"t{i}[1] as m{i}" for i in range(DIMS)), *spread, *(f"0D as p{i}{j}" for i, j in _PAIRS if i != j), "1D as scale")
     model = materialize(first.select([c.split()[0] for c in _MODEL.split(", ")]), "mcd")
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in _PAIRS]
     total = [F.sum(c).alias(c) for c in ["n", *(f"s{i}" for i in range(DIMS)), *(f"q{i}{j}" for i, j in _PAIRS)]]
     bin_ = F.floor(32 * F.log2(_distance() + 1e-6)).alias("bin")
     for _ in range(STEPS):
-        binned = vectors.join(_named(model), _same_group()).groupBy("lang", "source", bin_).agg(F.count("*").alias("n"), *sums)
-        model = materialize(_nearest(binned).groupBy("lang", "source").agg(*total).mapInPandas(_estimate, _MODEL), "mcd")
-    binned = vectors.join(_named(model), _same_group()).groupBy("lang", "source", bin_).agg(F.count("*").alias("n"))
-    at = _nearest(binned).groupBy("lang", "source").agg(F.max("bin").alias("bin"))
-    scaled = model.drop("scale").join(_named(at), _same_group()).drop("g_lang", "g_source")
+        binned = vectors.join(_named(model), _same_group()).groupBy(*_GROUP, bin_).agg(F.count("*").alias("n"), *sums)
+        model = materialize(_nearest(binned).groupBy(*_GROUP).agg(*total).mapInPandas(_estimate, _MODEL), "mcd")
+    binned = vectors.join(_named(model), _same_group()).groupBy(*_GROUP, bin_).agg(F.count("*").alias("n"))
+    at = _nearest(binned).groupBy(*_GROUP).agg(F.max("bin").alias("bin"))
+    scaled = model.drop("scale").join(_named(at), _same_group()).drop(*(f"g_{c}" for c in _GROUP))
     return materialize(scaled.withColumn("scale", F.greatest(F.pow(2.0, (F.col("bin") + 1) / 32) / SUPPORT_QUANTILE, F.lit(1e-3))).drop("bin"), "mcd")
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF, id_col: str = "doc_id") -> DataFrame:
+def judge(docs: DataFrame, cutoff: float = CUTOFF, id_col: str = "doc_id", back_off: bool = False) -> DataFrame:
     """Per row: the id, counts, base_failed, kept, and `outlyingness`, the scaled squared distance (null without an estimate)."""
     stats = statistics(docs, id_col).withColumn("base_failed", base_failed())
     stats = materialize(stats.withColumns({f"x{i}": F.round(c, 9) for i, c in enumerate(vector())}), "statistics")
-    model = estimates(stats.where("not base_failed"))
-    joined = stats.join(_named(model), _same_group(), "left").withColumn("outlyingness", F.when(~F.col("base_failed"), _distance() / F.col("scale")))
+    model = estimates(stats.where("not base_failed"), back_off)
+    have = F.broadcast(model.select(*(F.col(c).alias(f"h_{c}") for c in _GROUP)))
+    for k in range(2 if back_off else 0):  # a row's level is the finest that has an estimate
+        at = f"h_level = {k} and h_lang <=> lang" + " and h_source <=> source" * (k == 0)
+        stats = stats.join(have.withColumn(f"has{k}", F.lit(True)), F.expr(at), "left").drop(*(f"h_{c}" for c in _GROUP))
+    level = F.expr("case when has0 then 0 when has1 then 1 else 2 end") if back_off else F.lit(0)
+    stats = stats.withColumn("g", F.element_at(_levels(back_off), level + 1)).drop("lang", "source").select("*", "g.*")
+    joined = stats.join(F.broadcast(_named(model)), _same_group(), "left").withColumn("outlyingness", F.when(~F.col("base_failed"), _distance() / F.col("scale")))
     kept = ~F.col("base_failed") & F.coalesce(F.col("outlyingness") <= cutoff, F.lit(True))
     return joined.select(F.when(F.col("rid") != NULL_ID, F.col("rid")).alias(id_col), *STATS, "base_failed", kept.alias("kept"), "outlyingness")

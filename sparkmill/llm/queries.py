@@ -71,7 +71,7 @@ def op2_url_filter(spark, sf_dir):
 
 @query
 def op5_quality_rules(spark, sf_dir):
-    return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *quality.STATS, "base_failed", "kept", "outlyingness")
+    return quality.judge(table(spark, sf_dir, "documents"), back_off=True).select("doc_id", *quality.STATS, "base_failed", "kept", "outlyingness")
 
 
 @query

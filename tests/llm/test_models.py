@@ -193,6 +193,21 @@ def test_quality_counts_and_outliers(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_small_groups_are_judged_by_coarser_estimates(spark):
+    r = random.Random(13)
+    text = lambda bad: "\n".join(f"#|$w{r.randrange(3000)}*&<" if bad else f"w{r.randrange(3000)} w{r.randrange(3000)}" for _ in range(r.randint(60, 120)))
+    bad = {7, 95, 196, 205}
+    rows = [(k, text(k in bad), "en" if k < 180 else f"l{k}" if k % 2 else None, f"s{k % 30}") for k in range(210)]  # no group has LEAST rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {x.doc_id: x for x in quality.judge(docs, back_off=True).collect()}
+    assert set(got) == set(range(210)) and all(x.outlyingness is not None for x in got.values() if not x.base_failed)
+    assert {k for k, x in got.items() if not x.kept} == bad and not any(got[k].base_failed for k in bad)
+    few = quality.judge(docs.where("doc_id < 3"), back_off=True).collect()
+    assert len(few) == 3 and all(x.kept and x.outlyingness is not None for x in few)
+    assert quality.judge(docs.limit(0), back_off=True).count() == 0
+    assert abs(quality.chi_squared(0.25) - 6.6257) < 1e-3
+
+
 def test_nearest_recall_and_ties(spark):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(1500, 16))
