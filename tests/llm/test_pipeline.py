@@ -68,3 +68,33 @@ def test_stages(spark, planted):
 def test_run_gives_what_the_stages_give(spark, planted):
     assert corpus_pipeline.run(spark, planted).select("doc_id").distinct().count() > 300
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_edited_copies_go(spark):
+    r = random.Random(21)
+    base = [[f"w{r.randrange(5000)}" for _ in range(r.randint(60, 400))] for _ in range(60)] + [["one", "short", "text"], []]
+    rows = []
+    for w in base:
+        for _ in range(4):
+            edited = list(w)
+            for _ in range(r.randint(0, max(1, len(w) // 40))):
+                if edited:
+                    edited[r.randrange(len(edited))] = f"x{r.randrange(5000)}"
+            rows.append((len(rows), " ".join(edited)))
+    docs = spark.createDataFrame([*rows, (len(rows), None), (None, "q")], "doc_id long, text string").repartition(3)
+    sets = {i: frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) for i, t in rows for w in [t.split()]}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    got = [x.doc_id for x in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(x for x in got if x is not None) == [i for i in sets if root[i] == i] and got.count(None) == 1
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
