@@ -49,6 +49,13 @@ def row_id(id_col: str = "doc_id"):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID) + F.xxhash64("text").bitwiseAND(F.lit(NULL_ID - 1)))
 
 
+def fresh(df: DataFrame, *stems: str) -> tuple[str, ...]:
+    """Names for columns of our own that the table doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    longest = max(map(len, taken), default=0)
+    return tuple(s if s.lower() not in taken else f"{s}_".ljust(longest + 1, "_") for s in stems)
+
+
 def real_id(col: str = "rid"):
     """The id itself: null again where it was null."""
     return F.when(F.col(col) < NULL_ID, F.col(col))

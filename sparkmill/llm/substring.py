@@ -1,22 +1,27 @@
 """Substring dedup (8) by recompression: repeats of `WINDOW` consecutive words are found, verified and cut.
 
-Rounds name adjacent pairs of symbols, words at first. A round splits the alphabet by a hash of the symbol and joins
-each pair of a left and a right symbol under a new name, which is a hash of both, so the same pair has the same name in
-every document without a dictionary. Whether two words lie in one symbol after three rounds depends on four words on
-either side only, and a symbol has eight words at most, so equal windows have equal symbols inside and each has a
-boundary between its 7th and 14th word. Of those a window takes the one whose context of 13 words has the least name.
-A run of one repeated symbol is never joined with itself; its boundaries share one name and are sent once.
-
-1. The names of these contexts are dealt by name; those found twice and more reveal the windows that can repeat.
-2. Only those windows are named and dealt again, to verify: the first occurrence of each stays, the others are covered.
+Exact copies of a text are one document first, that of the smallest id; every word of a later copy of a window's length
+is covered. The others are named in rounds. A round names runs (a symbol repeated k times) and then pairs (the alphabet
+is split by a hash; a left symbol and a right one after it are joined). A name is a hash of what it stands for, so it is
+the same in every document and no dictionary is passed around; words are named first.
+
+Each boundary of symbols knows how many words on either side settle it, so of every window it is known which symbols
+inside it any equal window has too. Such a boundary names the pairs of symbols on either side and the pair of these
+(`FLANK` symbols a side), symbols two rounds higher. A window takes the least of these names. Windows that hold no such
+boundary, as in long runs, are tried with one symbol a side, and name themselves in the end.
+
+1. The names taken are dealt by name: those that occur twice and more reveal the windows that can repeat.
+2. Only those windows are dealt again, by a 128-bit BLAKE2b digest of their words, which verifies them: the first
+   occurrence of each stays, the others are covered.
 3. Covered words are removed.
 
-Names that occur again within one task are told apart there and sent once, so a passage of many documents never fills
-one task, and every step streams over buckets, whose number follows the number of shuffle partitions.
+Names that occur again within one task are told apart there and sent once, in rows of at most `NAMES` names, so rows
+follow the names and a passage of many documents never fills one task. Buckets hold about `BUCKET` bytes of text.
 
 Rows: a null or empty text has no words. Fewer words than a window: nothing is removed. Ids lie below 2**62; rows with
-a null id come last, in an order by their text. Rows that repeat an id and its text are one document: they don't cover
-each other. Other columns are dropped, whatever their names. An empty table gives none.
+a null id come last, in an order by their text. A document is an id with its text: rows that repeat both are one and
+don't cover each other; rows that repeat an id with other texts are documents in an order by the texts' hash. Other
+columns are dropped (or kept, see cut_repeats), whatever their names. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -30,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_arrow, map_rows, mix, real_id, row_id, slices, with_id, with_text
+from .common import IS_SPACE, Words, fresh, map_arrow, map_rows, materialize, mix, real_id, row_id, slices, with_text
 
-WINDOW, ROUNDS, SIDE = 20, 3, 6
-#: Names that a task holds before it sends them on.
-HELD = 1 << 20
-_NONE = np.uint64(2**64 - 1)
+WINDOW, ROUNDS, FLANK = 20, 1, 2
+#: Names that a task holds before it sends them on, names in a row, bytes of text that share a bucket.
+HELD, NAMES, BUCKET = 1 << 20, 64, 1 << 23
 _K = np.uint64(0xD1342543DE82EF95)
+_FAR = 1 << 60
 
 
 def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -44,49 +49,96 @@ def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _K + b)
 
 
-def boundaries(name: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Where symbols begin, as word positions, after so many rounds of pair naming."""
-    start = np.arange(len(name))
-    for k in range(rounds):
-        left = (mix(name + np.uint64(k + 1)) >> np.uint64(63)).astype(bool)
-        pair = np.zeros(len(name), dtype=bool)
-        pair[:-1] = left[:-1] & ~left[1:] & (row[:-1] == row[1:])
-        own = name.copy()
-        at = np.flatnonzero(pair)
+class Symbols:
+    """The symbols of some texts after rounds of naming.
+
+    `name` and `row` (the text) by symbol; by boundary (one more than symbols) `start`, the word it stands before, and
+    `lo` and `hi`: every window that holds the words lo .. hi - 1 of its text has this boundary, whatever is around it.
+    """
+
+    def __init__(self, name: np.ndarray, row: np.ndarray) -> None:
+        self.name, self.row = name, row
+        self.start = self.lo = self.hi = np.arange(len(name) + 1)
+
+    def keep(self, name: np.ndarray, begins: np.ndarray) -> None:
+        """Symbols that begin at the given ones. A boundary is settled by the whole symbols on either side of it."""
+        at, n = np.r_[begins, len(name)], len(name)
+        lo = np.where(at > 0, self.lo[np.maximum(at - 1, 0)], -_FAR)
+        hi = np.where(at < n, self.hi[np.minimum(at + 1, n)], _FAR)
+        self.name, self.row, self.start, self.lo, self.hi = name[begins], self.row[begins], self.start[at], lo, hi
+
+    def runs(self, k: int) -> None:
+        name, row = self.name.copy(), self.row
+        begins = np.flatnonzero(np.r_[True, (name[1:] != name[:-1]) | (row[1:] != row[:-1])])
+        length = np.diff(np.r_[begins, len(name)])
+        own = begins[length > 1]
+        name[own] = both(mix(name[own] + np.uint64(2 * k)), length[length > 1].astype(np.uint64))
+        self.keep(name, begins)
+
+    def pairs(self, k: int) -> None:
+        name, row = self.name, self.row
+        left = (mix(name + np.uint64(2 * k + 1)) >> np.uint64(63)).astype(bool)
+        at = np.flatnonzero(left[:-1] & ~left[1:] & (row[:-1] == row[1:]))
+        own, stays = name.copy(), np.ones(len(name), dtype=bool)
         own[at] = both(name[at], name[at + 1])
-        stays = np.ones(len(name), dtype=bool)
         stays[at + 1] = False
-        name, row, start = own[stays], row[stays], start[stays]
-    return start
+        self.keep(own, np.flatnonzero(stays))
+
+
+def parsed(name: np.ndarray, row: np.ndarray, rounds: int = ROUNDS) -> Symbols:
+    out = Symbols(name, row)
+    for k in range(rounds if len(name) else 0):
+        out.runs(k)
+        out.pairs(k)
+    return out
+
+
+def least(name: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where the least name stands in each range first..last, the leftmost if there are several."""
+    table, k, out = np.arange(len(name)), 0, first.copy()
+    level = np.frexp(last - first + 1)[1] - 1
+    while True:
+        own = np.flatnonzero(level == k)
+        a, b = table[first[own]], table[last[own] - (1 << k) + 1]
+        out[own] = np.where(name[b] < name[a], b, a)
+        k += 1
+        if k > level.max(initial=0):
+            return out
+        a, b = table[: -(1 << (k - 1))], table[1 << (k - 1) :]
+        table = np.where(name[b] < name[a], b, a)
 
 
 class Parsed:
-    """The windows of some texts: their start, the boundary each takes, and names of that boundary's context and of the window."""
+    """The windows of some texts: `start`, and of the name each takes `key` and `mark`: 3 * (word it stands at) + kind."""
 
     def __init__(self, words: Words) -> None:
         name, row, n = words.name, words.row, len(words.name)
-        self.start = np.zeros(0, dtype=np.int64)
-        if n < WINDOW:
+        self.start = np.flatnonzero(row[: max(n - WINDOW + 1, 0)] == row[WINDOW - 1 :]) if n >= WINDOW else np.zeros(0, dtype=np.int64)
+        self.key, self.mark = np.zeros(len(self.start), dtype=np.uint64), np.zeros(len(self.start), dtype=np.int64)
+        if not len(self.start):
             return
-        two = both(name[:-1], name[1:])
-        four = both(two[:-2], two[2:])
-        self.eight, self.four = both(four[:-4], four[4:]), four
-        context = both(both(self.eight[: n - 12], four[8 : n - 4]), name[12:])  # of 13 words from each position
-        value = np.full(n, _NONE)
-        begins = boundaries(name, row)
-        at = begins[(begins > SIDE) & (begins + SIDE <= n)] - 1
-        at = at[row[at - SIDE] == row[at + SIDE]] if len(at) else at
-        value[at] = np.minimum(context[at - SIDE], _NONE - np.uint64(1))
-        self.context = context
-        start = np.flatnonzero(row[: n - WINDOW + 1] == row[WINDOW - 1 :])
-        best = np.lib.stride_tricks.sliding_window_view(value, WINDOW - 2 * SIDE)[SIDE:].argmin(axis=1)
-        self.start, self.anchor = start, start + SIDE + best[start]
-
-    def key(self, anchor: np.ndarray) -> np.ndarray:
-        return self.context[anchor - SIDE]
-
-    def window(self, start: np.ndarray) -> np.ndarray:
-        return both(both(self.eight[start], self.eight[start + 8]), self.four[start + 16])
+        symbols, left = parsed(name, row), np.arange(len(self.start))
+        for flank in range(FLANK, 0, -1):
+            z, m = symbols.name, len(symbols.name)
+            at = np.arange(flank, m - flank + 1)
+            if not len(at) or not len(left):
+                continue
+            if flank == 2:
+                z = both(z[:-1], z[1:])
+            own = both(z[: m - 2 * flank + 1], z[flank : flank + len(at)])
+            first, last = symbols.hi[at + flank] - WINDOW, symbols.lo[at - flank]  # the windows that settle it
+            upto = lambda x: np.cumsum(np.bincount(np.clip(x, 0, n), minlength=n + 1))
+            s = self.start[left]
+            i, j = upto(last + 1)[s], upto(first)[s] - 1
+            have = i <= j
+            best = least(own, i[have], j[have])
+            self.key[left[have]], self.mark[left[have]] = own[best], 3 * symbols.start[at[best]] + flank
+            left = left[~have]
+        if len(left):
+            two = both(name[:-1], name[1:])
+            four = both(two[:-2], two[2:])
+            eight, s = both(four[:-4], four[4:]), self.start[left]
+            self.key[left], self.mark[left] = both(both(eight[s], eight[s + 8]), four[s + 16]), 3 * s
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -99,22 +151,23 @@ def unpack(x: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(x, dtype=np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
 
 
-SENT = pa.schema([("bucket", pa.int64()), ("key", pa.binary()), ("window", pa.binary()), ("rid", pa.binary()), ("at", pa.binary())])
-SENT_SQL = "bucket long, key binary, window binary, rid binary, at binary"
-FOUND = pa.schema([("rid", pa.int64()), ("at", pa.binary())])
-FOUND_SQL = "rid long, at binary"
+SENT = pa.schema([("bucket", pa.int64()), ("key", pa.binary()), ("wide", pa.binary()), ("rid", pa.binary()), ("tie", pa.binary()), ("at", pa.binary())])
+SENT_SQL = "bucket long, key binary, wide binary, rid binary, tie binary, at binary"
+FOUND = pa.schema([("rid", pa.int64()), ("tie", pa.int64()), ("at", pa.binary())])
+FOUND_SQL = "rid long, tie long, at binary"
+#: What is sent of an occurrence: its name in two halves, its document's id and tie, and its place.
+KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
 
 
 class Groups:
-    """Occurrences (rid, at) by name, sorted by it; `first` tells where each name's first occurrence stands."""
+    """Occurrences by name, sorted by it; `first` tells where each name's first occurrence stands."""
 
-    def __init__(self, key: np.ndarray, window: np.ndarray, rid: np.ndarray, at: np.ndarray) -> None:
-        order = np.lexsort((at, rid, window, key))
-        self.key, self.window, self.rid, self.at = key[order], window[order], rid[order], at[order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (self.key[1:] != self.key[:-1]) | (self.window[1:] != self.window[:-1])
-        self.new = new
-        self.first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else np.zeros(0, dtype=np.int64)
+    def __init__(self, key: np.ndarray, wide: np.ndarray, rid: np.ndarray, tie: np.ndarray, at: np.ndarray) -> None:
+        order = np.lexsort((at, tie, rid, wide, key))
+        self.key, self.wide, self.rid, self.tie, self.at = self.columns = [x[order] for x in (key, wide, rid, tie, at)]
+        self.new = np.ones(len(order), dtype=bool)
+        self.new[1:] = (self.key[1:] != self.key[:-1]) | (self.wide[1:] != self.wide[:-1])
+        self.first = np.flatnonzero(self.new)[np.cumsum(self.new) - 1] if len(order) else np.zeros(0, dtype=np.int64)
 
     def shared(self) -> np.ndarray:
         """Those whose name occurs more than once."""
@@ -124,137 +177,162 @@ class Groups:
 
     def later(self) -> np.ndarray:
         """Those that come after their name's first occurrence."""
-        return (self.rid != self.rid[self.first]) | (self.at != self.at[self.first])
+        return (self.rid != self.rid[self.first]) | (self.tie != self.tie[self.first]) | (self.at != self.at[self.first])
 
 
-def found(rid: np.ndarray, at: np.ndarray, spans: bool) -> pa.RecordBatch:
-    """Positions by document; spans: runs of consecutive ones as first and last."""
-    order = np.lexsort((at, rid))
-    rid, at = rid[order], at[order]
-    if spans and len(at):
-        cut = np.ones(len(at), dtype=bool)
-        cut[1:] = (rid[1:] != rid[:-1]) | (at[1:] > at[:-1] + 1)
-        lo = np.flatnonzero(cut)
-        hi = np.r_[lo[1:], len(at)] - 1
-        rid, at = rid[lo], np.stack([at[lo], at[hi]], axis=1)
-    starts = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]]) if len(rid) else np.zeros(0, dtype=np.int64)
-    data = np.ascontiguousarray(at.astype(np.int32))
-    return pa.RecordBatch.from_arrays([pa.array(rid[starts], pa.int64()), pa.array([x.tobytes() for x in np.split(data, starts[1:])] if len(starts) else [], pa.binary())], schema=FOUND)
+def found(rid: np.ndarray, tie: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Places by document."""
+    order = np.lexsort((at, tie, rid))
+    rid, tie, at = rid[order], tie[order], at[order]
+    new = np.flatnonzero(np.r_[True, (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])]) if len(rid) else np.zeros(0, dtype=np.int64)
+    parts = [x.tobytes() for x in np.split(at, new[1:])] if len(new) else []
+    return pa.RecordBatch.from_arrays([pa.array(rid[new], pa.int64()), pa.array(tie[new], pa.int64()), pa.array(parts, pa.binary())], schema=FOUND)
 
 
-def deal(df: DataFrame, occurrences, first_of_many: bool, n_buckets: int) -> DataFrame:
-    """Occurrences of names by bucket. occurrences: from a batch to arrays (key, window or None, rid, at).
+def deal(docs: DataFrame, occurrences, first_of_many: bool, n_buckets: int) -> DataFrame:
+    """(rid, tie, at): the occurrences of names that several have; with first_of_many, those after each name's first.
 
-    Within what a task holds, a name is sent once. What is settled there goes with a negative bucket: with
-    first_of_many, every later occurrence; else all occurrences of a name that has several.
+    occurrences: from a batch (rid, tie, text and more) to arrays (key, wide, row of the batch, at). Within what a task
+    holds, a name is sent once; what is settled there goes with a negative bucket.
     """
 
-    def send(parts: list, salt: int) -> Iterator[pa.RecordBatch]:
-        key, window, rid, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-        g = Groups(key, window, rid, at)
-        known = g.later() if first_of_many else g.shared()
-        rows: list[tuple] = []
-        if known.any():
-            rows.append((-1 - salt % n_buckets, b"", b"", pack(g.rid[known]), pack(g.at[known].astype(np.int32))))
+    def send(parts: list) -> Iterator[pa.RecordBatch]:
+        g = Groups(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        known = np.flatnonzero(g.later() if first_of_many else g.shared())
         kept = np.flatnonzero(g.new)
         bucket = (mix(g.key[kept]) % np.uint64(n_buckets)).astype(np.int64)
-        order = kept[np.lexsort((g.at[kept], g.rid[kept], bucket))]
-        bucket = np.sort(bucket)
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
-        for own in np.split(np.arange(len(order)), cuts) if len(order) else []:
-            i = order[own]
-            rows.append((int(bucket[own[0]]), pack(g.key[i]), pack(g.window[i]) if first_of_many else b"", pack(g.rid[i]), pack(g.at[i].astype(np.int32))))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SENT, strict=True)], schema=SENT)
+        order = np.lexsort((g.at[kept], g.tie[kept], g.rid[kept], bucket))
+        kept, bucket = kept[order], bucket[order]
+        rows: list[tuple] = []
+        for k in range(0, len(known), HELD):
+            own = known[k : k + HELD]
+            rows.append((-1 - int(g.rid[own[0]]) % n_buckets, *(pack(c[own]) for c in g.columns)))
+        begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        size = np.diff(np.r_[begins, len(bucket)])
+        place = np.arange(len(bucket)) - np.repeat(begins, size)
+        cuts = np.flatnonzero(place % NAMES == 0)
+        columns = [c[kept] for c in g.columns]
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+            rows.append((int(bucket[lo]), *(pack(c[lo:hi]) for c in columns)))
+        for k in range(0, len(rows), 4096):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 4096], strict=True), SENT, strict=True)], schema=SENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
         for batch in batches:
             for lo, hi in slices(batch.column("text")):
-                got = occurrences(batch.slice(lo, hi - lo))
-                if len(got[0]):
-                    parts.append(got)
-                    n += len(got[0])
+                part = batch.slice(lo, hi - lo)
+                key, wide, row, at = occurrences(part)
+                if len(key):
+                    rid, tie = (part.column(c).to_numpy(zero_copy_only=False)[row] for c in ("rid", "tie"))
+                    parts.append((key, wide, rid, tie, at))
+                    n += len(key)
                 if n >= HELD:
-                    yield from send(parts, int(parts[0][2][0]))
+                    yield from send(parts)
                     parts, n = [], 0
         if parts:
-            yield from send(parts, int(parts[0][2][0]))
+            yield from send(parts)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, rows = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["bucket"] < 0:
-                    yield found(unpack(row["rid"], np.int64), unpack(row["at"], np.int32), first_of_many)
+                    yield found(*(unpack(row[c], np.int64) for c in ("rid", "tie", "at")))
                     continue
-                if row["bucket"] != bucket and len(rows) > 1:
-                    yield judged(rows)
                 if row["bucket"] != bucket:
+                    if rows:
+                        yield judged(rows)
                     bucket, rows = row["bucket"], []
                 rows.append(row)
-        if len(rows) > 1:
+        if rows:
             yield judged(rows)
 
     def judged(rows: list[dict]) -> pa.RecordBatch:
-        every = lambda c, kind: np.concatenate([unpack(r[c], kind) for r in rows])
-        key = every("key", np.uint64)
-        g = Groups(key, every("window", np.uint64) if first_of_many else np.zeros(len(key), dtype=np.uint64), every("rid", np.int64), every("at", np.int32))
+        g = Groups(*(np.concatenate([unpack(r[c.name], kind) for r in rows]) for c, kind in zip(list(SENT)[1:], KINDS, strict=True)))
         hit = g.later() if first_of_many else g.shared()
-        return found(g.rid[hit], g.at[hit], first_of_many)
+        return found(g.rid[hit], g.tie[hit], g.at[hit])
 
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.mapInArrow(run, SENT_SQL).repartition(n, "bucket").sortWithinPartitions("bucket")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.mapInArrow(run, SENT_SQL).repartition(n, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(settle, FOUND_SQL)
 
 
-def _contexts(batch: pa.RecordBatch):
+def _revealing(batch: pa.RecordBatch):
+    """The names that windows take."""
     words = Words(batch.column("text"))
-    parsed = Parsed(words)
-    anchor = np.unique(parsed.anchor) if len(parsed.start) else parsed.start
-    row = words.row[anchor]
-    key = parsed.key(anchor) if len(anchor) else np.zeros(0, dtype=np.uint64)
-    rid = batch.column("rid").to_numpy(zero_copy_only=False)
-    return key, np.zeros(len(key), dtype=np.uint64), rid[row], anchor - words.first[row]
+    p = Parsed(words)
+    mark, at = np.unique(p.mark, return_index=True)
+    row = words.row[p.start[at]]
+    return p.key[at], np.zeros(len(at), dtype=np.uint64), row, mark - 3 * words.first[row]
 
 
 def _windows(batch: pa.RecordBatch):
-    """Windows whose context is shared; `hits` has each document's shared boundaries."""
+    """Windows whose names are shared, named by their words; `hits` has each document's shared marks."""
     words = Words(batch.column("text"))
-    parsed = Parsed(words)
-    marked = np.zeros(len(words.row) + 1, dtype=bool)
+    p = Parsed(words)
+    shared = np.zeros(3 * len(words.row) + 6, dtype=bool)
     for k, parts in enumerate(batch.column("hits").to_pylist()):
-        at = np.frombuffer(b"".join(parts), dtype=np.int32) + words.first[k]
-        marked[at[at < words.first[k + 1]]] = True
-    rid = batch.column("rid").to_numpy(zero_copy_only=False)
-    if not len(parsed.start):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), rid[:0], parsed.start
-    own = marked[parsed.anchor]
-    start, anchor = parsed.start[own], parsed.anchor[own]
+        at = np.frombuffer(b"".join(parts), dtype=np.int64) + 3 * words.first[k]
+        shared[at[at < 3 * words.first[k + 1] + 3]] = True
+    start = p.start[shared[p.mark]]
+    # The words with one space between them, so that a window is one piece of bytes.
+    size = words.end - words.start
+    begin = np.r_[0, np.cumsum(size + 1)]
+    spaced = np.full(begin[-1], 32, dtype=np.uint8)
+    letters = words.data[~IS_SPACE[words.data]]
+    spaced[np.arange(len(letters)) + np.repeat(np.arange(len(size)), size)] = letters
+    text = spaced.tobytes()
+    digest = hashlib.blake2b
+    names = [digest(text[a:b], digest_size=16).digest() for a, b in zip(begin[start].tolist(), (begin[start + WINDOW] - 1).tolist(), strict=True)]
+    name = np.frombuffer(b"".join(names), dtype=np.uint64).reshape(-1, 2)
     row = words.row[start]
-    return parsed.key(anchor), parsed.window(start), rid[row], start - words.first[row]
+    return np.ascontiguousarray(name[:, 0]), np.ascontiguousarray(name[:, 1]), row, start - words.first[row]
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, str, str]:
+    """The rows with two columns more, under names of their own: the id (never null) and a hash of the text."""
+    rid, h = fresh(docs, "rid", "h")
+    return docs.withColumns({rid: row_id(id_col), h: F.xxhash64("text")}), rid, h
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(rid, spans): per document with repeats, first and last starts of covered windows, as 32-bit pairs in binary parts."""
-    every = with_id(docs, id_col)
-    n = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared = deal(every, _contexts, False, n).groupBy("rid").agg(F.collect_list("at").alias("hits"))
-    return deal(every.join(shared, "rid"), _windows, True, n).groupBy("rid").agg(F.collect_list("at").alias("spans"))
+    """(rid, h, spans): per distinct text, by the id it first has, starts of covered windows, as 64-bit numbers in binary
+    parts; null where nothing is covered. Rows that are not listed are later copies: all of their windows are covered."""
+    own = docs.select(row_id(id_col).alias("rid"), F.xxhash64("text").alias("h"), "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    firsts = own.groupBy(F.sha2("text", 256).alias("sha"), "h").agg(F.min("rid").alias("rid"), F.max(size).alias("size"))
+    firsts = materialize(firsts.select("rid", "h", "size"), "firsts")
+    again = firsts.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid", F.lit(True).alias("again"))
+    firsts = firsts.join(again, "rid", "left").select("rid", "h", "size", F.when(F.col("again"), F.col("h")).otherwise(0).alias("tie"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(16 * parts, (firsts.agg(F.sum("size")).first()[0] or 0) // BUCKET)
+    texts = own.join(firsts.drop("size"), ["rid", "h"])
+
+    def marks(places: DataFrame, name: str) -> DataFrame:
+        gathered = places.groupBy("rid", "tie").agg(F.collect_list("at").alias(name))
+        return gathered.join(firsts.select("rid", "tie", "h"), ["rid", "tie"]).select("rid", "h", name)
+
+    shared = marks(deal(texts, _revealing, False, n), "hits")
+    spans = marks(deal(texts.join(shared, ["rid", "h"]), _windows, True, n), "spans")
+    return firsts.select("rid", "h").join(spans, ["rid", "h"], "left").select("rid", "h", F.lit(True).alias("first"), "spans")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: bool = True) -> DataFrame:
     """Per row: n_words, n_removed, kept_sha256 of the kept words joined by spaces, and (with text) the text without the removed words."""
-    joined = with_id(docs, id_col).join(covered(docs, id_col), "rid", "left")
+    own = docs.select(row_id(id_col).alias("rid"), F.xxhash64("text").alias("h"), "text")
+    joined = own.join(covered(docs, id_col), ["rid", "h"], "left").select("rid", "text", "first", "spans")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict[str, object]]:
         for lo, hi in slices(batch.column("text")):
             part = batch.slice(lo, hi - lo)
             words = Words(part.column("text"), hashed=False)
+            first = part.column("first").to_pylist()
             out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "kept_sha256", "text")}
             for k, spans in enumerate(part.column("spans").to_pylist()):
                 a, b = int(words.first[k]), int(words.first[k + 1])
                 raw = words.data[words.offsets[k] : words.offsets[k + 1]].tobytes()
-                own, kept = raw.split(), _kept(spans, b - a)
+                own, kept = raw.split(), _kept(first[k], spans, b - a)
                 gone = 0 if kept is None else int((~kept).sum())
                 out["n_words"].append(b - a)
                 out["n_removed"].append(gone)
@@ -268,33 +346,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: bool = True) -
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents, all their columns, without the words that repeats cover; none is dropped."""
-    spans = covered(docs, id_col).select(F.col("rid").alias("__rid"), F.col("spans").alias("__spans"))
-    joined = docs.withColumn("__rid", row_id(id_col)).join(spans, "__rid", "left").select(*docs.columns, "__spans")
+    """The documents, all their columns, without the words that repeats cover; none is dropped. The columns used for the
+    work get names that the table doesn't have."""
+    own, rid, h = keyed(docs, id_col)
+    first, spans = fresh(own, "first", "spans")
+    marks = covered(docs, id_col).select(F.col("rid").alias(rid), F.col("h").alias(h), F.col("first").alias(first), F.col("spans").alias(spans))
+    joined = own.join(marks, [rid, h], "left").select(*(own[c] for c in docs.columns), first, spans)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = batch.column("text").to_pylist()
-        for k, spans in enumerate(batch.column("__spans").to_pylist()):
-            if spans and text[k]:
+        text, firsts = batch.column("text").to_pylist(), batch.column(first).to_pylist()
+        for k, own in enumerate(batch.column(spans).to_pylist()):
+            if text[k] and (own or not firsts[k]):
                 words = Words(pa.array([text[k]], pa.large_string()), hashed=False)
-                kept = _kept(spans, len(words.start))
+                kept = _kept(firsts[k], own, len(words.start))
                 if kept is not None and not kept.all():
                     text[k] = _cut(text[k].encode(), words.start, kept)
-        return with_text(batch, text, drop=("__spans",))
+        return with_text(batch, text, drop=(first, spans))
 
-    return map_rows(joined, run, drop=("__spans",))
+    return map_rows(joined, run, drop=(first, spans))
 
 
-def _kept(spans: list[bytes] | None, n: int) -> np.ndarray | None:
+def _kept(first: bool | None, spans: list[bytes] | None, n: int) -> np.ndarray | None:
     """Which of n words no covered window holds; None where there is no such window."""
+    if not first and n >= WINDOW:
+        return np.zeros(n, dtype=bool)
     if not spans:
         return None
-    span = np.frombuffer(b"".join(spans), dtype=np.int32).reshape(-1, 2).astype(np.int64)
-    span = span[span[:, 1] + WINDOW <= n]
-    step = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(step, span[:, 0], 1)
-    np.add.at(step, span[:, 1] + WINDOW, -1)
-    return np.cumsum(step[:-1]) == 0
+    at = np.frombuffer(b"".join(spans), dtype=np.int64)
+    at = at[at + WINDOW <= n]
+    step = np.bincount(at, minlength=n + 1) - np.bincount(at + WINDOW, minlength=n + 1)
+    return np.cumsum(step[:n]) == 0
 
 
 def _cut(raw: bytes, start: np.ndarray, kept: np.ndarray) -> str:

@@ -126,9 +126,59 @@ def test_repeats_match_brute_force(spark, monkeypatch):
     assert sorted((x.doc_id or -1, x.n_removed) for x in substring.remove_repeats(twice).collect())[-1][1] == want[rows[3][0]][1] or rows[3][0] == 0
 
 
-def test_every_window_has_a_boundary():
+def test_windows_take_the_same_name_wherever_they_are():
     r = np.random.default_rng(1)
-    name = r.integers(0, 2**63, 5000).astype(np.uint64)
-    name[100:200] = name[100]
-    start = substring.boundaries(name, np.zeros(5000, dtype=np.int64))
-    assert np.diff(start).max() <= 8
+    word = r.integers(0, 2**63, 40).astype(np.uint64)
+    part = [word[r.integers(0, k, 60)] for k in (1, 2, 3, 8, 40)] + [np.tile(word[:2], 40), np.tile(word[:3], 30), np.tile(word[[0, 0, 1]], 30)]
+    names, seen = {}, 0
+    for _ in range(40):
+        text = np.concatenate([part[k][: r.integers(20, 60)] for k in r.integers(0, len(part), 6)])
+        p = substring.Parsed(PlainWords(text))
+        assert len(p.start) == len(text) - 19 and (p.key != 0).all()
+        for s, key, mark in zip(p.start, p.key, p.mark, strict=True):
+            own = names.setdefault(text[s : s + 20].tobytes(), (key, mark - 3 * s))
+            seen += own == (key, mark - 3 * s)
+            assert own == (key, mark - 3 * s)
+    assert seen > len(names) + 1000
+    same = substring.parsed(np.array([7] * 5 + [9], dtype=np.uint64), np.zeros(6, dtype=np.int64))
+    assert len(same.name) <= 2  # a run is one symbol
+
+
+class PlainWords:
+    """What Parsed needs of the words of one text."""
+
+    def __init__(self, name):
+        self.name, self.row = name, np.zeros(len(name), dtype=np.int64)
+
+
+def test_repeated_ids_null_ids_and_a_large_group_of_copies(spark):
+    r = random.Random(17)
+    text = lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n))
+    shared, unique, copy = text(60), text(100), text(80)
+    rows = [(7, shared + " " + text(30)), (7, unique + " " + shared), (None, shared), (None, text(50)), (None, copy), (None, "")]
+    rows += [(100 + k, copy) for k in range(1500)] + [(5000, "short text"), (5001, "short text"), (8, copy + " end"), (9, "a b " * 300), (9, "a b " * 300)]
+    docs = spark.createDataFrame([(i, t, f"k{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, rid string").repartition(200)
+    docs = docs.withColumn("spans", docs.rid).withColumn("first", docs.rid)
+    got = {}
+    for x in substring.cut_repeats(docs).collect():
+        assert x.spans == x.first == x.rid
+        got[int(x.rid[1:])] = x.text
+    assert set(got) == set(range(len(rows)))
+    kept = {k: len((got[k] or "").split()) for k in got}
+    # The two texts of id 7 are two documents: one of them keeps the passage that both have, nothing else goes.
+    assert sorted([kept[0], kept[1]]) in ([30, 160], [90, 100]) and unique in got[1]
+    assert kept[2] == 0 and kept[3] == 50 and kept[4] == 0
+    assert [kept[k] for k in range(6, 1506)] == [0] * 1500  # id 8 has their text first
+    assert kept[1506] == kept[1507] == 2 and kept[1508] == 81
+    assert kept[1509] == kept[1510] and 0 < kept[1509] < 30  # rows that repeat a document don't cover each other
+    assert substring.cut_repeats(docs.limit(0)).count() == 0
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(18)
+    passage = [f"p{r.randrange(10**6)}" for _ in range(50)]
+    w = [f"w{r.randrange(10**6)}" for _ in range(300_000)]
+    w[1000:1000] = passage
+    w[250_000:250_000] = passage
+    (x,) = substring.remove_repeats(spark.createDataFrame([(1, " ".join(w))], "doc_id long, text string")).collect()
+    assert (x.n_words, x.n_removed) == (300_100, 50)
