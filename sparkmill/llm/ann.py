@@ -1,17 +1,22 @@
 """Approximate nearest neighbours (10): a hierarchical k-means tree, searched best bin first.
 
-The tree is fitted on a bounded sample (`sample_rows` vectors of the smallest hash of their id), BRANCH children a
-node, until a node has few sampled vectors; every vector of the table is then put into its leaf. A search holds the
-nodes it has not opened in a priority queue, by the inner product of the query with the node's centre, opens the best,
-and so reaches leaves in an order; it visits the first `visits` of them. That number is calibrated: for a sample of
-queries the exact neighbours among all vectors are found, and visits widen until the wanted share of them lies in the
-leaves visited. Leaves are dealt in chunks of a bounded number of vectors, so one frequent vector fills no task.
+The tree is fitted on a bounded sample (`SAMPLE` vectors of the smallest hash of their id), BRANCH children a node, until
+a node has few sampled vectors. Then every vector is put into its leaf, and leaves of more than `LEAF_ROWS` are split
+further in Spark, each by a bounded sample of its own (`SPLIT`), until none is larger or there are `MOST_LEAVES`. A
+search holds the nodes it has not opened in a priority queue, by the inner product of the query with the node's centre,
+opens the best, and so reaches leaves in an order; it visits the first `visits` of them, and on until these hold k
+candidates. `visits` is calibrated: for a sample of queries the exact neighbours among all vectors are found, and visits
+widen until the wanted share of them lies in the leaves visited. Leaves are dealt by subtrees of at most `GROUP_ROWS`
+vectors; a query is sent once to each subtree in which it visits leaves, with their names.
+
+Of equal vectors only the k + 1 smallest ids can be among the k nearest, so the index holds these, and equal queries are
+searched once; one frequent vector fills no leaf and no task.
 
 Scores are inner products in double precision, summed in one order for every pair, so equal vectors tie exactly.
 
 Rows: vectors that are null, empty, zero or hold null or non-finite components, or have a null id, take no part; nor do
-those whose length differs from the most frequent one. Rows that repeat an id are candidates each. Fewer candidates
-than k: all of them. Other columns are dropped, whatever their names. An empty table gives none.
+those whose length differs from the most frequent one. Rows that repeat an id are candidates each, but for a query of
+that id. Fewer candidates than k: all of them. Other columns are dropped, whatever their names. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -20,16 +25,17 @@ from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .common import bounded_sample, materialize
+from .common import bounded_sample, join_hot, materialize
 
-BRANCH, LEAF, SAMPLE, CALIBRATION = 8, 400, 20_000, 64
-#: Vectors of a leaf that one group holds.
-CHUNK = 2048
+BRANCH, LEAF, SAMPLE, CALIBRATION = 8, 100, 20_000, 64
+#: Vectors of a leaf beyond which it is split, vectors it is then fitted on, leaves at most (their centres are sent to
+#: every task), and vectors of a subtree that one group holds.
+LEAF_ROWS, SPLIT, MOST_LEAVES, GROUP_ROWS = 1024, 1000, 1 << 17, 4096
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -37,34 +43,36 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding"
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("long").alias("vid"), F.col(column).cast("array<double>").alias("v")).where("vid is not null and size(v) > 0")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = rows.where(~bad & F.exists(v, lambda x: x != 0))
-    return rows
+    return rows.where(~bad & F.exists(v, lambda x: x != 0))
 
 
 class Tree:
-    """Centres by node; children of each inner node, leaf numbers of the others."""
+    """The children of each inner node and their centres, a row each. A leaf is named by its node."""
 
     def __init__(self, sample: np.ndarray, branch: int = BRANCH, leaf: int = LEAF, seed: int = 7) -> None:
-        self.centre: list[np.ndarray] = [sample.mean(axis=0)]
         self.children: list[np.ndarray | None] = [None]
+        self.centres: dict[int, np.ndarray] = {}
         rng = np.random.default_rng(seed)
         work = [(0, sample)]
         while work:
             node, x = work.pop()
-            if len(x) <= leaf:
-                continue
-            label, centres = kmeans(x, branch, rng)
-            used = [c for c in range(len(centres)) if (label == c).any()]
-            if len(used) < 2:
-                continue  # copies of one vector
-            self.children[node] = np.arange(len(self.centre), len(self.centre) + len(used))
-            for c in used:
-                work.append((len(self.centre), x[label == c]))
-                self.centre.append(centres[c])
-                self.children.append(None)
-        self.centre = np.stack(self.centre)
-        self.leaf = np.cumsum([c is None for c in self.children]) - 1
-        self.n_leaves = int(self.leaf[-1]) + 1
+            if len(x) > leaf:
+                label, centres = kmeans(x, branch, rng)
+                used = [c for c in range(len(centres)) if (label == c).any()]
+                work += [(kid, x[label == c]) for kid, c in zip(self.split(node, centres[used]), used, strict=True)]
+
+    def split(self, node: int, centres: np.ndarray) -> list[int]:
+        """Gives a leaf children, unless there are fewer than two."""
+        if len(centres) < 2:
+            return []
+        kids = np.arange(len(self.children), len(self.children) + len(centres))
+        self.children[node], self.centres[node] = kids, centres
+        self.children += [None] * len(centres)
+        return kids.tolist()
+
+    @property
+    def n_leaves(self) -> int:
+        return sum(c is None for c in self.children)
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each vector: down the tree to the nearest centre."""
@@ -74,25 +82,43 @@ class Tree:
             node, rows = work.pop()
             kids = self.children[node]
             if kids is None:
-                out[rows] = self.leaf[node]
+                out[rows] = node
                 continue
-            c = self.centre[kids]
+            c = self.centres[node]
             near = (x[rows] @ c.T - 0.5 * (c * c).sum(axis=1)).argmax(axis=1)
             work += [(int(k), rows[near == i]) for i, k in enumerate(kids) if (near == i).any()]
         return out
 
-    def visit(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first leaves, best bin first."""
-        score = self.centre @ q
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < visits:
+    def visit(self, q: np.ndarray, size: dict[int, int], visits: int, least: int = 0) -> list[int]:
+        """The first leaves that hold vectors, best bin first: `visits` of them, and on until they hold `least`."""
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < visits or held < least):
             _, node = heappop(queue)
             kids = self.children[node]
             if kids is None:
-                out.append(int(self.leaf[node]))
+                if node in size:
+                    out.append(node)
+                    held += size[node]
+            else:
+                for x, k in zip((-(self.centres[node] @ q)).tolist(), kids.tolist(), strict=True):
+                    heappush(queue, (x, k))
+        return out
+
+    def groups(self, size: dict[int, int], most: int) -> dict[int, int]:
+        """The subtree that each leaf belongs to: the largest around it that holds at most so many vectors, or the leaf."""
+        total = [size.get(k, 0) for k in range(len(self.children))]
+        for node in range(len(self.children) - 1, -1, -1):  # children come after their node
+            if self.children[node] is not None:
+                total[node] = sum(total[k] for k in self.children[node].tolist())
+        out: dict[int, int] = {}
+        work = [(0, -1)]
+        while work:
+            node, group = work.pop()
+            group = node if group < 0 and total[node] <= most else group
+            if self.children[node] is None:
+                out[node] = group if group >= 0 else node
             else:
-                for k in kids.tolist():
-                    heappush(queue, (-float(score[k]), k))
+                work += [(k, group) for k in self.children[node].tolist()]
         return out
 
 
@@ -111,18 +137,16 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def nearest_in(ids: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, vector row, score) of each query's k nearest among some vectors, itself left out, ties to smaller ids.
+def nearest_in(near: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vector row, score) of each query's k nearest among some vectors, ties to smaller ids.
 
-    A matrix product proposes all that come near the k-th score; only those are scored again, each sum in one order."""
-    near = q @ v.T
-    near[ids[:, None] == vid[None, :]] = -np.inf
+    near: matrix products of queries and vectors, minus infinity where a query doesn't look. They propose all that come
+    near the k-th score; only those are scored again, each sum in one order."""
+    near_enough = near > -np.inf
     if len(vid) > k:
         least = np.partition(near, len(vid) - k, axis=1)[:, len(vid) - k]
-        near_enough = near >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
-    else:
-        near_enough = np.ones(near.shape, dtype=bool)
-    row, col = np.nonzero(near_enough & (near > -np.inf))
+        near_enough &= near >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
+    row, col = np.nonzero(near_enough)
     score = np.zeros(len(row))
     for d in range(q.shape[1]):
         score += q[row, d] * v[col, d]
@@ -132,7 +156,7 @@ def nearest_in(ids: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k
     return row[place < k], col[place < k], score[place < k]
 
 
-HITS = "query_id long, vec_id long, score double, leaf long"
+HITS = "query_id long, vec_id long, score double"
 
 
 def exact(vectors: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
@@ -141,11 +165,11 @@ def exact(vectors: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vid, leaf = batch.column("vid").to_numpy(), batch.column("leaf").to_numpy()
-            row, col, score = nearest_in(ids, q, vid, matrix(batch.column("v"), dims), k)
+            vid, leaf, v = batch.column("vid").to_numpy(), batch.column("leaf").to_numpy(), matrix(batch.column("v"), dims)
+            row, col, score = nearest_in(q @ v.T, q, vid, v, k)
             yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(vid[col]), pa.array(score), pa.array(leaf[col])], names=["query_id", "vec_id", "score", "leaf"])
 
-    return vectors.mapInArrow(run, HITS)
+    return vectors.mapInArrow(run, HITS + ", leaf long")
 
 
 def nearest(hits: DataFrame, k: int) -> DataFrame:
@@ -155,85 +179,130 @@ def nearest(hits: DataFrame, k: int) -> DataFrame:
 
 
 class Index:
-    """Every usable vector with its leaf, the tree, and the number of visits that reached the recall."""
+    """Every usable vector with its leaf, the tree, and the number of visits that reached the recall.
+
+    `rows` has all usable vectors, `leaves` those that can be found, `size` the vectors of each leaf."""
 
     def __init__(self, vectors: DataFrame, k: int = 20, recall: float = 0.95, id_col: str = "vec_id", column: str = "embedding", sample_rows: int = SAMPLE) -> None:
         rows = usable(vectors, id_col, column)
         length = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-        self.k, self.visits, self.tree, self.spark = k, 0, None, vectors.sparkSession
+        self.k, self.visits, self.tree, self.size, self.spark = k, 0, None, {}, vectors.sparkSession
         self.dims = length.d if length else 0
-        rows = rows.where(F.size("v") == self.dims)
+        self.rows = rows = rows.where(F.size("v") == self.dims)
         if not length:
-            self.rows = rows.withColumn("leaf", F.lit(0).cast("long"))
             return
-        some = bounded_sample(rows, ["vid"], sample_rows, length["count"]).toArrow()
-        tree = self.tree = Tree(np.unique(matrix(some.column("v").combine_chunks(), self.dims), axis=0))
-        dims = self.dims
-
-        def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column("v"), dims)), pa.int64())], names=["vid", "v", "leaf"])
-
-        self.rows = materialize(rows.mapInArrow(put, "vid long, v array<double>, leaf long"), "leaves")
-        asked = bounded_sample(self.rows.withColumn("salt", F.lit(2)), ["vid", "salt"], CALIBRATION, length["count"]).toArrow()
-        ids, q = asked.column("vid").to_numpy(), matrix(asked.column("v").combine_chunks(), dims)
-        found = nearest(exact(self.rows, ids, q, k), k).select("query_id", "leaf").collect()  # CALIBRATION * k rows at most
-        place = {int(i): {leaf: n for n, leaf in enumerate(tree.visit(x, tree.n_leaves))} for i, x in zip(ids, q, strict=True)}
-        need = np.sort([place[r.query_id][r.leaf] + 1 for r in found]) if found else np.array([1])
+        copies = Window.partitionBy("v").orderBy("vid")
+        own = materialize(rows.withColumn("place", F.dense_rank().over(copies)).where(F.col("place") <= k + 1).drop("place"), "vectors")
+        n = own.count()
+        some = bounded_sample(own, ["vid"], sample_rows, n).toArrow()
+        self.tree = Tree(np.unique(matrix(some.column("v").combine_chunks(), self.dims), axis=0))
+        self.leaves = self._deepened(own)
+        asked = bounded_sample(self.leaves.withColumn("salt", F.lit(2)), ["vid", "salt"], CALIBRATION, n).toArrow()
+        ids, q = asked.column("vid").to_numpy(), matrix(asked.column("v").combine_chunks(), self.dims)
+        found = nearest(exact(self.leaves, ids, q, k + 1), k + 1).select("query_id", "vec_id", "leaf").collect()  # CALIBRATION * (k + 1) rows at most
+        place = {int(i): {leaf: at for at, leaf in enumerate(self.tree.visit(x, self.size, len(self.size)))} for i, x in zip(ids, q, strict=True)}
+        need = np.sort([place[r.query_id][r.leaf] + 1 for r in found if r.vec_id != r.query_id] or [1])
         self.visits = int(need[min(len(need) - 1, int(np.ceil(recall * len(need))))])
 
+    def _deepened(self, own: DataFrame) -> DataFrame:
+        """Splits leaves until none has more than LEAF_ROWS; (vid, v, leaf)."""
+        dims, spent = self.dims, set()
+        while True:
+            tree = self.tree
+
+            def put(batches: Iterator[pa.RecordBatch], tree=tree) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column("v"), dims)), pa.int64())], names=["vid", "v", "leaf"])
+
+            leaves = materialize(own.mapInArrow(put, "vid long, v array<double>, leaf long"), "leaves")
+            self.size = {r.leaf: r["count"] for r in leaves.groupBy("leaf").count().collect()}  # MOST_LEAVES rows at most
+            large = [(k, min(1.0, 1.5 * SPLIT / n)) for k, n in self.size.items() if n > LEAF_ROWS and k not in spent]
+            if not large or tree.n_leaves + BRANCH * len(large) > MOST_LEAVES:
+                return leaves
+            spent |= {k for k, _ in large}
+            share = F.broadcast(self.spark.createDataFrame(large, "leaf long, share double"))
+            some = leaves.join(share, "leaf").where(F.pmod(F.xxhash64("vid", F.lit(3)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+
+            def centres(f: pd.DataFrame) -> pd.DataFrame:
+                x = np.unique(np.stack(f["v"].to_numpy()), axis=0)
+                label, c = kmeans(x, BRANCH, np.random.default_rng(7))
+                used = np.unique(label)
+                return pd.DataFrame({"leaf": f["leaf"].iloc[0], "centre": list(c[used])})
+
+            new: dict[int, list] = {}
+            for r in some.select("leaf", "v").groupBy("leaf").applyInPandas(centres, "leaf long, centre array<double>").collect():  # BRANCH rows a leaf
+                new.setdefault(r.leaf, []).append(r.centre)
+            for k in sorted(new):
+                tree.split(k, np.array(sorted(new[k])))
+
     def search(self, queries: DataFrame, k: int | None = None) -> DataFrame:
         """(query_id, rank, vec_id, score) for queries (vid, v)."""
-        k = k or self.k
+        k = min(k or self.k, self.k)
         if self.tree is None:
             return queries.selectExpr("vid as query_id", "1 as rank", "vid as vec_id", "0D as score").where("false")
-        tree, visits, dims = self.tree, self.visits, self.dims
-        size = {r.leaf: r["count"] for r in self.rows.groupBy("leaf").count().collect()}  # one row a leaf; the sample bounds them
-        chunks = {leaf: -(-n // CHUNK) for leaf, n in size.items()}
+        tree, visits, size, dims = self.tree, self.visits, self.size, self.dims
+        group_of = tree.groups(size, GROUP_ROWS)
+        asked = materialize(queries.groupBy("v").agg(F.min("vid").alias("vid"), F.count("*").alias("n")), "asked")
 
         def open_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                vid, q = b.column("vid").to_numpy(), matrix(b.column("v"), dims)
-                leaf, chunk, at = [], [], []
-                for i, x in enumerate(q):
-                    for name in tree.visit(x, visits):
-                        for c in range(chunks.get(name, 0)):
-                            leaf.append(name)
-                            chunk.append(c)
-                            at.append(i)
-                idx = np.array(at, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(chunk, pa.int64()), pa.array(np.ones(len(at)), pa.int64()), pa.array(vid[idx], pa.int64()), b.column("v").take(pa.array(idx))], names=["leaf", "chunk", "asks", "vid", "v"])
-
-        many = F.create_map(*[x for leaf, c in chunks.items() if c > 1 for x in (F.lit(leaf), F.lit(c))]) if any(c > 1 for c in chunks.values()) else None
-        n = F.coalesce(many[F.col("leaf")], F.lit(1)) if many is not None else F.lit(1)
-        held = self.rows.select("leaf", F.pmod(F.xxhash64("vid"), n).cast("long").alias("chunk"), F.lit(0).cast("long").alias("asks"), "vid", "v")
-        asked = queries.mapInArrow(open_leaves, "leaf long, chunk long, asks long, vid long, v array<double>")
+                group, names, at = [], [], []
+                for i, x in enumerate(matrix(b.column("v"), dims)):
+                    own: dict[int, list[int]] = {}
+                    for leaf in tree.visit(x, size, visits, k + 1):
+                        own.setdefault(group_of[leaf], []).append(leaf)
+                    group += own
+                    names += [np.array(leaves, dtype=np.int64).tobytes() for leaves in own.values()]
+                    at += [i] * len(own)
+                idx = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.array([-1] * len(at), pa.int64()), b.column("vid").take(idx), b.column("v").take(idx), pa.array(names, pa.binary())], names=["group", "leaf", "vid", "v", "names"])
+
+        def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                group = pa.array([group_of[x] for x in b.column("leaf").to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([group, b.column("leaf"), b.column("vid"), b.column("v"), pa.nulls(len(b), pa.binary())], names=["group", "leaf", "vid", "v", "names"])
+
+        schema = "group long, leaf long, vid long, v array<double>, names binary"
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = held.unionAll(asked).repartition(parts, "leaf", "chunk").sortWithinPartitions("leaf", "chunk", "asks", "vid")
+        both = self.leaves.select("vid", "v", "leaf").mapInArrow(held, schema).unionAll(asked.select("vid", "v").mapInArrow(open_leaves, schema))
+        dealt = both.repartition(parts, "group").sortWithinPartitions("group", F.desc("leaf"), "vid")
 
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            group, vid, v = None, [], []
+            group, parts_, place, vid, v = None, [], {}, None, None
             for b in batches:
                 if not len(b):
                     continue
-                key = np.stack([b.column(c).to_numpy() for c in ("leaf", "chunk", "asks")])
-                ids, x = b.column("vid").to_numpy(), matrix(b.column("v"), dims)
-                cut = np.r_[0, np.flatnonzero((np.diff(key) != 0).any(axis=0)) + 1, len(ids)]
+                of, leaf, ids, x = (*(b.column(c).to_numpy() for c in ("group", "leaf", "vid")), matrix(b.column("v"), dims))
+                cut = np.r_[0, np.flatnonzero((np.diff(of) != 0) | (np.diff(leaf < 0))) + 1, len(of)]
                 for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    own = (int(key[0, lo]), int(key[1, lo]))
-                    if own != group:
-                        group, vid, v = own, [], []
-                    if not key[2, lo]:
-                        vid.append(ids[lo:hi])
-                        v.append(x[lo:hi])
-                        continue
-                    if not vid:
+                    if of[lo] != group:
+                        group, parts_, vid = of[lo], [], None
+                    if leaf[lo] >= 0:
+                        parts_.append((leaf[lo:hi], ids[lo:hi], x[lo:hi]))
                         continue
-                    if len(vid) > 1:
-                        vid, v = [np.concatenate(vid)], [np.concatenate(v)]
+                    if vid is None:
+                        name, vid, v = (np.concatenate(c) for c in zip(*parts_, strict=True))
+                        begins = np.flatnonzero(np.r_[True, np.diff(name) != 0])
+                        place = {int(name[i]): slice(i, j) for i, j in zip(begins.tolist(), [*begins[1:].tolist(), len(name)], strict=True)}
                     for at in range(lo, hi, 256):
-                        q = ids[at : min(hi, at + 256)]
-                        row, col, score = nearest_in(q, x[at : at + len(q)], vid[0], v[0], k)
-                        yield pa.RecordBatch.from_arrays([pa.array(q[row]), pa.array(vid[0][col]), pa.array(score), pa.array(np.full(len(row), own[0]))], names=["query_id", "vec_id", "score", "leaf"])
+                        end = min(hi, at + 256)
+                        q, asks = x[at:end], [np.frombuffer(n, dtype=np.int64).tolist() for n in b.column("names").slice(at, end - at).to_pylist()]
+                        askers: dict[int, list[int]] = {}
+                        for i, names in enumerate(asks):
+                            for n in names:
+                                askers.setdefault(n, []).append(i)
+                        near = np.full((len(q), len(vid)), -np.inf)
+                        for n, rows in askers.items():
+                            near[rows, place[n]] = q[rows] @ v[place[n]].T
+                        row, col, score = nearest_in(near, q, vid, v, k + 1)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[at:end][row]), pa.array(vid[col]), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+        best = nearest(dealt.mapInArrow(answer, HITS), k + 1).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("hits"))
+        named = materialize(asked.join(best.withColumnRenamed("query_id", "vid"), "vid").select("v", "n", "hits"), "answers")
+        out = join_hot(queries.select(F.col("vid").alias("query_id"), "v"), named, "v")
+        others = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
+        return out.select("query_id", F.posexplode(others).alias("at", "hit")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
 
-        return nearest(dealt.mapInArrow(answer, HITS), k).select("query_id", "rank", "vec_id", "score")
+
+def matrix(column: pa.Array, dims: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)

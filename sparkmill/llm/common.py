@@ -23,9 +23,11 @@ IS_SPACE[list(WHITESPACE)] = True
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir). Only where it is unset, as in tests, a local one is set."""
+    """The folder all executors share (spark.checkpoint.dir). Only in local mode, as in tests, one is made where it is unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="sparkmill-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -39,6 +41,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if it has more than one in so many of all rows; there are fewer such keys than this number.
+HOT = 1000
+
+
+def join_hot(rows: DataFrame, named: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """rows joined with named (one row a key, with `n`, its number of rows): the hot keys, fewer than HOT, are broadcast,
+    so that no task gets all rows of one key; the others are shuffled."""
+    total = named.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * HOT > total
+    keys = F.broadcast(named.where(hot).select(key))
+    few = rows.join(F.broadcast(named.where(hot).drop(n)), key)
+    return few.unionByName(rows.join(keys, key, "left_anti").join(named.where(~hot).drop(n), key))
+
+
 def with_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Only the id and the text: `rid` never null, text null as it is. Other columns, whatever their names, go."""
     return df.select(row_id(id_col).alias("rid"), F.col("text"))

@@ -2,14 +2,16 @@
 
 Statistics of every text (words, characters in words, symbols, repeated lines, words in repeated 3-word windows) are
 transformed to a vector of five. Per language and source a minimum-covariance-determinant estimate is made from all
-rows that pass the base rules: from medians and quartile ranges, concentration steps each take the `SUPPORT` share of
-rows with the least Mahalanobis distance and estimate location and covariance anew. A step is one aggregation: sums and
-products by group and bin of distance, of which the nearest bins are added up, so no group is gathered, however large.
-Distances are scaled so that the share's quantile is that of chi-squared, and rows beyond `CUTOFF` are rejected.
-
-Groups of fewer than `LEAST` rows have no estimate of their own. With `back_off` their rows are judged by that of their
+rows that pass the base rules, from several starts (`STARTS`: the medians, the first and the third quartiles as
+location, quartile ranges as spread). Concentration steps each take the `SUPPORT` share of rows with the least
+Mahalanobis distance and estimate location and covariance anew; a step is one aggregation for all groups and starts:
+sums and products by group, start and bin of distance, of which the nearest bins are added up, so no group is gathered,
+however large. Of a group's estimates the one of the least determinant stays. Distances are scaled so that the share's
+quantile is that of chi-squared, and rows beyond `CUTOFF` are rejected.
+
+An estimate needs `LEAST` rows, ten for each statistic. Rows of smaller groups are judged by the estimate of their
 language or, if it has fewer too, by that of all rows, so every row that passes the base rules has a distance at every
-size; without it they have none and are kept.
+size.
 
 Rows: a null or empty text has no words and fails the base rules. Null lang or source is a group like another. Rows that repeat an id are judged each. Other columns are
 dropped, whatever their names. An empty table gives none.
@@ -29,7 +31,11 @@ from pyspark.sql import functions as F
 from .common import IS_SPACE, NULL_ID, Words, map_arrow, materialize, slices
 from .substring import both
 
-DIMS, STEPS, SUPPORT, LEAST = 5, 3, 0.75, 50
+DIMS, STEPS, SUPPORT, LEAST = 5, 4, 0.75, 50
+#: Quartiles at which concentration begins: the median and those on either side of it.
+STARTS = (1, 0, 2)
+#: Estimates (some 200 bytes each) up to which they are broadcast.
+SMALL = 100_000
 #: The share of normal rows that lie beyond the cutoff.
 BEYOND = 1e-9
 
@@ -122,7 +128,9 @@ def vector() -> list[Column]:
 
 _PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 _GROUP = ["level", "lang", "source"]
-_MODEL = "level int, lang string, source string, " + ", ".join(f"m{i} double" for i in range(DIMS)) + ", " + ", ".join(f"p{i}{j} double" for i, j in _PAIRS) + ", scale double"
+_TRIAL = [*_GROUP, "start"]
+_MODEL = "level int, lang string, source string, start int, det double, " + ", ".join(f"m{i} double" for i in range(DIMS)) + ", " + ", ".join(f"p{i}{j} double" for i, j in _PAIRS)
+_COLUMNS = [c.split()[0] for c in _MODEL.split(", ")]
 
 
 def _same_group() -> Column:
@@ -133,10 +141,8 @@ def _named(model: DataFrame) -> DataFrame:
     return model.withColumnsRenamed({c: f"g_{c}" for c in _GROUP})
 
 
-def _levels(back_off: bool) -> Column:
-    """The groups that a row is in: language and source, and with `back_off` the language, and all rows."""
-    coarser = ", named_struct('level', 1, 'lang', lang, 'source', string(null)), named_struct('level', 2, 'lang', string(null), 'source', string(null))" * back_off
-    return F.expr(f"array(named_struct('level', 0, 'lang', lang, 'source', source){coarser})")
+#: The groups that a row is in: language and source, the language, and all rows.
+LEVELS = "array(named_struct('level', 0, 'lang', lang, 'source', source), named_struct('level', 1, 'lang', lang, 'source', string(null)), named_struct('level', 2, 'lang', string(null), 'source', string(null)))"
 
 
 def _distance() -> Column:
@@ -145,7 +151,7 @@ def _distance() -> Column:
 
 
 def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Location and inverse covariance of each group from its sums; a group is one row."""
+    """Location, inverse covariance and its determinant from a group's sums; a group and start is one row."""
     for f in frames:
         rows = []
         for r in f.itertuples(index=False):
@@ -153,47 +159,52 @@ def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cov = np.zeros((DIMS, DIMS))
             for i, j in _PAIRS:
                 cov[i, j] = cov[j, i] = getattr(r, f"q{i}{j}") / r.n - mean[i] * mean[j]
-            inverse = np.linalg.inv(cov + np.diag(np.square(FLOOR)))
-            rows.append((r.level, r.lang, r.source, *mean, *(inverse[i, j] for i, j in _PAIRS), 1.0))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _MODEL.split(", ")])
+            cov += np.diag(np.square(FLOOR))
+            inverse = np.linalg.inv(cov)
+            rows.append((r.level, r.lang, r.source, r.start, np.linalg.det(cov), *mean, *(inverse[i, j] for i, j in _PAIRS)))
+        yield pd.DataFrame(rows, columns=_COLUMNS)
 
 
 def _nearest(binned: DataFrame) -> DataFrame:
     """Bins in the order of distance, up to and with the one that completes the support."""
-    return binned.selectExpr("*", "sum(n) over (partition by level, lang, source order by bin) - n as below", "sum(n) over (partition by level, lang, source) as n_all").where(f"below < {SUPPORT} * n_all")
+    own = ", ".join(_TRIAL)
+    return binned.selectExpr("*", f"sum(n) over (partition by {own} order by bin) - n as below", f"sum(n) over (partition by {own}) as n_all").where(f"below < {SUPPORT} * n_all")
 
 
-def estimates(vectors: DataFrame, back_off: bool = False) -> DataFrame:
-    """One row per group of LEAST rows or more, or of all rows: location, inverse covariance and the scale of distances."""
-    vectors = vectors.select(F.explode(_levels(back_off)).alias("g"), *(f"x{i}" for i in range(DIMS))).select("g.*", *(f"x{i}" for i in range(DIMS)))
+def estimates(vectors: DataFrame) -> DataFrame:
+    """One row per group of LEAST rows or more, and of all rows: location, inverse covariance and the scale of distances."""
+    vectors = vectors.select(F.explode(F.expr(LEVELS)).alias("g"), *(f"x{i}" for i in range(DIMS))).select("g.*", *(f"x{i}" for i in range(DIMS)))
     quartile = [F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"t{i}") for i in range(DIMS)]
-    start = vectors.groupBy(*_GROUP).agg(F.count("*").alias("n"), *quartile).where(f"n >= {LEAST} or level = 2")
+    begin = vectors.groupBy(*_GROUP).agg(F.count("*").alias("n"), *quartile).where(f"n >= {LEAST} or level = 2").withColumn("start", F.explode(F.array(*map(F.lit, STARTS))))
     spread = [f"1 / (pow((t{i}[2] - t{i}[0]) / 1.349, 2) + pow({FLOOR[i]}, 2)) as p{i}{i}" for i in range(DIMS)]
-    first = start.selectExpr(*_GROUP, *(f"t{i}[1] as m{i}" for i in range(DIMS)), *spread, *(f"0D as p{i}{j}" for i, j in _PAIRS if i != j), "1D as scale")
-    model = materialize(first.select([c.split()[0] for c in _MODEL.split(", ")]), "mcd")
+    first = begin.selectExpr(*_TRIAL, "0D as det", *(f"t{i}[start] as m{i}" for i in range(DIMS)), *spread, *(f"0D as p{i}{j}" for i, j in _PAIRS if i != j))
+    model = materialize(first.select(_COLUMNS), "mcd")
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in _PAIRS]
     total = [F.sum(c).alias(c) for c in ["n", *(f"s{i}" for i in range(DIMS)), *(f"q{i}{j}" for i, j in _PAIRS)]]
     bin_ = F.floor(32 * F.log2(_distance() + 1e-6)).alias("bin")
     for _ in range(STEPS):
-        binned = vectors.join(_named(model), _same_group()).groupBy(*_GROUP, bin_).agg(F.count("*").alias("n"), *sums)
-        model = materialize(_nearest(binned).groupBy(*_GROUP).agg(*total).mapInPandas(_estimate, _MODEL), "mcd")
-    binned = vectors.join(_named(model), _same_group()).groupBy(*_GROUP, bin_).agg(F.count("*").alias("n"))
+        binned = vectors.join(_named(model), _same_group()).groupBy(*_TRIAL, bin_).agg(F.count("*").alias("n"), *sums)
+        model = materialize(_nearest(binned).groupBy(*_TRIAL).agg(*total).mapInPandas(_estimate, _MODEL), "mcd")
+    best = model.groupBy(*_GROUP).agg(F.min(F.struct("det", *[c for c in _COLUMNS if c not in ("det", *_GROUP)])).alias("m")).select(*_GROUP, "m.*")
+    model = materialize(best.select(_COLUMNS), "mcd")
+    binned = vectors.join(_named(model), _same_group()).groupBy(*_TRIAL, bin_).agg(F.count("*").alias("n"))
     at = _nearest(binned).groupBy(*_GROUP).agg(F.max("bin").alias("bin"))
-    scaled = model.drop("scale").join(_named(at), _same_group()).drop(*(f"g_{c}" for c in _GROUP))
+    scaled = model.join(_named(at), _same_group()).drop(*(f"g_{c}" for c in _GROUP))
     return materialize(scaled.withColumn("scale", F.greatest(F.pow(2.0, (F.col("bin") + 1) / 32) / SUPPORT_QUANTILE, F.lit(1e-3))).drop("bin"), "mcd")
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF, id_col: str = "doc_id", back_off: bool = False) -> DataFrame:
-    """Per row: the id, counts, base_failed, kept, and `outlyingness`, the scaled squared distance (null without an estimate)."""
+def judge(docs: DataFrame, cutoff: float = CUTOFF, id_col: str = "doc_id") -> DataFrame:
+    """Per row: the id, counts, base_failed, kept, and `outlyingness`, the scaled squared distance (null where the base rules fail)."""
     stats = statistics(docs, id_col).withColumn("base_failed", base_failed())
     stats = materialize(stats.withColumns({f"x{i}": F.round(c, 9) for i, c in enumerate(vector())}), "statistics")
-    model = estimates(stats.where("not base_failed"), back_off)
-    have = F.broadcast(model.select(*(F.col(c).alias(f"h_{c}") for c in _GROUP)))
-    for k in range(2 if back_off else 0):  # a row's level is the finest that has an estimate
+    model = estimates(stats.where("not base_failed"))
+    sent = F.broadcast if model.count() <= SMALL else lambda x: x
+    have = sent(model.select(*(F.col(c).alias(f"h_{c}") for c in _GROUP)))
+    for k in range(2):  # a row's level is the finest that has an estimate
         at = f"h_level = {k} and h_lang <=> lang" + " and h_source <=> source" * (k == 0)
         stats = stats.join(have.withColumn(f"has{k}", F.lit(True)), F.expr(at), "left").drop(*(f"h_{c}" for c in _GROUP))
-    level = F.expr("case when has0 then 0 when has1 then 1 else 2 end") if back_off else F.lit(0)
-    stats = stats.withColumn("g", F.element_at(_levels(back_off), level + 1)).drop("lang", "source").select("*", "g.*")
-    joined = stats.join(F.broadcast(_named(model)), _same_group(), "left").withColumn("outlyingness", F.when(~F.col("base_failed"), _distance() / F.col("scale")))
+    level = F.expr("case when has0 then 0 when has1 then 1 else 2 end")
+    stats = stats.withColumn("g", F.element_at(F.expr(LEVELS), level + 1)).drop("lang", "source").select("*", "g.*")
+    joined = stats.join(sent(_named(model)), _same_group(), "left").withColumn("outlyingness", F.when(~F.col("base_failed"), _distance() / F.col("scale")))
     kept = ~F.col("base_failed") & F.coalesce(F.col("outlyingness") <= cutoff, F.lit(True))
     return joined.select(F.when(F.col("rid") != NULL_ID, F.col("rid")).alias(id_col), *STATS, "base_failed", kept.alias("kept"), "outlyingness")

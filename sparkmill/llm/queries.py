@@ -36,7 +36,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 @query
 def op1_best_fit_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), packing.word_length())
+    return packing.pack(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -71,10 +71,10 @@ def op2_url_filter(spark, sf_dir):
 
 @query
 def op5_quality_rules(spark, sf_dir):
-    return quality.judge(table(spark, sf_dir, "documents"), back_off=True).select("doc_id", *quality.STATS, "base_failed", "kept", "outlyingness")
+    return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *quality.STATS, "base_failed", "kept", "outlyingness")
 
 
 @query
 def op10_nearest(spark, sf_dir):
     index = ann.Index(table(spark, sf_dir, "embeddings"))
-    return index.search(index.rows.where("vid % 20 = 0").select("vid", "v"))
+    return index.search(index.rows.where("vid % 20 = 0"))

@@ -9,8 +9,9 @@ dealt out again by the same construction over its free bits, after which at most
 most 4,096; nothing is capped. A bucket gives each of its linked groups as a star, not as pairs.
 
 Rows: a null or empty text, or one of white space only, has fingerprint zero and is linked like any other. Rows that
-repeat a doc_id share its group. Ids lie below 2**62. A row with a null id comes last; its component is null only if no other id is in it. Other
-columns are dropped, whatever their names. An empty table gives none.
+repeat a doc_id are linked by their own texts. Ids lie below 2**62. A row with a null id comes last; its component is
+null only if no other id is in it. Other columns are dropped (or kept, see keep_one), whatever their names. An empty
+table gives none.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialize, real_id, texts, with_id
+from .common import fresh, join_hot, map_arrow, materialize, real_id, row_id, texts
 from .components import components
 
 BITS, RADIUS, SEED = 64, 2, 42
@@ -61,8 +62,9 @@ def fingerprint(text: str, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(rid, fp): fingerprints as signed 64-bit numbers."""
-    return map_arrow(with_id(docs, id_col), "rid long, fp long", lambda b: {"rid": b.column("rid"), "fp": np.array([signed(fingerprint(t)) for t in texts(b)], dtype=np.int64)})
+    """(rid, h, fp): ids, hashes of the texts, fingerprints as signed 64-bit numbers."""
+    own = docs.select(row_id(id_col).alias("rid"), F.xxhash64("text").alias("h"), "text")
+    return map_arrow(own, "rid long, h long, fp long", lambda b: {"rid": b.column("rid"), "h": b.column("h"), "fp": np.array([signed(fingerprint(t)) for t in texts(b)], dtype=np.int64)})
 
 
 def linked(fp: np.ndarray, radius: int = RADIUS) -> list[np.ndarray]:
@@ -84,7 +86,7 @@ def linked(fp: np.ndarray, radius: int = RADIUS) -> list[np.ndarray]:
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each bucket; rows come sorted by bucket. A bucket is bounded, see above."""
-    held = np.zeros((5, 0), dtype=np.int64)
+    held = np.zeros((4, 0), dtype=np.int64)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def stars(rows: np.ndarray) -> pa.RecordBatch:
@@ -92,8 +94,8 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for lo, hi in zip(np.r_[0, cut], np.r_[cut, rows.shape[1]], strict=True):
             if hi - lo > 1:
-                node = rows[4, lo:hi]
-                for g in linked(rows[3, lo:hi].view(np.uint64)):
+                node = rows[3, lo:hi]
+                for g in linked(node.view(np.uint64)):
                     least = node[g].min()
                     a += [least] * (len(g) - 1)
                     b += [x for x in node[g].tolist() if x != least]
@@ -111,30 +113,43 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(unique: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Edges (a, b) between nodes of distinct fingerprints (fp, node) whose components are those of all links."""
+    """Edges (a, b) between distinct fingerprints (fp) whose components are those of all links."""
     tables = F.explode(F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(MASKS)]))
-    rows = unique.select("fp", "node", tables.alias("x")).select("fp", "node", "x.t", "x.key")
+    rows = unique.select("fp", tables.alias("x")).select("fp", "x.t", "x.key")
     many = materialize(rows.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "buckets")
     finer = F.array(*[F.array(*[F.lit(signed(m)) for m in own]) for own in FINER])
     masks = F.when(F.col("n").isNull(), F.array(F.element_at(F.array(*[F.lit(signed(m)) for m in MASKS]), F.col("t").cast("int") + 1))).otherwise(F.element_at(finer, F.col("t").cast("int") + 1))
-    dealt = rows.join(many, ["t", "key"], "left").select("fp", "node", "t", F.posexplode(masks).alias("u", "mask"))
-    dealt = dealt.select((F.col("t") * 8 + F.col("u")).alias("t"), F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "node")
+    dealt = rows.join(many, ["t", "key"], "left").select("fp", "t", F.posexplode(masks).alias("u", "mask"))
+    dealt = dealt.select((F.col("t") * 8 + F.col("u")).alias("t"), F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
     spark = unique.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(n, "t", "mask", "key").sortWithinPartitions("t", "mask", "key").mapInArrow(_stars, "a long, b long")
 
 
+def _groups(docs: DataFrame, id_col: str, bucket: int) -> DataFrame:
+    """(rid, h, fp, first): with each row the first (rid, h) of its group."""
+    each = materialize(fingerprints(docs, id_col), "fingerprints")
+    unique = materialize(each.groupBy("fp").agg(F.min(F.struct("rid", "h")).alias("least"), F.count("*").alias("n")), "unique")
+    root = components(links(unique.select("fp"), bucket)).withColumnRenamed("node", "fp")
+    named = materialize(unique.join(root, "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "named")
+    first = named.groupBy("root").agg(F.min("least").alias("first"))
+    return join_hot(each, materialize(named.join(first, "root").select("fp", "n", "first"), "firsts"), "fp")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", bucket: int = BUCKET) -> DataFrame:
     """Per row: the id, `fingerprint` (16 hex digits) and `component_id`, the smallest id that links lead to."""
-    each = materialize(fingerprints(docs, id_col), "fingerprints")
-    unique = materialize(each.groupBy("fp").agg(F.min("rid").alias("node")), "unique")
-    root = components(links(unique, bucket))
-    named = materialize(unique.join(root, "node", "left").select("fp", F.coalesce("root", "node").alias("root")), "named")
-    out = each.join(named, "fp").select("rid", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "root")
+    out = _groups(docs, id_col, bucket).select("rid", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.rid").alias("root"))
     return out.select(real_id().alias(id_col), "fingerprint", real_id("root").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents without those that follow another in their group; columns as they are."""
-    gone = near_groups(docs, id_col).where(f"not ({id_col} <=> component_id)").select(F.col(id_col).alias("_near_id")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_near_id")), "left_anti")
+    """One row of each group, that of the smallest id (of texts under one id, of the smallest hash); columns as they are."""
+    return keep_first(docs, _groups(docs, id_col, BUCKET).select("first"), id_col)
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
+    """The rows of docs that a group names as its `first` (rid, h), once each; columns as they are."""
+    rid, h = fresh(docs, "rid", "h")
+    stays = groups.distinct().select(F.col("first.rid").alias(rid), F.col("first.h").alias(h))
+    own = docs.withColumns({rid: row_id(id_col), h: F.xxhash64("text")})
+    return own.join(stays, [rid, h], "left_semi").dropDuplicates([rid, h]).select(*docs.columns)

@@ -250,16 +250,27 @@ def token_counts(docs: DataFrame, path: str, budget: int = 1024, id_col: str = "
         n_bytes, n_tokens, cut = [], [], []
         for t in texts(batch):
             at = np.cumsum(counter(path).deltas(t), dtype=np.int64)
+            within = np.flatnonzero(at <= budget)
             n_bytes.append(len(t.encode()))
             n_tokens.append(int(at[-1]) if len(at) else 0)
-            cut.append(len(at) if n_tokens[-1] <= budget else int(np.flatnonzero(at <= budget)[-1] + 1) if (at <= budget).any() else 0)
+            cut.append(int(within[-1]) + 1 if len(within) else 0)
         return {"rid": batch.column("rid"), "n_bytes": n_bytes, "n_tokens": n_tokens, "cut_chars": cut}
 
     return map_arrow(with_id(docs, id_col), SCHEMA, run).withColumn("rid", real_id()).withColumnRenamed("rid", id_col)
 
 
+def _cut(counter_: PrefixCounter, text: str, budget: int) -> int:
+    """Characters of the longest prefix of at most `budget` tokens."""
+    within = np.flatnonzero(np.cumsum(counter_.deltas(text), dtype=np.int64) <= budget)
+    return int(within[-1]) + 1 if len(within) else 0
+
+
 def truncate_to_budget(docs: DataFrame, path: str, budget: int, id_col: str = "doc_id") -> DataFrame:
-    """Each text cut to its longest prefix of at most `budget` tokens, without encoding again."""
-    at = token_counts(docs, path, budget, id_col).select(F.col(id_col).alias("_cut_id"), "cut_chars").dropDuplicates()
-    one = docs.select(id_col, "text")
-    return one.join(at, F.col(id_col).eqNullSafe(F.col("_cut_id"))).select(id_col, F.expr("left(text, cast(cut_chars as int))").alias("text"))
+    """(id, text): each row's text cut to its longest prefix of at most `budget` tokens, without encoding again. A null
+    text stays null; rows that repeat an id are cut each by their own text."""
+
+    def run(batch):
+        own = counter(path)
+        return {"rid": batch.column("rid"), "text": [None if t is None else t[: _cut(own, t, budget)] for t in batch.column("text").to_pylist()]}
+
+    return map_arrow(with_id(docs, id_col), "rid long, text string", run).withColumn("rid", real_id()).withColumnRenamed("rid", id_col)

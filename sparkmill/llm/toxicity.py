@@ -129,12 +129,14 @@ class Field:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """The labelled texts to learn from: at most 2 * per_class rows, a bounded table that is broadcast and collected."""
+    """The labelled texts to learn from: at most 2 * per_class rows, a bounded table that is broadcast and collected. Of
+    rows that repeat an id those of the smallest text hashes are taken, so that the bound holds after the join too."""
     known = labels.select(F.col("doc_id").alias("rid"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where("rid is not null and toxic in (0, 1) and crc32(cast(cast(rid as string) as binary)) % 5 <> 0")
     parts = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("rid"), "rid").limit(per_class) for c in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))
     rows = docs.select(F.col("doc_id").alias("rid"), "text").where(F.length("text") <= max_chars).join(chosen, "rid").select("rid", "text", "toxic")
+    rows = rows.orderBy(F.xxhash64("rid", "text"), "text", "toxic").limit(2 * per_class)
     return [(t, y) for _, t, y in sorted(map(tuple, rows.collect()))]
 
 

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import xxhash
 
-from sparkmill.llm import simhash, substring
+from sparkmill.llm import near_copies, simhash, substring
 from sparkmill.llm.components import components
 
 
@@ -65,6 +65,11 @@ def test_groups_match_brute_force(spark):
         assert all(x.component_id == want[x.doc_id] for x in got)
     assert {x.doc_id for x in simhash.keep_one(df).collect()} == {i for i in want if want[i] == i}
     assert simhash.near_groups(df.limit(0)).count() == 0
+    # Rows go by their own text, not by their id; a row that repeats an id and its text stays once.
+    repeats = spark.createDataFrame([(1, "a b c d e", "p"), (None, "a b c d e", "q"), (None, "x y z u v", "r"), (5, "a b c d e", "s"), (5, "f g h i j k", "t"), (9, "l m n o p q", "u"), (9, "l m n o p q", "u")], "doc_id long, text string, rid string").withColumnRenamed("rid", "_near_id")
+    for keep in (simhash.keep_one, near_copies.keep_one):
+        kept = keep(repeats)
+        assert kept.columns == repeats.columns and sorted(x._near_id for x in kept.collect()) == ["p", "r", "t", "u"]
     none = spark.createDataFrame([(None, "a b c d"), (None, "e f g h i"), (7, "a b c d")], "doc_id long, text string")
     assert sorted((x.doc_id or 0, x.component_id or 0) for x in simhash.near_groups(none).collect()) == [(0, 0), (0, 7), (7, 7)]
 
@@ -73,10 +78,12 @@ def test_many_close_fingerprints_link_exactly(spark):
     r = random.Random(9)
     numbers = {r.getrandbits(64) & ~0xFFF | r.getrandbits(12) if r.random() < 0.2 else 0x1234567800000000 | r.getrandbits(9) << 3 for _ in range(300)}
     items = [(k, x) for k, x in enumerate(sorted(numbers))]
-    unique = spark.createDataFrame([(simhash.signed(x), k) for k, x in items], "fp long, node long")
+    unique = spark.createDataFrame([(simhash.signed(x),) for _, x in items], "fp long")
+    want = plain_components(items)
     for bucket in (1024, 16):
         root = dict(map(tuple, components(simhash.links(unique, bucket)).collect()))
-        assert {k: root.get(k, k) for k, _ in items} == plain_components(items)
+        own = {k: root.get(simhash.signed(x), simhash.signed(x)) for k, x in items}
+        assert len(set(own.values())) == len(set(want.values())) == len({(own[k], want[k]) for k in own})
 
 
 def test_components_of_long_paths(spark):
