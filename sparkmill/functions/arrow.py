@@ -8,10 +8,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 
-from . import kernels
+from . import kernels, numbers
 
 
 def udf(kind: str):
@@ -40,12 +41,6 @@ def nfkc_spaced(x: pd.Series) -> pd.Series:
     return x.map(lambda s: " ".join(unicodedata.normalize("NFKC", s).split()), na_action="ignore")
 
 
-@udf("double")
-def zlib_ratio(x: pd.Series) -> pd.Series:
-    """Compressed bytes (level 1) by bytes."""
-    return x.map(lambda s: len(zlib.compress(s.encode(), 1)) / max(len(s.encode()), 1), na_action="ignore").astype(float)
-
-
 @udf("double")
 def compression(x: pd.Series) -> pd.Series:
     """Bytes by compressed bytes (level 6); 0 for an empty text."""
@@ -69,6 +64,53 @@ def loop_coverage(x: pd.Series) -> pd.Series:
     return x.map(one, na_action="ignore").astype(float)
 
 
+def cleaner(footer: bool, least: int, repeats: int = 3, chars: int = 240, share: float = 0.08):
+    """The cleaned text and what needs a pass over all of it: whether it is poisoned by repetition, and by repeated sentences."""
+
+    @udf("text string, poison boolean, repeated boolean")
+    def cleaned(x: pd.Series) -> pd.DataFrame:
+        text = x.map(lambda s: kernels.clean(s, footer), na_action="ignore")
+        return pd.DataFrame({"text": text, "poison": text.map(kernels.poison, na_action="ignore"), "repeated": text.map(lambda s: kernels.repeated(s, least, repeats, chars, share), na_action="ignore")})
+
+    return cleaned
+
+
+@udf("boolean")
+def poison(x: pd.Series) -> pd.Series:
+    return x.map(kernels.poison, na_action="ignore")
+
+
+def repeated(least: int, repeats: int, chars: int, share: float):
+    @udf("boolean")
+    def hit(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: kernels.repeated(s, least, repeats, chars, share), na_action="ignore")
+
+    return hit
+
+
+def repeated_chars(least: int, repeats: int, beyond_first: bool):
+    @udf("long")
+    def count(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: kernels.repeated_chars(s, least, repeats, beyond_first), na_action="ignore").astype("Int64")
+
+    return count
+
+
+@udf("string")
+def drop_footer(x: pd.Series) -> pd.Series:
+    return x.map(kernels.drop_footer, na_action="ignore")
+
+
+@udf("double")
+def duplicate_ngrams(x: pd.Series) -> pd.Series:
+    """1 less the share of distinct runs of four tokens of an array; 0 for fewer than 8 tokens."""
+
+    def one(t) -> float:
+        return 1 - len(set(zip(t, t[1:], t[2:], t[3:], strict=False))) / (len(t) - 3) if len(t) >= 8 else 0.0
+
+    return x.map(lambda t: one(t.tolist()), na_action="ignore").astype(float)
+
+
 def chunker(most: int, least: int):
     """Paragraphs packed into chunks of at most `most` characters; long ones are split after sentence marks; short chunks are dropped."""
     import re
@@ -107,3 +149,59 @@ def chunker(most: int, least: int):
 def content_chunks(x: pd.Series) -> pd.Series:
     """Content-defined chunks of 32 to 128 characters (the last may be shorter)."""
     return x.map(lambda s: kernels.cuts(s, 32, 128, 63) if s else [])
+
+
+def least_hashes(n: int):
+    """The least hash of an array of strings under each of n hash functions; null for an empty array."""
+    factor = np.random.default_rng(64).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def one(chunks) -> np.ndarray | None:
+        if chunks is None or not len(chunks):
+            return None
+        h = np.array([xxhash.xxh3_64_intdigest(c) for c in chunks], dtype=np.uint64)
+        h = (h[:, None] ^ (h[:, None] >> np.uint64(29))) * factor
+        return (h ^ (h >> np.uint64(32))).min(axis=0).view(np.int64)
+
+    @udf("array<bigint>")
+    def least(x: pd.Series) -> pd.Series:
+        return x.map(one)
+
+    return least
+
+
+def runs_met(size: int, wanted: np.ndarray | None):
+    """(hash, place) of the distinct runs of `size` characters of a text, at their first place from 1; of those in
+    `wanted` (sorted hashes) only, if it is given."""
+
+    @udf("array<struct<h: bigint, at: int>>")
+    def met(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: kernels.runs(s, size, wanted), na_action="ignore")
+
+    return met
+
+
+@udf("bigint")
+def run_hash(x: pd.Series) -> pd.Series:
+    """The hash that runs_met gives a run of the text's own length."""
+    return x.map(lambda s: kernels.runs(s, len(s), None)[0]["h"] if s else None, na_action="ignore").astype("Int64")
+
+
+def agrees(text: Column | str, reference: Column | str) -> Column:
+    """Whether a number that the text states agrees with the reference (a decimal as text) at the precision it is written in."""
+
+    @pandas_udf("boolean")
+    def agree(x: pd.Series, r: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None or ref is None else numbers.agrees(ref, s) for s, ref in zip(x, r, strict=True)], dtype="boolean")
+
+    return agree(text, reference)
+
+
+def grams(longest: int, bits: int):
+    """Numbers, below 2**bits, of the hashed character n-grams of up to `longest` characters of the whole text; each is
+    given 1 + log2(count) times, rounded. Long texts are counted block by block."""
+
+    @udf("array<string>")
+    def counted(x: pd.Series) -> pd.Series:
+        return x.map(lambda s: kernels.grams(s, longest, bits), na_action="ignore")
+
+    return counted

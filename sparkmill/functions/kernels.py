@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
+import zlib
+from collections import Counter
+from itertools import pairwise
+
 import numpy as np
 
+from . import patterns as P
+
 
 def cuts(s: str, low: int, high: int, mask: int) -> list[str]:
     """Chunks that end where a rolling sum of the last characters has low bits of zero, within bounds of length."""
@@ -20,3 +29,102 @@ def cuts(s: str, low: int, high: int, mask: int) -> list[str]:
         out.append(s[at:end])
         at = end
     return out
+
+
+def _ranges(codes: list[int]) -> str:
+    """A character class of code points."""
+    out, at = [], 0
+    for k in range(1, len(codes) + 1):
+        if k == len(codes) or codes[k] != codes[k - 1] + 1:
+            out.append(f"{re.escape(chr(codes[at]))}-{re.escape(chr(codes[k - 1]))}")
+            at = k
+    return "[" + "".join(out) + "]+"
+
+
+#: NUL, U+FFFD and control or format characters but line ends and tabs.
+CONTROL = re.compile(_ranges([c for c in range(sys.maxunicode + 1) if chr(c) not in "\n\t" and (c == 0xFFFD or unicodedata.category(chr(c)) in ("Cc", "Cf"))]))
+_FOOTER, _SENTENCE_END = re.compile(P.FOOTER), re.compile(P.SENTENCE_END)
+
+
+def clean(s: str, footer: bool) -> str:
+    """Line ends as \\n, without control characters, in NFC, stripped, and (footer) without a page's footer."""
+    s = CONTROL.sub("", s.replace("\r\n", "\n").replace("\r", "\n")).strip()
+    return unicodedata.normalize("NFC", drop_footer(s) if footer else s)
+
+
+def drop_footer(s: str, most: int = 8) -> str:
+    """Without blank last lines and then at most so many last lines that look like a page's footer."""
+    own = re.split("\r\n|\r|\n", s)
+    while own and not own[-1].strip():
+        own.pop()
+    for _ in range(most):
+        if not own or not _FOOTER.search(own[-1]):
+            break
+        own.pop()
+    return "\n".join(own).strip()
+
+
+def poison(s: str, least: int = 800, ratio: float = 0.15, share: float = 0.12) -> bool:
+    """Long, compressible and with few distinct pairs of characters, white space aside."""
+    t = "".join(s.split())
+    if len(t) < least:
+        return False
+    raw = t.encode()
+    return len(zlib.compress(raw, 1)) < ratio * len(raw) and len(set(pairwise(t))) < share * (len(t) - 1)
+
+
+def repeated_chars(s: str, least: int, repeats: int, beyond_first: bool) -> int:
+    """Characters in normalised sentences of `least` characters and more that occur `repeats` times and more."""
+    own = (p.strip() for p in _SENTENCE_END.split(s.replace("\r", "").strip()))
+    n = Counter(" ".join(p.split()).lower() for p in own if len(p) >= least)
+    return sum(len(p) * (k - beyond_first) for p, k in n.items() if k >= repeats)
+
+
+def repeated(s: str, least: int, repeats: int, chars: int, share: float) -> bool:
+    """Whether repeated sentences make up so many characters and such a share of the text."""
+    n = repeated_chars(s, least, repeats, False)
+    return n >= chars and n >= max(chars, int(sum(map(len, s.split())) * share))
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def runs(s: str, size: int, wanted: np.ndarray | None) -> list[dict]:
+    """Distinct runs of `size` characters as hash and first place (from 1), by place; of the wanted hashes only, if given."""
+    h = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+    if size < 1 or len(h) < size:
+        return []
+    joined = lambda a, b: (a * _FACTOR + b) ^ ((a * _FACTOR + b) >> np.uint64(29))
+    # Runs of 1, 2, 4 ... characters, put together by the bits of the size.
+    out, done, width = None, 0, 1
+    while True:
+        if size & width:
+            out, done = (h[: len(h)], width) if out is None else (joined(out[: len(h) - done], h[done:]), done + width)
+        if width * 2 > size:
+            break
+        h, width = joined(h[:-width], h[width:]), width * 2
+    value = out[: len(s) - size + 1].view(np.int64)
+    if wanted is not None:
+        at = np.flatnonzero(np.isin(value, wanted))
+        own, first = np.unique(value[at], return_index=True)
+        first = at[first]
+    else:
+        own, first = np.unique(value, return_index=True)
+    order = np.argsort(first, kind="stable")
+    return [{"h": int(a), "at": int(b) + 1} for a, b in zip(own[order], first[order], strict=True)]
+
+
+def grams(s: str, longest: int, bits: int, block: int = 1 << 20) -> list[str]:
+    code = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+    n = np.zeros(1 << bits, dtype=np.int64)
+    for lo in range(0, len(code), block):
+        own = code[lo : lo + block + longest - 1]
+        h, parts = np.zeros(len(own), dtype=np.uint64), []
+        for k in range(1, longest + 1):
+            h = h[: len(own) - k + 1] * _FACTOR + own[k - 1 :]
+            parts.append(((h ^ (h >> np.uint64(31))) * _FACTOR >> np.uint64(64 - bits))[:block].astype(np.int64))
+            if len(own) <= k:
+                break
+        n += np.bincount(np.concatenate(parts), minlength=1 << bits)
+    at = np.flatnonzero(n)
+    return np.repeat(at, np.rint(1 + np.log2(n[at])).astype(np.int64)).astype(str).tolist()

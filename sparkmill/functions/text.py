@@ -38,19 +38,14 @@ def control_free(x: C) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(x), "\r\n?", "\n"), r"[\x{0000}\x{FFFD}]|[\p{Cc}\p{Cf}&&[^\n\t]]", "")
 
 
-def drop_footer(x: C, most: int = 8) -> Column:
-    """Without blank last lines and then at most so many last lines that look like a page's footer."""
-    own = F.filter(F.transform(lines(x), lambda s, i: F.struct(s.alias("s"), i.alias("i"))), lambda t: strip(t["s"]) != "")
-    last = F.coalesce(F.element_at(own, -1)["i"], F.lit(-1))
-    backwards = F.reverse(F.slice(lines(x), 1, last + 1))
-    plain = F.transform(backwards, lambda s, i: F.when(~s.rlike(P.FOOTER), i))
-    cut = F.least(F.coalesce(F.array_min(plain), F.size(backwards)), F.lit(most))
-    return F.when(last < 0, F.lit("")).otherwise(strip(F.array_join(F.slice(lines(x), 1, last + 1 - cut), "\n")))
+def count_of(x: C, kind: str) -> Column:
+    """Characters of a class in a text: what is lost when its runs are taken out, far fewer matches than characters."""
+    return F.length(_c(x)) - F.length(F.regexp_replace(_c(x), kind + "++", ""))
 
 
 def script_ratios(x: C) -> tuple[Column, Column]:
     """CJK and Latin letters as shares of both."""
-    cjk, latin = hits(x, P.CJK), hits(x, P.LATIN)
+    cjk, latin = count_of(x, P.CJK), count_of(x, P.LATIN)
     n = F.greatest(cjk + latin, F.lit(1))
     return cjk / n, latin / n
 
@@ -139,20 +134,14 @@ def text_features(x: C) -> dict[str, Column]:
     n = F.greatest(F.length(_c(x)), F.lit(1))
     return {
         "log_length": F.least(F.log2(n + 1) / 16, F.lit(1.0)),
-        "cjk_share": hits(x, r"[\x{3400}-\x{9fff}]") / n,
-        "digit_share": hits(x, r"\p{Nd}") / n,
-        "latin_share": hits(x, P.LATIN) / n,
+        "cjk_share": count_of(x, r"[\x{3400}-\x{9fff}]") / n,
+        "digit_share": count_of(x, r"\p{Nd}") / n,
+        "latin_share": count_of(x, P.LATIN) / n,
         "url_share": F.least(hits(x, P.URL) / 5, F.lit(1.0)),
-        "punct_share": hits(x, "[，。！？；：,.!?;:]") / n,
+        "punct_share": count_of(x, "[，。！？；：,.!?;:]") / n,
     }
 
 
-def sentences(x: C, least: int) -> Column:
-    """Normalised sentences of so many characters and more."""
-    own = F.transform(F.split(strip(F.replace(_c(x), F.lit("\r"), F.lit(""))), P.SENTENCE_END), strip)
-    return F.transform(F.filter(own, lambda s: F.length(s) >= least), lambda s: F.lower(F.regexp_replace(s, r"(?U)\s+", " ")))
-
-
 def let(value: Column, f) -> Column:
     """f of a value that is worked out once, for use inside the lambdas of f."""
     return F.element_at(F.transform(F.array(value), f), 1)
@@ -183,11 +172,6 @@ def repeated_ngram_ratio(x: C, n: int = 4) -> Column:
     return let(words, lambda t: F.when(F.size(t) < n, F.lit(0.0)).otherwise(1 - distinct_share(t, n)))
 
 
-def duplicate_ngram_ratio(tokens: C, n: int = 4) -> Column:
-    """1 less the share of distinct runs of n tokens; 0 for fewer than 8 tokens."""
-    return let(_c(tokens), lambda t: F.when(F.size(t) < 8, F.lit(0.0)).otherwise(1 - distinct_share(t, n)))
-
-
 def fold_counts(a: Column, add) -> Column:
     """Folds add(total, element, count) over the distinct elements of an array of strings: sorted once, counted in one pass."""
     zero = F.struct(F.lit(None).cast("string").alias("s"), F.lit(0).alias("k"), F.lit(0).alias("t"))

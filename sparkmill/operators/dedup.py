@@ -14,9 +14,11 @@ COORDINATES, BANDS = 8, 4
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); a local one is set only where it is unset, as in tests."""
+    """The folder that all executors share (spark.checkpoint.dir). Only in local mode, as in tests, one is made where it is unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="sparkmill-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -29,6 +31,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if it has more than one in so many of all rows; fewer keys than this number are.
+HOT = 1000
+
+
+def join_counted(rows: DataFrame, named: DataFrame, key: str, n: str) -> DataFrame:
+    """rows joined with named (one row a key, with its number of rows): hot keys, fewer than HOT, are broadcast, so that
+    no task gets all rows of one key; the others are shuffled."""
+    total = named.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * HOT > total
+    few = rows.join(F.broadcast(named.where(hot).drop(n)), key)
+    rest = rows.join(F.broadcast(named.where(hot).select(key)), key, "left_anti")
+    return few.unionByName(rest.join(named.where(~hot).drop(n), key))
+
+
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key. Rows of one key are reduced before the shuffle where the order is a single id."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -42,7 +58,7 @@ def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def signed(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds key (comparison form), chunks and sig, an array of eight hashes or empty."""
+    """Adds key (comparison form), chunks and sig, an array of eight hashes or empty. See wide_signed for 64."""
     keyed = df.withColumn("key", arrow.nfkc_fold(text))
     cut = keyed.withColumn("chunks", arrow.content_chunks("key"))
     sig = F.array(*[F.array_min(F.transform("chunks", lambda c, k=k: F.xxhash64(F.lit(k), c))) for k in range(COORDINATES)])
@@ -70,7 +86,13 @@ def similarity(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v) / COORDINATES
 
 
-def near_pairs(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
+def overlap(a: str, b: str) -> Column:
+    """Common values of two signatures as sets, by the smaller one."""
+    smaller = F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b)))
+    return F.size(F.array_intersect(a, b)) / F.greatest(smaller, F.lit(1))
+
+
+def near_pairs(df: DataFrame, order: str, threshold: float = 0.75, measure=similarity) -> DataFrame:
     """Pairs (a, b, similarity), a before b, of distinct signatures; the earliest document stands for its signature."""
     if threshold < 0.75:
         raise ValueError("the keys find every pair from a similarity of 0.75 on only")
@@ -78,30 +100,59 @@ def near_pairs(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
     keyed = band_pairs(unique)
     left = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "two", "key")
     right = keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "two", "key")
-    pairs = left.join(right, ["two", "key"]).where("a < b").select("a", "b", similarity("sa", "sb").alias("similarity"))
+    pairs = left.join(right, ["two", "key"]).where("a < b").select("a", "b", measure("sa", "sb").alias("similarity"))
     return pairs.where(F.col("similarity") >= threshold).distinct()
 
 
+WIDE, BLOCKS = 64, 24
+
+
+def wide_signed(df: DataFrame, text: str = "text") -> DataFrame:
+    """Adds sig, 64 least hashes of the text's content-defined chunks, or empty for fewer than five characters."""
+    cut = df.withColumn("key", arrow.nfkc_fold(text))
+    sig = arrow.least_hashes(WIDE)(arrow.content_chunks("key"))
+    return cut.withColumn("sig", F.when(F.length("key") < 5, F.array().cast("array<bigint>")).otherwise(sig)).drop("key")
+
+
+def wide_pairs(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
+    """Pairs (a, b, shared), a before b, of distinct 64-coordinate signatures that share int(64 * threshold) and more.
+
+    Sixteen coordinates differ at most, so of 24 blocks of coordinates eight agree at least, and of six groups of four
+    blocks one holds two that agree: the keys are the pairs of blocks within a group. They miss no pair, and five
+    coordinates that agree are more than a frequent passage gives."""
+    least = max(int(WIDE * threshold), 1)
+    if least < WIDE * 3 // 4:
+        raise ValueError("the keys find every pair from a threshold of 0.75 on only")
+    unique = df.where(F.size("sig") == WIDE).groupBy("sig").agg(F.min(order).alias("ord"))
+    edge = [WIDE * k // BLOCKS for k in range(BLOCKS + 1)]
+    block = lambda k: F.slice("sig", edge[k] + 1, edge[k + 1] - edge[k])
+    two = [(i, j) for g in range(0, BLOCKS, 4) for i in range(g, g + 4) for j in range(i + 1, g + 4)]
+    each = F.array(*[F.struct(F.lit(BLOCKS * i + j).alias("two"), F.xxhash64(block(i), block(j)).alias("k")) for i, j in two])
+    keyed = unique.select("ord", "sig", F.explode(each).alias("b")).select("ord", "sig", "b.two", "b.k")
+    met = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "two", "k").join(keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "two", "k"), ["two", "k"])
+    shared_ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
+    return met.where("a < b").select("a", "b", shared_.alias("shared")).where(F.col("shared") >= least).distinct()
+
+
 def near_dedup(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
     """Per row: order, and decision (accepted, exact_duplicate, near_duplicate) as if rows came one by one in the order.
 
     Accepted rows are the lexicographically first independent set of the similarity graph: rounds accept whatever has no
-    earlier open or accepted neighbour and reject what has an accepted one.
+    earlier open or accepted neighbour and reject what has an accepted one. Copies are one row until the end.
     """
     signs = written(signed(df).select(order, "key", "sig"), "signed")
-    first = signs.groupBy("key").agg(F.min(order).alias("ord"), F.first("sig").alias("sig"))
-    rep = written(first.groupBy("sig").agg(F.min("ord").alias("rep")), "representatives")
+    first = written(signs.groupBy("key").agg(F.min(order).alias("__first"), F.first("sig").alias("sig"), F.count("*").alias("n")), "firsts")
+    rep = first.where(F.size("sig") == COORDINATES).groupBy("sig").agg(F.min("__first").alias("rep"))
     pairs = written(near_pairs(signs, order, threshold).select("a", "b"), "pairs")
     state = written(pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().withColumn("s", F.lit(0)), "state")
     while not state.where("s = 0").isEmpty():
         before = pairs.join(state.select(F.col("n").alias("a"), F.col("s").alias("sa")), "a").groupBy(F.col("b").alias("n")).agg(F.max((F.col("sa") == 1).cast("int")).alias("hit"), F.max((F.col("sa") == 0).cast("int")).alias("open"))
         nxt = F.when(F.col("s") != 0, F.col("s")).when(F.coalesce("hit", F.lit(0)) == 1, 2).when(F.coalesce("open", F.lit(0)) == 0, 1).otherwise(0)
         state = written(state.join(before, "n", "left").select("n", nxt.alias("s")), "state")
-    short = F.size("sig") < COORDINATES
-    decided = signs.join(first.select(F.col("key").alias("k1"), F.col("ord").alias("first_of_key")), F.col("key") == F.col("k1")).drop("k1")
-    decided = decided.join(rep.withColumnRenamed("sig", "sig1"), F.col("sig") == F.col("sig1"), "left").drop("sig1")
-    decided = decided.join(state.withColumnRenamed("n", "n1"), F.col("rep") == F.col("n1"), "left").drop("n1")
-    copy = F.col(order) != F.col("first_of_key")
-    kept_rep = short | ((F.coalesce("s", F.lit(1)) == 1) & (F.col("first_of_key") == F.col("rep")))
-    decision = F.when(copy & kept_rep, "exact_duplicate").when(~copy & kept_rep, "accepted").otherwise("near_duplicate")
-    return decided.select(order, decision.alias("decision"))
+    full = first.where(F.size("sig") == COORDINATES).join(rep, "sig").join(state.withColumnRenamed("n", "rep"), "rep", "left")
+    kept = (F.coalesce("s", F.lit(1)) == 1) & (F.col("__first") == F.col("rep"))
+    short = first.where(F.size("sig") < COORDINATES).select("key", "__first", "n", F.lit(True).alias("kept"))
+    decided = written(full.select("key", "__first", "n", kept.alias("kept")).unionByName(short), "decided")
+    out = join_counted(signs.select(order, "key"), decided, "key", "n")
+    decision = F.when(~F.col("kept"), "near_duplicate").when(F.col(order) == F.col("__first"), "accepted").otherwise("exact_duplicate")
+    return out.select(order, decision.alias("decision"))

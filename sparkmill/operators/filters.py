@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrow, text as T
 from ..functions import patterns as P
+from ..functions import topics as K
 
 
 def reason(*rules: tuple[Column, str]) -> Column:
@@ -15,20 +16,17 @@ def reason(*rules: tuple[Column, str]) -> Column:
 
 
 def poison_repetition(x: Column) -> Column:
-    """Long, compressible and with few distinct character pairs. The cheap tests come first, the UDF last."""
-    t = T.squeeze(x)
-    few = T.let(T.characters(t), lambda c: T.distinct_share(c, 2)) < 0.12
-    return F.when((F.length(t) >= 800) & few, arrow.zlib_ratio(t) < 0.15).otherwise(False)
+    """Long, compressible and with few distinct character pairs; short texts never reach the Arrow function's work."""
+    return arrow.poison(x)
 
 
 def repeated_chars(x: Column, least: int, repeats: int, beyond_first: bool = False) -> Column:
     """Characters in sentences of `least` characters and more that occur `repeats` times and more."""
-    own = lambda s, k: F.length(s) * (k - 1 if beyond_first else k)
-    return T.fold_counts(T.sentences(x, least), lambda t, s, k: t + F.when(k >= repeats, own(s, k)).otherwise(0))
+    return arrow.repeated_chars(least, repeats, beyond_first)(x)
 
 
 def repeated_sentences(x: Column, least: int = 12, repeats: int = 3, chars: int = 240, share: float = 0.08) -> Column:
-    return repeated_chars(x, least, repeats) >= F.greatest(F.lit(chars), F.floor(F.length(T.squeeze(x)) * share))
+    return arrow.repeated(least, repeats, chars, share)(x)
 
 
 def ocr_enumeration(x: Column) -> Column:
@@ -52,23 +50,25 @@ def markup_density(x: Column) -> Column:
 
 def language_mismatch(x: Column, language: Column, least: float | None = None) -> Column:
     cjk, latin = T.script_ratios(x)
-    few = language.isin("zh", "en") & (T.hits(x, r"\p{L}") < 32)
+    few = language.isin("zh", "en") & (T.count_of(x, r"\p{L}") < 32)
     zh = (language == "zh") & (cjk < (0.20 if least is None else least))
     en = (language == "en") & (latin < (0.55 if least is None else least))
     return few | zh | en
 
 
 def clean_document(x: Column, language: Column, min_chars: int = 200, ocr: bool = True) -> tuple[Column, Column]:
-    """The cleaned text and the reason why it is dropped ('' for none)."""
-    clean = arrow.nfc(T.drop_footer(T.strip(T.control_free(x))))
-    return clean, drop_reason(clean, language, min_chars, ocr)
+    """The cleaned text and the reason why it is dropped ('' for none), from one pass in Python."""
+    done = arrow.cleaner(True, 16)(x)
+    return done["text"], drop_reason(done, language, min_chars, ocr)
 
 
-def drop_reason(clean: Column, language: Column, min_chars: int = 200, ocr: bool = True) -> Column:
+def drop_reason(done: Column, language: Column, min_chars: int = 200, ocr: bool = True) -> Column:
+    """The reason for a struct of the cleaned text, poison and repeated (see arrow.cleaner)."""
+    clean = done["text"]
     return F.when(F.length(clean) < min_chars, F.lit("too_short")).otherwise(
         reason(
-            (poison_repetition(clean), "poison_repetition"),
-            (repeated_sentences(clean, 16), "repeated_sentences"),
+            (done["poison"], "poison_repetition"),
+            (done["repeated"], "repeated_sentences"),
             (ocr_enumeration(clean) & F.lit(ocr), "ocr_enumeration"),
             (repeated_line_prefix(clean), "repeated_line_prefix"),
             (url_density(clean), "url_density"),
@@ -96,7 +96,7 @@ def code_reason(clean: Column, path: Column, min_chars: int = 200) -> Column:
         (head.rlike(P.PROPRIETARY), "code_proprietary"),
         (secret, "code_secret"),
         (clean.rlike(P.BASE64_BLOB), "code_embedded_blob"),
-        (T.hits(clean, r"[\p{L}\p{N}]") < 32, "code_without_content"),
+        (T.count_of(clean, r"[\p{L}\p{N}]") < 32, "code_without_content"),
         ((longest > 50_000) | ((longest > 5_000) & (longest >= F.floor(F.length(clean) * 0.9))), "minified_or_binary_line"),
     )
 
@@ -115,17 +115,17 @@ def generated_blob(x: Column, least: int = 20_000) -> Column:
     has = lambda *w: F.greatest(*[head.contains(s) for s in w]) if len(w) > 1 else head.contains(w[0])
     big = n >= least
     long = big & (longest >= 50_000)
-    starts = F.ltrim(head).startswith("var react_") | F.ltrim(head).startswith("(window.webpackJsonp")
+    starts = F.ltrim(head).startswith(P.BLOB_BUNDLE_START[0]) | F.ltrim(head).startswith(P.BLOB_BUNDLE_START[1])
     many = (T.hits(x, "0x") > 1000) | (T.hits(x, ",") > 5000)
     return reason(
-        (x.contains("File generated automatically by the QuickJS compiler"), "code_generated_quickjs_blob"),
-        (big & has("base64.b64decode(") & ((longest >= 8000) | (n >= 100_000)), "code_embedded_base64_blob"),
-        (big & has("sourceMappingURL=data:"), "code_embedded_sourcemap_blob"),
-        (big & has("data:font/") & has("base64,") & (longest >= 20_000), "code_embedded_base64_asset_blob"),
-        (long & (has("webpackJsonp", "__webpack_require__", "Minified React error") | starts), "code_minified_js_bundle"),
-        (long & has("_scriptDir") & has("WebAssembly", "wasm"), "code_emscripten_wasm_bundle"),
-        (long & has("tagInfoJSON", "TRANSACTION_HISTORY_EXTENSION"), "code_huge_data_literal"),
-        ((n >= 100_000) & has("raw_data[]", "ModelData[]", "static const unsigned short raw_data") & many, "code_numeric_data_blob"),
+        (x.contains(*P.BLOB_QUICKJS), "code_generated_quickjs_blob"),
+        (big & has(*P.BLOB_BASE64) & ((longest >= 8000) | (n >= 100_000)), "code_embedded_base64_blob"),
+        (big & has(*P.BLOB_SOURCEMAP), "code_embedded_sourcemap_blob"),
+        (big & has(*P.BLOB_FONT) & has("base64,") & (longest >= 20_000), "code_embedded_base64_asset_blob"),
+        (long & (has(*P.BLOB_BUNDLE) | starts), "code_minified_js_bundle"),
+        (long & has(P.BLOB_WASM[0]) & has(*P.BLOB_WASM[1:]), "code_emscripten_wasm_bundle"),
+        (long & has(*P.BLOB_LITERAL), "code_huge_data_literal"),
+        ((n >= 100_000) & has(*P.BLOB_NUMBERS) & many, "code_numeric_data_blob"),
     )
 
 
@@ -136,9 +136,10 @@ def hygiene(x: Column, code: bool = False) -> Column:
 
 def mix_clean(x: Column, min_chars: int = 200, code: bool = False) -> tuple[Column, Column]:
     """Text and drop reason of the mixture path: damage is judged on the raw text, the rest on the normalised one."""
-    clean = arrow.nfc(T.strip(T.control_free(x)))
+    done = arrow.cleaner(False, 12)(x)
+    clean = done["text"]
     own = hygiene(clean, code)
-    rest = [(poison_repetition(clean), "poison_repetitive")] + ([] if code else [(repeated_sentences(clean), "repeated_sentences")])
+    rest = [(done["poison"], "poison_repetitive")] + ([] if code else [(done["repeated"], "repeated_sentences")])
     why = F.coalesce(
         F.when(mojibake(x), F.lit("mojibake")),
         *([F.nullif(generated_blob(x), F.lit(""))] if code else []),
@@ -187,26 +188,152 @@ def label_by_rules(x: Column, rules: list[tuple[str, str]], other: str = "other"
     return out
 
 
-def responsiveness(x: Column, code_block: Column, numeral: Column) -> tuple[Column, Column]:
-    """Share of the expectations met, and those missed."""
-    asked = F.array_compact(F.array(F.when(code_block, "code_block"), F.when(numeral, "numeral")))
-    missed = F.array_compact(F.array(F.when(code_block & ~x.rlike(P.CODE_FENCE), "code_block"), F.when(numeral & ~x.rlike(P.NUMERAL), "numeral")))
+def config_file(x: Column) -> Column:
+    """Container or XML files, JSON of some size, many YAML lines, INI sections, or dense markup."""
+    t = T.strip(x)
+    head = F.left(t, F.lit(20_000))
+    json = F.left(t, F.lit(1)).isin("{", "[") & t.rlike(P.JSON_KEY) & (T.count_of(t, r"[{}\[\]]") >= 10)
+    ini = (T.hits(head, P.INI_SECTION) >= 2) & (T.hits(head, P.INI_LINE) >= 6)
+    return t.rlike(P.DOCKERFILE) | t.rlike(P.XML_DECLARATION) | json | (T.hits(head, P.YAML_LINE) >= 8) | ini | (T.hits(head, P.HTML_TAG) >= 18)
+
+
+def parallel_text(x: Column) -> Column:
+    """Of translation, and marked as two languages side by side, or with tabs, or in both scripts."""
+    t = T.strip(x)
+    mixed = (F.length(t) >= 200) & (t.contains("\t") | (t.rlike(P.HAN) & t.rlike(P.LATIN)))
+    return t.rlike(P.TRANSLATION) & (t.rlike(P.PARALLEL) | mixed)
+
+
+def classical_literature(x: Column) -> Column:
+    t = T.strip(x)
+    return (F.length(t) >= 300) & (T.hits(F.left(t, F.lit(4000)), P.CLASSICAL) >= 12) & ~F.left(t, F.lit(2000)).rlike(P.DIALOGUE)
+
+
+def web_novel(x: Column) -> Column:
+    t = T.strip(x)
+    return (F.length(t) >= 800) & (t.rlike(P.WEB_NOVEL) | (t.rlike(P.CHAPTER_ZH) & (T.hits(F.left(t, F.lit(6000)), P.DIALOGUE) >= 3)))
+
+
+def narrative_book(x: Column) -> Column:
+    """Long, and with dialogue, of which chapter headings make less do."""
+    t = T.strip(x)
+    head = F.left(t, F.lit(8000))
+    spoken = T.hits(head, P.DIALOGUE) + F.floor(T.count_of(head, '"') / 2)
+    return (F.length(t) >= 1200) & ((spoken >= 8) | ((spoken >= 2) & (t.rlike(P.CHAPTER_ZH) | t.rlike(P.CHAPTER_EN))))
+
+
+def forum_talk(x: Column) -> Column:
+    """Signs of a thread in a short text or in one of mostly short lines."""
+    t = T.strip(x)
+    own = F.filter(F.transform(T.lines(t), T.strip), lambda s: s != "")
+    brief = T.let(own, lambda a: F.size(a).between(6, 80) & (F.size(F.filter(a, lambda s: F.length(s) <= 30)) / F.greatest(F.size(a), F.lit(1)) >= 0.55))
+    return t.rlike(P.FORUM) & ((F.length(t) <= 1200) | brief)
+
+
+STRUCTURES = {"config_file": config_file, "parallel_text": parallel_text, "classical_literature": classical_literature, "web_novel": web_novel, "narrative_book": narrative_book, "forum_talk": forum_talk}
+
+
+def first_of(rules: list[tuple[Column, str | Column]], other: Column) -> Column:
+    """The value of the first rule that hits; later rules are not looked at."""
+    out = other
+    for hit, value in reversed(rules):
+        out = F.when(hit, F.lit(value) if isinstance(value, str) else value).otherwise(out)
+    return out
+
+
+def taxonomy(x: Column) -> Column:
+    """One of the forty topic labels: restricted texts and boilerplate, then structure and fields from the most telling to
+    the least, talk at last. A field with finer labels decides among them before the next field is tried."""
+    has = x.rlike
+    t = T.strip(x)
+    within = lambda *rules, other: first_of(list(rules), F.lit(other))
+    asked, n_legal = has(K.QA_MARK), T.hits(F.left(x, F.lit(20_000)), K.LEGAL)
+    fields: list[tuple[Column, str | Column]] = [
+        (t == "", "other"),
+        (has(K.NSFW), "nsfw"),
+        (has(K.BOILER), "boiler"),
+        (config_file(x), "code_config"),
+        (has(K.CODE), within((has(K.CODE_SCRIPT), "code_scripting"), (has(K.CODE_ALGORITHM), "code_algorithm"), other="code_application")),
+        (parallel_text(x), "translation_parallel"),
+        (has(K.GRAMMAR) & has(P.TRANSLATION), "linguistics_grammar"),
+        (has(K.MEDICAL_QA), "medical_qa"),
+        (has(K.MEDICAL), within((~has(K.MEDICAL_GUIDELINE) & asked, "medical_qa"), other="medical_guideline")),
+        ((n_legal > 0) & has(K.LEGAL_STATUTE), "legal_statute"),
+        ((n_legal > 0) & (has(K.LEGAL_CASE) | asked), "legal_case"),
+        (n_legal >= 2, "legal_statute"),
+        (has(K.MACRO) | (has(K.RATE) & has(K.RATE_CONTEXT)), "finance_macro"),
+        (has(K.MARKET), "finance_market"),
+        (has(K.BANK), "finance_banking"),
+        (has(K.EXAM), "gov_exam"),
+        (has(K.POLICY), "gov_policy"),
+        (has(K.ENGINEERING), "stem_engineering"),
+        (has(K.PHYSICS), "stem_physics_math"),
+        (has(K.TECH_FORUM), "tech_blog_forum"),
+        (has(K.PSYCHOLOGY), "social_psychology"),
+        (has(K.PHILOSOPHY), "humanities_philosophy"),
+        (has(K.HISTORY), "humanities_history"),
+        (has(K.WIKI), "encyclopedia_core"),
+        ((F.length(x) >= 1200) & asked, "encyclopedia_qa"),
+        (has(K.PAPER), "academic_paper"),
+        (has(K.TEXTBOOK), "academic_textbook"),
+        (has(K.REPORT), "professional_report"),
+        (has(K.MATH), within((has(K.MATH_PROOF), "math_derivation"), (has(K.MATH_PUZZLE), "math_logic_puzzle"), other="math_calculation")),
+        (has(K.NEWS), within((has(K.COMMENTARY), "news_commentary"), other="news_mainstream")),
+        (has(K.EDITORIAL), "article_editorial"),
+        (has(K.BLOG), "article_blog"),
+        (classical_literature(x), "literature_classical"),
+        (web_novel(x), "literature_web"),
+        (narrative_book(x), "literature_classic"),
+        (forum_talk(x), "comm_conversational"),
+    ]
+    return first_of(fields, F.lit("other"))
+
+
+def responsiveness(x: Column, code_block: Column | None = None, numeral: Column | None = None, differs_from: Column | None = None, min_chars: Column | None = None) -> tuple[Column, Column]:
+    """Share of the expectations met, and those missed. An expectation is asked for where its column is true, or holds a
+    source text or a positive number."""
+    off = F.lit(False)
+    code, number = (F.coalesce(c, off) if c is not None else off for c in (code_block, numeral))
+    source = T.squeeze(F.coalesce(differs_from, F.lit(""))) if differs_from is not None else F.lit("")
+    least = F.coalesce(min_chars, F.lit(0)) if min_chars is not None else F.lit(0)
+    own = T.squeeze(x)
+    rules = [
+        (code, ~x.rlike(P.CODE_FENCE), "code_block"),
+        (number, ~x.rlike(P.NUMERAL), "numeral"),
+        (source != "", own.contains(source), "differs_from"),
+        (least > 0, F.length(own) < least, "min_chars"),
+    ]
+    asked = F.array_compact(F.array(*[F.when(on, F.lit(n)) for on, _, n in rules]))
+    missed = F.array_compact(F.array(*[F.when(on & bad, F.lit(n)) for on, bad, n in rules]))
     return F.when(F.size(asked) == 0, 1.0).otherwise(1 - F.size(missed) / F.size(asked)), missed
 
 
+def hard_prompt(x: Column, min_chars: int = 18) -> Column:
+    """Prompts that ask for something, in Chinese, and don't close a talk."""
+    t = T.strip(x)
+    han = T.count_of(t, P.CJK)
+    return (F.length(t) >= min_chars) & ~(t.rlike(P.CLOSING) & (F.length(t) < 40)) & t.rlike(P.ASKING) & (han >= F.greatest(F.lit(4.0), F.length(t) * 0.15))
+
+
 def triage(x: Column, tokens: Column) -> Column:
     """Audit flags of a text and its tokens."""
     n = F.greatest(F.length(x), F.lit(1))
+    marks = F.length(x) - F.length(F.translate(x, P.PUNCTUATION, ""))
     flags = [
-        (x.rlike(P.URL), "url"),
+        (x.rlike(P.AUDIT_URL), "url"),
         (x.rlike(P.EMAIL), "email"),
-        (x.rlike(P.TAG) | x.rlike(r"&[A-Za-z]{2,10};"), "html"),
-        ((T.hits(x, "�") / n >= 0.002) | (T.hits(x, "�") >= 5), "mojibake"),
-        (T.hits(x, r"[^\p{L}\p{N}\s]") / n >= 0.35, "punct_high"),
-        (T.hits(x, r"\p{Nd}") / n >= 0.35, "digit_high"),
-        (F.size(F.array_distinct(tokens)) / F.greatest(F.size(tokens), F.lit(1)) <= 0.10, "uniq_low"),
-        (T.duplicate_ngram_ratio(tokens) >= 0.25, "dup_4gram"),
-        (arrow.compression(x) >= 6, "compressible"),
+        (x.rlike(P.AUDIT_TAG) | x.rlike(P.AUDIT_ENTITY), "html"),
+        (x.rlike(P.AUDIT_CODE), "code"),
+        (x.rlike(P.AUDIT_CONTACT), "contact"),
+        (x.rlike(P.AUDIT_NAV), "nav"),
+        (x.rlike(P.AUDIT_FOOTER), "footer"),
+        (x.rlike(P.AUDIT_DOWNLOAD), "download"),
+        ((T.count_of(x, r"\x{FFFD}") / n >= 0.002) | (T.count_of(x, r"\x{FFFD}") >= 5), "mojibake"),
+        (marks / n >= 0.35, "punct_high"),
+        (T.count_of(x, r"\p{Nd}") / n >= 0.35, "digit_high"),
+        (arrow.compression(x) >= 6, "repetitive"),
+        (F.size(F.array_distinct(tokens)) / F.greatest(F.size(tokens), F.lit(1)) <= 0.10, "low_token_diversity"),
+        (arrow.duplicate_ngrams(tokens) >= 0.25, "ngram_dup_high"),
     ]
     return F.array_compact(F.array(*[F.when(hit, F.lit(name)) for hit, name in flags]))
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow
 from . import dedup
 
-#: Bytes of the smaller side up to which it is broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Rows, and bytes as JSON, of the smaller side up to which it is broadcast; beyond, the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table, marked for broadcast if it has so few rows; else as it is, for Spark to shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """The table, marked for broadcast if it has so few rows and bytes; else as it is, for Spark to shuffle."""
+    one = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if one.n <= rows and one.bytes <= size else df
 
 
 def exact_overlap(docs: DataFrame, index: DataFrame, key: str, action: str = "report") -> DataFrame:
@@ -31,18 +34,54 @@ def near_overlap(docs: DataFrame, index: DataFrame, order: str, threshold: float
     return own.join(have, ["two", "key"]).where(dedup.similarity("sig", "si") >= threshold).select(order).distinct()
 
 
-def contained(docs: DataFrame, signatures: DataFrame, key: str = "key", size: int = 24) -> DataFrame:
-    """(doc columns, sid) of documents whose key has a signature as a part: the signature's middle `size` characters meet
-    the document's runs of that length in an equi-join, and each meeting is verified."""
+#: Distinct anchors up to which they are sent to the tasks, eight bytes each, to leave other runs out at once.
+ANCHORS = 1_000_000
+
+
+def contained(docs: DataFrame, signatures: DataFrame, order: str = "doc_id", key: str = "key", size: int = 24) -> DataFrame:
+    """(doc columns, sid, at) of documents whose key has a signature as a part; `at`: where its anchor first stands.
+
+    The anchor, a signature's middle `size` characters, meets the document's runs of that length by their hash, and each
+    meeting is verified on the whole texts. Up to ANCHORS anchors, documents are searched in place and only those that
+    meet one go on; with more, runs and anchors meet by shuffled (id, hash) rows without texts, and only the documents
+    that met one are joined with their texts again, by `order`, which must name a row."""
     middle = F.floor((F.length("skey") - size) / 2).cast("int") + 1
-    anchors = signatures.where(F.length("skey") >= size).select("sid", "skey", F.substring("skey", middle, F.lit(size)).alias("anchor"))
-    # Runs are cut from overlapping blocks: a position is found by counting characters, so blocks keep that short.
-    block = 512
-    blocks = F.transform(F.sequence(F.lit(1), F.length(key), F.lit(block)), lambda s: F.substring(F.col(key), s, F.lit(block + size - 1)))
-    of_block = lambda b: F.when(F.length(b) >= size, F.transform(F.sequence(F.lit(1), F.length(b) - size + 1), lambda i: F.xxhash64(F.substring(b, i, F.lit(size))))).otherwise(F.array().cast("array<bigint>"))
-    runs = docs.where(F.length(key) >= size).select("*", F.explode(F.array_distinct(F.flatten(F.transform(blocks, of_block)))).alias("h"))
-    met = runs.join(small(anchors.withColumn("h", F.xxhash64("anchor"))), "h").where(F.col(key).contains(F.col("skey")))
-    return met.drop("h", "anchor", "skey").distinct()
+    anchors = signatures.where(F.length("skey") >= size).select("sid", "skey", arrow.run_hash(F.substring("skey", middle, F.lit(size))).alias("h"))
+    anchors = dedup.written(anchors, "anchors")
+    distinct = anchors.select("h").distinct()
+    long = docs.where(F.length(key) >= size)
+    if distinct.limit(ANCHORS + 1).count() <= ANCHORS:
+        wanted = np.sort(np.array([r.h for r in distinct.collect()], dtype=np.int64))
+        met = long.withColumn("__m", arrow.runs_met(size, wanted)(key)).where(F.size("__m") > 0).withColumn("__m", F.explode("__m"))
+        met = met.select(*docs.columns, F.col("__m.h").alias("h"), F.col("__m.at").alias("at")).join(small(anchors), "h")
+    else:
+        runs = long.select(order, F.explode(arrow.runs_met(size, None)(key)).alias("m")).select(order, "m.h", "m.at")
+        met = runs.join(distinct, "h", "left_semi").join(anchors, "h").join(docs, order)
+    return met.where(F.col(key).contains(F.col("skey"))).select(*docs.columns, "sid", "at").distinct()
+
+
+def decontaminate(docs: DataFrame, signatures: DataFrame, order: str = "doc_id", key: str = "key") -> DataFrame:
+    """(order, sid) of contaminated documents: of the first file (`rank`) that has a part of it, the signature whose anchor
+    stands first, of several there the smallest."""
+    ranks = small(signatures.select("sid", "rank"))
+    met = contained(docs, signatures, order, key).join(ranks, "sid")
+    return met.groupBy(order).agg(F.min(F.struct("rank", "at", "sid"))["sid"].alias("sid"))
+
+
+def asset_pins(pins: DataFrame, files: DataFrame) -> DataFrame:
+    """(asset, status): missing, duplicate (pinned or supplied twice), sha256_drift, rows_drift or matched, from pins and
+    files of (asset, sha256, rows)."""
+    want = pins.groupBy("asset").agg(F.count("*").alias("pinned"), F.first("sha256").alias("want_sha"), F.first("rows").alias("want_rows"))
+    have = files.groupBy("asset").agg(F.count("*").alias("supplied"), F.first("sha256").alias("sha"), F.first("rows").alias("rows"))
+    j = want.join(have, "asset", "left")
+    status = F.coalesce(
+        F.when(F.col("supplied").isNull(), "missing"),
+        F.when((F.col("pinned") > 1) | (F.col("supplied") > 1), "duplicate"),
+        F.when(F.col("sha") != F.lower("want_sha"), "sha256_drift"),
+        F.when(F.col("rows") != F.col("want_rows"), "rows_drift"),
+        F.lit("matched"),
+    )
+    return j.select("asset", status.alias("status"))
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

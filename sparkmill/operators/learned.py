@@ -6,34 +6,36 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import arrow
 from ..functions import text as T
+from . import dedup, windows
 
 
-def stratified_split(df: DataFrame, label: str, order: Column, train: float = 0.7, valid: float = 0.15) -> DataFrame:
-    """With `part`: train, valid or test by the rank of a hash within the label."""
-    p = F.percent_rank().over(Window.partitionBy(label).orderBy(order))
-    return df.withColumn("part", F.when(p < train, "train").when(p < train + valid, "valid").otherwise("test"))
+LONGEST, BITS = 5, 18
 
 
-def grams(text: Column, most: int = 2000) -> Column:
-    """Words and word beginnings of a text's first `most` characters: the classifier's view, a documented bound of the model."""
-    words = F.filter(F.split(F.lower(F.left(text, F.lit(most))), r"\s+"), lambda w: w != "")
-    return F.concat(words, F.transform(words, lambda w: F.concat(F.lit("^"), F.left(w, F.lit(3)))), F.transform(words, lambda w: F.concat(F.right(w, F.lit(2)), F.lit("$"))))
+def stratified_split(df: DataFrame, label: str, order: Column, train: float = 0.7, valid: float = 0.15) -> DataFrame:
+    """With `part`: train, valid or test by the rank of a hash within the label; ranks come by ranges of the hash."""
+    own = windows.placed(df.withColumn("__h", order), label, ["__h"], "__r")
+    n = df.groupBy(F.col(label).alias("__l")).agg(F.count("*").alias("__n"))
+    j = own.join(F.broadcast(n), F.col(label).eqNullSafe(F.col("__l")))
+    p = (F.col("__r") - 1) / F.greatest(F.col("__n") - 1, F.lit(1))
+    return j.withColumn("part", F.when(p < train, "train").when(p < train + valid, "valid").otherwise("test")).select(*df.columns, "part")
 
 
 def featured(df: DataFrame, text: str = "text") -> DataFrame:
     own = T.text_features(text)
-    return df.withColumns({f"f_{n}": c.cast("double") for n, c in own.items()}).withColumn("grams", grams(F.col(text)))
+    return df.withColumns({f"f_{n}": c.cast("double") for n, c in own.items()}).withColumn("grams", arrow.grams(LONGEST, BITS)(text))
 
 
-def fit_quality(train: DataFrame, label: str = "quality", features: int = 1 << 14, reg: float = 0.01) -> PipelineModel:
-    """Balanced logistic regression on hashed TF-IDF of grams and six measures."""
+def fit_quality(train: DataFrame, label: str = "quality", features: int = 1 << BITS, reg: float = 0.01) -> PipelineModel:
+    """Balanced logistic regression on hashed TF-IDF of character 1- to 5-grams of the whole text and six measures."""
     n = train.groupBy().agg(F.sum(label).alias("p"), F.count("*").alias("n")).first()
     p = max((n.p or 0) / max(n.n, 1), 1e-6)
-    weighted = featured(train).withColumn("w", F.when(F.col(label) == 1, 0.5 / p).otherwise(0.5 / max(1 - p, 1e-6)))
+    weighted = dedup.written(featured(train), "featured").withColumn("w", F.when(F.col(label) == 1, 0.5 / p).otherwise(0.5 / max(1 - p, 1e-6)))
     names = [c for c in weighted.columns if c.startswith("f_")]
     stages = [HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2), VectorAssembler(inputCols=[*names, "tfidf"], outputCol="x"), LogisticRegression(featuresCol="x", labelCol=label, weightCol="w", regParam=reg, maxIter=30)]
     return Pipeline(stages=stages).fit(weighted)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 
 def by_dimension(df: DataFrame, dimensions: list[str], **measures: Column) -> DataFrame:
     """(dimension, value, measures) for each dimension in one scan: GROUPING SETS, then the name of the set's column."""
@@ -16,6 +18,55 @@ def by_dimension(df: DataFrame, dimensions: list[str], **measures: Column) -> Da
     return rows.select(name.alias("dimension"), value.alias("value"), *measures)
 
 
+def token_profile(df: DataFrame) -> DataFrame:
+    """Documents, tokens and bytes by sixteen dimensions of a corpus with the columns split, source, revision, repo_id,
+    license, language, domain, n_chars, mix_bucket, timestamp, user_taxonomy, tokens (with the end mark) and bytes."""
+    year = T.document_year("timestamp")
+    own = {
+        "source_revision": F.concat_ws("@", "source", "revision"),
+        "character_length_bucket": T.length_bucket("n_chars"),
+        "token_length_bucket": T.token_length_bucket("tokens"),
+        "document_time_year": year,
+        "source_document_time_year": F.concat_ws("|", "source", year),
+        "source_user_taxonomy": F.concat_ws("|", "source", "user_taxonomy"),
+        "source_split": F.concat_ws("|", "source", "split"),
+        "mix_bucket_split": F.concat_ws("|", "mix_bucket", "split"),
+    }
+    plain = ["split", "source", "repo_id", "license", "language", "domain", "mix_bucket", "user_taxonomy"]
+    return by_dimension(df.withColumns(own), [*plain, *own], docs=F.lit(1), tokens=F.col("tokens").cast("long"), bytes=F.col("bytes").cast("long"))
+
+
+def memorised(rows: DataFrame, text: str, threshold: int = 50) -> DataFrame:
+    """(skeleton, n) of the texts' skeletons that occur so often."""
+    return rows.groupBy(T.skeleton(text).alias("skeleton")).agg(F.count("*").alias("n")).where(F.col("n") >= threshold)
+
+
+def digest_by(rows: DataFrame, key: str, part: Column, order: Column, value: Column) -> DataFrame:
+    """(key, digest): sha256 over the digests of a key's parts in order, each over its values in order, so that no row
+    holds more than a part or the parts' digests."""
+    parts = rows.groupBy(key, part.alias("p")).agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), value.cast("string").alias("v")))).alias("h"))
+    each = parts.select(key, "p", F.sha2(F.array_join(F.transform("h", lambda x: x["v"]), ","), 256).alias("d"))
+    whole = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("p", "d"))).alias("h"))
+    return whole.select(key, F.sha2(F.array_join(F.transform("h", lambda x: x["d"]), ","), 256).alias("digest"))
+
+
+def manifest_check(quotas: DataFrame, composite: DataFrame, supply: DataFrame, files: DataFrame, key: str, width: int = 4) -> DataFrame:
+    """Per key: whether composite quotas add up to its quota, its supply holds it, and its files have `width` bytes a token."""
+    parts = composite.groupBy(key).agg(F.sum("quota").alias("parts"))
+    size = files.groupBy(key).agg(F.bool_and(F.col("bytes") == width * F.col("tokens")).alias("bytes_agree"))
+    j = quotas.join(parts, key, "left").join(supply, key, "left").join(size, key, "left")
+    return j.select(key, F.col("parts").eqNullSafe(F.col("quota")).alias("quotas_agree"), F.coalesce(F.col("quota") <= F.col("supply"), F.lit(False)).alias("supply_holds"), F.coalesce("bytes_agree", F.lit(False)).alias("bytes_agree"))
+
+
+def lineage_check(marks: DataFrame, stages: list[str]) -> DataFrame:
+    """Per label of (label, stage, fingerprint): whether every stage has a fingerprint, those there are equal, and both."""
+    of = [F.max(F.when(F.col("stage") == s, F.col("fingerprint"))).alias(f"s{k}") for k, s in enumerate(stages)]
+    names = [f"s{k}" for k in range(len(stages))]
+    wide = marks.groupBy("label").agg(*of, F.countDistinct("fingerprint").alias("n"))
+    complete = F.greatest(*[F.col(c).isNull() for c in names]) == F.lit(False)
+    return wide.select("label", (F.col("n") == 1).alias("equal"), complete.alias("complete"), ((F.col("n") == 1) & complete).alias("passed"))
+
+
 def classifier_metrics(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
     """Rates from the four counts; an empty denominator gives 0."""
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)

@@ -40,8 +40,48 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "ran
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
-    return ranked(df, keys, order, "__r").where(F.col("__r") <= k).drop("__r")
+def placed(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """With the place of each row within its key, from 1; by ranges of the order, so that no task holds a whole key."""
+    return with_prefix(df, key, order, F.lit(1), name).withColumn(name, (F.col(name) + 1).cast("long"))
+
+
+def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str | None = None) -> DataFrame:
+    """The first k rows of each key, with their rank if a name is given."""
+    out = ranked(df, keys, order, name or "__r").where(F.col(name or "__r") <= k)
+    return out if name else out.drop("__r")
+
+
+def batch_ranges(counts: list[tuple[int, int]], batch_tokens: int, max_rows: int) -> list[tuple[int, int, int, int, int]]:
+    """(first place, end, width, rows a batch, first batch) from (length, count) by falling length: a batch has the width
+    of its first row, and as many rows as fit; batches that begin in one length are one range."""
+    total, out = sum(n for _, n in counts), []
+    at = batch = end = 0
+    for length, n in counts:
+        end += n
+        if at < end:
+            rows = max(1, min(batch_tokens // max(length, 1), max_rows))
+            k = -(-(end - at) // rows)
+            out.append((at, min(at + k * rows, total), length, rows, batch))
+            at, batch = at + k * rows, batch + k
+    return out
+
+
+def length_batches(df: DataFrame, length: str, order: str, batch_tokens: int, max_rows: int, seed: int = 0) -> DataFrame:
+    """(order, length, batch, width, place): rows by falling length in batches of max(1, min(batch_tokens // width,
+    max_rows)), and each batch's place in a seeded shuffle. Batches follow from the histogram of lengths alone, so rows
+    only need their place among those of their length."""
+    counts = sorted(((int(r.n), int(r.c)) for r in df.groupBy(F.col(length).alias("n")).agg(F.count("*").alias("c")).collect()), reverse=True)  # a row a length
+    spark = df.sparkSession
+    longer, at = [], 0
+    for n, c in counts:
+        longer.append((n, at))
+        at += c
+    own = placed(df.select(order, length), length, [order], "r").join(F.broadcast(spark.createDataFrame(longer, f"{length} long, longer long")), length)
+    ranges = spark.createDataFrame(batch_ranges(counts, batch_tokens, max_rows), "lo long, hi long, width long, rows long, first long")
+    p = F.col("longer") + F.col("r") - 1
+    met = own.withColumn("p", p).join(F.broadcast(ranges), (F.col("p") >= F.col("lo")) & (F.col("p") < F.col("hi")))
+    batch = F.col("first") + F.floor((F.col("p") - F.col("lo")) / F.col("rows"))
+    return met.select(order, length, batch.alias("batch"), "width", F.xxhash64(batch, F.lit(seed)).alias("place"))
 
 
 def hash_sample(df: DataFrame, key: str, text: str, k: int) -> DataFrame:

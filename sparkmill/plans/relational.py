@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..catalog import query, table
 from ..functions import arrow
 from ..functions import text as T
-from ..operators import dedup, joins, windows
+from ..operators import dedup, joins, policy, windows
+from ..sources import readers
 
 
 def docs(spark, sf):
@@ -43,13 +47,13 @@ def j03(spark, sf):
 
 @query(
     "j04_decontaminate",
-    r"""WITH s AS (SELECT item_id, lower(regexp_replace(text, '\s+', '', 'g')) AS k FROM benchmark), d AS (SELECT doc_id, lower(regexp_replace(text, '\s+', '', 'g')) AS t FROM documents)
-    SELECT doc_id, min(item_id) AS item_id FROM d JOIN s ON contains(t, k) WHERE length(k) >= 24 GROUP BY doc_id""",
+    r"""WITH s AS (SELECT item_id, item_id % 3 AS rank, lower(regexp_replace(text, '\s+', '', 'g')) AS k FROM benchmark), d AS (SELECT doc_id, lower(regexp_replace(text, '\s+', '', 'g')) AS t FROM documents)
+    SELECT doc_id, item_id FROM d JOIN s ON contains(t, k) WHERE length(k) >= 24 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY rank, strpos(t, substr(k, (length(k) - 24) // 2 + 1, 24)), item_id) = 1""",
 )
 def j04(spark, sf):
-    signatures = table(spark, sf, "benchmark").select(F.col("item_id").alias("sid"), F.lower(T.squeeze("text")).alias("skey"))
+    signatures = table(spark, sf, "benchmark").select(F.col("item_id").alias("sid"), (F.col("item_id") % 3).alias("rank"), F.lower(T.squeeze("text")).alias("skey"))
     d = docs(spark, sf).select("doc_id", F.lower(T.squeeze("text")).alias("key"))
-    return joins.contained(d, signatures).groupBy("doc_id").agg(F.min("sid").alias("item_id"))
+    return joins.decontaminate(d, signatures).withColumnRenamed("sid", "item_id")
 
 
 @query("j05_manifest_reconcile", "SELECT coalesce(a.o_orderkey, b.l_orderkey) AS k, CASE WHEN b.l_orderkey IS NULL THEN 'missing' WHEN a.o_orderkey IS NULL THEN 'unexpected' WHEN a.n IS DISTINCT FROM b.n THEN 'n_drift' ELSE 'matched' END AS status FROM (SELECT o_orderkey, 4::BIGINT AS n FROM orders WHERE o_orderkey % 5 <> 0) a FULL JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY 1) b ON a.o_orderkey = b.l_orderkey")
@@ -106,11 +110,19 @@ def j12(spark, sf):
     return docs(spark, sf).join(exempt, F.lower("source") == F.col("s"), "left_anti").select("doc_id")
 
 
-@query("j13_asset_pins", "SELECT n_name AS asset, count(s_suppkey) = 4 AS pinned FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
+@query("j13_asset_pins", "SELECT 'asset' || k AS asset, CASE k % 5 WHEN 0 THEN 'matched' WHEN 1 THEN 'rows_drift' WHEN 2 THEN 'sha256_drift' WHEN 3 THEN 'missing' ELSE 'duplicate' END AS status FROM (SELECT DISTINCT item_id // 20 AS k FROM benchmark)")
 def j13(spark, sf):
-    pins = table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("asset"), F.lit(4).cast("long").alias("n"))
-    found = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("m"))
-    return pins.join(found, "k", "left").select("asset", (F.coalesce("m", F.lit(0)) == F.col("n")).alias("pinned"))
+    # Files of benchmark items are written, then checked against pins of which four fifths are wrong in one way each.
+    items = table(spark, sf, "benchmark").select(F.floor(F.col("item_id") / 20).alias("k"), F.to_json(F.struct("item_id", "text")).alias("line"))
+    lines = F.array_join(F.array_sort(F.collect_list("line")), "\n")
+    assets = dedup.written(items.groupBy("k").agg(F.concat(lines, F.lit("\n")).alias("content"), F.count("*").alias("rows")), "assets")
+    at = f"{dedup.shared(spark)}/assets-{uuid.uuid4().hex}"
+    assets.where("k % 5 <> 3").select(F.expr("substring(content, 1, length(content) - 1)").alias("value"), F.concat(F.lit("asset"), "k").alias("asset")).write.partitionBy("asset").text(at)
+    pinned = F.when(F.col("k") % 5 == 1, F.col("rows") + 1).otherwise(F.col("rows"))
+    sha = F.when(F.col("k") % 5 == 2, F.sha2(F.concat("content", F.lit("x")), 256)).otherwise(F.sha2("content", 256))
+    pins = assets.select(F.concat(F.lit("asset"), "k").alias("asset"), sha.alias("sha256"), pinned.alias("rows"))
+    pins = pins.unionByName(pins.join(assets.where("k % 5 = 4").select(F.concat(F.lit("asset"), "k").alias("asset")), "asset", "left_semi"))
+    return joins.asset_pins(pins, readers.text_assets(spark, at, r"asset=([^/]+)/"))
 
 
 # Deduplication.
@@ -143,25 +155,22 @@ def u05(spark, sf):
 
 @query("u06_near_dedup_index")
 def u06(spark, sf):
-    s = dedup.written(dedup.signed(docs(spark, sf)).select("doc_id", "sig"), "signed")
-    unique = s.where(F.size("sig") == 8).groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    post = unique.select("doc_id", F.posexplode("sig").alias("c", "v"))
-    pairs = post.alias("a").join(post.alias("b"), (F.col("a.c") == F.col("b.c")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.doc_id") < F.col("b.doc_id")))
-    return pairs.groupBy(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).agg(F.count("*").alias("shared")).where("shared >= 6")
+    return dedup.wide_pairs(dedup.written(dedup.wide_signed(docs(spark, sf)).select("doc_id", "sig"), "signed"), "doc_id")
 
 
 @query("u07_sample_near_duplicate_rate")
 def u07(spark, sf):
     s = dedup.written(dedup.signed(docs(spark, sf)).select("doc_id", "sig"), "signed")
-    later = dedup.near_pairs(s, "doc_id").select(F.col("b").alias("doc_id")).distinct()
-    copies = s.groupBy("sig").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
-    return copies.join(later.withColumn("hit", F.lit(1)), "doc_id", "left").agg(F.sum(F.col("n") - F.when(F.col("hit") == 1, 0).otherwise(1)).alias("near_duplicates"), F.sum("n").alias("documents"))
+    later = dedup.near_pairs(s, "doc_id", measure=dedup.overlap).select(F.col("b").alias("doc_id")).distinct()
+    copies = s.where(F.size("sig") == dedup.COORDINATES).groupBy("sig").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    hits = copies.join(later.withColumn("hit", F.lit(1)), "doc_id", "left").agg(F.coalesce(F.sum(F.col("n") - F.when(F.col("hit") == 1, 0).otherwise(1)), F.lit(0)).alias("near_duplicates"))
+    return hits.join(s.agg(F.count("*").alias("documents")), F.lit(True))
 
 
 @query("u08_build_overlap_index")
 def u08(spark, sf):
-    both = docs(spark, sf).select("doc_id", F.explode(F.array("text", F.concat("source", F.lit("\n\n"), "text"))).alias("text"))
-    return dedup.signed(both).select("doc_id", F.sha2("key", 256).alias("sha"), F.hash("sig").alias("sig")).distinct()
+    both = docs(spark, sf).select("doc_id", F.posexplode(F.array("text", T.with_title("source", "text"))).alias("variant", "text"))
+    return dedup.signed(both).select("doc_id", F.sha2("key", 256).alias("sha"), "sig").distinct()
 
 
 @query("u09_dedupe_prompts", r"SELECT min(conv_id * 1000 + turn) AS ord FROM conversations WHERE role = 'user' GROUP BY lower(regexp_replace(text, '\s+', '', 'g'))")
@@ -301,7 +310,8 @@ def w15(spark, sf):
 @query("w16_epoch_order", "SELECT doc_id, doc_id % 4 AS worker, row_number() OVER (PARTITION BY doc_id % 4 ORDER BY sha256('7:1:' || doc_id)) AS place FROM documents")
 def w16(spark, sf):
     key = F.sha2(F.concat(F.lit("7:1:"), F.col("doc_id").cast("string")), 256)
-    return windows.ranked(docs(spark, sf).select("doc_id", (F.col("doc_id") % 4).alias("worker")), ["worker"], [key], "place")
+    rows = docs(spark, sf).select("doc_id", (F.col("doc_id") % 4).alias("worker"), key.alias("k"))
+    return windows.placed(rows, "worker", ["k"], "place").drop("k")
 
 
 @query("w17_split_long_docs", "SELECT doc_id, len(t) AS n, CASE WHEN len(t) <= 100 THEN 1 WHEN len(t) % 100 >= 30 THEN len(t) // 100 + 1 ELSE greatest(len(t) // 100, 1) END AS chunks FROM (SELECT doc_id, regexp_split_to_array(text, '\\s+') AS t FROM documents)")
@@ -321,9 +331,7 @@ def w18(spark, sf):
 
 @query("w19_length_batches")
 def w19(spark, sf):
-    # Rows of one length are interchangeable: a running count over the lengths' histogram gives every batch's width.
-    rows = windows.ranked(docs(spark, sf).select("doc_id", "n_chars", "source"), ["source"], [F.desc("n_chars"), F.col("doc_id")], "r")
-    return rows.select("doc_id", "source", F.floor((F.col("r") - 1) / 8).alias("batch"), F.max("n_chars").over(Window.partitionBy("source", F.floor((F.col("r") - 1) / 8))).alias("width"))
+    return windows.length_batches(docs(spark, sf).select("doc_id", "n_chars"), "n_chars", "doc_id", 65_536, 32)
 
 
 # Mixture planning.
@@ -341,18 +349,30 @@ def m02(spark, sf):
     return windows.largest_remainder(p, F.lit(5000), "f", "b", ["source"]).select("source", "b", "quota")
 
 
-@query("m03_materialize_policy", "SELECT source, CAST(greatest(0, least(s, 400000 - b)) AS BIGINT) AS target FROM (SELECT source, s, coalesce(sum(s) OVER (ORDER BY s DESC, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM (SELECT source, sum(n_chars) AS s FROM documents GROUP BY source))")
+@query(
+    "m03_materialize_policy",
+    """WITH s AS (SELECT source, sum(n_chars)::DOUBLE AS s FROM documents GROUP BY source), g AS (SELECT source, s, CASE WHEN source IN ('src0', 'src1') THEN 'a' WHEN source IN ('src2', 'src3', 'src4') THEN 'b' ELSE 'c' END AS g FROM s),
+    t AS (SELECT floor(0.5 * sum(s)) AS t FROM s), q AS (SELECT g, sum(s) AS have, CASE g WHEN 'a' THEN floor(t * 0.5) WHEN 'b' THEN floor(t * 0.2) ELSE t - floor(t * 0.5) - floor(t * 0.2) END AS want FROM g, t GROUP BY g, t),
+    f AS (SELECT g, have, CASE g WHEN 'a' THEN least(want, have) WHEN 'c' THEN want + (SELECT greatest(0, want - have) FROM q WHERE g = 'a') + (SELECT greatest(0, want - have) FROM q WHERE g = 'b') ELSE least(want, have) END AS target FROM q),
+    x AS (SELECT source, g.g, s, target, have, CASE g.g WHEN 'c' THEN greatest(0, least(s, target - coalesce(sum(s) OVER (PARTITION BY g.g ORDER BY source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) ELSE floor(s * target / have) END AS own, row_number() OVER (PARTITION BY g.g ORDER BY source DESC) = 1 AS last FROM g JOIN f ON g.g = f.g)
+    SELECT source, g AS "group", CAST(own + CASE WHEN last AND g <> 'c' THEN target - sum(own) OVER (PARTITION BY g) ELSE 0 END AS BIGINT) AS target FROM x""",
+)
 def m03(spark, sf):
-    s = docs(spark, sf).groupBy("source").agg(F.sum("n_chars").alias("s"))
-    before = F.coalesce(F.sum("s").over(Window.orderBy(F.desc("s"), "source").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return s.select("source", F.greatest(F.lit(0), F.least(F.col("s"), 400000 - before)).cast("long").alias("target"))
+    supply = docs(spark, sf).groupBy("source").agg(F.sum("n_chars").alias("tokens"))
+    group = F.when(F.col("source").isin("src0", "src1"), "a").when(F.col("source").isin("src2", "src3", "src4"), "b").otherwise("c")
+    total = int(supply.agg(F.floor(F.sum("tokens") * 0.5)).first()[0] or 0)
+    groups = [policy.Group("a", 0.5, "c"), policy.Group("b", 0.2, "c"), policy.Group("c", 0.3, "", fill=True)]
+    return policy.materialized(supply.withColumn("group", group), groups, total)
 
 
-@query("m04_validate_policy", f"SELECT 'fractions_sum_to_one' AS name, abs(sum(f) - 1) < 1e-9 AS passed FROM {_SHARES} UNION ALL SELECT 'source_maximum', max(f) <= 0.2 FROM {_SHARES} UNION ALL SELECT 'at_least_ten_sources', count(*) >= 10 FROM {_SHARES}")
+@query(
+    "m04_validate_policy",
+    f"""SELECT 'fractions_sum_to_one' AS name, abs(sum(f) - 1) < 1e-9 AS passed FROM {_SHARES} UNION ALL SELECT 'source_maximum', max(f) <= 0.2 FROM {_SHARES} UNION ALL SELECT 'group_minimum', coalesce(sum(f) FILTER (WHERE source IN ('src0', 'src1', 'src2')), 0) >= 0.1 FROM {_SHARES}
+    UNION ALL SELECT 'group_exact', abs(coalesce(sum(f) FILTER (WHERE source IN ('src0', 'src3')), 0) - 0.25) < 1e-9 FROM {_SHARES} UNION ALL SELECT 'unique_only', count(*) = count(DISTINCT source) FROM {_SHARES}""",
+)
 def m04(spark, sf):
-    one = shares(spark, sf).agg((F.abs(F.sum("f") - 1) < 1e-9).alias("a"), (F.max("f") <= 0.2).alias("b"), (F.count("*") >= 10).alias("c"))
-    checks = F.array(F.struct(F.lit("fractions_sum_to_one").alias("name"), F.col("a").alias("passed")), F.struct(F.lit("source_maximum").alias("name"), F.col("b").alias("passed")), F.struct(F.lit("at_least_ten_sources").alias("name"), F.col("c").alias("passed")))
-    return one.select(F.inline(checks))
+    limits = [policy.Limit("group_minimum", ("src0", "src1", "src2"), least=0.1), policy.Limit("group_exact", ("src0", "src3"), exactly=0.25)]
+    return policy.violations(shares(spark, sf), "source", "f", 0.2, limits)
 
 
 @query("m05_split_quotas", "SELECT source, CASE WHEN doc_id % 50 = 0 THEN 'val' ELSE 'train' END AS split, CASE WHEN doc_id % 50 = 0 THEN sum(n_chars + 1) ELSE least(sum(n_chars + 1), 20000) END AS quota FROM documents GROUP BY source, doc_id % 50 = 0")
@@ -362,10 +382,15 @@ def m05(spark, sf):
     return p.select("source", F.when(F.col("v"), "val").otherwise("train").alias("split"), F.when(F.col("v"), F.col("s")).otherwise(F.least(F.col("s"), F.lit(20000))).alias("quota"))
 
 
-@query("m06_remaining_quota", "SELECT source, greatest(0, 60000 - coalesce(k, 0)) AS remaining FROM (SELECT DISTINCT source FROM documents) LEFT JOIN (SELECT source, sum(n_chars) AS k FROM documents WHERE doc_id < 500 GROUP BY source) USING (source)")
+@query(
+    "m06_remaining_quota",
+    """WITH p AS (SELECT source, count(*) * 3000 AS quota, coalesce(sum(n_chars) FILTER (WHERE doc_id % 4 = 0), 0) AS done FROM documents GROUP BY source), r AS (SELECT source, greatest(0, quota - done) AS remaining, quota, done FROM p), d AS (SELECT greatest(0, sum(quota) - sum(done)) - sum(remaining) AS drift FROM r)
+    SELECT source, CAST(remaining + CASE WHEN row_number() OVER (ORDER BY remaining DESC, source) = 1 THEN drift ELSE 0 END AS BIGINT) AS remaining FROM r, d""",
+)
 def m06(spark, sf):
-    done = docs(spark, sf).where("doc_id < 500").groupBy("source").agg(F.sum("n_chars").alias("k"))
-    return docs(spark, sf).select("source").distinct().join(done, "source", "left").select("source", F.greatest(F.lit(0), 60000 - F.coalesce("k", F.lit(0))).alias("remaining"))
+    plan = docs(spark, sf).groupBy("source").agg((F.count("*") * 3000).alias("quota"))
+    done = docs(spark, sf).where("doc_id % 4 = 0").groupBy("source").agg(F.sum("n_chars").alias("done"))
+    return policy.remaining(plan, done, "source")
 
 
 @query("m07_filter_sources_fill", "WITH p AS (SELECT source, sum(n_chars)::DOUBLE AS s FROM documents WHERE source IN ('src0', 'src1', 'src2') GROUP BY source) SELECT source, round(s / (SELECT sum(s) FROM p), 9) AS f FROM p")
@@ -382,10 +407,10 @@ def t01(spark, sf):
     return docs(spark, sf).select("doc_id", "source").orderBy("doc_id")
 
 
-@query("t02_seeded_shuffle", "SELECT doc_id, row_number() OVER (ORDER BY sha256('3:' || source || ':' || doc_id)) AS place FROM documents WHERE source = 'src2'")
+@query("t02_seeded_shuffle", "SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY sha256('3:' || source || ':' || doc_id)) AS place FROM documents")
 def t02(spark, sf):
     key = F.sha2(F.concat(F.lit("3:"), "source", F.lit(":"), F.col("doc_id").cast("string")), 256)
-    return windows.ranked(docs(spark, sf).where("source = 'src2'").select("doc_id", "source"), ["source"], [key], "place").select("doc_id", "place")
+    return windows.placed(docs(spark, sf).select("doc_id", "source", key.alias("k")), "source", ["k"], "place").drop("k")
 
 
 @query("t03_limit_inputs", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 25")
@@ -398,7 +423,9 @@ def t04(spark, sf):
     key = F.sha2(F.concat(F.lit("5:"), F.col("doc_id").cast("string")), 256)
     per = docs(spark, sf).groupBy("lang").agg(F.count("*").alias("n"))
     per = per.withColumn("k", F.floor(100 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1)))))
-    return windows.ranked(docs(spark, sf).select("doc_id", "lang"), ["lang"], [key], "r").join(F.broadcast(per), "lang").where("r <= k").select("doc_id")
+    # A hundred rows at most are wanted of a language, so each partition sends no more (row_number with a limit).
+    first = windows.top_k(docs(spark, sf).select("doc_id", "lang", key.alias("key")), ["lang"], [F.col("key")], 100, "r")
+    return first.join(joins.small(per), "lang").where("r <= k").select("doc_id")
 
 
 @query("t05_prefer_long_turns", "SELECT conv_id, least(count(*), 9) AS turns FROM conversations GROUP BY conv_id ORDER BY least(count(*), 9) DESC, sha256('9:' || conv_id) LIMIT 50")
@@ -420,12 +447,18 @@ def e01(spark, sf):
     return both.groupBy("name").agg(F.count("*").alias("n"))
 
 
-@query("e02_append_only_check", "SELECT (SELECT count(*) FROM (SELECT doc_id, text FROM documents WHERE doc_id < 300 EXCEPT ALL SELECT doc_id, text FROM documents)) = 0 AS prefix, (SELECT count(*) FROM documents) > (SELECT count(*) FROM documents WHERE doc_id < 300) AS grown")
+@query(
+    "e02_append_only_check",
+    """WITH o AS (SELECT source, row_number() OVER (ORDER BY source) AS p FROM documents WHERE source <> 'src9' GROUP BY source), n AS (SELECT source, row_number() OVER (ORDER BY source) AS p FROM documents GROUP BY source)
+    SELECT (SELECT count(*) FROM (SELECT doc_id, text FROM documents WHERE source <> 'src9' EXCEPT ALL SELECT doc_id, text FROM documents)) = 0 AS kept, (SELECT count(*) FROM documents) > (SELECT count(*) FROM documents WHERE source <> 'src9') AS grown,
+    (SELECT count(*) FROM o LEFT JOIN n USING (source, p) WHERE n.p IS NULL) = 0 AS ordered_prefix""",
+)
 def e02(spark, sf):
-    new = docs(spark, sf).select("doc_id", "text")
-    old = new.where("doc_id < 300")
-    lost = old.exceptAll(new).agg(F.count("*").alias("lost"))
-    return lost.crossJoin(old.agg(F.count("*").alias("a"))).crossJoin(new.agg(F.count("*").alias("b"))).select((F.col("lost") == 0).alias("prefix"), (F.col("b") > F.col("a")).alias("grown"))
+    # The sources in order: without the last one the old list is a prefix of the new one.
+    new = docs(spark, sf).select("doc_id", "text", "source")
+    old = new.where("source <> 'src9'")
+    listed = lambda d: d.select("source").distinct().withColumn("p", F.row_number().over(Window.orderBy("source")))
+    return policy.append_only(old.select("doc_id", "text"), new.select("doc_id", "text"), listed(old), listed(new), ["source", "p"])
 
 
 @query("e03_partition_check", "SELECT source, count(DISTINCT lang) AS domains FROM documents GROUP BY source HAVING count(DISTINCT lang) <> 1")
@@ -433,13 +466,20 @@ def e03(spark, sf):
     return docs(spark, sf).select("source", "lang").distinct().groupBy("source").agg(F.count("*").alias("domains")).where("domains <> 1")
 
 
-@query("e04_domain_difference", "SELECT DISTINCT source FROM documents EXCEPT SELECT source FROM documents WHERE lang = 'es' AND n_chars > 3000")
+_DOMAINS = {"chinese": "lang = 'es'", "code": "contains(text, '=')", "math": "regexp_like(text, '[0-9]{4,}')"}
+
+
+@query("e04_domain_difference", "SELECT DISTINCT sha256(text) AS sha FROM documents EXCEPT SELECT sha256(text) FROM documents WHERE lang = 'es' OR contains(text, '=') OR regexp_matches(text, '[0-9]{4,}')")
 def e04(spark, sf):
-    return docs(spark, sf).select("source").subtract(docs(spark, sf).where("lang = 'es' and n_chars > 3000").select("source"))
+    # English is what no other domain has, by content: a copy in another domain takes a text out.
+    d = docs(spark, sf).withColumn("sha", F.sha2("text", 256))
+    others = functools.reduce(lambda a, b: a.unionByName(b), [d.where(rule).select("sha") for rule in _DOMAINS.values()])
+    return d.select("sha").distinct().join(others.distinct(), "sha", "left_anti")
 
 
-@query("e05_benchmark_union", r"SELECT min(o) AS ord FROM (SELECT item_id AS o, text FROM benchmark UNION ALL SELECT doc_id + 100000, text FROM documents WHERE n_chars < 300) GROUP BY lower(regexp_replace(text, '\s+', '', 'g'))")
+@query("e05_benchmark_union", r"SELECT arg_min(id, o) AS id FROM (SELECT 'old' || item_id AS id, item_id AS o, text FROM benchmark UNION ALL SELECT 'new' || doc_id, doc_id + 1000000000, text FROM documents) WHERE length(regexp_replace(text, '\s+', '', 'g')) >= 24 GROUP BY lower(regexp_replace(text, '\s+', '', 'g'))")
 def e05(spark, sf):
-    new = docs(spark, sf).where("n_chars < 300").select((F.col("doc_id") + 100000).alias("ord"), "text")
-    both = table(spark, sf, "benchmark").select(F.col("item_id").alias("ord"), "text").unionByName(new)
-    return dedup.keep_first(both.select("ord", F.lower(T.squeeze("text")).alias("key")), "key", "ord").select("ord")
+    new = docs(spark, sf).select(F.concat(F.lit("new"), "doc_id").alias("id"), (F.col("doc_id") + 1_000_000_000).alias("ord"), "text")
+    old = table(spark, sf, "benchmark").select(F.concat(F.lit("old"), "item_id").alias("id"), F.col("item_id").alias("ord"), "text")
+    keyed = old.unionByName(new).withColumn("key", F.lower(T.squeeze("text"))).where(F.length("key") >= 24)
+    return keyed.groupBy(F.sha2("key", 256).alias("k")).agg(F.min_by("id", "ord").alias("id")).select("id")

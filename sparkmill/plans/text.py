@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..catalog import query, table
@@ -46,7 +47,7 @@ def p03(spark, sf):
     SELECT d.doc_id, CASE WHEN c.doc_id IS NULL THEN '' ELSE regexp_replace(array_to_string(list_slice(regexp_split_to_array(d.text, '\r\n|\r|\n'), 1, c.last - c.cut), chr(10)), '^\s+|\s+$', '', 'g') END AS text FROM documents d LEFT JOIN c USING (doc_id)""",
 )
 def p04(spark, sf):
-    return docs(spark, sf).select("doc_id", T.drop_footer("text").alias("text"))
+    return docs(spark, sf).select("doc_id", arrow.drop_footer("text").alias("text"))
 
 
 @query(
@@ -161,10 +162,10 @@ def p22(spark, sf):
     return table(spark, sf, "part").select("p_partkey", T.canonical_url(F.lit("en.example.org"), "p_name").alias("url"))
 
 
-@query("p23_choice_prompt", r"SELECT item_id, trim(left(text, 30), E' \n\t') || chr(10) || 'A. ' || CAST(item_id AS VARCHAR) || chr(10) || 'C. no' AS prompt FROM benchmark")
+@query("p23_choice_prompt", r"SELECT item_id, trim(text, E' \n\t') || chr(10) || 'A. ' || CAST(item_id AS VARCHAR) || chr(10) || 'C. no' AS prompt FROM benchmark")
 def p23(spark, sf):
     choices = F.array(F.col("item_id").cast("string"), F.lit(" "), F.lit("no"))
-    return table(spark, sf, "benchmark").select("item_id", T.choice_prompt(F.left("text", F.lit(30)), F.array(*map(F.lit, "ABC")), choices).alias("prompt"))
+    return table(spark, sf, "benchmark").select("item_id", T.choice_prompt("text", F.array(*map(F.lit, "ABC")), choices).alias("prompt"))
 
 
 @query("p24_benchmark_prompt", r"SELECT item_id, CASE item_id % 2 WHEN 0 THEN 'qa' ELSE 'code' END AS benchmark, trim(text, E' \n\t') AS prompt FROM benchmark WHERE length(regexp_replace(text, '\s+', '', 'g')) >= 40")
@@ -273,9 +274,8 @@ def f10(spark, sf):
 
 @query("f11_clean_document")
 def f11(spark, sf):
-    clean, _ = Q.clean_document(F.col("text"), F.col("lang"))
-    rows = docs(spark, sf).select("doc_id", "lang", clean.alias("clean"))
-    return rows.select("doc_id", Q.drop_reason(F.col("clean"), F.col("lang")).alias("reason"), F.length("clean").alias("n_chars"))
+    rows = docs(spark, sf).select("doc_id", "lang", arrow.cleaner(True, 16)("text").alias("done"))
+    return rows.select("doc_id", Q.drop_reason(F.col("done"), F.col("lang")).alias("reason"), F.length("done.text").alias("n_chars"))
 
 
 @query("f12_code_quality")
@@ -294,9 +294,9 @@ def f14(spark, sf):
     return docs(spark, sf).select("doc_id", Q.mojibake(F.col("text")).alias("bad"))
 
 
-@query("f15_generated_code_blob", "SELECT doc_id, CASE WHEN contains(text, 'File generated automatically by the QuickJS compiler') THEN 'code_generated_quickjs_blob' ELSE '' END AS reason FROM documents WHERE length(text) < 20000")
+@query("f15_generated_code_blob")
 def f15(spark, sf):
-    return docs(spark, sf).where(F.length("text") < 20_000).select("doc_id", Q.generated_blob(F.col("text")).alias("reason"))
+    return docs(spark, sf).select("doc_id", Q.generated_blob(F.col("text")).alias("reason"))
 
 
 @query("f16_hygiene_filter", r"SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)<\s*/?\s*(human|bot)\b') THEN 'human_bot_tags' WHEN regexp_matches(text, '(?i)\b(?:i\s*(?:am|''m)|as\s+an?)\s+(?:ai|artificial\s+intelligence|llm|(?:large\s+)?language\s+model)\b') THEN 'ai_mention' WHEN regexp_matches(text, '(?i)TODO|TBA|<\.\.\.>|<\s*\.\.\.\s*>|\[\.\.\.\]|\{\.{3}\}') THEN 'placeholder' ELSE '' END AS reason FROM documents")
@@ -322,25 +322,19 @@ def f19(spark, sf):
     return docs(spark, sf).select("doc_id", Q.template_page(added).alias("reason"))
 
 
-@query("f20_topic_precision_gate", r"SELECT doc_id, regexp_matches(left(text, 240), '(?i)(the|der|que) ') AND len(regexp_extract_all(text, '(?i)(and|und|los) ')) >= 2 AS ok FROM documents WHERE lang <> 'fr'")
+@query("f20_topic_precision_gate", r"SELECT doc_id, regexp_matches(left(text, 240), '(?i)(the|der|que) ') AND len(regexp_extract_all(text, '(?i)(and|und|los) ')) >= 2 AS ok FROM documents")
 def f20(spark, sf):
-    return docs(spark, sf).where("lang <> 'fr'").select("doc_id", Q.topic_gate(F.col("text"), "(?i)(the|der|que) ", "(?i)(and|und|los) ").alias("ok"))
+    return docs(spark, sf).select("doc_id", Q.topic_gate(F.col("text"), "(?i)(the|der|que) ", "(?i)(and|und|los) ").alias("ok"))
 
 
-#: A small taxonomy by ordered rules; a larger one is passed as a parameter of the same form.
-TAXONOMY = [("contact", P.EMAIL), ("table", r"\|.*\|"), ("code", r"(?i)\btoken\s*=|def |function\("), ("list", r"(?m)^\s*[-*] ")]
-
-
-@query("f21_taxonomy_label", r"SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 'contact' WHEN regexp_matches(text, '\|.*\|') THEN 'table' WHEN regexp_matches(text, '(?i)\btoken\s*=|def |function\(') THEN 'code' WHEN regexp_matches(text, '(?m)^\s*[-*] ') THEN 'list' ELSE 'other' END AS label FROM documents")
+@query("f21_taxonomy_label")
 def f21(spark, sf):
-    return docs(spark, sf).select("doc_id", Q.label_by_rules(F.col("text"), TAXONOMY).alias("label"))
+    return docs(spark, sf).select("doc_id", Q.taxonomy(F.col("text")).alias("label"))
 
 
-@query("f22_structural_helpers", r"SELECT doc_id, len(regexp_extract_all(left(text, 2000), '=')) AS assignments, len(list_filter(regexp_split_to_array(text, '\n'), lambda x: length(x) < 40)) AS short_lines, len(regexp_extract_all(left(text, 2000), '[!?]')) AS questions FROM documents")
+@query("f22_structural_helpers")
 def f22(spark, sf):
-    head = F.left("text", F.lit(2000))
-    short = F.size(F.filter(F.split("text", "\n"), lambda s: F.length(s) < 40))
-    return docs(spark, sf).select("doc_id", T.hits(head, "=").cast("long").alias("assignments"), short.cast("long").alias("short_lines"), T.hits(head, "[!?]").cast("long").alias("questions"))
+    return docs(spark, sf).select("doc_id", *[rule(F.col("text")).alias(name) for name, rule in Q.STRUCTURES.items()])
 
 
 @query("f23_triage_reasons")
@@ -348,13 +342,9 @@ def f23(spark, sf):
     return docs(spark, sf).select("doc_id", F.array_join(Q.triage(F.col("text"), F.split("text", r"\s+")), ",").alias("reasons"))
 
 
-@query(
-    "f24_dup_ngram_ratio",
-    r"""SELECT doc_id, CASE WHEN len(t) < 8 THEN 0.0::DOUBLE ELSE round(1 - len(list_distinct(list_transform(range(1, len(t) - 2), lambda i: t[i:i + 3]))) / (len(t) - 3), 6) END AS dup FROM
-    (SELECT doc_id, regexp_split_to_array(text, ' ') AS t FROM documents WHERE length(text) < 3000)""",
-)
+@query("f24_dup_ngram_ratio")
 def f24(spark, sf):
-    return docs(spark, sf).where("length(text) < 3000").select("doc_id", F.round(T.duplicate_ngram_ratio(F.split("text", " ")), 6).alias("dup"))
+    return docs(spark, sf).select("doc_id", F.round(arrow.duplicate_ngrams(F.split("text", " ")), 6).alias("dup"))
 
 
 @query(
@@ -380,10 +370,16 @@ def f27(spark, sf):
     return talks(spark, sf).select("conv_id", "turn", F.round(arrow.loop_coverage("text"), 6).alias("loop"))
 
 
-@query("f28_responsiveness", "SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 1.0::DOUBLE ELSE CASE WHEN regexp_matches(text, '[0-9]|[一二三四五六七八九十百千万零两]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS score FROM conversations")
+@query(
+    "f28_responsiveness",
+    r"""SELECT conv_id, turn, round(1 - (CASE WHEN turn % 2 = 1 AND NOT regexp_matches(text, '[0-9]|[一二三四五六七八九十百千万零两]') THEN 1 ELSE 0 END + CASE WHEN turn > 0 AND before <> '' AND contains(own, before) THEN 1 ELSE 0 END
+    + CASE WHEN length(own) < 60 THEN 1 ELSE 0 END) / (CASE WHEN turn % 2 = 1 THEN 1 ELSE 0 END + CASE WHEN turn > 0 AND before <> '' THEN 1 ELSE 0 END + 1)::DOUBLE, 6) AS score FROM
+    (SELECT conv_id, turn, text, regexp_replace(text, '\s+', '', 'g') AS own, coalesce(regexp_replace(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '\s+', '', 'g'), '') AS before FROM conversations)""",
+)
 def f28(spark, sf):
-    score, _ = Q.responsiveness(F.col("text"), F.lit(False), F.col("turn") % 2 == 1)
-    return talks(spark, sf).select("conv_id", "turn", score.cast("double").alias("score"))
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    score, _ = Q.responsiveness(F.col("text"), numeral=F.col("turn") % 2 == 1, differs_from=F.col("before"), min_chars=F.lit(60))
+    return talks(spark, sf).withColumn("before", before).select("conv_id", "turn", F.round(score, 6).alias("score"))
 
 
 @query("f30_forbidden_roots", "SELECT page_id, starts_with(regexp_replace(url, '^[a-z]+://', ''), 'www.') OR lower(split_part(split_part(url, '://', 2), '/', 1)) LIKE '%.example.net' AS forbidden FROM pages")

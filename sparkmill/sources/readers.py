@@ -73,7 +73,8 @@ def file_family(path: Column) -> Column:
 def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     """Articles of an XML dump (bz2 by suffix): namespace 0, no redirects, with the page's and revision's ids."""
     schema = "title string, ns int, id long, redirect struct<_title: string>, revision struct<id: long, timestamp: string, text: string>"
-    pages = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
+    # The parser that looks for the tag: it takes splits of a large dump, with or without a root around the pages.
+    pages = spark.read.format("xml").option("rowTag", "page").option("useLegacyXMLParser", "true").schema(schema).load(path)
     return pages.where("ns = 0 and redirect is null").select("id", "title", F.col("revision.id").alias("revision_id"), F.col("revision.timestamp").alias("timestamp"), F.col("revision.text").alias("text"))
 
 
@@ -108,3 +109,35 @@ def read_code_files(spark: SparkSession, root: str, suffixes: list[str], exclude
 def read_parquet_own_columns(spark: SparkSession, path: str) -> DataFrame:
     """A folder of files whose own columns count, though folders are named like `source=x`."""
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
+def text_assets(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(asset, sha256, rows) of a folder's text files: the name by a pattern of the path, the digest of the bytes, lines
+    that aren't blank."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(root)
+    lines = F.split(F.decode("content", "UTF-8"), "\n")
+    return files.select(F.regexp_extract("path", name, 1).alias("asset"), F.sha2("content", 256).alias("sha256"), F.size(F.filter(lines, lambda x: T.strip(x) != "")).cast("long").alias("rows"))
+
+
+def read_benchmark_tables(spark: SparkSession, csv: list[str], parquet: list[str]) -> DataFrame:
+    """(id, subject, split, question, choices, answer) of question tables in CSV and Parquet. Columns are found in any case
+    of letters; split and subject come from the path; blank choices are left out; an answer that is none of A to D is ''."""
+    out = None
+    tables = [spark.read.option("header", True).option("escape", '"').option("recursiveFileLookup", True).csv(csv)] if csv else []
+    tables += [spark.read.option("recursiveFileLookup", True).parquet(*parquet)] if parquet else []
+    for df in tables:
+        have = {c.lower(): c for c in df.columns}
+        pick = lambda c, have=have: T.strip(F.coalesce(F.col(have[c]).cast("string"), F.lit(""))) if c in have else F.lit("")
+        path = F.col("_metadata.file_path")
+        letters = F.array(*[F.struct(F.lit(k.upper()).alias("k"), pick(k).alias("v")) for k in "abcd"])
+        answer = F.upper(pick("answer"))
+        own = df.select(
+            pick("id").alias("id"),
+            F.regexp_extract(path, r"(?i)/(?:subject=)?([^/]+)/(?:split=)?(?:dev|val|test)/", 1).alias("subject"),
+            F.lower(F.regexp_extract(path, r"(?i)/(?:split=)?(dev|val|test)/", 1)).alias("split"),
+            pick("question").alias("question"),
+            F.map_from_entries(F.filter(letters, lambda c: c["v"] != "")).alias("choices"),
+            F.when(answer.isin(*"ABCD"), answer).otherwise("").alias("answer"),
+        ).where("question <> ''")
+        out = own if out is None else out.unionByName(own)
+    return out

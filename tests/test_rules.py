@@ -1,12 +1,17 @@
 """Rules and functions on hand-written rows."""
 
 import base64
+import math
 import random
+from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from sparkmill.functions import arrow
+from sparkmill.functions import arrow, kernels
 from sparkmill.functions import text as T
+from sparkmill.functions import topics as K
 from sparkmill.operators import filters as Q
 
 
@@ -22,8 +27,8 @@ def test_normal_forms(spark):
 
 
 def test_footer_and_years(spark):
-    assert one(spark, T.drop_footer("t"), t="body\nmore\n\nAll rights reserved\nPrivacy Policy\n \n") == "body\nmore"
-    assert one(spark, T.drop_footer("t"), t="\n".join(["body"] + ["版权所有"] * 10)) == "body\n版权所有\n版权所有"
+    assert one(spark, arrow.drop_footer("t"), t="body\nmore\n\nAll rights reserved\nPrivacy Policy\n \n") == "body\nmore"
+    assert one(spark, arrow.drop_footer("t"), t="\n".join(["body"] + ["版权所有"] * 10)) == "body\n版权所有\n版权所有"
     for value, year in (("2024-05-01", "2024"), ("1999T", "1999"), ("20245", "unknown"), ("x", "unknown"), ("2100", "2100")):
         assert one(spark, T.document_year("t"), t=value) == year
 
@@ -70,3 +75,64 @@ def test_chunks(spark):
     assert chunks and all(20 <= len(c) <= 200 for c in chunks)
     cut = one(spark, arrow.content_chunks("t"), t="x1y2z3w4" * 100)
     assert "".join(cut) == "x1y2z3w4" * 100 and all(32 <= len(c) <= 128 for c in cut[:-1])
+
+
+def test_structures_and_topics(spark):
+    config = "\n".join(f"key{k}: value {k}" for k in range(9))
+    assert one(spark, Q.config_file(F.col("t")), t=config) is True and one(spark, Q.config_file(F.col("t")), t="plain words") is False
+    assert one(spark, Q.config_file(F.col("t")), t="[a]\nx = 1\ny = 2\nz = 3\n[b]\nu = 1\nv = 2\nw = 3") is True
+    assert one(spark, Q.parallel_text(F.col("t")), t="translation\n中文: 你好") is True and one(spark, Q.parallel_text(F.col("t")), t="a translation of it") is False
+    assert one(spark, Q.classical_literature(F.col("t")), t="吾乃言之矣" * 70) is True and one(spark, Q.classical_literature(F.col("t")), t="吾乃说道矣" * 70) is False
+    assert one(spark, Q.web_novel(F.col("t")), t="第三章 " + "他说道。" * 250) is True and one(spark, Q.web_novel(F.col("t")), t="Chapter 3 he said " * 60) is False
+    assert one(spark, Q.narrative_book(F.col("t")), t="Chapter 3. He said so, she replied. " + "And on it went. " * 90) is True
+    assert one(spark, Q.narrative_book(F.col("t")), t="And on it went. " * 90) is False
+    assert one(spark, Q.forum_talk(F.col("t")), t="> hi\nyes") is True and one(spark, Q.forum_talk(F.col("t")), t="plain words") is False
+    rows = {
+        "def f(x): return x": "code_application", "pip install it, then def f(x)": "code_scripting", "python 算法 of it": "code_algorithm", config: "code_config", " ": "other", "All Rights Reserved": "boiler",
+        "the doctor and the dose": "medical_guideline", "请问是什么": "medical_qa", "the court and the law of it": "legal_statute", "one court": "other", "GDP went up": "finance_macro", "股票": "finance_market", "贷款": "finance_banking",
+        "国考": "gov_exam", "国务院": "gov_policy", "quantum things": "stem_physics_math", "an ISO": "stem_engineering", "posts on reddit": "tech_blog_forum", "psychology": "social_psychology", "ethics": "humanities_philosophy", "皇帝": "humanities_history",
+        "see Wikipedia": "encyclopedia_core", "Q: so\n" + "word " * 300: "encyclopedia_qa", "Abstract. We": "academic_paper", "例题": "academic_textbook", "数据来源": "professional_report", "a proof by the matrix": "math_derivation", "sin of it": "math_calculation",
+        "记者": "news_mainstream", "记者观点": "news_commentary", "an editorial": "article_editorial", "a blog": "article_blog", "plain words": "other", "grammar in translation": "linguistics_grammar", "porn": "nsfw",
+    }
+    got = spark.createDataFrame([(t,) for t in rows], "t string").select("t", Q.taxonomy(F.col("t")).alias("label")).collect()
+    assert {r.t: r.label for r in got} == rows and set(rows.values()) <= set(K.LABELS) and len(K.LABELS) == 40
+
+
+def test_triage_and_prompts(spark):
+    flags = lambda t: one(spark, Q.triage(F.col("t"), F.split("t", " ")), t=t)
+    assert flags("see http://x.y or a@b.cd <div> &amp;\ndef f\n联系我们 下一页 版权所有 下载 APP " + "\ufffd" * 6)[:9] == ["url", "email", "html", "code", "contact", "nav", "footer", "download", "mojibake"]
+    assert flags("a b " * 200) == ["repetitive", "low_token_diversity", "ngram_dup_high"] and flags("。，" * 3) == ["punct_high"] and flags("1234567") == ["digit_high"]
+    for t, hard in (("为什么天空在傍晚的时候会变成红色而不是蓝色呢", True), ("谢谢，为什么天空在傍晚的时候会变成红色", False), ("why is the sky red in the evening?", False), ("为什么呢", False)):
+        assert one(spark, Q.hard_prompt(F.col("t")), t=t) is hard
+    score = lambda t, **k: tuple(spark.createDataFrame([(t,)], ["t"]).select(*Q.responsiveness(F.col("t"), **k)).first())
+    assert score("abc") == (1.0, [])
+    assert score("a b c 5", numeral=F.lit(True), differs_from=F.lit("b c"), min_chars=F.lit(9), code_block=F.lit(False)) == (pytest.approx(1 / 3), ["differs_from", "min_chars"])
+
+
+def test_generated_blobs(spark):
+    reason = lambda t: one(spark, Q.generated_blob(F.col("t")), t=t)
+    body = "let x = 1;\n" * 3000
+    for mark, want in (("base64.b64decode('" + "A" * 9000 + "')", "code_embedded_base64_blob"), ("//# sourceMappingURL=data:x", "code_embedded_sourcemap_blob"), ("data:font/x;base64," + "A" * 21_000, "code_embedded_base64_asset_blob"), ("__webpack_require__" + "x" * 51_000, "code_minified_js_bundle"), ("_scriptDir wasm " + "x" * 51_000, "code_emscripten_wasm_bundle"), ("tagInfoJSON" + "x" * 51_000, "code_huge_data_literal"), ("ModelData[] = " + "0x1,\n" * 30_000, "code_numeric_data_blob"), ("", "")):
+        assert reason(body + mark) == want
+    assert reason("File generated automatically by the QuickJS compiler") == "code_generated_quickjs_blob"
+
+
+def test_numbers_in_prose(spark):
+    for text, reference, want in (("it took 19.41 days", "19.4118", True), ("19.5 days", "19.4118", False), ("about 3/4 of it", "0.75", True), ("四分之三", "0.75", True), ("六十一点五四", "61.54", True), ("一千二百三十四", "1234", True), ("十五", "15", True), ("三万零五", "30005", True), ("1,234 of them", "1234", True), ("none", "1", False), ("3/0", "3", True), ("2/0", "5", False)):
+        assert one(spark, arrow.agrees("t", "r"), t=text, r=reference) is want, text
+
+
+def test_kernels_against_plain_versions():
+    r = random.Random(4)
+    for _ in range(60):
+        s = "".join(r.choice("abcé漢🙂 \n") for _ in range(r.randint(0, 80)))
+        got = kernels.runs(s, 5, None)
+        want = dict.fromkeys(s[i : i + 5] for i in range(len(s) - 4))
+        assert [s[x["at"] - 1 : x["at"] + 4] for x in got] == list(want) and len({x["h"] for x in got}) == len(got)
+        wanted = np.sort(np.array([x["h"] for x in got[::2]], dtype=np.int64))
+        assert kernels.runs(s, 5, wanted) == got[::2]
+        whole = Counter(kernels.grams(s, 3, 16))
+        assert whole == Counter(kernels.grams(s, 3, 16, block=7))
+    n = Counter(s[i : i + k] for s in ["abcabcab"] for k in (1, 2, 3) for i in range(len(s) - k + 1))
+    assert sum(Counter(kernels.grams("abcabcab", 3, 16)).values()) == sum(round(1 + math.log2(c)) for c in n.values())
+    assert kernels.clean("a\r\nb\x00\u200b\ufffd c\u0301\n\nCopyright\nPrivacy Policy ", True) == "a\nb ć\n\nCopyright"
