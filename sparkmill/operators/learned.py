@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,18 +26,22 @@ def stratified_split(df: DataFrame, label: str, order: Column, train: float = 0.
     return j.withColumn("part", F.when(p < train, "train").when(p < train + valid, "valid").otherwise("test")).select(*df.columns, "part")
 
 
+#: Levels of a measure in [0, 1]; each level is a term of its own beside the n-grams.
+LEVELS = 32
+
+
 def featured(df: DataFrame, text: str = "text") -> DataFrame:
-    own = T.text_features(text)
-    return df.withColumns({f"f_{n}": c.cast("double") for n, c in own.items()}).withColumn("grams", arrow.grams(LONGEST, BITS)(text))
+    """With the terms of each text: its n-grams, and its six measures by level."""
+    own = [F.concat(F.lit(f"{n}="), F.floor(F.least(c, F.lit(1.0)) * LEVELS).cast("string")) for n, c in T.text_features(text).items()]
+    return df.withColumn("grams", F.concat(arrow.grams(LONGEST, BITS)(text), F.array(*own)))
 
 
 def fit_quality(train: DataFrame, label: str = "quality", features: int = 1 << BITS, reg: float = 0.01) -> PipelineModel:
-    """Balanced logistic regression on hashed TF-IDF of character 1- to 5-grams of the whole text and six measures."""
+    """Balanced logistic regression on hashed TF-IDF of character 1- to 5-grams of the whole text and six measures by level."""
     n = train.groupBy().agg(F.sum(label).alias("p"), F.count("*").alias("n")).first()
     p = max((n.p or 0) / max(n.n, 1), 1e-6)
     weighted = dedup.written(featured(train), "featured").withColumn("w", F.when(F.col(label) == 1, 0.5 / p).otherwise(0.5 / max(1 - p, 1e-6)))
-    names = [c for c in weighted.columns if c.startswith("f_")]
-    stages = [HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2), VectorAssembler(inputCols=[*names, "tfidf"], outputCol="x"), LogisticRegression(featuresCol="x", labelCol=label, weightCol="w", regParam=reg, maxIter=30)]
+    stages = [HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x", minDocFreq=2), LogisticRegression(featuresCol="x", labelCol=label, weightCol="w", regParam=reg, maxIter=30)]
     return Pipeline(stages=stages).fit(weighted)
 
 
