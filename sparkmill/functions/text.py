@@ -88,13 +88,14 @@ def document_split(sha: C) -> Column:
     return F.when(n < 9600, "train").when(n < 9800, "val").otherwise("test")
 
 
-def trim_to_bytes(x: C, n: int) -> Column:
+def trim_to_bytes(x: C, n: int | Column) -> Column:
     """The longest prefix of whole characters within n UTF-8 bytes, stripped."""
-    cut = F.regexp_replace(F.decode(F.substring(F.encode(_c(x), "UTF-8"), 1, n), "ISO-8859-1"), r"[\x{C0}-\x{FF}][\x{80}-\x{BF}]*$", "")
-    whole = F.octet_length(_c(x)) <= n
-    last = F.substring(F.encode(_c(x), "UTF-8"), n + 1, 1)
-    ends = (F.conv(F.hex(last), 16, 10).cast("int").bitwiseAND(F.lit(0xC0)) != 0x80) | whole
-    raw = F.substring(F.encode(_c(x), "UTF-8"), 1, n)
+    n = F.lit(n) if isinstance(n, int) else n
+    coded = F.encode(_c(x), "UTF-8")
+    raw = F.substring(coded, F.lit(1), n)
+    cut = F.regexp_replace(F.decode(raw, "ISO-8859-1"), r"[\x{C0}-\x{FF}][\x{80}-\x{BF}]*$", "")
+    last = F.substring(coded, n + 1, F.lit(1))
+    ends = (F.conv(F.hex(last), 16, 10).cast("int").bitwiseAND(F.lit(0xC0)) != 0x80) | (F.octet_length(_c(x)) <= n)
     return strip(F.when(ends, F.decode(raw, "UTF-8")).otherwise(F.decode(F.encode(cut, "ISO-8859-1"), "UTF-8")))
 
 

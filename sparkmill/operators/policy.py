@@ -94,3 +94,17 @@ def append_only(old: DataFrame, new: DataFrame, old_list: DataFrame, new_list: D
     moved = old_list.join(new_list, place, "left_anti").agg((F.count("*") == 0).alias("ordered_prefix"))
     one = lost.join(moved, F.lit(True)).join(count(old, "a"), F.lit(True)).join(count(new, "b"), F.lit(True))
     return one.select("kept", (F.col("b") > F.col("a")).alias("grown"), "ordered_prefix")
+
+
+def bundled(parts: list[DataFrame], name: str) -> DataFrame:
+    """All rows of several manifests, a missing column as null, with `unique`: whether a name stands in them once."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.withColumn("unique", F.count("*").over(Window.partitionBy(name)) == 1)
+
+
+def disjoint(rows: DataFrame, name: str, domain: str) -> DataFrame:
+    """(name, n, disjoint): in how many domains each name stands, and whether that is one."""
+    per = rows.select(name, domain).distinct().groupBy(name).agg(F.count("*").alias("n"))
+    return per.withColumn("disjoint", F.col("n") == 1)

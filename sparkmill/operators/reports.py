@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import windows
 
 
 def by_dimension(df: DataFrame, dimensions: list[str], **measures: Column) -> DataFrame:
@@ -108,3 +109,72 @@ def checks(df: DataFrame, *named: tuple[str, Column]) -> DataFrame:
     for _, c in named[1:]:
         total = total & c
     return df.select(F.inline(F.array(*each, F.struct(F.lit("all").alias("name"), total.alias("passed")))))
+
+
+def audit_summary(rows: DataFrame, flags: str, metric: str, order: str, k: int) -> DataFrame:
+    """(flag, n, longest, mean, examples): per flag its rows, the metric's largest value and mean, and the k rows of the
+    largest metric."""
+    each = rows.select(order, metric, F.explode(flags).alias("flag"))
+    some = windows.top_k(each, ["flag"], [F.desc(metric), F.col(order)], k).groupBy("flag").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col(metric)).alias("m"), F.col(order).alias("o")))), lambda x: x["o"]).alias("examples"))
+    return each.groupBy("flag").agg(F.count("*").alias("n"), F.max(metric).alias("longest"), F.avg(metric).alias("mean")).join(some, "flag")
+
+
+def perplexities(batches: DataFrame, most: float = 50.0) -> DataFrame:
+    """(dataset, ppl) from (dataset, loss, tokens), weighted by supervised tokens (plain mean without any), and their mean."""
+    weighted = F.when(F.sum("tokens") > 0, F.sum(F.col("loss") * F.col("tokens")) / F.sum("tokens")).otherwise(F.avg("loss"))
+    each = batches.groupBy("dataset").agg(F.round(F.exp(F.least(weighted, F.lit(most))), 6).alias("ppl"))
+    return each.unionByName(each.agg(F.lit("mean").alias("dataset"), F.round(F.avg("ppl"), 6).alias("ppl")))
+
+
+def probe_summary(rows: DataFrame) -> DataFrame:
+    """(name, value) of probes with loop, distinct4, chars, eos, judge and flags: rates, means, medians, then flags by count."""
+    one = rows.agg(
+        F.avg(F.col("eos").cast("double")).alias("eos_rate"), F.avg("loop").alias("loop_mean"), F.avg((F.col("loop") > 0.25).cast("double")).alias("loop_gt_25"), F.avg("distinct4").alias("distinct4_mean"),
+        F.avg((F.col("chars") == 0).cast("double")).alias("empty_rate"), F.median("chars").cast("double").alias("median_chars"), F.avg("judge").alias("judge_mean"), F.median("judge").alias("judge_median"),
+        F.avg((F.col("judge") >= 70).cast("double")).alias("pass_70"), F.avg((F.col("judge") < 50).cast("double")).alias("broken_50"),
+    )
+    measures = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.round(c, 6).alias("value")) for c in one.columns])))
+    flags = rows.select(F.explode("flags").alias("f")).groupBy(F.concat(F.lit("flag:"), "f").alias("name")).agg(F.count("*").cast("double").alias("value"))
+    return measures.unionByName(flags)
+
+
+def rft_select(samples: DataFrame, repetition: float, anchor_floor: float, floor: float, ceiling: float, gain: float) -> DataFrame:
+    """(prompt_id, best, reason) from samples (prompt_id, index, judge, repetition, eos, reward, anchor): the clean sample
+    of the largest reward, and why its group is left out. Anchors have a floor of their own; others must not be good
+    already, and the best must be better than the mean."""
+    clean = F.col("eos") & (F.col("repetition") <= repetition)
+    best = F.max(F.when(clean, F.struct("reward", "index", "judge")))
+    g = samples.groupBy("prompt_id").agg(best.alias("b"), F.avg("judge").alias("mean"), F.bool_or("anchor").alias("anchor"))
+    judge, fuel = F.col("b.judge"), ~F.col("anchor")
+    why = (
+        F.when(F.col("b").isNull(), "no_clean_sample")
+        .when(F.col("anchor") & (judge < anchor_floor), "anchor_below_floor")
+        .when(fuel & (judge < floor), "best_below_floor")
+        .when(fuel & (F.col("mean") > ceiling), "fuel_group_already_good")
+        .when(fuel & (judge - F.col("mean") < gain), "no_gain")
+        .otherwise("kept")
+    )
+    return g.select("prompt_id", F.col("b.index").alias("best"), why.alias("reason"))
+
+
+def rewards(rows: DataFrame) -> DataFrame:
+    """With repetition and reward from loop, distinct4, coherence, responsive, empty and finished: one less repetition, and
+    coherence, and half of responsiveness, less one for an empty text and half for an unfinished one."""
+    loop = F.col("loop")
+    few = F.greatest(F.lit(0.0), 1 - F.col("distinct4") / 0.6)
+    own = rows.withColumn("repetition", F.greatest(loop, F.when(loop < 0.2, few).otherwise(loop)))
+    less = F.when(F.col("empty"), 1.0).otherwise(0.0) + F.when(F.col("finished"), 0.0).otherwise(0.5)
+    return own.withColumn("reward", (1 - F.col("repetition")) + F.col("coherence") + 0.5 * F.col("responsive") - less)
+
+
+def run_summary(rows: DataFrame, run: str, order: str, value: str, end: str, k: int) -> DataFrame:
+    """Per run: means of the first and last k rows and what was gained, the largest value, the mean after the first k, bad
+    values, and whether its last row is an end mark. Ranks stop at k, so no task sorts a whole run."""
+    some = lambda by, name: windows.top_k(rows, [run], [by], k).groupBy(run).agg(F.avg(value).alias(name), F.sum(value).alias(f"__{name}"), F.count(value).alias(f"__n_{name}"))
+    bad = F.col(value).isNull() | F.isnan(value)
+    every = rows.groupBy(run).agg(F.max(value).alias("highest"), F.sum(value).alias("__sum"), F.count(value).alias("__n"), F.count_if(bad).alias("bad"), F.max_by(end, order).alias("completed"))
+    j = every.join(some(F.col(order), "first"), run).join(some(F.desc(order), "last"), run)
+    rest = F.col("__n") - F.col("__n_first")
+    steady = F.when(rest > 0, (F.col("__sum") - F.col("__first")) / rest)
+    gained = F.col("first") - F.col("last")
+    return j.select(run, F.round("first", 6).alias("first"), F.round("last", 6).alias("last"), F.round(gained, 6).alias("improvement"), "highest", F.round(steady, 6).alias("steady"), "bad", "completed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from . import dedup
 
 
@@ -36,6 +37,15 @@ def soft_quota(df: DataFrame, key: str, order: list[str], tokens: str, quota: st
     return with_prefix(df, key, order, n).where(F.col("before") < F.col(quota)).withColumn("accepted", n)
 
 
+def byte_budget(df: DataFrame, key: str, order: list[str], text: str, budget: int) -> DataFrame:
+    """Texts in order until each key's budget of UTF-8 bytes; the one that crosses it is cut between characters, and goes
+    if nothing is left of it."""
+    rows = with_prefix(df, key, order, F.octet_length(text).cast("long")).where(F.col("before") < budget)
+    room = (budget - F.col("before")).cast("int")
+    kept = F.when(F.octet_length(text) <= room, F.col(text)).otherwise(T.trim_to_bytes(text, room))
+    return rows.withColumn(text, kept).where(F.octet_length(text) > 0).drop("before")
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 

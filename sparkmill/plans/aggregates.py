@@ -101,10 +101,19 @@ def a06(spark, sf):
     return part(0).unionByName(part(1)).groupBy("source").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
 
-@query("a07_revision_profile", "SELECT event_type, year(ts) AS y, count(*) AS n, min(ts) AS first, max(ts) AS last, count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-15') AS after_snapshot, count(*) FILTER (WHERE date_diff('day', CAST(ts AS DATE), DATE '2024-01-15') BETWEEN 0 AND 7) AS recent FROM events GROUP BY ALL")
+@query(
+    "a07_revision_profile",
+    """SELECT event_type, year(ts) AS y, count(*) AS n, min(ts) AS first, max(ts) AS last, count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-15') AS after_snapshot, count(*) FILTER (WHERE date_diff('day', CAST(ts AS DATE), DATE '2024-01-15') BETWEEN 0 AND 365) AS within_365, count(*) FILTER (WHERE date_diff('day', CAST(ts AS DATE), DATE '2024-01-15') BETWEEN 0 AND 730) AS within_730,
+    round(count(*) FILTER (WHERE date_diff('day', CAST(ts AS DATE), DATE '2024-01-15') BETWEEN 0 AND 365) / count(*), 6) AS share_365, round(count(*) FILTER (WHERE trim(props) <> props OR props <> lower(props)) / count(*), 6) AS changed_share FROM events GROUP BY ALL""",
+)
 def a07(spark, sf):
     age = F.datediff(F.lit("2024-01-15").cast("date"), F.col("ts").cast("date"))
-    return table(spark, sf, "events").groupBy("event_type", F.year("ts").cast("long").alias("y")).agg(F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.count_if(F.col("ts") > F.lit("2024-01-15").cast("timestamp_ntz")).alias("after_snapshot"), F.count_if(age.between(0, 7)).alias("recent"))
+    changed = F.lower(F.trim("props")) != F.col("props")
+    within = lambda n: F.count_if(age.between(0, n))
+    return table(spark, sf, "events").groupBy("event_type", F.year("ts").cast("long").alias("y")).agg(
+        F.count("*").alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.count_if(F.col("ts") > F.lit("2024-01-15").cast("timestamp_ntz")).alias("after_snapshot"),
+        within(365).alias("within_365"), within(730).alias("within_730"), F.round(within(365) / F.count("*"), 6).alias("share_365"), F.round(F.count_if(changed) / F.count("*"), 6).alias("changed_share"),
+    )
 
 
 @query("a08_score_quantiles", "SELECT event_type, round(quantile_cont(value, 0), 6) AS p0, round(quantile_cont(value, 0.1), 6) AS p10, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90, round(quantile_cont(value, 1), 6) AS p100 FROM events GROUP BY event_type")
@@ -131,12 +140,17 @@ def a09(spark, sf):
     return j.groupBy("lang").agg(F.count("*").alias("docs"), *[F.count_if(c).alias(n) for n, c in counts.items()], F.sum(F.when(ok, F.col("n_chars"))).alias("accepted_tokens"), F.count_if(ok & (F.col("n_chars") >= 2000)).alias("accepted_long"))
 
 
-@query("a10_exclusion_by_priority", "SELECT source, reason, count(*) AS n, sum(t)::BIGINT AS tokens FROM (SELECT source, sha256(text) AS h, arg_min(CASE WHEN n_chars < 500 THEN 'short' WHEN lang = 'es' THEN 'language' ELSE 'other' END, CASE WHEN n_chars < 500 THEN 1 WHEN lang = 'es' THEN 2 ELSE 3 END) AS reason, min(n_chars) AS t FROM documents GROUP BY source, h) GROUP BY ALL")
+@query(
+    "a10_exclusion_by_priority",
+    """WITH e AS (SELECT source, sha256(text) AS h, arg_min(CASE WHEN n_chars < 500 THEN 'short' WHEN lang = 'es' THEN 'language' ELSE 'other' END, CASE WHEN n_chars < 500 THEN 1 WHEN lang = 'es' THEN 2 ELSE 3 END) AS reason, min(n_chars) AS t FROM documents GROUP BY source, h),
+    r AS (SELECT *, row_number() OVER (PARTITION BY source, reason ORDER BY h) AS place FROM e) SELECT source, reason, count(*) AS n, sum(t)::BIGINT AS tokens, string_agg(left(h, 12), ',' ORDER BY h) FILTER (WHERE place <= 3) AS samples FROM r GROUP BY ALL""",
+)
 def a10(spark, sf):
     r = F.when(F.col("n_chars") < 500, "short").when(F.col("lang") == "es", "language").otherwise("other")
     p = F.when(F.col("n_chars") < 500, 1).when(F.col("lang") == "es", 2).otherwise(3)
     per = docs(spark, sf).groupBy("source", F.sha2("text", 256).alias("h")).agg(F.min_by(r, p).alias("reason"), F.min("n_chars").alias("t"))
-    return per.groupBy("source", "reason").agg(F.count("*").alias("n"), F.sum("t").alias("tokens"))
+    some = windows.top_k(per, ["source", "reason"], [F.col("h")], 3).groupBy("source", "reason").agg(F.array_join(F.array_sort(F.collect_list(F.left("h", F.lit(12)))), ",").alias("samples"))
+    return per.groupBy("source", "reason").agg(F.count("*").alias("n"), F.sum("t").alias("tokens")).join(some, ["source", "reason"])
 
 
 @query("a11_fertility_stats", r"SELECT lang, count(*) AS samples, sum(length(text))::BIGINT AS chars, sum(strlen(text))::BIGINT AS bytes, sum(len(regexp_extract_all(text, '[^ \n\t\r]+')))::BIGINT AS tokens, round(sum(len(regexp_extract_all(text, '[^ \n\t\r]+'))) / greatest(sum(length(text)), 1), 6) AS tokens_per_char FROM documents GROUP BY lang")
@@ -146,10 +160,10 @@ def a11(spark, sf):
     return g.withColumn("tokens_per_char", F.round(F.col("tokens") / F.greatest("chars", F.lit(1)), 6))
 
 
-@query("a12_audit_summary", "SELECT flag, count(*) AS n, max(n_chars) AS longest, round(avg(n_chars), 4) AS mean FROM (SELECT unnest(list_filter([CASE WHEN contains(text, '@') THEN 'at' END, CASE WHEN contains(text, '|') THEN 'bar' END, CASE WHEN n_chars > 4000 THEN 'long' END], lambda x: x IS NOT NULL)) AS flag, n_chars FROM documents) GROUP BY flag")
+@query("a12_audit_summary")
 def a12(spark, sf):
-    flags = F.array_compact(F.array(F.when(F.col("text").contains("@"), "at"), F.when(F.col("text").contains("|"), "bar"), F.when(F.col("n_chars") > 4000, "long")))
-    return docs(spark, sf).select("n_chars", F.explode(flags).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"), F.max("n_chars").alias("longest"), F.round(F.avg("n_chars"), 4).alias("mean"))
+    d = docs(spark, sf).select("doc_id", "n_chars", Q.triage(F.col("text"), F.split("text", r"\s+")).alias("flags"))
+    return reports.audit_summary(d, "flags", "n_chars", "doc_id", 10)
 
 
 @query("a13_generation_summary", "SELECT coalesce(role, '') AS role, coalesce(t, -1) AS turn, count(*) AS n, round(avg(CASE WHEN contains(text, 'tion') THEN 1.0 ELSE 0.0 END), 6) AS rate, round(avg(CASE WHEN turn > 0 THEN length(text) END), 4) AS mean FROM (SELECT role, turn AS t, turn, text FROM conversations) GROUP BY GROUPING SETS ((), (role), (t))")
@@ -172,10 +186,22 @@ def a15(spark, sf):
     return table(spark, sf, "orders").agg(F.round(F.avg(F.when(F.col("o_orderstatus") == "F", hit)), 6).alias("math_rate"), F.round(F.avg(F.when(F.col("o_orderstatus") == "O", hit)), 6).alias("code_rate"))
 
 
-@query("a16_perplexity_table", "SELECT l_returnflag AS dataset, round(exp(least(sum(l_discount::DOUBLE * l_quantity::DOUBLE) / sum(l_quantity::DOUBLE), 50)), 6) AS ppl FROM lineitem GROUP BY l_returnflag")
+@query(
+    "a16_perplexity_table",
+    """WITH d AS (SELECT l_returnflag AS dataset, round(exp(least(CASE WHEN sum(q) > 0 THEN sum(l_discount::DOUBLE * q) / sum(q) ELSE avg(l_discount::DOUBLE) END, 50)), 6) AS ppl FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity::DOUBLE END AS q FROM lineitem) GROUP BY l_returnflag)
+    SELECT * FROM d UNION ALL SELECT 'mean', round(avg(ppl), 6) FROM d""",
+)
 def a16(spark, sf):
-    q, d = F.col("l_quantity").cast("double"), F.col("l_discount").cast("double")
-    return table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("dataset")).agg(F.round(F.exp(F.least(F.sum(d * q) / F.sum(q), F.lit(50.0))), 6).alias("ppl"))
+    # Datasets without supervised tokens take the plain mean of their batches.
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("dataset"), F.col("l_discount").cast("double").alias("loss"), F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity").cast("double")).alias("tokens"))
+    return reports.perplexities(rows)
+
+
+@query("a17_probe_summary")
+def a17(spark, sf):
+    c = talks(spark, sf).where("role = 'assistant'")
+    own = c.select(arrow.loop_coverage("text").alias("loop"), T.distinct_ngram_ratio("text").alias("distinct4"), F.length("text").alias("chars"), F.col("text").rlike(r"[.!?]\s*$").alias("eos"), (F.length("text") % 101).cast("double").alias("judge"), F.array_compact(F.array(F.when(F.length("text") < 40, "short"), F.when(F.col("text").contains("\n"), "lines"))).alias("flags"))
+    return reports.probe_summary(own)
 
 
 @query("a17_probe_summary")
@@ -197,20 +223,24 @@ def a19(spark, sf):
     return g.where((F.col("n") >= 2) & (F.col("hi.s") - F.col("lo.s") >= 20)).select("prompt_id", F.col("hi.i").alias("chosen"), F.col("lo.i").alias("rejected"))
 
 
-@query("a20_rft_select", "SELECT k AS prompt_id, b.i AS best, CASE WHEN b IS NULL THEN 'no_clean_sample' WHEN b.q < 30 THEN 'best_below_floor' WHEN m > 40 THEN 'fuel_group_already_good' ELSE 'kept' END AS reason FROM (SELECT l_orderkey AS k, max({'q': l_quantity, 'i': l_linenumber}) FILTER (WHERE l_returnflag <> 'R') AS b, avg(l_quantity) AS m FROM lineitem GROUP BY l_orderkey)")
+@query(
+    "a20_rft_select",
+    """WITH s AS (SELECT l_orderkey AS prompt_id, l_linenumber AS i, l_quantity::DOUBLE AS judge, l_discount::DOUBLE AS rep, l_returnflag <> 'R' AS eos, l_extendedprice::DOUBLE AS reward, l_orderkey % 3 = 0 AS anchor FROM lineitem),
+    g AS (SELECT prompt_id, bool_or(anchor) AS anchor, avg(judge) AS mean, arg_max(i, {'r': reward, 'i': i}) FILTER (WHERE eos AND rep <= 0.06) AS best, arg_max(judge, {'r': reward, 'i': i}) FILTER (WHERE eos AND rep <= 0.06) AS bj FROM s GROUP BY prompt_id)
+    SELECT prompt_id, best, CASE WHEN best IS NULL THEN 'no_clean_sample' WHEN anchor AND bj < 35 THEN 'anchor_below_floor' WHEN NOT anchor AND bj < 20 THEN 'best_below_floor' WHEN NOT anchor AND mean > 40 THEN 'fuel_group_already_good' WHEN NOT anchor AND bj - mean < 2 THEN 'no_gain' ELSE 'kept' END AS reason FROM g""",
+)
 def a20(spark, sf):
-    best = F.max(F.when(F.col("l_returnflag") != "R", F.struct(F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("i"))))
-    g = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("prompt_id")).agg(best.alias("b"), F.avg("l_quantity").alias("m"))
-    why = F.when(F.col("b").isNull(), "no_clean_sample").when(F.col("b.q") < 30, "best_below_floor").when(F.col("m") > 40, "fuel_group_already_good").otherwise("kept")
-    return g.select("prompt_id", F.col("b.i").alias("best"), why.alias("reason"))
+    s = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("prompt_id"), F.col("l_linenumber").alias("index"), F.col("l_quantity").cast("double").alias("judge"), F.col("l_discount").cast("double").alias("repetition"), (F.col("l_returnflag") != "R").alias("eos"), F.col("l_extendedprice").cast("double").alias("reward"), (F.col("l_orderkey") % 3 == 0).alias("anchor"))
+    return reports.rft_select(s, repetition=0.06, anchor_floor=35, floor=20, ceiling=40, gain=2)
 
 
 @query("a21_reward_breakdown")
 def a21(spark, sf):
-    loop, d4 = F.col("loop"), F.col("d4")
-    rep = F.greatest(loop, F.when(loop < 0.2, F.greatest(F.lit(0.0), 1 - d4 / 0.6)).otherwise(loop))
-    c = talks(spark, sf).select("conv_id", "turn", F.length("text").alias("n"), arrow.loop_coverage("text").alias("loop"), T.distinct_ngram_ratio("text").alias("d4"))
-    return c.select("conv_id", "turn", F.round(rep, 6).alias("repetition"), F.round(1 - rep + 1.5 - F.when(F.col("n") == 0, 1.0).otherwise(0.0), 6).alias("reward"))
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    resp, _ = Q.responsiveness(F.col("text"), numeral=F.col("turn") % 2 == 1, differs_from=F.col("before"), min_chars=F.lit(60))
+    c = talks(spark, sf).withColumn("before", before)
+    own = c.select("conv_id", "turn", arrow.loop_coverage("text").alias("loop"), T.distinct_ngram_ratio("text").alias("distinct4"), (F.length("text") % 101 / 100).alias("coherence"), resp.alias("responsive"), (T.strip("text") == "").alias("empty"), F.col("text").rlike(r"[.!?]\s*$").alias("finished"))
+    return reports.rewards(own).select("conv_id", "turn", F.round("repetition", 6).alias("repetition"), F.round("reward", 6).alias("reward"))
 
 
 @query("a22_stage_checks", "SELECT 'no_null_text' AS name, count(*) FILTER (WHERE text IS NULL) = 0 AS passed FROM documents UNION ALL SELECT 'four_languages', count(DISTINCT lang) = 4 FROM documents UNION ALL SELECT 'all', count(*) FILTER (WHERE text IS NULL) = 0 AND count(DISTINCT lang) = 4 FROM documents")
@@ -249,12 +279,14 @@ def a25(spark, sf):
     return docs(spark, sf).select(T.document_split(F.sha2("text", 256)).alias("split"), flagged.alias("f")).groupBy("split").agg(F.count("*").alias("samples"), F.count_if("f").alias("flagged"), F.round(1 - F.count_if("f") / F.count("*"), 6).alias("safe_rate"))
 
 
-@query("a26_run_summary", "WITH e AS (SELECT event_type AS run, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS r, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS b FROM events) SELECT run, round(avg(value) FILTER (WHERE r <= 20), 6) AS first, round(avg(value) FILTER (WHERE b <= 20), 6) AS last, max(value) AS highest, round(avg(value) FILTER (WHERE r > 20), 6) AS steady, count(*) FILTER (WHERE value IS NULL) AS bad FROM e GROUP BY run")
+@query(
+    "a26_run_summary",
+    """WITH e AS (SELECT event_type AS run, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS r, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS b FROM events)
+    SELECT run, round(avg(value) FILTER (WHERE r <= 20), 6) AS first, round(avg(value) FILTER (WHERE b <= 20), 6) AS last, round(avg(value) FILTER (WHERE r <= 20) - avg(value) FILTER (WHERE b <= 20), 6) AS improvement, max(value) AS highest, round(avg(value) FILTER (WHERE r > 20), 6) AS steady, count(*) FILTER (WHERE value IS NULL) AS bad, arg_max(event_id, event_id) % 2 = 0 AS completed FROM e GROUP BY run""",
+)
 def a26(spark, sf):
-    w = Window.partitionBy("event_type")
-    e = table(spark, sf, "events").select(F.col("event_type").alias("run"), "value", F.row_number().over(w.orderBy("event_id")).alias("r"), F.row_number().over(w.orderBy(F.desc("event_id"))).alias("b"))
-    some = lambda c: F.round(F.avg(F.when(c, F.col("value"))), 6)
-    return e.groupBy("run").agg(some(F.col("r") <= 20).alias("first"), some(F.col("b") <= 20).alias("last"), F.max("value").alias("highest"), some(F.col("r") > 20).alias("steady"), F.count_if(F.col("value").isNull() | F.isnan("value")).alias("bad"))
+    e = table(spark, sf, "events").select(F.col("event_type").alias("run"), "event_id", "value", (F.col("event_id") % 2 == 0).alias("end"))
+    return reports.run_summary(e, "run", "event_id", "value", "end", 20)
 
 
 # Conversations.
@@ -345,15 +377,20 @@ def s07(spark, sf):
     return windows.evenly_spaced(table(spark, sf, "part").where("p_size > 40").select("p_partkey"), ["p_partkey"], 7, "even")
 
 
-@query("s08_catalog_select", "SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'a.*e') ORDER BY p_name, p_partkey LIMIT 30")
+@query("s08_catalog_select", "SELECT p_partkey, p_name FROM (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) - 1 AS r FROM part WHERE regexp_matches(p_name, 'a.*e')) WHERE r IN (SELECT (i * ((SELECT count(*) FROM part WHERE regexp_matches(p_name, 'a.*e')) - 1)) // 29 FROM range(30) t(i))")
 def s08(spark, sf):
-    return table(spark, sf, "part").where(F.col("p_name").rlike("a.*e")).select("p_partkey", "p_name").orderBy("p_name", "p_partkey").limit(30)
+    from ..sources import readers
 
+    files = table(spark, sf, "part").where(F.col("p_name").rlike("a.*e")).select("p_partkey", "p_name")
+    return readers.select_files(files, ["p_name", "p_partkey"], spaced=30, expected=files.count())
 
-@query("s09_paired_shards", "SELECT l_orderkey AS shard FROM lineitem WHERE l_linenumber <= 2 GROUP BY l_orderkey HAVING count(*) = 2 AND count(DISTINCT l_linenumber) = 2")
+
+@query("s09_paired_shards", "WITH w AS (SELECT l_orderkey AS shard, row_number() OVER (ORDER BY l_orderkey) - 1 AS r FROM lineitem WHERE l_linenumber <= 2 GROUP BY l_orderkey HAVING count(*) = 2 AND count(DISTINCT l_linenumber) = 2) SELECT shard FROM w WHERE r IN (SELECT (i * ((SELECT count(*) FROM w) - 1)) // 49 FROM range(50) t(i))")
 def s09(spark, sf):
-    g = table(spark, sf, "lineitem").where("l_linenumber <= 2").groupBy(F.col("l_orderkey").alias("shard")).agg(F.collect_set("l_linenumber").alias("roles"), F.count("*").alias("n"))
-    return g.where((F.size("roles") == 2) & (F.col("n") == 2)).select("shard")
+    from ..sources import readers
+
+    files = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("shard"), F.col("l_linenumber").cast("string").alias("role"))
+    return readers.paired(files, "shard", "role", ["1", "2"], 50)
 
 
 @query("s11_pages_to_documents")
@@ -370,10 +407,13 @@ def s13(spark, sf):
     return readers.read_text_column(table(spark, sf, "benchmark")).select("item_id", F.col("text").alias("content"))
 
 
-@query("s04_list_inputs", "SELECT p_partkey FROM part WHERE regexp_matches(p_name || '.jsonl', '\\.jsonl?$') AND NOT regexp_matches(p_name, '(?i)(manifest|report|stats|index|a)$')")
+@query("s04_list_inputs", "SELECT p_partkey FROM part WHERE p_partkey % 6 IN (0, 1, 2)")
 def s04(spark, sf):
-    name = F.col("p_name")
-    return table(spark, sf, "part").where(F.concat(name, F.lit(".jsonl")).rlike(r"\.jsonl?$") & ~name.rlike("(?i)(manifest|report|stats|index|a)$")).select("p_partkey")
+    from ..sources import readers
+
+    # Names of six kinds: data in three forms, then a manifest, statistics and a file of another kind.
+    kind = F.element_at(F.array(*map(F.lit, (".jsonl", ".json", ".jsonl.gz", "_manifest.json", ".stats.json", ".parquet"))), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return readers.list_inputs(table(spark, sf, "part").select("p_partkey", F.concat(F.lit("/data/reports/part"), F.col("p_partkey").cast("string"), kind).alias("path"))).select("p_partkey")
 
 
 @query("s05_prefer_plain_files", "SELECT o_orderkey FROM (SELECT o_orderkey, o_orderstatus = 'F' AS plain, max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey) AS any_plain FROM orders) WHERE plain OR any_plain = 0")

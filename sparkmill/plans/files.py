@@ -136,6 +136,11 @@ def _collected(spark, stream, mode):
     return spark.read.parquet(at)
 
 
+def _last(out):
+    """The table that the last batch of a stream in complete mode left."""
+    return out.where(F.col("batch") == out.agg(F.max("batch")).first()[0]).drop("batch", "b")
+
+
 @query("r03_stream_metrics_stats")
 def r03(spark, sf):
     out = _collected(spark, jobs.rolling_mean(_stream(spark, sf, "events", "event_type")), "update")
@@ -144,12 +149,14 @@ def r03(spark, sf):
 
 @query("r03_windowed_stats", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS lo, max(value) AS hi FROM events GROUP BY ALL")
 def r03b(spark, sf):
-    return jobs.windowed_stats(table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))).withColumn("mean", F.round("mean", 6)).withColumn("start", F.col("start").cast("timestamp_ntz"))
+    stream = _stream(spark, sf, "events", "event_type").withColumn("ts", F.col("ts").cast("timestamp"))
+    return _last(_collected(spark, jobs.windowed_stats(stream), "complete")).withColumn("mean", F.round("mean", 6)).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query("r03_sessions", "WITH g AS (SELECT user_id, ts, value, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS f FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n, round(sum(value), 4) AS total FROM s GROUP BY user_id, k")
 def r03c(spark, sf):
-    s = jobs.sessions(table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    stream = _stream(spark, sf, "events", "user_id").withColumn("ts", F.col("ts").cast("timestamp"))
+    s = _last(_collected(spark, jobs.sessions(stream), "complete"))
     return s.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round("total", 4).alias("total"))
 
 

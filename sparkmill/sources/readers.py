@@ -141,3 +141,33 @@ def read_benchmark_tables(spark: SparkSession, csv: list[str], parquet: list[str
         ).where("question <> ''")
         out = own if out is None else out.unionByName(own)
     return out
+
+
+#: Names of files beside the data.
+BESIDE = r"(?i)(?:^|[/_.-])(?:manifest|report|stats|index)(?:[_.-][^/]*)?\.json"
+
+
+def list_inputs(files: DataFrame, path: str = "path") -> DataFrame:
+    """The JSON and JSON-lines files of a listing, without manifests, reports, statistics and indexes beside them."""
+    return files.where(F.col(path).rlike(r"(?i)\.jsonl?(?:\.gz|\.zst)?$") & ~F.col(path).rlike(BESIDE))
+
+
+def paired(files: DataFrame, key: str, role: str, roles: list[str], n: int | None = None) -> DataFrame:
+    """(key) of shards that have each role exactly once; n: so many of them, evenly spaced in their order."""
+    from ..operators import windows
+
+    have = files.where(F.col(role).isin(roles)).groupBy(key).agg(F.count("*").alias("__n"), F.countDistinct(role).alias("__r"))
+    whole = have.where((F.col("__n") == len(roles)) & (F.col("__r") == len(roles))).select(key)
+    return whole if n is None else windows.evenly_spaced(whole, [key], n)
+
+
+def select_files(files: DataFrame, order: list[str], limit: int | None = None, spaced: int | None = None, expected: int | None = None) -> DataFrame:
+    """A catalogue's first files, or ones evenly spaced over it; another number of files than expected is an error."""
+    from ..operators import windows
+
+    n = files.count()
+    if expected is not None and n != expected:
+        raise ValueError(f"{n} files, {expected} expected")
+    if spaced is not None:
+        return windows.evenly_spaced(files, order, spaced)
+    return files.orderBy(*order).limit(limit) if limit is not None else files
