@@ -7,7 +7,8 @@ search holds the nodes it has not opened in a priority queue, by the inner produ
 opens the best, and so reaches leaves in an order; it visits the first `visits` of them, and on until these hold k
 candidates. `visits` is calibrated: for a sample of queries the exact neighbours among all vectors are found, and visits
 widen until the wanted share of them lies in the leaves visited. Leaves are dealt by subtrees of at most `GROUP_ROWS`
-vectors; a query is sent once to each subtree in which it visits leaves, with their names.
+vectors; a query is sent once to each subtree in which it visits leaves, with their names. It goes to the subtree of its
+best leaf first, then in turns to eight times as many; only what isn't worse than the k + 1 found so far comes back.
 
 Of equal vectors only the k + 1 smallest ids can be among the k nearest, so the index holds these, and equal queries are
 searched once; one frequent vector fills no leaf and no task.
@@ -137,12 +138,14 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def nearest_in(near: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def nearest_in(near: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int, worst: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, vector row, score) of each query's k nearest among some vectors, ties to smaller ids.
 
     near: matrix products of queries and vectors, minus infinity where a query doesn't look. They propose all that come
-    near the k-th score; only those are scored again, each sum in one order."""
+    near the k-th score, or near `worst`; only those are scored again, each sum in one order."""
     near_enough = near > -np.inf
+    if worst is not None:
+        near_enough &= near >= np.where(worst > -np.inf, worst - 1e-9 * (1 + np.abs(worst)), worst)[:, None]
     if len(vid) > k:
         least = np.partition(near, len(vid) - k, axis=1)[:, len(vid) - k]
         near_enough &= near >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
@@ -178,6 +181,12 @@ def nearest(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _turn(place: int, first: int) -> int:
+    """When a query visits the subtree that stands at a place in its order: the first ones at once, then eight times as
+    many each time, so that what comes back from the many is held against the best of the few before."""
+    return 0 if place < first else 1 + (place.bit_length() - 1) // 3
+
+
 class Index:
     """Every usable vector with its leaf, the tree, and the number of visits that reached the recall.
 
@@ -240,31 +249,55 @@ class Index:
         k = min(k or self.k, self.k)
         if self.tree is None:
             return queries.selectExpr("vid as query_id", "1 as rank", "vid as vec_id", "0D as score").where("false")
+        asked = materialize(queries.groupBy("v").agg(F.min("vid").alias("vid"), F.count("*").alias("n")), "asked")
+        groups = len(set(self.tree.groups(self.size, GROUP_ROWS).values()))
+        hits = None
+        for turn in range(_turn(groups - 1, 1) + 1):
+            if hits is None:
+                worst = asked.select("vid", "v", F.lit(float("-inf")).alias("worst"))
+            else:
+                least = hits.groupBy(F.col("query_id").alias("vid")).agg(F.when(F.count("*") > k, F.min("score")).otherwise(float("-inf")).alias("worst"))
+                worst = asked.select("vid", "v").join(least, "vid")
+            new = self._answers(worst, k + 1, turn)
+            hits = materialize(nearest(new if hits is None else hits.unionByName(new), k + 1).drop("rank"), "hits")
+        best = nearest(hits, k + 1).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("hits"))
+        named = materialize(asked.join(best.withColumnRenamed("query_id", "vid"), "vid").select("v", "n", "hits"), "answers")
+        out = join_hot(queries.select(F.col("vid").alias("query_id"), "v"), named, "v")
+        others = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
+        return out.select("query_id", F.posexplode(others).alias("at", "hit")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
+
+    def _answers(self, asked: DataFrame, k: int, turn: int) -> DataFrame:
+        """The k nearest of each query (vid, v, worst) in each subtree it visits at this turn, that aren't worse than `worst`."""
         tree, visits, size, dims = self.tree, self.visits, self.size, self.dims
         group_of = tree.groups(size, GROUP_ROWS)
-        asked = materialize(queries.groupBy("v").agg(F.min("vid").alias("vid"), F.count("*").alias("n")), "asked")
 
         def open_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 group, names, at = [], [], []
                 for i, x in enumerate(matrix(b.column("v"), dims)):
                     own: dict[int, list[int]] = {}
-                    for leaf in tree.visit(x, size, visits, k + 1):
+                    for leaf in tree.visit(x, size, visits, k):
                         own.setdefault(group_of[leaf], []).append(leaf)
-                    group += own
-                    names += [np.array(leaves, dtype=np.int64).tobytes() for leaves in own.values()]
-                    at += [i] * len(own)
+                    held, n = 0, 0  # the groups that are asked first
+                    for leaves in own.values():
+                        if held >= k:
+                            break
+                        held, n = held + sum(size[leaf] for leaf in leaves), n + 1
+                    chosen = [x for j, x in enumerate(own.items()) if _turn(j, n) == turn]
+                    group += [g for g, _ in chosen]
+                    names += [np.array(leaves, dtype=np.int64).tobytes() for _, leaves in chosen]
+                    at += [i] * len(chosen)
                 idx = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.array([-1] * len(at), pa.int64()), b.column("vid").take(idx), b.column("v").take(idx), pa.array(names, pa.binary())], names=["group", "leaf", "vid", "v", "names"])
+                yield pa.RecordBatch.from_arrays([pa.array(group, pa.int64()), pa.array([-1] * len(at), pa.int64()), b.column("vid").take(idx), b.column("v").take(idx), pa.array(names, pa.binary()), b.column("worst").take(idx)], names=["group", "leaf", "vid", "v", "names", "worst"])
 
         def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 group = pa.array([group_of[x] for x in b.column("leaf").to_pylist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([group, b.column("leaf"), b.column("vid"), b.column("v"), pa.nulls(len(b), pa.binary())], names=["group", "leaf", "vid", "v", "names"])
+                yield pa.RecordBatch.from_arrays([group, b.column("leaf"), b.column("vid"), b.column("v"), pa.nulls(len(b), pa.binary()), pa.nulls(len(b), pa.float64())], names=["group", "leaf", "vid", "v", "names", "worst"])
 
-        schema = "group long, leaf long, vid long, v array<double>, names binary"
+        schema = "group long, leaf long, vid long, v array<double>, names binary, worst double"
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        both = self.leaves.select("vid", "v", "leaf").mapInArrow(held, schema).unionAll(asked.select("vid", "v").mapInArrow(open_leaves, schema))
+        both = self.leaves.select("vid", "v", "leaf").mapInArrow(held, schema).unionAll(asked.select("vid", "v", "worst").mapInArrow(open_leaves, schema))
         dealt = both.repartition(parts, "group").sortWithinPartitions("group", F.desc("leaf"), "vid")
 
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +306,7 @@ class Index:
                 if not len(b):
                     continue
                 of, leaf, ids, x = (*(b.column(c).to_numpy() for c in ("group", "leaf", "vid")), matrix(b.column("v"), dims))
+                worst = b.column("worst").to_numpy(zero_copy_only=False)
                 cut = np.r_[0, np.flatnonzero((np.diff(of) != 0) | (np.diff(leaf < 0))) + 1, len(of)]
                 for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                     if of[lo] != group:
@@ -294,15 +328,7 @@ class Index:
                         near = np.full((len(q), len(vid)), -np.inf)
                         for n, rows in askers.items():
                             near[rows, place[n]] = q[rows] @ v[place[n]].T
-                        row, col, score = nearest_in(near, q, vid, v, k + 1)
+                        row, col, score = nearest_in(near, q, vid, v, k, worst[at:end])
                         yield pa.RecordBatch.from_arrays([pa.array(ids[at:end][row]), pa.array(vid[col]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-        best = nearest(dealt.mapInArrow(answer, HITS), k + 1).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("hits"))
-        named = materialize(asked.join(best.withColumnRenamed("query_id", "vid"), "vid").select("v", "n", "hits"), "answers")
-        out = join_hot(queries.select(F.col("vid").alias("query_id"), "v"), named, "v")
-        others = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
-        return out.select("query_id", F.posexplode(others).alias("at", "hit")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
-
-
-def matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+        return dealt.mapInArrow(answer, HITS)
