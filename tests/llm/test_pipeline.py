@@ -98,3 +98,26 @@ def test_edited_copies_go(spark):
     got = [x.doc_id for x in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
     assert sorted(x for x in got if x is not None) == [i for i in sets if root[i] == i] and got.count(None) == 1
     assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
+
+
+def test_stages_on_repeated_and_null_ids_and_clashing_columns(spark, planted, tmp_path):
+    r = random.Random(31)
+    text = lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n))
+    one, two, copy = text(90), text(80), text(70)
+    rows = [(7, one), (7, two), (None, text(60)), (None, copy), (5, copy), (9, "mail a.b@c.de now " + text(60)), (9, "mail a.b@c.de now " + text(50)), (11, None), (None, ""), (12, text(20_000))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, k, k, k, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, _near_id int, __rid int, __spans int, spans int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{planted}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        kept = {x.spans: x for x in out.collect()}
+        assert all(x._near_id == x["__rid"] == x["__spans"] == k for k, x in kept.items())
+        assert all(kept[k].doc_id == rows[k][0] for k in kept) and {0, 1, 2, 4, 5, 6, 9} <= set(kept)
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    assert 3 not in kept and kept[0].text == one and kept[1].text == two and "[EMAIL]" in kept[5].text and len(kept[9].text.split()) == 20_000
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert sum(x.length for x in packed) == sum(len((x.text or "").split()) + 1 for x in kept.values()) and {x.doc_id for x in packed} == {x.doc_id for x in kept.values()}
+    empty = spark.createDataFrame([], docs.schema)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
