@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import patterns as P
@@ -130,6 +130,18 @@ def choice_prompt(question: C, labels: C, choices: C) -> Column:
     return F.array_join(F.concat(F.array(strip(question)), F.array_compact(rows)), "\n")
 
 
+def prompts(rows: DataFrame, name: str, forms: dict[str, Column], least: int) -> DataFrame:
+    """With `prompt`, in the form of each row's benchmark; rows of other benchmarks, or of fewer characters, white space
+    aside, go."""
+    own = F.coalesce(*[F.when(F.col(name) == n, form) for n, form in forms.items()])
+    return rows.withColumn("prompt", own).where(length_of("prompt") >= least)
+
+
+def length_of(x: C) -> Column:
+    """Characters of a text, white space aside."""
+    return F.length(squeeze(x))
+
+
 def text_features(x: C) -> dict[str, Column]:
     """Six measures of a text in [0, 1]."""
     n = F.greatest(F.length(_c(x)), F.lit(1))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrow, text as T
 from ..functions import patterns as P
 from ..functions import topics as K
+from . import joins
 
 
 def reason(*rules: tuple[Column, str]) -> Column:
@@ -161,6 +162,19 @@ def score_in_range(score: Column, low: float | None = None, high: float | None =
     return F.coalesce(ok, F.lit(True))
 
 
+def forbidden(rows: DataFrame, path: str, roots: list[str], repo: str, denied: DataFrame, stop: bool = False) -> DataFrame:
+    """With `forbidden`: root (a path under a forbidden root), upstream (a repository of the deny list, in any case of
+    letters) or ''. stop: such a row is an error."""
+    under = F.lit(False)
+    for r in roots:
+        under = under | F.col(path).startswith(r)
+    listed = joins.small(denied.select(F.lower(denied.columns[0]).alias("__denied")).distinct())
+    j = rows.join(listed, F.lower(repo) == F.col("__denied"), "left")
+    why = F.when(under, "root").when(F.col("__denied").isNotNull(), "upstream").otherwise("")
+    out = j.withColumn("forbidden", why).drop("__denied")
+    return out.withColumn("forbidden", F.when(F.col("forbidden") == "", "").otherwise(F.raise_error(F.concat_ws(": ", F.col("forbidden"), path)))) if stop else out
+
+
 def template_page(x: Column) -> Column:
     low = F.lower(x)
     has = lambda *w: F.greatest(*[low.contains(s) for s in w])

@@ -178,3 +178,14 @@ def run_summary(rows: DataFrame, run: str, order: str, value: str, end: str, k:
     steady = F.when(rest > 0, (F.col("__sum") - F.col("__first")) / rest)
     gained = F.col("first") - F.col("last")
     return j.select(run, F.round("first", 6).alias("first"), F.round("last", 6).alias("last"), F.round(gained, 6).alias("improvement"), "highest", F.round(steady, 6).alias("steady"), "bad", "completed")
+
+
+def health(rows: DataFrame, split: str, order: str, k: int) -> DataFrame:
+    """(split, samples, poison, repeated, flagged, safe_rate, examples) per split, the first k flagged rows as examples,
+    and a row `mean` of the splits' safe rates."""
+    flagged = F.col("poison") | F.col("repeated")
+    some = windows.top_k(rows.where(flagged), [split], [F.col(order)], k).groupBy(split).agg(F.array_sort(F.collect_list(order)).alias("examples"))
+    each = rows.groupBy(split).agg(F.count("*").alias("samples"), F.count_if("poison").alias("poison"), F.count_if("repeated").alias("repeated"), F.count_if(flagged).alias("flagged"))
+    each = each.withColumn("safe_rate", F.round(1 - F.col("flagged") / F.col("samples"), 6)).join(some, split, "left")
+    total = each.agg(F.lit("mean").alias(split), *[F.sum(c).alias(c) for c in ("samples", "poison", "repeated", "flagged")], F.round(F.avg("safe_rate"), 6).alias("safe_rate"))
+    return each.unionByName(total, allowMissingColumns=True)

@@ -275,8 +275,8 @@ def a24(spark, sf):
 
 @query("a25_text_health_scan")
 def a25(spark, sf):
-    flagged = Q.repeated_sentences(F.col("text"))
-    return docs(spark, sf).select(T.document_split(F.sha2("text", 256)).alias("split"), flagged.alias("f")).groupBy("split").agg(F.count("*").alias("samples"), F.count_if("f").alias("flagged"), F.round(1 - F.count_if("f") / F.count("*"), 6).alias("safe_rate"))
+    d = docs(spark, sf).select("doc_id", "text", T.document_split(F.sha2("text", 256)).alias("split"))
+    return reports.health(d.select("doc_id", "split", Q.poison_repetition(F.col("text")).alias("poison"), Q.repeated_sentences(F.col("text")).alias("repeated")), "split", "doc_id", 8)
 
 
 @query(
@@ -319,8 +319,15 @@ def p29(spark, sf):
 
 @query("p30_conversation_segments")
 def p30(spark, sf):
-    parts = F.transform("messages", lambda m: F.struct(F.concat(F.lit("<"), m["role"], F.lit(">"), m["text"]).alias("segment"), (m["role"] == "assistant").alias("supervised")))
-    return messages(spark, sf).select("conv_id", parts.alias("parts")).where(F.exists("parts", lambda p: p["supervised"])).select("conv_id", F.aggregate("parts", F.lit(0), lambda a, p: a + F.when(p["supervised"], F.length(p["segment"])).otherwise(0)).alias("supervised_chars"), F.size("parts").alias("segments"))
+    # Words of at most 400 a talk, counted from its end; the prompt's half of a pair is masked to its last turn.
+    words = F.transform("messages", lambda m: F.struct(F.split(F.concat(F.lit("<"), m["role"], F.lit("> "), m["text"]), r"\s+").alias("w"), (m["role"] == "assistant").alias("on")))
+    last = F.array_max(F.transform("parts", lambda p, i: F.when(p["on"], i)))
+    rows = messages(spark, sf).select("conv_id", words.alias("parts")).withColumn("last", last)
+    labels = lambda pair: F.flatten(F.transform("parts", lambda p, i: F.transform(p["w"], lambda w: F.when(p["on"] & (F.lit(not pair) | (i == F.col("last"))), 1).otherwise(-100))))
+    tail = lambda a: F.slice(a, F.greatest(F.size(a) - 399, F.lit(1)), F.lit(400))
+    cut = rows.select("conv_id", F.size("parts").alias("segments"), tail(labels(False)).alias("own"), tail(labels(True)).alias("pair"))
+    n = lambda c: F.size(F.filter(c, lambda x: x != -100))
+    return cut.select("conv_id", "segments", F.size("own").alias("tokens"), n("own").alias("supervised"), n("pair").alias("supervised_in_pairs")).where("supervised > 0")
 
 
 @query("p31_supervised_tokens", r"SELECT conv_id, coalesce(sum(len(regexp_split_to_array(text, '\s+'))) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS supervised FROM conversations GROUP BY conv_id")
@@ -458,10 +465,16 @@ def g02(spark, sf):
     return packed.select("source", "window", F.xxhash64("tokens").alias("digest"), F.size("tokens").alias("n"))
 
 
-@query("g03_admit_and_verify_rows", "SELECT doc_id, CASE WHEN source <> 'src' || (doc_id % 20) THEN 'source_mismatch' ELSE '' END AS violation FROM documents")
+@query(
+    "g03_admit_and_verify_rows",
+    """WITH d AS (SELECT doc_id, source, CASE WHEN b < 9600 THEN 'train' WHEN b < 9800 THEN 'val' ELSE 'test' END AS own FROM (SELECT doc_id, source, ('0x' || left(sha256(text), 8))::BIGINT % 10000 AS b FROM documents))
+    SELECT doc_id, CASE WHEN source <> 'src' || (doc_id % 20) THEN 'source_mismatch' WHEN own <> CASE WHEN doc_id % 11 = 0 THEN 'test' ELSE own END THEN 'split_mismatch' ELSE '' END AS violation FROM d""",
+)
 def g03(spark, sf):
-    declared = F.concat(F.lit("src"), (F.col("doc_id") % 20).cast("string"))
-    return docs(spark, sf).select("doc_id", F.when(F.col("source") != declared, "source_mismatch").otherwise("").alias("violation"))
+    # The declared source follows the id; every eleventh document lies in the path of the test split.
+    own = T.document_split(F.sha2("text", 256))
+    d = docs(spark, sf).select("doc_id", "source", F.concat(F.lit("src"), (F.col("doc_id") % 20).cast("string")).alias("declared"), own.alias("own"), F.when(F.col("doc_id") % 11 == 0, "test").otherwise(own).alias("path_split"))
+    return d.select("doc_id", Q.reason((F.col("source") != F.col("declared"), "source_mismatch"), (F.col("own") != F.col("path_split"), "split_mismatch")).alias("violation"))
 
 
 @query("g04_post_clean_admission", "SELECT doc_id, CASE WHEN sha256(text) IN (SELECT sha256(text) FROM documents WHERE source = 'src5') AND source <> 'src5' THEN 'legacy_exact' WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) THEN 'manifest' ELSE '' END AS reason FROM documents")

@@ -393,10 +393,11 @@ def m06(spark, sf):
     return policy.remaining(plan, done, "source")
 
 
-@query("m07_filter_sources_fill", "WITH p AS (SELECT source, sum(n_chars)::DOUBLE AS s FROM documents WHERE source IN ('src0', 'src1', 'src2') GROUP BY source) SELECT source, round(s / (SELECT sum(s) FROM p), 9) AS f FROM p")
+@query("m07_filter_sources_fill", "WITH p AS (SELECT source, sum(n_chars)::DOUBLE AS s FROM documents WHERE source IN ('src0', 'src1', 'src2') GROUP BY source), x AS (SELECT source, s / (SELECT sum(s) FROM p) AS f FROM p), y AS (SELECT source, f, floor(round(f * 100003, 9)) AS fl, round(round(f * 100003, 9) - floor(round(f * 100003, 9)), 9) AS rest FROM x) SELECT source, CAST(fl + CASE WHEN row_number() OVER (ORDER BY rest DESC, source DESC) <= 100003 - sum(fl) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM y")
 def m07(spark, sf):
     p = docs(spark, sf).where("source in ('src0', 'src1', 'src2')").groupBy("source").agg(F.sum("n_chars").cast("double").alias("s"))
-    return p.select("source", F.round(F.col("s") / F.sum("s").over(Window.partitionBy(F.lit(1))), 9).alias("f"))
+    scaled = p.withColumn("f", F.col("s") / F.sum("s").over(Window.partitionBy(F.lit(1))))
+    return windows.largest_remainder(scaled, F.lit(100003), "f", "source", [], "descending").select("source", "quota")
 
 
 # Sorts, pools, set operations.

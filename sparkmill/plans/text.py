@@ -168,10 +168,11 @@ def p23(spark, sf):
     return table(spark, sf, "benchmark").select("item_id", T.choice_prompt("text", F.array(*map(F.lit, "ABC")), choices).alias("prompt"))
 
 
-@query("p24_benchmark_prompt", r"SELECT item_id, CASE item_id % 2 WHEN 0 THEN 'qa' ELSE 'code' END AS benchmark, trim(text, E' \n\t') AS prompt FROM benchmark WHERE length(regexp_replace(text, '\s+', '', 'g')) >= 40")
+@query("p24_benchmark_prompt", r"SELECT item_id, benchmark, prompt FROM (SELECT item_id, CASE item_id % 2 WHEN 0 THEN 'qa' ELSE 'code' END AS benchmark, CASE item_id % 2 WHEN 0 THEN trim(text, E' \n\t') ELSE 'def f' || item_id || '():' || chr(10) || trim(text, E' \n\t') END AS prompt FROM benchmark) WHERE length(regexp_replace(prompt, '\s+', '', 'g')) >= 40")
 def p24(spark, sf):
-    name = F.when(F.col("item_id") % 2 == 0, "qa").otherwise("code")
-    return table(spark, sf, "benchmark").where(F.length(T.squeeze("text")) >= 40).select("item_id", name.alias("benchmark"), T.strip("text").alias("prompt"))
+    rows = table(spark, sf, "benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, "qa").otherwise("code").alias("benchmark"), F.col("text").alias("question"), F.concat(F.lit("def f"), F.col("item_id").cast("string"), F.lit("():")).alias("signature"))
+    forms = {"qa": T.strip("question"), "code": F.concat_ws("\n", "signature", T.strip("question"))}
+    return T.prompts(rows, "benchmark", forms, 40).select("item_id", "benchmark", "prompt")
 
 
 @query("p25_feature_text")
@@ -382,10 +383,14 @@ def f28(spark, sf):
     return talks(spark, sf).withColumn("before", before).select("conv_id", "turn", F.round(score, 6).alias("score"))
 
 
-@query("f30_forbidden_roots", "SELECT page_id, starts_with(regexp_replace(url, '^[a-z]+://', ''), 'www.') OR lower(split_part(split_part(url, '://', 2), '/', 1)) LIKE '%.example.net' AS forbidden FROM pages")
+@query(
+    "f30_forbidden_roots",
+    "SELECT page_id, CASE WHEN starts_with(regexp_replace(url, '^[a-z]+://', ''), 'www.') THEN 'root' WHEN lower(split_part(split_part(url, '://', 2), '/', 1)) IN (SELECT lower(split_part(split_part(url, '://', 2), '/', 1)) FROM pages WHERE page_id % 97 = 0) THEN 'upstream' ELSE '' END AS forbidden FROM pages",
+)
 def f30(spark, sf):
-    rest = F.regexp_replace("url", "^[a-z]+://", "")
-    return table(spark, sf, "pages").select("page_id", (rest.startswith("www.") | F.lower(F.split(rest, "/")[0]).endswith(".example.net")).alias("forbidden"))
+    pages = table(spark, sf, "pages").withColumn("rest", F.regexp_replace("url", "^[a-z]+://", "")).withColumn("repo", F.split("rest", "/")[0])
+    denied = pages.where("page_id % 97 = 0").select("repo")
+    return Q.forbidden(pages, "rest", ["www."], "repo", denied).select("page_id", "forbidden")
 
 
 @query("f31_response_language_match", "SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN NULL WHEN trim(text, E' \\n\\t') = '' THEN false WHEN turn % 3 = 1 THEN true ELSE NOT regexp_matches(text, '[A-Za-z]') END AS matches FROM conversations")

@@ -136,3 +136,11 @@ def test_kernels_against_plain_versions():
     n = Counter(s[i : i + k] for s in ["abcabcab"] for k in (1, 2, 3) for i in range(len(s) - k + 1))
     assert sum(Counter(kernels.grams("abcabcab", 3, 16)).values()) == sum(round(1 + math.log2(c)) for c in n.values())
     assert kernels.clean("a\r\nb\x00\u200b\ufffd c\u0301\n\nCopyright\nPrivacy Policy ", True) == "a\nb ć\n\nCopyright"
+
+
+def test_forbidden_rows_stop_if_asked(spark):
+    rows = spark.createDataFrame([("/bad/x", "a/b"), ("/ok", "Org/Repo"), ("/ok", "c/d"), (None, None)], "path string, repo string")
+    denied = spark.createDataFrame([("org/repo",), ("org/REPO",)], "repo string")
+    assert sorted(r.forbidden for r in Q.forbidden(rows, "path", ["/bad"], "repo", denied).collect()) == ["", "", "root", "upstream"]
+    with pytest.raises(Exception, match="upstream: /ok"):
+        Q.forbidden(rows.where("path = '/ok'"), "path", ["/bad"], "repo", denied, stop=True).collect()
