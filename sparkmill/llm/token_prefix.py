@@ -21,7 +21,6 @@ from itertools import accumulate
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import map_arrow, real_id, texts, with_id
 from .pretokens import PRETOKEN, UNIT
