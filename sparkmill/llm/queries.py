@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, packing, pii, quality, simhash, substring, token_prefix, toxicity, url_filter
+from . import ann, byte_bpe, centroids, packing, pii, quality, simhash, spelling, substring, token_prefix, toxicity, url_filter, vector_copies
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,3 +78,22 @@ def op5_quality_rules(spark, sf_dir):
 def op10_nearest(spark, sf_dir):
     index = ann.Index(table(spark, sf_dir, "embeddings"))
     return index.search(index.rows.where("vid % 20 = 0"))
+
+
+@query
+def op11_centroid_clustering(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_vector_copies(spark, sf_dir):
+    return vector_copies.near_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.counted(table(spark, sf_dir, "documents")))
+
+
+ORACLE["op11_centroid_clustering"] = centroids.oracle()
+ORACLE["op12_vector_copies"] = vector_copies.ORACLE
