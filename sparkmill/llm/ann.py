@@ -8,10 +8,11 @@ opens the best, and so reaches leaves in an order; it visits the first `visits`
 candidates. `visits` is calibrated: for a sample of queries the exact neighbours among all vectors are found, and visits
 widen until the wanted share of them lies in the leaves visited. Leaves are dealt by subtrees of at most `GROUP_ROWS`
 vectors; a query is sent once to each subtree in which it visits leaves, with their names. It goes to the subtree of its
-best leaf first, then in turns to eight times as many; only what isn't worse than the k + 1 found so far comes back.
+best leaf first, then in turns to eight times as many; only what isn't worse than the best found so far comes back.
 
-Of equal vectors only the k + 1 smallest ids can be among the k nearest, so the index holds these, and equal queries are
-searched once; one frequent vector fills no leaf and no task.
+Equal queries are searched once, whatever their ids, for so many rows that k are left without those of any one id: k and
+as many as the most frequent id has (`keep`), of which k of one id at most. Of equal vectors only the k + 1 smallest ids,
+k rows each, can be among the k nearest, so the index holds these; one frequent vector fills no leaf and no task.
 
 Scores are inner products in double precision, summed in one order for every pair, so equal vectors tie exactly.
 
@@ -138,15 +139,16 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def nearest_in(near: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int, worst: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, vector row, score) of each query's k nearest among some vectors, ties to smaller ids.
+def nearest_in(near: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int, worst: np.ndarray | None = None, of_one: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, vector row, score) of each query's k nearest among some vectors, ties to smaller ids; of_one: of an id
+    that repeats only so many.
 
     near: matrix products of queries and vectors, minus infinity where a query doesn't look. They propose all that come
     near the k-th score, or near `worst`; only those are scored again, each sum in one order."""
     near_enough = near > -np.inf
     if worst is not None:
         near_enough &= near >= np.where(worst > -np.inf, worst - 1e-9 * (1 + np.abs(worst)), worst)[:, None]
-    if len(vid) > k:
+    if len(vid) > k and of_one is None:
         least = np.partition(near, len(vid) - k, axis=1)[:, len(vid) - k]
         near_enough &= near >= (least - 1e-9 * (1 + np.abs(least)))[:, None]
     row, col = np.nonzero(near_enough)
@@ -155,6 +157,12 @@ def nearest_in(near: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray,
         score += q[row, d] * v[col, d]
     order = np.lexsort((vid[col], -score, row))
     row, col, score = row[order], col[order], score[order]
+    if of_one is not None:
+        by_id = np.lexsort((np.arange(len(row)), vid[col], row))
+        begins = np.r_[True, (np.diff(row[by_id]) != 0) | (np.diff(vid[col][by_id]) != 0)][: len(row)]
+        run = np.arange(len(row)) - np.maximum.accumulate(np.where(begins, np.arange(len(row)), 0)) if len(row) else np.zeros(0, dtype=np.int64)
+        stays = np.sort(by_id[run < of_one])
+        row, col, score = row[stays], col[stays], score[stays]
     place = np.arange(len(row)) - np.searchsorted(row, row)
     return row[place < k], col[place < k], score[place < k]
 
@@ -175,9 +183,11 @@ def exact(vectors: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFra
     return vectors.mapInArrow(run, HITS + ", leaf long")
 
 
-def nearest(hits: DataFrame, k: int) -> DataFrame:
-    """The k best of each query: largest score, then smallest id."""
+def nearest(hits: DataFrame, k: int, of_one: int | None = None) -> DataFrame:
+    """The k best of each query: largest score, then smallest id; of_one: of one id only so many."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    if of_one is not None:
+        hits = hits.withColumn("own", F.row_number().over(Window.partitionBy("query_id", "vec_id").orderBy(F.col("score").desc()))).where(F.col("own") <= of_one).drop("own")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -201,16 +211,20 @@ class Index:
         if not length:
             return
         copies = Window.partitionBy("v").orderBy("vid")
-        own = materialize(rows.withColumn("place", F.dense_rank().over(copies)).where(F.col("place") <= k + 1).drop("place"), "vectors")
+        again = Window.partitionBy("v", "vid").orderBy(F.lit(1))
+        own = rows.withColumn("place", F.dense_rank().over(copies)).where(F.col("place") <= k + 1).withColumn("place", F.row_number().over(again)).where(F.col("place") <= k)
+        own = materialize(own.drop("place"), "vectors")
         n = own.count()
+        repeat = own.groupBy("vid").count().agg(F.max("count")).first()[0]
+        self.keep, self.of_one = k + min(k, repeat), k if repeat > k else None
         some = bounded_sample(own, ["vid"], sample_rows, n).toArrow()
         self.tree = Tree(np.unique(matrix(some.column("v").combine_chunks(), self.dims), axis=0))
         self.leaves = self._deepened(own)
         asked = bounded_sample(self.leaves.withColumn("salt", F.lit(2)), ["vid", "salt"], CALIBRATION, n).toArrow()
         ids, q = asked.column("vid").to_numpy(), matrix(asked.column("v").combine_chunks(), self.dims)
-        found = nearest(exact(self.leaves, ids, q, k + 1), k + 1).select("query_id", "vec_id", "leaf").collect()  # CALIBRATION * (k + 1) rows at most
-        place = {int(i): {leaf: at for at, leaf in enumerate(self.tree.visit(x, self.size, len(self.size)))} for i, x in zip(ids, q, strict=True)}
-        need = np.sort([place[r.query_id][r.leaf] + 1 for r in found if r.vec_id != r.query_id] or [1])
+        found = nearest(exact(self.leaves, np.arange(len(ids)), q, k + 1), k + 1).select("query_id", "vec_id", "leaf").collect()  # CALIBRATION * (k + 1) rows at most
+        place = [{leaf: at for at, leaf in enumerate(self.tree.visit(x, self.size, len(self.size)))} for x in q]
+        need = np.sort([place[r.query_id][r.leaf] + 1 for r in found if r.vec_id != ids[r.query_id]] or [1])
         self.visits = int(need[min(len(need) - 1, int(np.ceil(recall * len(need))))])
 
     def _deepened(self, own: DataFrame) -> DataFrame:
@@ -249,18 +263,18 @@ class Index:
         k = min(k or self.k, self.k)
         if self.tree is None:
             return queries.selectExpr("vid as query_id", "1 as rank", "vid as vec_id", "0D as score").where("false")
-        asked = materialize(queries.groupBy("v").agg(F.min("vid").alias("vid"), F.count("*").alias("n")), "asked")
+        asked = materialize(queries.groupBy("v").agg(F.count("*").alias("n")).withColumn("vid", F.monotonically_increasing_id()), "asked")
         groups = len(set(self.tree.groups(self.size, GROUP_ROWS).values()))
         hits = None
         for turn in range(_turn(groups - 1, 1) + 1):
             if hits is None:
                 worst = asked.select("vid", "v", F.lit(float("-inf")).alias("worst"))
             else:
-                least = hits.groupBy(F.col("query_id").alias("vid")).agg(F.when(F.count("*") > k, F.min("score")).otherwise(float("-inf")).alias("worst"))
+                least = hits.groupBy(F.col("query_id").alias("vid")).agg(F.when(F.count("*") >= self.keep, F.min("score")).otherwise(float("-inf")).alias("worst"))
                 worst = asked.select("vid", "v").join(least, "vid")
-            new = self._answers(worst, k + 1, turn)
-            hits = materialize(nearest(new if hits is None else hits.unionByName(new), k + 1).drop("rank"), "hits")
-        best = nearest(hits, k + 1).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("hits"))
+            new = self._answers(worst, self.keep, turn)
+            hits = materialize(nearest(new if hits is None else hits.unionByName(new), self.keep, self.of_one).drop("rank"), "hits")
+        best = nearest(hits, self.keep).groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("hits"))
         named = materialize(asked.join(best.withColumnRenamed("query_id", "vid"), "vid").select("v", "n", "hits"), "answers")
         out = join_hot(queries.select(F.col("vid").alias("query_id"), "v"), named, "v")
         others = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
@@ -268,7 +282,7 @@ class Index:
 
     def _answers(self, asked: DataFrame, k: int, turn: int) -> DataFrame:
         """The k nearest of each query (vid, v, worst) in each subtree it visits at this turn, that aren't worse than `worst`."""
-        tree, visits, size, dims = self.tree, self.visits, self.size, self.dims
+        tree, visits, size, dims, of_one = self.tree, self.visits, self.size, self.dims, self.of_one
         group_of = tree.groups(size, GROUP_ROWS)
 
         def open_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +342,7 @@ class Index:
                         near = np.full((len(q), len(vid)), -np.inf)
                         for n, rows in askers.items():
                             near[rows, place[n]] = q[rows] @ v[place[n]].T
-                        row, col, score = nearest_in(near, q, vid, v, k, worst[at:end])
+                        row, col, score = nearest_in(near, q, vid, v, k, worst[at:end], of_one)
                         yield pa.RecordBatch.from_arrays([pa.array(ids[at:end][row]), pa.array(vid[col]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
         return dealt.mapInArrow(answer, HITS)

@@ -380,3 +380,22 @@ def test_leaves_stay_bounded_and_fewer_are_visited(spark, monkeypatch):
         want = {(q, int(i)) for q, row in zip(ids, s, strict=True) for i in np.argsort(-row)[:20]}
         assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
     assert share[8000] < 0.8 * share[1000] < 0.2
+
+
+@pytest.mark.parametrize(("times", "alike"), [(6, False), (30, False), (30, True)])
+def test_nearest_of_repeated_ids(spark, times, alike):
+    r = np.random.default_rng(times)
+    rows = [(k, r.normal(size=6).tolist()) for k in range(60)]
+    again = rows[20][1] if alike else None
+    rows += [(20, again or r.normal(size=6).tolist()) for _ in range(times - 1)] + [(40, rows[20][1])]
+    index = ann.Index(spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<double>, rank int"))
+    got = {}
+    for x in index.search(index.rows.where("vid % 20 = 0")).collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, round(x.score, 9)))
+    want = {}
+    for i, q in rows:
+        if i % 20 == 0:
+            best = sorted((-round(float(np.dot(q, v)), 9), j) for j, v in rows if j != i)[:20]
+            want.setdefault(i, []).extend((k, j, -s) for k, (s, j) in enumerate(best, 1))
+    assert {i: sorted(x) for i, x in got.items()} == {i: sorted(x) for i, x in want.items()}
+    assert all(len(x) % 20 == 0 for x in got.values())
