@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from sparkmill.llm import near_copies, simhash, substring
@@ -189,3 +190,56 @@ def test_a_very_long_text(spark):
     w[250_000:250_000] = passage
     (x,) = substring.remove_repeats(spark.createDataFrame([(1, " ".join(w))], "doc_id long, text string")).collect()
     assert (x.n_words, x.n_removed) == (300_100, 50)
+
+
+def edited(r, n, words, edits, tag=""):
+    base = [f"{tag}b{r.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for k in r.sample(range(words), edits):
+            w[k] = f"{tag}e{r.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def plain_near(rows, size=5, least=0.8):
+    """All pairs through a bit matrix; the components' smallest ids."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)})
+    names = {s: k for k, s in enumerate({s for x in sets for s in x})}
+    m = np.zeros((len(sets), len(names)), dtype=np.float32)
+    for k, x in enumerate(sets):
+        m[k, [names[s] for s in x]] = 1
+    shared, n = m @ m.T, m.sum(axis=1)
+    i, j = np.nonzero(shared >= least * (n[:, None] + n[None] - shared) - 1e-6)
+    root = np.arange(len(rows))
+    while (root[i] != root[j]).any():
+        np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
+        root = root[root]
+    least_id = {}
+    for k, g in enumerate(root.tolist()):
+        least_id[g] = min(least_id.get(g, rows[k][0]), rows[k][0])
+    return {rows[k][0]: least_id[g] for k, g in enumerate(root.tolist())}
+
+
+@pytest.mark.parametrize("tile", [256, 40])
+def test_near_copies_of_large_groups(spark, monkeypatch, tile):
+    monkeypatch.setattr(near_copies, "TILE", tile)
+    r = random.Random(11)
+    texts = edited(r, 300, 200, 3, "x") + edited(r, 400, 120, 2, "y") + edited(r, 200, 150, 1, "z") + [f"short {k % 40}" for k in range(80)] + edited(r, 12, 40, 1, "v")
+    rows = list(enumerate(texts)) + [(5000, texts[3]), (5001, None), (5002, "")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, block string, tile int")
+    got = {x.doc_id: x.component_id for x in near_copies.near_groups(docs).collect()}
+    assert got == plain_near(rows)
+    assert sum(got[k] == k for k in range(300)) > 10
+
+
+def test_shared_counts():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 6000, 3000).astype(np.uint64)) for _ in range(12)] + [np.zeros(0, dtype=np.uint64)]
+    left, right = np.arange(5), np.arange(5, 13)
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    assert near_copies.shared_counts(sets, left, right).astype(int).tolist() == want
