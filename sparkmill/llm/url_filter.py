@@ -5,8 +5,10 @@ its subdomains; the longest that fits decides. For the other urls Spark's FP-gro
 (host labels, path words, query keys; numbers are left out) from labelled pages: a page's label is that of the document
 that its url names by number. A rule needs `SUPPORT` of the labelled pages and `LEAST` pages at least, and its
 confidence counts by the lower end of its 95% interval, so that a few pages prove nothing; a rule is pruned if a part of
-it is as sure. Tokens on fewer pages than a rule needs are left out before mining, as no rule can hold them, and a page
-gives its `LONGEST` tokens of the largest share of bad pages, which bounds the combinations of one page.
+it is as sure. Tokens on fewer pages than a rule needs are left out before mining, as no rule can hold them, and of tokens
+that stand on the same pages (by the count and two sums of hashes of pages) the first by name stands for all: a rule with
+another of them is as sure, and such tokens, as a site's frame has them, would only multiply combinations. A page gives
+all its other tokens, however many.
 
 Rules to block are matched by an inverted index: each stands under its rarest token, a set of tokens meets the rules of
 its tokens only, and every rule met is verified against the whole set. Distinct sets are matched once, however many urls
@@ -27,7 +29,7 @@ from .common import join_hot, materialize
 
 #: The contract's rules: whether they block, and host and path prefix.
 RULES = ((False, "org", "/"), (True, "example.org", "/es/"), (True, "example.org", "/en/1"), (False, "com", "/fr/"), (True, "com", "/de/"))
-SUPPORT, LEAST, CONFIDENCE, LIFT, LONGEST = 0.002, 20, 0.8, 2.0, 16
+SUPPORT, LEAST, CONFIDENCE, LIFT = 0.002, 20, 0.8, 2.0
 #: Normal quantile of the 95% interval; most rules of which the index is broadcast (a few kilobytes each at most).
 QUANTILE, SMALL = 1.96, 10_000
 BLOCK = "label=block"
@@ -67,7 +69,7 @@ def surely(confidence: Column, n: Column) -> Column:
     return (confidence + z / (2 * n) - spread) / (1 + z / n)
 
 
-def mine(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+def mine(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT, least: int = LEAST) -> DataFrame:
     """(rule_tokens, confidence, lift, support, pages) of what speaks for blocking; pages: those that hold the tokens."""
     known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
     bad = known.groupBy("doc_id").agg(F.max(F.expr("coalesce(quality = 0, false) or coalesce(toxic = 1, false)")).alias("bad"))
@@ -76,9 +78,10 @@ def mine(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confiden
     n = rows.count()
     need = max(least, -(-int(support * n * 1_000_000) // 1_000_000))
     each = rows.select("page", "bad", F.explode("tokens").alias("token"))
-    often = each.groupBy("token").agg(F.count("*").alias("n"), F.avg(F.col("bad").cast("double")).alias("share")).where(F.col("n") >= need)
-    held = each.join(often, "token").groupBy("page", "bad").agg(F.array_sort(F.collect_set(F.struct((-F.col("share")).alias("share"), "token"))).alias("tokens"))
-    items = F.concat(F.transform(F.slice("tokens", 1, longest), lambda t: t["token"]), F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>")))
+    often = each.groupBy("token").agg(F.count("*").alias("n"), *[F.sum(F.xxhash64("page", F.lit(k)).bitwiseAND(F.lit((1 << 40) - 1))).alias(f"pages{k}") for k in (1, 2)]).where(F.col("n") >= need)
+    often = often.groupBy("n", "pages1", "pages2").agg(F.min("token").alias("token")).select("token")
+    held = each.join(often, "token").groupBy("page", "bad").agg(F.array_sort(F.collect_set("token")).alias("tokens"))
+    items = F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>")))
     baskets = materialize(held.select(items.alias("items")), "baskets")
     if n < need or baskets.isEmpty():
         return rows.sparkSession.createDataFrame([], "rule_tokens array<string>, confidence double, lift double, support double, pages long")

@@ -56,3 +56,13 @@ def test_few_pages_prove_nothing_and_longer_rules_go(spark):
     got = [(r.page_id, r.verdict) for r in u.judge(pages, mined).collect()]
     assert sorted(got) == sorted([(k, "block" if k >= 8 and k % 4 == 0 else "allow") for k in range(400)] + [(999, "block"), (999, "allow")])
     assert u.mine(pages.limit(0), labels).count() == 0
+
+
+def test_pages_of_many_tokens(spark):
+    frame = "/".join(f"f{c}{d}" for c in "abcdefgh" for d in "klmno")  # 40 tokens on every page
+    rows = [(k, f"http://www.example.net/{frame}/{'zz-spam' if k % 4 == 0 else 'fine'}/{'late' if k % 2 else 'soon'}/{k}") for k in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(k % 4 != 0), 0) for k in range(400)], "doc_id long, quality int, toxic int")
+    mined = u.mine(pages, labels)
+    assert [r.rule_tokens for r in mined.collect()] == [["path=zz-spam"]]
+    assert {r.page_id: r.verdict for r in u.judge(pages, mined).collect()} == {k: "block" if k % 4 == 0 else "allow" for k in range(400)}
