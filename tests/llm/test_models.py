@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -399,3 +400,26 @@ def test_nearest_of_repeated_ids(spark, times, alike):
             want.setdefault(i, []).extend((k, j, -s) for k, (s, j) in enumerate(best, 1))
     assert {i: sorted(x) for i, x in got.items()} == {i: sorted(x) for i, x in want.items()}
     assert all(len(x) % 20 == 0 for x in got.values())
+
+
+def test_pii_of_the_given_tables_finds_forms_in_new_contexts(spark):
+    at = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(at):
+        pytest.skip("no given tables")
+    models = pii.fit(spark.read.parquet(at))
+    r = random.Random(99)
+    found = {k: [0, 0] for k in pii.KINDS}
+    contexts = ["Mail {} now please.", "You can reach us under {} at any time", "El texto sigue aqui {} y termina.", "see also: {}\nNext line"]
+    for kind in pii.KINDS:
+        for _ in range(25):
+            span = pii.made_up(kind, r)
+            for form in range(pii.FORMS[kind]):
+                own = pii.rewritten(kind, span, r, form)
+                for c in ["Call {} now please.", "tel. {} at any time", "Fax {}\nNext line"] if kind == "phone" else contexts:
+                    text = c.format(own)
+                    got = pii.redactions(text, models, pii.base_spans(text))
+                    found[kind][0] += any(k == kind and own in text[a:b] for k, a, b in got)
+                    found[kind][1] += 1
+    assert all(hit >= 0.9 * n for hit, n in found.values()), found
+    clean = ["We met at noon. Then at nine. Later 12.10.2024 came, and 3.14.15.92 was no number of ours.", "Values (at) 1.25 or at 2.50 rose; 2019-2024; 12 of 100.000 and 7/8/9.", "look at this. Dot by dot it went on at home."]
+    assert all(not pii.redactions(t, models, pii.base_spans(t)) or pii.redactions(t, models, pii.base_spans(t)) == [(k, *s) for k in pii.KINDS for s in pii.base_spans(t)[k]] for t in clean)
