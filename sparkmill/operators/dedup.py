@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,14 +74,35 @@ def bands(df: DataFrame, sig: str = "sig") -> DataFrame:
     return df.where(F.size(sig) == COORDINATES).select("*", F.explode(each).alias("__b")).select("*", "__b.band", "__b.x", "__b.y").drop("__b")
 
 
-def band_pairs(df: DataFrame, sig: str = "sig") -> DataFrame:
-    """One row per two bands of a full signature: `two` names them, `key` has their four coordinates.
-
-    At a similarity of 0.75 two coordinates differ at most, so two whole bands agree: these keys miss no pair and are far
-    more selective than single bands, whose groups a frequent passage would fill."""
+def prefix_keys(df: DataFrame, sig: str, least: int, size: int) -> DataFrame:
+    """A row for each key under which a signature can meet another that shares `least` of its `size` coordinates.
+
+    Coordinates are ordered by how many signatures hold them, rarest first. Two signatures that share `least` share two of
+    their size - least + 2 first ones (one of size - least + 1), so the keys are the pairs of these (of wide signatures, the
+    coordinates themselves): they miss no pair, and a passage that many documents share, whose coordinates are frequent, is
+    a key only for those that hold nearly nothing else. Coordinates that one signature holds make no key."""
+    two = size <= 16
+    first = size - least + (2 if two else 1)
+    rows = df.select(sig, F.posexplode(sig).alias("__c", "__x")).select(sig, F.struct("__c", "__x").alias("__t"))
+    often = written(rows.groupBy("__t").agg(F.count("*").alias("__n")).where("__n > 1"), "coordinates")
+    held = join_counted(rows, often.withColumn("__often", F.col("__n")), "__t", "__n")
+    own = held.groupBy(sig).agg(F.sort_array(F.collect_list(F.struct("__often", "__t"))).alias("__h"))
+    # Coordinates of one signature alone come first in its order: so many places of the prefix are taken by them.
+    room = F.lit(first) - (F.lit(size) - F.size("__h"))
+    kept = F.when(room > 0, F.transform(F.slice("__h", 1, F.greatest(room, F.lit(0))), lambda h: h["__t"])).otherwise(F.array().cast("array<struct<__c: int, __x: bigint>>"))
+    keyed = own.select(sig, kept.alias("__k"))
+    if not two:
+        return keyed.select(sig, F.explode(F.transform("__k", lambda t: F.xxhash64(t["__c"], t["__x"]))).alias("key"))
+    later = lambda t, i: F.transform(F.slice("__k", i + 2, first), lambda u: F.xxhash64(t["__c"], t["__x"], u["__c"], u["__x"]))
+    return keyed.select(sig, F.explode(F.flatten(F.transform("__k", later))).alias("key"))
+
+
+def band_pairs(sig: str = "sig") -> Column:
+    """Names of the six pairs of bands of a full signature: at a similarity of 0.75 two coordinates differ at most, so two
+    whole bands agree. Unlike prefix keys they depend on the signature alone, as a stream needs it."""
     pick = lambda b: [F.element_at(sig, 2 * b + 1), F.element_at(sig, 2 * b + 2)]
-    each = [F.struct(F.lit(4 * a + b).alias("two"), F.array(*pick(a), *pick(b)).alias("key")) for a in range(BANDS) for b in range(a + 1, BANDS)]
-    return df.where(F.size(sig) == COORDINATES).select("*", F.explode(F.array(*each)).alias("__b")).select("*", "__b.two", "__b.key").drop("__b")
+    each = [F.concat(F.lit(f"{a}{b}:"), F.hex(F.xxhash64(*pick(a), *pick(b)))) for a in range(BANDS) for b in range(a + 1, BANDS)]
+    return F.when(F.size(sig) == COORDINATES, F.array(*each)).otherwise(F.array().cast("array<string>"))
 
 
 def similarity(a: str, b: str) -> Column:
@@ -95,16 +119,16 @@ def overlap(a: str, b: str) -> Column:
 def near_pairs(df: DataFrame, order: str, threshold: float = 0.75, measure=similarity) -> DataFrame:
     """Pairs (a, b, similarity), a before b, of distinct signatures; the earliest document stands for its signature."""
     if threshold < 0.75:
-        raise ValueError("the keys find every pair from a similarity of 0.75 on only")
-    unique = df.where(F.size("sig") == COORDINATES).groupBy("sig").agg(F.min(order).alias("ord"))
-    keyed = band_pairs(unique)
-    left = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "two", "key")
-    right = keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "two", "key")
-    pairs = left.join(right, ["two", "key"]).where("a < b").select("a", "b", measure("sa", "sb").alias("similarity"))
+        raise ValueError("the bands find every pair from a similarity of 0.75 on only")
+    unique = written(df.where(F.size("sig") == COORDINATES).groupBy("sig").agg(F.min(order).alias("ord")), "unique")
+    keyed = written(prefix_keys(unique, "sig", COORDINATES * 3 // 4, COORDINATES).join(unique, "sig"), "keys")
+    left = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "key")
+    right = keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "key")
+    pairs = left.join(right, "key").where("a < b").select("a", "b", measure("sa", "sb").alias("similarity"))
     return pairs.where(F.col("similarity") >= threshold).distinct()
 
 
-WIDE, BLOCKS = 64, 24
+WIDE = 64
 
 
 def wide_signed(df: DataFrame, text: str = "text") -> DataFrame:
@@ -115,40 +139,143 @@ def wide_signed(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def wide_pairs(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
-    """Pairs (a, b, shared), a before b, of distinct 64-coordinate signatures that share int(64 * threshold) and more.
-
-    Sixteen coordinates differ at most, so of 24 blocks of coordinates eight agree at least, and of six groups of four
-    blocks one holds two that agree: the keys are the pairs of blocks within a group. They miss no pair, and five
-    coordinates that agree are more than a frequent passage gives."""
+    """Pairs (a, b, shared), a before b, of distinct 64-coordinate signatures that share int(64 * threshold) and more."""
     least = max(int(WIDE * threshold), 1)
-    if least < WIDE * 3 // 4:
-        raise ValueError("the keys find every pair from a threshold of 0.75 on only")
-    unique = df.where(F.size("sig") == WIDE).groupBy("sig").agg(F.min(order).alias("ord"))
-    edge = [WIDE * k // BLOCKS for k in range(BLOCKS + 1)]
-    block = lambda k: F.slice("sig", edge[k] + 1, edge[k + 1] - edge[k])
-    two = [(i, j) for g in range(0, BLOCKS, 4) for i in range(g, g + 4) for j in range(i + 1, g + 4)]
-    each = F.array(*[F.struct(F.lit(BLOCKS * i + j).alias("two"), F.xxhash64(block(i), block(j)).alias("k")) for i, j in two])
-    keyed = unique.select("ord", "sig", F.explode(each).alias("b")).select("ord", "sig", "b.two", "b.k")
-    met = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "two", "k").join(keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "two", "k"), ["two", "k"])
+    unique = written(df.where(F.size("sig") == WIDE).groupBy("sig").agg(F.min(order).alias("ord")), "unique")
+    keyed = written(prefix_keys(unique, "sig", least, WIDE).join(unique, "sig"), "keys")
+    met = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "key").join(keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "key"), "key")
     shared_ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
     return met.where("a < b").select("a", "b", shared_.alias("shared")).where(F.col("shared") >= least).distinct()
 
 
+#: Rounds that look at neighbours only, before chains of what is left are followed whole; pairs of a chain, and nodes of
+#: a part of a longer one, that a task works off at once.
+ROUNDS, CHAIN, PART = 2, 500_000, 50_000
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node of edges (a, b): the least node that can be reached.
+
+    Each partition joins its own edges first and passes on a star for each component it sees; nodes that several stars
+    hold join their roots in the next round. A range of nodes per partition makes few stars of what lies together."""
+    left, maps = written(edges.where("a <> b").select("a", "b"), "edges"), []
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.stack([b.column(k).to_numpy() for k in (0, 1)]) for b in batches]  # a partition's own edges
+        if not held:
+            return
+        ends = np.hstack(held)
+        node, at = np.unique(ends, return_inverse=True)
+        at, root = at.reshape(ends.shape), np.arange(len(node))
+        while True:
+            x, y = root[at[0]], root[at[1]]
+            apart = x != y
+            if not apart.any():
+                break
+            np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+            while (root != root[root]).any():
+                root = root[root]
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[root])], names=["node", "root"])
+
+    while not left.isEmpty():
+        seen = written(left.repartitionByRange("a").mapInArrow(stars, "node long, root long"), "stars")
+        up = written(seen.groupBy("node").agg(F.min("root").alias("up")), "up")
+        maps.append(up)
+        further = seen.join(up, "node").where("root <> up").select(F.col("root").alias("a"), F.col("up").alias("b")).distinct()
+        left = written(further, "edges")
+    if not maps:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    root = maps[-1].withColumnRenamed("up", "root")
+    for up in reversed(maps[:-1]):
+        root = up.join(root.select(F.col("node").alias("up"), F.col("root").alias("top")), "up", "left").select("node", F.coalesce("top", "up").alias("root"))
+    return root
+
+
+def _in_order(t: pa.Table) -> pa.Table:
+    """Decides the nodes of some pairs (a, b), a before b, in order; rows without a (null) say that b is rejected already."""
+    a, b = t["a"].to_pylist(), t["b"].to_pylist()
+    earlier: dict[int, list[int]] = {}
+    rejected = {y for x, y in zip(a, b, strict=True) if x is None}
+    for x, y in zip(a, b, strict=True):
+        if x is not None:
+            earlier.setdefault(y, []).append(x)
+            earlier.setdefault(x, [])
+    accepted: set[int] = set()
+    for n in sorted(earlier.keys() | rejected):
+        if n not in rejected and not any(x in accepted for x in earlier.get(n, ())):
+            accepted.add(n)
+    nodes = sorted(earlier.keys() | rejected)
+    return pa.table({"n": pa.array(nodes, pa.int64()), "s": pa.array([1 if n in accepted else 2 for n in nodes], pa.int32())})
+
+
+def first_independent(pairs: DataFrame) -> DataFrame:
+    """(n, s) of the nodes of pairs (a, b), a before b: 1 if accepted, 2 if rejected, as if nodes came in order and each
+    was accepted unless an accepted one before is its neighbour.
+
+    Two rounds settle what depends on near neighbours, cliques above all. What stays open are chains of dependence: each
+    component is worked off in order at once, in one group if it is small; a large one by parts of its order, so the
+    rounds are its length by PART and not its length."""
+    pairs = written(pairs.select("a", "b"), "pairs")
+    state = written(pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().withColumn("s", F.lit(0)), "state")
+    for _ in range(ROUNDS):
+        before = pairs.join(state.select(F.col("n").alias("a"), F.col("s").alias("sa")), "a").groupBy(F.col("b").alias("n")).agg(F.max((F.col("sa") == 1).cast("int")).alias("hit"), F.max((F.col("sa") == 0).cast("int")).alias("open"))
+        nxt = F.when(F.col("s") != 0, F.col("s")).when(F.coalesce("hit", F.lit(0)) == 1, 2).when(F.coalesce("open", F.lit(0)) == 0, 1).otherwise(0)
+        state = written(state.join(before, "n", "left").select("n", nxt.alias("s")), "state")
+    hit = pairs.join(state.where("s = 1").select(F.col("n").alias("a")), "a", "left_semi").select(F.col("b").alias("n")).distinct().withColumn("hit", F.lit(1))
+    state = written(state.join(hit, "n", "left").select("n", F.when((F.col("s") == 0) & (F.col("hit") == 1), 2).otherwise(F.col("s")).alias("s")), "state")
+    open_ = state.where("s = 0").select("n")
+    if open_.isEmpty():
+        return state
+    # An open node has no accepted neighbour before it, and rejected ones don't matter: what is open decides alone.
+    left = written(pairs.join(open_.withColumnRenamed("n", "a"), "a", "left_semi").join(open_.withColumnRenamed("n", "b"), "b", "left_semi"), "open")
+    root = written(components(left), "roots")
+    named = left.join(root.withColumnRenamed("node", "a"), "a")
+    size = named.groupBy("root").agg(F.count("*").alias("c"))
+    named = written(named.join(size, "root"), "named")
+    done = written(named.where(F.col("c") <= CHAIN).groupBy("root").applyInArrow(_in_order, "n long, s int"), "decided")
+    long = named.where(F.col("c") > CHAIN).select("root", "a", "b")
+    if not long.isEmpty():
+        done = done.unionByName(_by_parts(long))
+    settled = done.union(open_.join(left.select(F.col("a").alias("n")).union(left.select("b")), "n", "left_anti").select("n", F.lit(1).alias("s")))
+    return state.where("s <> 0").unionByName(written(settled, "settled"))
+
+
+def _by_parts(named: DataFrame) -> DataFrame:
+    """Large components (root, a, b) by parts of their order; a part knows the decisions of those before it."""
+    from . import windows
+
+    nodes = named.select("root", F.col("a").alias("n")).union(named.select("root", "b")).distinct()
+    part = windows.placed(nodes, "root", ["n"], "p").select("n", F.floor((F.col("p") - 1) / PART).cast("int").alias("k"))
+    part = written(part, "parts")
+    ends = named.join(part.select(F.col("n").alias("a"), F.col("k").alias("ka")), "a").join(part.select(F.col("n").alias("b"), F.col("k").alias("kb")), "b")
+    ends = written(ends, "ends")
+    done = None
+    for k in range(part.agg(F.max("k")).first()[0] + 1):
+        inner = ends.where((F.col("ka") == k) & (F.col("kb") == k)).select("root", "a", "b")
+        alone = part.where(F.col("k") == k).join(inner.select(F.col("a").alias("n")).union(inner.select("b")), "n", "left_anti").select("n")
+        if done is None:
+            hit = inner.limit(0).select("root", "b")
+        else:
+            hit = ends.where((F.col("kb") == k) & (F.col("ka") < k)).join(done.where("s = 1").select(F.col("n").alias("a")), "a", "left_semi").select("root", "b").distinct()
+        rows = inner.unionByName(hit.select("root", F.lit(None).cast("long").alias("a"), "b"))
+        new = rows.groupBy("root").applyInArrow(_in_order, "n long, s int")
+        free = alone.join(hit.select(F.col("b").alias("n")), "n", "left_anti").select("n", F.lit(1).alias("s"))
+        new = written(new.unionByName(free), "decided")
+        done = new if done is None else written(done.unionByName(new), "decided")
+    return done
+
+
 def near_dedup(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
     """Per row: order, and decision (accepted, exact_duplicate, near_duplicate) as if rows came one by one in the order.
+    Copies are one row until the end."""
+    return greedy(written(signed(df).select(order, "key", "sig"), "signed"), order, threshold)
+
 
-    Accepted rows are the lexicographically first independent set of the similarity graph: rounds accept whatever has no
-    earlier open or accepted neighbour and reject what has an accepted one. Copies are one row until the end.
-    """
-    signs = written(signed(df).select(order, "key", "sig"), "signed")
+def greedy(signs: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
+    """near_dedup of rows (order, key, sig)."""
     first = written(signs.groupBy("key").agg(F.min(order).alias("__first"), F.first("sig").alias("sig"), F.count("*").alias("n")), "firsts")
     rep = first.where(F.size("sig") == COORDINATES).groupBy("sig").agg(F.min("__first").alias("rep"))
-    pairs = written(near_pairs(signs, order, threshold).select("a", "b"), "pairs")
-    state = written(pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().withColumn("s", F.lit(0)), "state")
-    while not state.where("s = 0").isEmpty():
-        before = pairs.join(state.select(F.col("n").alias("a"), F.col("s").alias("sa")), "a").groupBy(F.col("b").alias("n")).agg(F.max((F.col("sa") == 1).cast("int")).alias("hit"), F.max((F.col("sa") == 0).cast("int")).alias("open"))
-        nxt = F.when(F.col("s") != 0, F.col("s")).when(F.coalesce("hit", F.lit(0)) == 1, 2).when(F.coalesce("open", F.lit(0)) == 0, 1).otherwise(0)
-        state = written(state.join(before, "n", "left").select("n", nxt.alias("s")), "state")
+    state = first_independent(near_pairs(signs, order, threshold))
     full = first.where(F.size("sig") == COORDINATES).join(rep, "sig").join(state.withColumnRenamed("n", "rep"), "rep", "left")
     kept = (F.coalesce("s", F.lit(1)) == 1) & (F.col("__first") == F.col("rep"))
     short = first.where(F.size("sig") < COORDINATES).select("key", "__first", "n", F.lit(True).alias("kept"))

@@ -28,10 +28,18 @@ def exact_overlap(docs: DataFrame, index: DataFrame, key: str, action: str = "re
 
 
 def near_overlap(docs: DataFrame, index: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
-    """Ids of documents (with sig) that have a near copy among the signatures of an index."""
-    have = dedup.band_pairs(index.select("sig").distinct()).select(F.col("sig").alias("si"), "two", "key")
-    own = dedup.band_pairs(docs.select(order, "sig"))
-    return own.join(have, ["two", "key"]).where(dedup.similarity("sig", "si") >= threshold).select(order).distinct()
+    """Ids of documents (with sig) that have a near copy among the signatures of an index. Only distinct signatures of
+    either side meet, under keys of their rarest coordinates."""
+    if threshold < 0.75:
+        raise ValueError("the bands find every pair from a similarity of 0.75 on only")
+    full = F.size("sig") == dedup.COORDINATES
+    sides = docs.where(full).select("sig", F.lit(False).alias("old")).union(index.where(full).select("sig", F.lit(True)))
+    every = dedup.written(sides.groupBy("sig").agg(F.max("old").alias("old"), F.max(~F.col("old")).alias("new")), "signatures")
+    keyed = dedup.written(dedup.prefix_keys(every, "sig", dedup.COORDINATES * 3 // 4, dedup.COORDINATES).join(every, "sig"), "keys")
+    have = keyed.where("old").select(F.col("sig").alias("si"), "key")
+    met = keyed.where("new").join(have, "key").where(dedup.similarity("sig", "si") >= threshold).select("sig")
+    hits = met.union(every.where("old and new").select("sig")).distinct()
+    return docs.join(hits, "sig", "left_semi").select(order).distinct()
 
 
 #: Distinct anchors up to which they are sent to the tasks, eight bytes each, to leave other runs out at once.

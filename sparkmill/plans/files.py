@@ -110,8 +110,8 @@ def k06(spark, sf):
 def r01(spark, sf):
     d = docs(spark, sf).select("doc_id", "text")
     d.write.parquet(at := place(spark, "incoming"))  # as many files, and so batches, as the table has
-    jobs.stream_clean(spark, at, d.schema, state := place(spark, "state")).awaitTermination()
-    return spark.read.parquet(f"{state}/accepted").select("sha")
+    jobs.stream_clean(spark, at, d.schema, state := place(spark, "state"))
+    return spark.read.schema(jobs.ACCEPTED).parquet(f"{state}/accepted").select("doc_id", "sha")
 
 
 @query("r02_stream_profile", "SELECT dimension, value, count(*) AS docs, sum(length(text))::BIGINT AS chars FROM (SELECT unnest(['lang', 'source']) AS dimension, unnest([lang, source]) AS value, text FROM documents) GROUP BY ALL")

@@ -199,7 +199,7 @@ def test_streams_take_each_file_once(spark, tmp_path):
     schema = "doc_id long, text string"
     long = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
     spark.createDataFrame([(1, long(1)), (2, long(1)), (3, "short")], schema).coalesce(1).write.parquet(f"{tmp_path}/in/a")
-    run = lambda: jobs.stream_clean(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema, f"{tmp_path}/state").awaitTermination()
+    run = lambda: jobs.stream_clean(spark, f"{tmp_path}/in/*", spark.createDataFrame([], schema).schema, f"{tmp_path}/state")
     run()
     spark.createDataFrame([(4, long(1)), (5, long(2))], schema).coalesce(1).write.parquet(f"{tmp_path}/in/b")
     run()
