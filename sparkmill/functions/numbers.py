@@ -1,9 +1,12 @@
-"""Numbers that a text states: Arabic ones, fractions, and Chinese numerals with a decimal tail."""
+"""Numbers that a text states: Arabic ones, fractions, and Chinese numerals with a decimal tail.
+
+A text is cut into number tokens once. Each token gives its readings, a value and how far the truth may lie from it; two
+tokens that only a fraction mark parts give their ratio."""
 
 from __future__ import annotations
 
 import re
-from decimal import Decimal
+from collections.abc import Iterator
 from fractions import Fraction
 
 # Fixed values. What a character stands for.
@@ -11,52 +14,59 @@ DIGITS = {"零": 0, "〇": 0, "一": 1, "壹": 1, "二": 2, "两": 2, "贰": 2,
 UNITS = {"十": 10, "拾": 10, "百": 100, "佰": 100, "千": 1000, "仟": 1000}
 GROUPS = {"万": 10**4, "亿": 10**8}
 
-_NUMERAL = "[" + "".join([*DIGITS, *UNITS, *GROUPS]) + "]+"
-_ARABIC = re.compile(r"-?\d[\d,]*(?:\.\d+)?")
-_RATIO = re.compile(r"(\d+)\s*/\s*(\d+)")
-_CHINESE = re.compile(f"{_NUMERAL}(?:点{_NUMERAL})?")
-_PARTS = re.compile(rf"({_NUMERAL})\s*分之\s*({_NUMERAL})")
-
-
-def chinese(s: str) -> Decimal | None:
-    """The number a Chinese numeral stands for; digits after 点 are read one by one. None if it doesn't begin with one."""
-    whole, _, tail = s.partition("点")
-    if not whole or any(c not in DIGITS and c not in UNITS and c not in GROUPS for c in whole):
-        return None
-    groups, group, digit = 0, 0, 0  # closed by 万 and 亿; the open one; a digit that waits for its unit
-    for c in whole:
-        if c in DIGITS:
-            digit = DIGITS[c]
-            continue
-        if c in UNITS:
-            group += (digit or 1) * UNITS[c]
+_D, _U, _G = ("".join(x) for x in (DIGITS, UNITS, GROUPS))
+_TOKEN = re.compile(rf"(?P<arabic>-?\d[\d,]*(?:\.\d+)?)|(?P<numeral>[{_D}{_U}{_G}]+(?:点[{_D}{_U}{_G}]+)?)")
+_SECTIONS = re.compile(rf"([^{_G}]*)([{_G}]?)")
+_PLACES = re.compile(rf"[{_D}]*([{_D}])([{_U}])|([{_U}])|[{_D}]*([{_D}])$")
+
+
+def section(s: str) -> int:
+    """Digits and units below ten thousand; a unit without a digit, or after a zero, counts once, and of digits side by side
+    the last counts."""
+    return sum((DIGITS[d] or 1) * UNITS[u] if u else UNITS[bare] if bare else DIGITS[last] for d, u, bare, last in _PLACES.findall(s))
+
+
+def whole(s: str) -> int:
+    """Sections by their marks of ten thousands and hundred millions; a mark without a value before it counts once."""
+    return sum((section(part) or 1) * GROUPS[mark] if mark else section(part) for part, mark in _SECTIONS.findall(s))
+
+
+def numeral(s: str) -> tuple[Fraction, int]:
+    """The value of a Chinese numeral and its decimal places: digits after 点 are read one by one, up to the first unit."""
+    head, _, tail = s.partition("点")
+    places = re.match(f"[{_D}]*", tail).group()
+    return whole(head) + sum((Fraction(DIGITS[c], 10**k) for k, c in enumerate(places, 1)), Fraction(0)), len(places)
+
+
+def _within(value: Fraction, places: int) -> tuple[Fraction, Fraction]:
+    return value, Fraction(1, 2 * 10**places)
+
+
+def readings(s: str) -> Iterator[tuple[Fraction, Fraction]]:
+    """(value, tolerance) of every number that a text can be read as stating: half a unit of the last place written, none
+    for a fraction. A numeral may run into the words after it, so each of its beginnings is a reading."""
+    before, taken = None, False  # the token before, and whether a fraction has used it
+    for m in _TOKEN.finditer(s):
+        arabic, own = m["arabic"], m[0]
+        if arabic:
+            plain = arabic.replace(",", "")
+            yield _within(Fraction(plain), len(plain.partition(".")[2]))
         else:
-            groups, group = groups + (group + digit or 1) * GROUPS[c], 0
-        digit = 0
-    places = re.match("[" + "".join(DIGITS) + "]*", tail).group()
-    return Decimal(groups + group + digit) + Decimal("".join(str(DIGITS[c]) for c in places) or "0").scaleb(-len(places))
-
-
-def stated(s: str) -> list[tuple[Fraction, int]]:
-    """Every number that a text can be read as stating, with its decimal places (-1: a fraction, taken exactly). A Chinese
-    numeral can take in the unit after it, so its beginnings count too."""
-    out: list[tuple[Fraction, int]] = []
-    for m in _ARABIC.findall(s):
-        d = Decimal(m.replace(",", ""))
-        out.append((Fraction(d), -d.as_tuple().exponent))
-    out += [(Fraction(int(a), int(b)), -1) for a, b in _RATIO.findall(s) if int(b)]
-    for run in _CHINESE.findall(s):
-        for k in range(1, len(run) + 1):
-            if (d := chinese(run[:k])) is not None:
-                out.append((Fraction(d), -d.as_tuple().exponent))
-    for below, above in _PARTS.findall(s):
-        a, b = chinese(above), chinese(below)
-        if a is not None and b:
-            out.append((Fraction(a) / Fraction(b), -1))
-    return out
+            for k in range(1, len(own) + 1):
+                yield _within(*numeral(own[:k]))
+        ratio = None
+        if before is not None and not taken and bool(before["arabic"]) == bool(arabic):
+            mark = s[before.end() : m.start()].strip()
+            if arabic and mark == "/" and (top := re.search(r"\d+$", before[0])) and own[0] != "-":
+                ratio = (int(top.group()), int(re.match(r"\d+", own).group()))
+            elif not arabic and mark == "分之":
+                ratio = (whole(own.partition("点")[0]), whole(before[0].rpartition("点")[2]))
+        if ratio and ratio[1]:
+            yield Fraction(*ratio), Fraction(0)
+        before, taken = m, ratio is not None
 
 
 def agrees(reference: str, s: str) -> bool:
-    """Whether a stated number lies within half a unit of its own last place from the reference."""
-    r = Fraction(Decimal(reference))
-    return any(x == r or (places >= 0 and abs(x - r) <= Fraction(1, 2 * 10**places)) for x, places in stated(s))
+    """Whether the text states the reference at the precision it writes it in."""
+    truth = Fraction(reference)
+    return any(abs(x - truth) <= off for x, off in readings(s))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import permute
 from ..functions import text as T
 from . import dedup
 
@@ -94,6 +97,54 @@ def length_batches(df: DataFrame, length: str, order: str, batch_tokens: int, ma
     return met.select(order, length, batch.alias("batch"), "width", F.xxhash64(batch, F.lit(seed)).alias("place"))
 
 
+#: Rows of a key that one task may work off one by one.
+LOOP = 100_000
+
+
+def _fit_one_by_one(t: pa.Table) -> pa.Table:
+    """The rows of one key that fit in order, each that is too large for what is left skipped."""
+    order = pc.sort_indices(t["place"])
+    room, held = t["room"][0].as_py(), []
+    for k, size in zip(order.to_pylist(), t["size"].take(order).to_pylist(), strict=True):
+        if size <= room:
+            room -= size
+            held.append(k)
+    return t.select(["key", "place"]).take(pa.array(held, pa.int64()))
+
+
+def fitting(df: DataFrame, key: str, order: str, size: str, budget: int) -> DataFrame:
+    """(key, order) of the rows that a budget takes in order: a row that doesn't fit is skipped, a later smaller one may fit.
+
+    A round takes each key's rows up to the first that doesn't fit, which is a running sum by ranges; after it only rows
+    that fit into what is left stay in question. Keys with few of them are worked off one by one, so no task holds more
+    than LOOP rows of a key, and rounds are few unless many sizes lie just above what is left."""
+    rows = df.select(F.col(key).alias("key"), F.col(order).alias("place"), F.col(size).cast("long").alias("size"))
+    left, taken = dedup.written(rows.where(F.col("size") <= budget).withColumn("room", F.lit(budget).cast("long")), "left"), None
+    while not left.isEmpty():
+        n = left.groupBy("key").agg(F.count("*").alias("n"))
+        small = dedup.written(left.join(n.where(F.col("n") <= LOOP).select("key"), "key", "left_semi").groupBy("key").applyInArrow(_fit_one_by_one, left.select("key", "place").schema), "taken")
+        large = left.join(n.where(F.col("n") > LOOP).select("key"), "key", "left_semi")
+        if not large.isEmpty():
+            run = dedup.written(with_prefix(large, "key", ["place"], F.col("size"), "before").withColumn("over", F.col("before") + F.col("size") > F.col("room")), "runs")
+            ends = run.groupBy("key").agg(F.min(F.when(F.col("over"), F.col("place"))).alias("miss"), F.sum(F.when(~F.col("over"), F.col("size"))).alias("used"))
+            run = run.join(F.broadcast(ends), "key")
+            small = small.unionByName(run.where("not over").select("key", "place"))
+            rest = run.where(F.col("place") > F.col("miss")).withColumn("room", F.col("room") - F.coalesce("used", F.lit(0)))
+            left = dedup.written(rest.where(F.col("size") <= F.col("room")).select("key", "place", "size", "room"), "left")
+        else:
+            left = left.limit(0)
+        taken = small if taken is None else taken.unionByName(small)
+    taken = rows.select("key", "place").limit(0) if taken is None else taken
+    return taken.select(F.col("key").alias(key), F.col("place").alias(order))
+
+
+def epoch_windows(spark: SparkSession, n: int, seed: int, epoch: int, workers: int = 1, start: int = 0) -> DataFrame:
+    """(place, window, worker) of an epoch from a place on: each window once, dealt to workers in turn. Nothing is sorted, so
+    a run that resumes at a place begins there."""
+    rows = spark.range(start, n).withColumnRenamed("id", "place")
+    return rows.select("place", permute.window_at("place", n, seed, epoch).alias("window"), (F.col("place") % workers).alias("worker"))
+
+
 def hash_sample(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """Per key the k rows with the least sha256 of key, a zero byte and text."""
     return top_k(df, [key], [F.sha2(F.concat_ws("\0", key, text), 256)], k)

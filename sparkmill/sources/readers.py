@@ -94,18 +94,45 @@ def pages_to_documents(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", "text", "raw_sha256", F.sha2("text", 256).alias("text_sha256"), F.when(F.col("text") == "", "empty").otherwise("").alias("reason"))
 
 
-def read_code_files(spark: SparkSession, root: str, suffixes: list[str], exclude: list[str], most_bytes: int, min_chars: int) -> DataFrame:
-    """(path, text) of code files by suffix and excluded path parts: valid UTF-8 without NUL, within bounds, LF line ends, the first of equal ones by path."""
+def read_code_files(spark: SparkSession, root: str, suffixes: list[str], exclude: list[str], most_bytes: int, min_chars: int, source: str = "", budget: int | None = None) -> DataFrame:
+    """(path, text) of code files by suffix and excluded path parts: valid UTF-8 without NUL, within bounds, LF line ends, the
+    first of equal ones by path. budget: UTF-8 bytes of each source (the first group of the pattern `source` in the path);
+    files are taken in order of their paths, and one that doesn't fit any more is skipped and doesn't count as seen."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     keep = F.col("path").rlike("(" + "|".join(f"\\Q{s}\\E" for s in suffixes) + ")$") & (F.col("length") <= most_bytes)
     for part in exclude:
         keep = keep & ~F.col("path").contains(part)
     rows = files.where(keep & F.is_valid_utf8(F.col("content").cast("string"))).select("path", F.regexp_replace(F.col("content").cast("string"), "\r\n?", "\n").alias("text"))
     rows = rows.where(~F.col("text").contains("\0") & (F.length("text") >= min_chars)).withColumn("sha", F.sha2("text", 256))
+    if budget is not None:
+        own = rows.select("path", F.regexp_extract("path", source, 1).alias("source"), "sha", F.octet_length("text").cast("long").alias("bytes"))
+        least = first_within_budget(own, "source", "path", "sha", "bytes", budget)
+        return rows.join(least, "path", "left_semi").select("path", "text")
     least = rows.groupBy("sha").agg(F.min("path").alias("path"))
     return rows.join(least, ["sha", "path"], "left_semi").select("path", "text")
 
 
+def first_within_budget(files: DataFrame, source: str, order: str, sha: str, size: str, budget: int) -> DataFrame:
+    """(order) of the files kept when they come in order, an equal one kept before bars a file, and each source has a budget.
+
+    Of equal files of one source only the first counts: what didn't fit at it doesn't fit later. Whether a file is barred
+    depends on earlier ones only, so from "all but the first of equal files are barred" on, each round of budgets corrects
+    the bars of the next until they stay; every round settles one more step of what depends on other sources."""
+    from ..operators import dedup, windows
+
+    own = files.groupBy(F.col(source).alias("source"), F.col(sha).alias("sha"), F.col(size).alias("bytes")).agg(F.min(order).alias("place"))
+    own = dedup.written(own, "files")
+    seen = own.groupBy("sha").agg(F.min("place").alias("seen"))
+    before = None
+    while True:
+        rows = dedup.written(own.join(seen, "sha", "left").withColumn("barred", F.coalesce(F.col("place") > F.col("seen"), F.lit(False))), "barred")
+        if before is not None and rows.select("place", "barred").exceptAll(before.select("place", "barred")).isEmpty():
+            return kept.select(F.col("place").alias(order))
+        kept = dedup.written(windows.fitting(rows.where("not barred"), "source", "place", "bytes", budget), "kept")
+        seen = own.join(kept, ["source", "place"], "left_semi").groupBy("sha").agg(F.min("place").alias("seen"))
+        before = rows
+
+
 def read_parquet_own_columns(spark: SparkSession, path: str) -> DataFrame:
     """A folder of files whose own columns count, though folders are named like `source=x`."""
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
