@@ -14,6 +14,8 @@ def query(name: str, sql: str | None = None):
     """Registers a query, and the SQL that gives the same rows."""
 
     def add(f):
+        if name in QUERIES:
+            raise ValueError(f"two queries are named {name}")
         QUERIES[name] = f
         if sql:
             ORACLE[name] = sql

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import windows
+
 
 @dataclass(frozen=True)
 class Group:
@@ -108,3 +110,17 @@ def disjoint(rows: DataFrame, name: str, domain: str) -> DataFrame:
     """(name, n, disjoint): in how many domains each name stands, and whether that is one."""
     per = rows.select(name, domain).distinct().groupBy(name).agg(F.count("*").alias("n"))
     return per.withColumn("disjoint", F.col("n") == 1)
+
+
+def max_unique_total(shares: DataFrame, name: str, supply: str, fraction: str) -> DataFrame:
+    """(total): the largest total from which on one more would ask a source for more than its supply, quotas being the
+    largest remainders. Totals near the real bound are tried together: from below the least supply / fraction, where
+    rounding up may already ask too much, to where even rounding down does; their number is that of the sources and 1 / the
+    fraction of the scarcest."""
+    wanted = shares.where(F.col(fraction) > 0)
+    most = wanted.agg(F.min(F.floor(F.round(F.col(supply) / F.col(fraction), 6))).alias("lo"), F.min(F.ceil((F.col(supply) + 1) / F.col(fraction))).alias("hi"), F.count("*").alias("n"))
+    each = most.select(F.col("lo"), F.explode(F.sequence(F.greatest(F.col("lo") - F.col("n") - 5, F.lit(0)), F.col("hi") + 1)).alias("total"))
+    quotas = windows.largest_remainder(wanted.join(F.broadcast(each), F.lit(True)), F.col("total"), fraction, name, ["total"])
+    held = quotas.groupBy("total", "lo").agg(F.bool_and(F.col("quota") <= F.col(supply)).alias("ok"))
+    base = held.where("ok and total <= lo").agg(F.max("total").alias("base"))
+    return held.join(F.broadcast(base), F.lit(True)).where(~F.col("ok") & (F.col("total") > F.col("base"))).agg((F.min("total") - 1).cast("long").alias("total"))

@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 from ..catalog import query, table
 from ..functions import arrow
 from ..functions import text as T
-from ..operators import dedup, joins, reports, windows
+from ..operators import dedup, joins, reports, tokens, windows
 from ..operators import filters as Q
 from ..sources import writers
 
 
+def vocabulary(name):
+    """The place of a vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def docs(spark, sf):
     return table(spark, sf, "documents")
 
@@ -69,8 +76,13 @@ _PROFILE = ("split", "source", "source_revision", "repo_id", "license", "languag
     unnest([split, source, rev, repo, lic, lang, domain, cb, tb, mix, y, source || '|' || y, tax, source || '|' || tax, source || '|' || split, mix || '|' || split]) AS value, n, b FROM e) GROUP BY ALL""",
 )
 def a04(spark, sf):
+    return reports.token_profile(profiled(spark, sf).withColumn("tokens", T.hits("text", r"[^ \n\t\r]++") + 1).drop("text"))
+
+
+def profiled(spark, sf):
     d = judged(spark, sf)
-    own = d.select(
+    return d.select(
+        "text",
         "source",
         F.col("lang").alias("language"),
         F.when(F.col("doc_id") % 50 == 0, "val").otherwise("train").alias("split"),
@@ -82,10 +94,8 @@ def a04(spark, sf):
         F.when(F.col("doc_id") % 7 == 0, "n. d.").otherwise((2000 + F.col("doc_id") % 25).cast("string")).alias("timestamp"),
         F.col("reason").alias("user_taxonomy"),
         "n_chars",
-        (T.hits("text", r"[^ \n\t\r]++") + 1).alias("tokens"),
         F.octet_length("text").alias("bytes"),
     )
-    return reports.token_profile(own)
 
 
 @query("a05_long_context_supply", "SELECT t AS at_least, count(*) AS docs, coalesce(sum(n_chars), 0)::BIGINT AS tokens FROM documents, (VALUES (4096), (8192), (16384)) v(t) WHERE n_chars >= t GROUP BY t")
@@ -160,6 +170,30 @@ def a11(spark, sf):
     return g.withColumn("tokens_per_char", F.round(F.col("tokens") / F.greatest("chars", F.lit(1)), 6))
 
 
+@query(
+    "a12_audit_marks",
+    """WITH d AS (SELECT doc_id, n_chars, unnest(list_filter([CASE WHEN contains(text, '@') THEN 'at' END, CASE WHEN contains(text, '|') THEN 'bar' END, CASE WHEN n_chars > 4000 THEN 'long' END], lambda x: x IS NOT NULL)) AS flag FROM documents),
+    r AS (SELECT *, row_number() OVER (PARTITION BY flag ORDER BY n_chars DESC, doc_id) AS place FROM d) SELECT flag, count(*) AS n, max(n_chars) AS longest, round(avg(n_chars), 4) AS mean, string_agg(doc_id::VARCHAR, ',' ORDER BY place) FILTER (WHERE place <= 10) AS examples FROM r GROUP BY flag""",
+)
+def a12_marks(spark, sf):
+    x = F.col("text")
+    flags = F.array_compact(F.array(F.when(x.contains("@"), "at"), F.when(x.contains("|"), "bar"), F.when(F.col("n_chars") > 4000, "long")))
+    out = reports.audit_summary(docs(spark, sf).select("doc_id", "n_chars", flags.alias("flags")), "flags", "n_chars", "doc_id", 10)
+    return out.withColumn("mean", F.round("mean", 4)).withColumn("examples", F.array_join("examples", ","))
+
+
+@query("a11_encoder_fertility")
+def a11_encoder(spark, sf):
+    return tokens.fertility(docs(spark, sf), vocabulary("piece_bpe_32k.model"), "lang")
+
+
+@query("a04_encoder_profile")
+def a04_encoder(spark, sf):
+    """The profile with an encoder's tokens."""
+    d = tokens.encoded(profiled(spark, sf), vocabulary("byte_bpe_50k.json"))
+    return reports.token_profile(d.withColumn("tokens", F.col("n_tokens")).drop("text", "ids", "n_tokens"))
+
+
 @query("a12_audit_summary")
 def a12(spark, sf):
     d = docs(spark, sf).select("doc_id", "n_chars", Q.triage(F.col("text"), F.split("text", r"\s+")).alias("flags"))
@@ -204,12 +238,6 @@ def a17(spark, sf):
     return reports.probe_summary(own)
 
 
-@query("a17_probe_summary")
-def a17(spark, sf):
-    c = talks(spark, sf).where("role = 'assistant'").select(arrow.loop_coverage("text").alias("loop"), T.distinct_ngram_ratio("text").alias("d4"), F.length("text").alias("n"))
-    return c.agg(F.round(F.avg("loop"), 6).alias("loop_mean"), F.count_if(F.col("loop") > 0.25).alias("loop_gt_25"), F.round(F.avg("d4"), 6).alias("distinct4"), F.median("n").alias("median_chars"), F.count_if(F.col("n") == 0).alias("empty"))
-
-
 @query("a18_group_signal", "SELECT count(*) AS groups, count(*) FILTER (WHERE n >= 2 AND s >= 5) AS with_signal FROM (SELECT count(*) AS n, stddev_pop(l_quantity::DOUBLE) AS s FROM lineitem GROUP BY l_orderkey)")
 def a18(spark, sf):
     g = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.stddev_pop(F.col("l_quantity").cast("double")).alias("s"))
@@ -457,12 +485,23 @@ def g01(spark, sf):
     return docs(spark, sf).select("doc_id", (F.size(F.regexp_extract_all("text", F.lit(r"[^ \n\t\r]+"), F.lit(0))) + 1).cast("long").alias("n_tokens"))
 
 
+@query("g01_encode")
+def g01_encode(spark, sf):
+    own = tokens.encoded(docs(spark, sf), vocabulary("byte_bpe_50k.json"))
+    return own.select("doc_id", "n_tokens", F.md5(F.array_join("ids", ",").cast("binary")).alias("digest"))
+
+
+def shard_rows(shards):
+    """A row a shard: its tokens and a digest of them."""
+    joined = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "tokens"))), lambda x: x["tokens"])), ",")
+    return shards.groupBy("source", "shard").agg(F.sum(F.size("tokens")).alias("tokens"), F.md5(joined.cast("binary")).alias("digest"))
+
+
 @query("g02_encode_pack")
 def g02(spark, sf):
-    ids = F.transform(F.regexp_extract_all("text", F.lit(r"[^ \n\t\r]+"), F.lit(0)), lambda w: F.pmod(F.xxhash64(w), F.lit(50000)).cast("int"))
-    long = docs(spark, sf).select("source", "doc_id", F.posexplode(windows.split_long(ids, 2048, 64)).alias("part", "ids")).select("source", "doc_id", "part", F.array_append("ids", F.lit(50000)).alias("ids"))
-    packed = windows.pack_windows(long, "source", ["doc_id", "part"], "ids", 1024)
-    return packed.select("source", "window", F.xxhash64("tokens").alias("digest"), F.size("tokens").alias("n"))
+    """Shards of each source's documents up to a quota of half its words."""
+    quotas = docs(spark, sf).groupBy("source").agg(F.floor(F.sum(T.hits("text", r"[^ \n\t\r]++")) / 2).alias("quota"))
+    return shard_rows(tokens.encode_pack(docs(spark, sf), vocabulary("byte_bpe_50k.json"), "source", 50256, 65_536, quotas=dedup.written(quotas, "quotas")))
 
 
 @query(
@@ -488,10 +527,10 @@ def g04(spark, sf):
 
 @query("g05_build_full")
 def g05(spark, sf):
+    """All documents that the mixture's cleaning keeps, encoded and packed without quotas."""
     clean, why = Q.mix_clean(F.col("text"))
-    kept = docs(spark, sf).select("source", "doc_id", clean.alias("clean"), why.alias("why")).where("why = ''")
-    n = F.size(F.regexp_extract_all("clean", F.lit(r"\S+"), F.lit(0))) + 1
-    return kept.groupBy("source").agg(F.count("*").alias("docs"), F.sum(n).alias("tokens"))
+    kept = docs(spark, sf).select("source", "doc_id", clean.alias("text"), why.alias("why")).where("why = ''")
+    return shard_rows(tokens.encode_pack(kept, vocabulary("byte_bpe_50k.json"), "source", 50256, 65_536))
 
 
 @query("g06_mix_bucket", "SELECT doc_id, source || ':' || CASE WHEN doc_id % 10 = 0 THEN 'UNKNOWN' ELSE lang END AS bucket FROM documents")

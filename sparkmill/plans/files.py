@@ -48,7 +48,7 @@ def s10(spark, sf):
 @query("s12_read_code_files")
 def s12(spark, sf):
     docs(spark, sf).select("text", F.col("source")).write.partitionBy("source").option("lineSep", "\r\n").option("maxRecordsPerFile", 10).text(at := place(spark, "code"))
-    return readers.read_code_files(spark, at, [".txt"], ["source=src3"], 1_000_000, 20).select(F.sha2("text", 256).alias("sha"), F.length("text").alias("n"))
+    return readers.read_code_files(spark, at, [".txt"], ["source=src3"], 1_000_000, 20, source="source=([^/]+)/", budget=60_000).select(F.sha2("text", 256).alias("sha"), F.length("text").alias("n"))
 
 
 @query("s15_read_parquet_hive_safe", "SELECT source, count(*) AS n FROM documents GROUP BY source")
@@ -160,6 +160,24 @@ def r03c(spark, sf):
     return s.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round("total", 4).alias("total"))
 
 
+@query("r03_closed_windows")
+def r03_closed(spark, sf):
+    """Metric lines as a log has them, one in 97 broken: closed windows, late rows and broken lines, counted by kind."""
+    e = table(spark, sf, "events")
+    line = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit('{"run": '), F.col("event_id").cast("string"))).otherwise(F.to_json(F.struct(F.col("event_type").alias("run"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value")))
+    e.repartitionByRange(F.col("ts")).sortWithinPartitions("ts").select(line.alias("value")).write.text(at := place(spark, "lines"))
+    jobs.stream_windows(spark, at, state := place(spark, "state"))
+    return jobs.window_report(spark, state)
+
+
+@query("r04_run_monitor")
+def r04_monitor(spark, sf):
+    e = _stream(spark, sf, "events", "event_type").withColumn("ts", F.col("ts").cast("timestamp"))
+    kind = F.when(F.col("event_id") % 50 == 0, "checkpoint").otherwise("metric")
+    rows = e.select(F.col("event_type").alias("run"), "ts", kind.alias("kind"), F.col("value").cast("double").alias("value"))
+    return _collected(spark, jobs.run_monitor(rows, stale_ms=600_000, checkpoint_ms=21_600_000), "append").drop("batch", "b")
+
+
 @query("r05_edge_triggered_alert")
 def r05(spark, sf):
     e = _stream(spark, sf, "events", "event_type").select(F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.when(F.col("value") > 150, "high").otherwise("").alias("issues"))

@@ -206,10 +206,19 @@ def w02(spark, sf):
     return windows.soft_quota(docs(spark, sf).select("doc_id", "source", "n_chars").withColumn("q", F.expr(_QUOTA)), "source", ["doc_id"], "n_chars", "q").select("doc_id", "accepted")
 
 
-@query("w03_select_byte_budget")
+@query(
+    "w03_select_byte_budget",
+    r"SELECT doc_id, CASE WHEN n <= 3000 - b THEN n ELSE strlen(regexp_replace(left(t, 3000 - b), '^\s+|\s+$', '', 'g')) END AS bytes FROM (SELECT doc_id, t, strlen(t)::BIGINT AS n, coalesce(sum(strlen(t)) OVER (PARTITION BY source, doc_id % 10 ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM (SELECT doc_id, source, regexp_replace(text, '[^\x00-\x7F]', '?', 'g') AS t FROM documents)) WHERE b < 3000 AND n > 0",
+)
 def w03(spark, sf):
-    # Each source's budget is spread over ten files of it; texts are cut to 3000 characters first, the crossing one to its bytes.
-    rows = docs(spark, sf).select("doc_id", F.concat_ws("/", "source", (F.col("doc_id") % 10).cast("string")).alias("file"), F.left("text", F.lit(3000)).alias("text"))
+    # Each source's budget is spread over ten files of it; in ASCII a cut falls at its byte.
+    rows = docs(spark, sf).select("doc_id", F.concat_ws("/", "source", (F.col("doc_id") % 10).cast("string")).alias("file"), F.regexp_replace("text", r"[^\x{00}-\x{7F}]", "?").alias("text"))
+    return windows.byte_budget(rows, "file", ["doc_id"], "text", 3000).select("doc_id", F.octet_length("text").cast("long").alias("bytes"))
+
+
+@query("w03_select_byte_budget_utf8")
+def w03_utf8(spark, sf):
+    rows = docs(spark, sf).select("doc_id", F.concat_ws("/", "source", (F.col("doc_id") % 10).cast("string")).alias("file"), "text")
     return windows.byte_budget(rows, "file", ["doc_id"], "text", 3000).select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.sha2("text", 256).alias("sha"))
 
 
@@ -314,6 +323,13 @@ def w16(spark, sf):
     return windows.placed(rows, "worker", ["k"], "place").drop("k")
 
 
+@query("w16_window_order")
+def w16_windows(spark, sf):
+    """The windows of 4,096 characters that the documents fill, in the order of an epoch, dealt to four workers."""
+    n = docs(spark, sf).agg(F.floor(F.sum("n_chars") / 4096).alias("n")).first().n
+    return windows.epoch_windows(spark, n or 0, 7, 1, 4)
+
+
 @query("w17_split_long_docs", "SELECT doc_id, len(t) AS n, CASE WHEN len(t) <= 100 THEN 1 WHEN len(t) % 100 >= 30 THEN len(t) // 100 + 1 ELSE greatest(len(t) // 100, 1) END AS chunks FROM (SELECT doc_id, regexp_split_to_array(text, '\\s+') AS t FROM documents)")
 def w17(spark, sf):
     t = F.split("text", r"\s+")
@@ -337,9 +353,17 @@ def w19(spark, sf):
 # Mixture planning.
 
 
-@query("m01_max_unique_total", "SELECT CAST(min(floor(s / 0.05)) AS BIGINT) AS total FROM (SELECT source, sum(n_chars)::DOUBLE AS s FROM documents GROUP BY source)")
+@query(
+    "m01_max_unique_total",
+    """WITH s AS (SELECT source, sum(n_chars) AS s, (count(*) + 100)::DOUBLE / (SELECT count(*) + 100 * count(DISTINCT source) FROM documents) AS f FROM documents GROUP BY source), b AS (SELECT CAST(min(floor(round(s / f, 6))) AS BIGINT) AS lo, CAST(min(ceil((s + 1) / f)) AS BIGINT) + 1 AS hi FROM s),
+    t AS (SELECT unnest(range(greatest(lo - 25, 0), hi + 1)) AS total FROM b), x AS (SELECT total, source, s, f, round(f * total, 9) AS own FROM s, t), y AS (SELECT *, floor(own) AS fl, row_number() OVER (PARTITION BY total ORDER BY round(own - floor(own), 9) DESC, f DESC, source) AS r, total - sum(floor(own)) OVER (PARTITION BY total) AS drift FROM x),
+    g AS (SELECT total, bool_and(fl + CASE WHEN r <= drift THEN 1 ELSE 0 END <= s) AS ok FROM y GROUP BY total), n AS (SELECT min(total) AS m FROM g, b WHERE NOT ok AND total > (SELECT max(total) FROM g, b WHERE ok AND total <= lo)) SELECT m - 1 AS total FROM n""",
+)
 def m01(spark, sf):
-    return docs(spark, sf).groupBy("source").agg(F.sum("n_chars").cast("double").alias("s")).agg(F.min(F.floor(F.col("s") / 0.05)).cast("long").alias("total"))
+    per = docs(spark, sf).groupBy("source").agg(F.sum("n_chars").alias("s"), F.count("*").alias("c"))
+    whole = per.agg(F.sum(F.col("c") + 100).alias("w"))
+    shares_ = per.join(whole, F.lit(True)).select("source", "s", ((F.col("c") + 100) / F.col("w")).alias("f"))
+    return policy.max_unique_total(shares_, "source", "s", "f")
 
 
 @query("m02_resolve_mix", "WITH p AS (SELECT source, CASE WHEN n_chars < 2000 THEN 'short' ELSE 'long' END AS b, sum(n_chars) AS s FROM documents GROUP BY ALL), x AS (SELECT source, b, s, 5000 * s::DOUBLE / sum(s) OVER (PARTITION BY source) AS raw FROM p), y AS (SELECT *, floor(round(raw, 9)) AS fl, round(round(raw, 9) - floor(round(raw, 9)), 9) AS rest FROM x) SELECT source, b, CAST(fl + CASE WHEN row_number() OVER (PARTITION BY source ORDER BY rest DESC, s DESC, b) <= 5000 - sum(fl) OVER (PARTITION BY source) THEN 1 ELSE 0 END AS BIGINT) AS quota FROM y")

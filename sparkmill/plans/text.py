@@ -343,7 +343,10 @@ def f23(spark, sf):
     return docs(spark, sf).select("doc_id", F.array_join(Q.triage(F.col("text"), F.split("text", r"\s+")), ",").alias("reasons"))
 
 
-@query("f24_dup_ngram_ratio")
+@query(
+    "f24_dup_ngram_ratio",
+    "SELECT doc_id, round(CASE WHEN len(t) < 8 THEN 0.0 ELSE 1 - len(list_distinct(list_transform(range(1, len(t) - 2), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] || ' ' || t[i + 3]))) / (len(t) - 3) END, 6) AS dup FROM (SELECT doc_id, string_split(text, ' ') AS t FROM documents)",
+)
 def f24(spark, sf):
     return docs(spark, sf).select("doc_id", F.round(arrow.duplicate_ngrams(F.split("text", " ")), 6).alias("dup"))
 
