@@ -189,3 +189,14 @@ def health(rows: DataFrame, split: str, order: str, k: int) -> DataFrame:
     each = each.withColumn("safe_rate", F.round(1 - F.col("flagged") / F.col("samples"), 6)).join(some, split, "left")
     total = each.agg(F.lit("mean").alias(split), *[F.sum(c).alias(c) for c in ("samples", "poison", "repeated", "flagged")], F.round(F.avg("safe_rate"), 6).alias("safe_rate"))
     return each.unionByName(total, allowMissingColumns=True)
+
+
+def trajectory(parts: dict[str, DataFrame]) -> DataFrame:
+    """A row a step, a column a report (each a table of step and value), null where a report lacks the step. A report with
+    two rows of a step is an error."""
+    out = None
+    for name, rows in parts.items():
+        twice = F.raise_error(F.concat(F.lit(f"{name}: two rows of step "), F.col("step").cast("string"))).cast("double")
+        own = rows.groupBy("step").agg(F.count("*").alias("n"), F.first("value").alias("v")).select("step", F.when(F.col("n") > 1, twice).otherwise(F.col("v")).alias(name))
+        out = own if out is None else out.join(own, "step", "full_outer")
+    return out

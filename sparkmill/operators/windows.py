@@ -145,6 +145,14 @@ def epoch_windows(spark: SparkSession, n: int, seed: int, epoch: int, workers: i
     return rows.select("place", permute.window_at("place", n, seed, epoch).alias("window"), (F.col("place") % workers).alias("worker"))
 
 
+def step_continuity(rows: DataFrame, run: str, order: list[str], step: str, start: str | None = None) -> DataFrame:
+    """(run, breaks, resumed): how often a run's step falls below the one before in file order, and whether the step that it
+    resumed at (the column `start`, null: it began anew) is among its steps."""
+    before = F.lag(step).over(Window.partitionBy(run).orderBy(*order))
+    resumed = F.bool_or(F.col(start).isNull() | (F.col(step) == F.col(start))) if start else F.lit(True)
+    return rows.withColumn("__p", before).groupBy(run).agg(F.count_if(F.col("__p") > F.col(step)).alias("breaks"), resumed.alias("resumed"))
+
+
 def hash_sample(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """Per key the k rows with the least sha256 of key, a zero byte and text."""
     return top_k(df, [key], [F.sha2(F.concat_ws("\0", key, text), 256)], k)
@@ -153,7 +161,7 @@ def hash_sample(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
 def evenly_spaced(df: DataFrame, order: list[str], n: int, rounding: str = "floor") -> DataFrame:
     """n rows evenly spaced over an ordered catalogue: floor(i (N-1)/(n-1)); rounding='even': round half even, n = 1 the middle.
 
-    Positions come from one sort of the catalogue's keys; a catalogue has a row a file, not a row a document."""
+    Places come by ranges of the order, so no task ranks the whole catalogue."""
     total = df.count()
     if not total:
         return df
@@ -162,13 +170,24 @@ def evenly_spaced(df: DataFrame, order: list[str], n: int, rounding: str = "floo
     else:
         wanted = sorted({(i * (total - 1)) // (n - 1) if rounding == "floor" else round(i * (total - 1) / (n - 1)) for i in range(n)})
     rows = df.withColumn("__one", F.lit(1))
-    return ranked(rows, ["__one"], [F.col(c) for c in order], "__r").where((F.col("__r") - 1).isin(wanted)).drop("__one", "__r")
+    return placed(rows, "__one", order, "__r").where((F.col("__r") - 1).isin(wanted)).drop("__one", "__r")
 
 
 def largest_remainder(df: DataFrame, total: Column, fraction: str, name: str, by: list[str], tie: str = "fraction") -> DataFrame:
     """Integer quotas that add up to the total: floors, then one each to the largest remainders.
 
-    tie 'fraction': the larger fraction, then the name; 'name': the name; 'descending': names from last to first."""
+    tie 'fraction': the larger fraction, then the name; 'name': the name; 'descending': names from last to first; 'minimum':
+    one of the total for each name first, then remainders with names from last to first; 'half_even': rounded quotas, and
+    what they miss goes to the largest fraction (ties: the name)."""
+    if tie == "half_even":
+        w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
+        part = df.withColumn("__own", F.bround(F.round(F.col(fraction) * total, 9)).cast("long")).withColumn("__drift", total - F.sum("__own").over(w))
+        part = part.withColumn("__r", F.row_number().over(w.orderBy(F.col(fraction).desc(), F.col(name))))
+        return part.withColumn("quota", (F.col("__own") + F.when(F.col("__r") == 1, F.col("__drift")).otherwise(0)).cast("long")).drop("__own", "__drift", "__r")
+    if tie == "minimum":
+        w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
+        rest = df.withColumn("__n", F.count("*").over(w))
+        return largest_remainder(rest, total - F.col("__n"), fraction, name, by, "descending").withColumn("quota", F.col("quota") + 1).drop("__n")
     own = F.round(F.col(fraction) * total, 9)
     part = df.withColumn("__floor", F.floor(own)).withColumn("__rest", F.round(own - F.floor(own), 9))
     ties = {"fraction": [F.col(fraction).desc(), F.col(name)], "name": [F.col(name)], "descending": [F.col(name).desc()]}[tie]

@@ -50,13 +50,20 @@ _SPLIT = "CASE WHEN doc_id % 50 = 0 THEN 'val' ELSE 'train' END"
 
 @query(
     "a02_cleaning_report",
-    f"""SELECT dimension, value, count(*) AS docs, sum(b)::BIGINT AS bytes FROM (SELECT unnest(['lang', 'source', 'split', 'reason', 'source_split', 'source_length_bucket', 'source_reason']) AS dimension,
-    unnest([lang, source, sp, r, source || '|' || sp, source || '|' || lb, source || '|' || r]) AS value, b FROM (SELECT lang, source, {_SPLIT} AS sp, {_BUCKET} AS lb, {_REASON} AS r, strlen(text) AS b FROM documents)) GROUP BY ALL""",
+    rf"""WITH s AS (SELECT lower(regexp_replace(text, '\s+', '', 'g')) AS k FROM benchmark), hit AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, lower(regexp_replace(text, '\s+', '', 'g')) AS t FROM documents) JOIN s ON contains(t, k) WHERE length(k) >= 24)
+    SELECT dimension, value, count(*) AS docs, sum(b)::BIGINT AS bytes FROM (SELECT unnest(['lang', 'source', 'split', 'reason', 'source_split', 'source_length_bucket', 'source_reason', 'source_year', 'source_license', 'source_contaminated']) AS dimension,
+    unnest([lang, source, sp, r, source || '|' || sp, source || '|' || lb, source || '|' || r, source || '|' || y, source || '|' || lic, source || '|' || c]) AS value, b FROM (SELECT lang, source, {_SPLIT} AS sp, {_BUCKET} AS lb, {_REASON} AS r, strlen(text) AS b,
+    CASE WHEN doc_id % 7 = 0 THEN 'unknown' ELSE (2000 + doc_id % 25)::VARCHAR END AS y, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'cc-' || lang END AS lic, CASE WHEN doc_id IN (SELECT doc_id FROM hit) THEN 'yes' ELSE 'no' END AS c FROM documents)) GROUP BY ALL""",
 )
 def a02(spark, sf):
     d = judged(spark, sf).withColumn("split", F.when(F.col("doc_id") % 50 == 0, "val").otherwise("train")).withColumn("length_bucket", T.length_bucket("n_chars"))
-    d = d.withColumns({f"source_{c}": F.concat_ws("|", "source", c) for c in ("split", "length_bucket", "reason")})
-    return reports.by_dimension(d, ["lang", "source", "split", "reason", "source_split", "source_length_bucket", "source_reason"], docs=F.lit(1), bytes=F.octet_length("text").cast("long"))
+    signatures = table(spark, sf, "benchmark").select(F.col("item_id").alias("sid"), F.lit(0).alias("rank"), F.lower(T.squeeze("text")).alias("skey"))
+    hit = joins.decontaminate(docs(spark, sf).select("doc_id", F.lower(T.squeeze("text")).alias("key")), signatures).select("doc_id", F.lit("yes").alias("contaminated"))
+    year = T.document_year(F.when(F.col("doc_id") % 7 == 0, "n. d.").otherwise((2000 + F.col("doc_id") % 25).cast("string")))
+    d = d.join(hit, "doc_id", "left").withColumns({"contaminated": F.coalesce("contaminated", F.lit("no")), "year": year, "license": F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit("cc-"), "lang"))})
+    own = ("split", "length_bucket", "reason", "year", "license", "contaminated")
+    d = d.withColumns({f"source_{c}": F.concat_ws("|", "source", c) for c in own})
+    return reports.by_dimension(d, ["lang", "source", "split", "reason", *(f"source_{c}" for c in own)], docs=F.lit(1), bytes=F.octet_length("text").cast("long"))
 
 
 @query("a03_memorised_skeletons", r"SELECT k AS skeleton, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(text, '[0-9]+|[零一二三四五六七八九十百千万两]+', '#', 'g'), '\s+', '', 'g') AS k FROM conversations WHERE turn = 0) GROUP BY k HAVING count(*) >= 50")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..catalog import query, table
 from ..functions import arrow
 from ..functions import text as T
-from ..operators import dedup, joins, policy, windows
+from ..operators import dedup, joins, policy, windows, reports
 from ..sources import readers
 
 
@@ -85,8 +85,8 @@ def j08(spark, sf):
 @query("j09_eval_trajectory", "SELECT step, a.mean AS gen, b.mean AS ppl, c.mean AS exec FROM (SELECT hour(ts) AS step, round(avg(value), 6) AS mean FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT hour(ts) AS step, round(avg(value), 6) AS mean FROM events WHERE event_type = 'purchase' AND hour(ts) % 2 = 0 GROUP BY 1) b USING (step) FULL JOIN (SELECT hour(ts) AS step, round(avg(value), 6) AS mean FROM events WHERE event_type = 'view' AND hour(ts) % 3 = 0 GROUP BY 1) c USING (step)")
 def j09(spark, sf):
     e = table(spark, sf, "events").withColumn("step", F.hour("ts").cast("long"))
-    part = lambda kind, name, every: e.where((F.col("event_type") == kind) & (F.col("step") % every == 0)).groupBy("step").agg(F.round(F.avg("value"), 6).alias(name))
-    return part("click", "gen", 1).join(part("purchase", "ppl", 2), "step", "full_outer").join(part("view", "exec", 3), "step", "full_outer")
+    part = lambda kind, every: e.where((F.col("event_type") == kind) & (F.col("step") % every == 0)).groupBy("step").agg(F.round(F.avg("value"), 6).alias("value"))
+    return reports.trajectory({"gen": part("click", 1), "ppl": part("purchase", 2), "exec": part("view", 3)})
 
 
 @query("j10_judge_merge", "SELECT o_orderkey AS prompt_id, 0::BIGINT AS index, round(CASE WHEN v.s IS NULL THEN o_totalprice ELSE (o_totalprice + v.s) / 2 END, 4)::DOUBLE AS judge_score, round(CASE WHEN v.s IS NULL THEN 1.0 ELSE 1.0 + ((o_totalprice + v.s) / 2 - o_totalprice) / 100 END, 6)::DOUBLE AS reward FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_quantity)::DOUBLE AS s FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1) v ON o_orderkey = l_orderkey")
@@ -273,6 +273,19 @@ def w09b(spark, sf):
     return windows.largest_remainder(shares(spark, sf), F.lit(100003), "f", "source", [], "descending").select("source", "quota")
 
 
+_MINIMUM = f"WITH c AS (SELECT 100003 - count(*) AS t FROM {_SHARES}), p AS (SELECT source, f, t, floor(round(f * t, 9)) AS fl, round(round(f * t, 9) - floor(round(f * t, 9)), 9) AS rest FROM {_SHARES}, c) SELECT source, CAST(1 + fl + CASE WHEN row_number() OVER (ORDER BY rest DESC, source DESC) <= t - sum(fl) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM p"
+
+
+@query("w09_largest_remainder_minimum", _MINIMUM)
+def w09c(spark, sf):
+    return windows.largest_remainder(shares(spark, sf), F.lit(100003), "f", "source", [], "minimum").select("source", "quota")
+
+
+@query("w09_rounded_half_even", f"WITH p AS (SELECT source, f, round_even(round(f * 100003, 9), 0) AS own, row_number() OVER (ORDER BY f DESC, source) AS r FROM {_SHARES}) SELECT source, CAST(own + CASE WHEN r = 1 THEN 100003 - sum(own) OVER () ELSE 0 END AS BIGINT) AS quota FROM p")
+def w09d(spark, sf):
+    return windows.largest_remainder(shares(spark, sf), F.lit(100003), "f", "source", [], "half_even").select("source", "quota")
+
+
 @query("w10_ordered_sources", "SELECT source, row_number() OVER (ORDER BY p DESC, source) AS place FROM (SELECT source, count(*) % 3 AS p FROM documents GROUP BY source)")
 def w10(spark, sf):
     per = docs(spark, sf).groupBy("source").agg((F.count("*") % 3).alias("p"))
@@ -298,10 +311,11 @@ def w13(spark, sf):
     return table(spark, sf, "events").groupBy("event_type", F.col("user_id").alias("step")).agg(F.max("event_id").alias("event_id"))
 
 
-@query("w14_step_continuity", "SELECT user_id, count(*) FILTER (WHERE p > event_id) AS breaks FROM (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY user_id")
+@query("w14_step_continuity", "SELECT user_id, count(*) FILTER (WHERE p > event_id) AS breaks, bool_or(user_id % 3 = 0 OR event_id % 7 = 3) AS resumed FROM (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY user_id")
 def w14(spark, sf):
-    before = F.lag("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return table(spark, sf, "events").select("user_id", "event_id", before.alias("p")).groupBy("user_id").agg(F.count_if(F.col("p") > F.col("event_id")).alias("breaks"))
+    # Every third user began anew; the others resumed at a step that leaves 3 by 7, if they have one.
+    start = F.when(F.col("user_id") % 3 != 0, F.when(F.col("event_id") % 7 == 3, F.col("event_id")).otherwise(-1))
+    return windows.step_continuity(table(spark, sf, "events").withColumn("start", start), "user_id", ["ts", "event_id"], "event_id", "start")
 
 
 _PACK = "SELECT source, doc_id, list_append(list_transform(regexp_split_to_array(text, '\\s+'), lambda x: length(x)), 0) AS t FROM documents"

@@ -36,8 +36,13 @@ def read_text_column(df: DataFrame, names: tuple[str, ...] = ("text", "content")
 
 
 def read_jsonl(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """JSON lines (gzip by suffix); broken lines are kept in _corrupt_record."""
-    return spark.read.schema(f"{schema}, _corrupt_record string").option("columnNameOfCorruptRecord", "_corrupt_record").json(paths)
+    """JSON lines (gzip by suffix); broken lines, and those that hold no object, are kept in _corrupt_record. Blank lines go."""
+    line = F.regexp_replace("value", "^\ufeff", "")
+    rows = spark.read.text(paths).select(line.alias("line")).where(T.strip("line") != "")
+    parsed = F.from_json("line", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    own = F.when(T.strip("line").startswith("{"), parsed)
+    rows = rows.select("line", own.alias("m")).select("line", "m.*")
+    return rows.withColumn("_corrupt_record", F.when(T.strip("line").startswith("{"), F.col("_corrupt_record")).otherwise(F.col("line"))).drop("line")
 
 
 def jsonl_stats(spark: SparkSession, paths: list[str], field: str = "text") -> DataFrame:

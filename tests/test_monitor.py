@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmill import catalog, plans  # noqa: F401
-from sparkmill.operators import policy
+from sparkmill.operators import policy, reports
+from sparkmill.sources import readers
 from sparkmill.streaming import jobs
 
 START = dt.datetime(2024, 1, 1)
@@ -97,3 +98,17 @@ def test_largest_total(spark, seed):
 def test_names_are_taken_once():
     with pytest.raises(ValueError, match="two queries"):
         catalog.query("a01_drop_counters")(lambda spark, sf: None)
+
+
+def test_json_lines_that_hold_no_object_are_kept_aside(spark, tmp_path):
+    spark.createDataFrame([(x,) for x in ['{"a": 1}', "[1, 2]", '{"a": ', "7", '"x"', "", '  {"a": 2}']], "value string").coalesce(1).write.text(f"{tmp_path}/x")
+    got = sorted(((r.a, r._corrupt_record) for r in readers.read_jsonl(spark, [f"{tmp_path}/x"], "a long").collect()), key=repr)
+    assert got == sorted([(1, None), (2, None), (None, "[1, 2]"), (None, '{"a": '), (None, "7"), (None, '"x"')], key=repr)
+
+
+def test_two_reports_of_a_step_are_an_error(spark):
+    a = spark.createDataFrame([(1, 0.5), (2, 0.7)], "step long, value double")
+    b = spark.createDataFrame([(2, 3.0), (3, 4.0)], "step long, value double")
+    assert sorted(tuple(r) for r in reports.trajectory({"a": a, "b": b}).where("step > 1").collect()) == [(2, 0.7, 3.0), (3, None, 4.0)]
+    with pytest.raises(Exception, match="two rows of step 2"):
+        reports.trajectory({"a": a, "b": b.union(b)}).collect()
