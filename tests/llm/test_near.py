@@ -225,7 +225,7 @@ def plain_near(rows, size=5, least=0.8):
     return {rows[k][0]: least_id[g] for k, g in enumerate(root.tolist())}
 
 
-@pytest.mark.parametrize("tile", [256, 40])
+@pytest.mark.parametrize("tile", [64])
 def test_near_copies_of_large_groups(spark, monkeypatch, tile):
     monkeypatch.setattr(near_copies, "TILE", tile)
     r = random.Random(11)
