@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrow
 from ..functions import text as T
-from . import dedup, windows
+from . import dedup, reports, windows
 
 
 LONGEST, BITS = 5, 18
@@ -45,6 +45,33 @@ def fit_quality(train: DataFrame, label: str = "quality", features: int = 1 << B
     return Pipeline(stages=stages).fit(weighted)
 
 
+#: Strengths of regularisation that are tried.
+GRID = (0.001, 0.01, 0.1)
+
+
+def fit_path(train: DataFrame, valid: DataFrame, label: str = "quality", grid: tuple[float, ...] = GRID, least_precision: float = 0.65, features: int = 1 << BITS) -> tuple[PipelineModel, float, bool]:
+    """(model, its strength, whether the constraint held): of models of several strengths, fitted on features written once,
+    the one of the best macro F1 on the validation rows among those of the least precision there, or among all if none is."""
+    p = train.agg(F.avg((F.col(label) == 1).cast("double"))).first()[0] or 0.0
+    share = min(max(p, 1e-6), 1 - 1e-6)
+    first = Pipeline(stages=[HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x", minDocFreq=2)])
+    own = dedup.written(featured(train), "featured")
+    begun = first.fit(own)
+    weight = F.when(F.col(label) == 1, 0.5 / share).otherwise(0.5 / (1 - share))
+    x = dedup.written(begun.transform(own).select("x", F.col(label).cast("double").alias(label), weight.alias("w")), "vectors")
+    held = dedup.written(begun.transform(featured(valid)).select("x", F.col(label).cast("double").alias(label)), "held")
+    line = LogisticRegression(featuresCol="x", labelCol=label, weightCol="w", maxIter=30)
+    best = None
+    for k, model in line.fitMultiple(x, [{line.regParam: r} for r in grid]):
+        counts = model.transform(held).agg(*reports.confusion(F.col(label), vector_to_array("probability")[1] >= 0.5))
+        m = reports.classifier_metrics(*map(F.col, ("tp", "fp", "fn", "tn")))
+        one = counts.select(m["macro_f1"].alias("f"), m["precision"].alias("p")).first()
+        rank = ((one.p or 0.0) >= least_precision, one.f or 0.0, -k)
+        if best is None or rank > best[0]:
+            best = (rank, model, grid[k])
+    return PipelineModel(stages=[*begun.stages, best[1]]), best[2], best[0][0]
+
+
 def score_quality(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(featured(df)).withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
 
