@@ -1,7 +1,8 @@
 """Tokenizers of the installed libraries as Arrow UDFs: a worker loads a vocabulary once, whatever the number of batches.
 
 The file decides the library: .json tokenizers, .model sentencepiece, .tiktoken (ranks in base 64) tiktoken. Its path is a
-parameter, and the file must be where every worker reads it. Nothing is trained, cut, padded or framed by added tokens."""
+parameter, and the file must be where every worker reads it. Nothing is trained, cut, padded or framed by added tokens.
+`raw` gives the bytes of ids where the library has them."""
 
 from __future__ import annotations
 
@@ -18,6 +19,9 @@ from pyspark.sql.functions import pandas_udf
 
 #: Pieces that stand for one byte of a text that the vocabulary can't express.
 BYTE = re.compile(r"<0x[0-9A-Fa-f]{2}>")
+#: tiktoken's own splitting overflows its stack on much longer runs of white space; texts that hold one are split here first.
+RUN = 10_000
+BLANKS = re.compile(rf"\s{{{RUN}}}")
 
 
 @dataclass(frozen=True)
@@ -27,6 +31,7 @@ class Encoder:
     unknown: int | None
     fallback: frozenset[int]
     size: int
+    raw: Callable[[list[int]], bytes] | None = None
 
 
 @functools.lru_cache(maxsize=4)
@@ -48,12 +53,20 @@ def load(path: str) -> Encoder:
         return Encoder(lambda x: m.encode(x, num_threads=1), m.decode, m.unk_id(), frozenset(i for i in range(m.vocab_size()) if m.is_byte(i)), m.vocab_size())
     if kind == "tiktoken":
         import public_tokenizers
+        import regex
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         e = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return Encoder(lambda x: [e.encode_ordinary(s) for s in x], e.decode, None, frozenset(), len(ranks))
+        pattern = regex.compile(public_tokenizers.PATTERN)
+
+        def ids(s: str) -> list[int]:
+            if len(s) < RUN or not BLANKS.search(s):
+                return e.encode_ordinary(s)
+            return [i for piece in pattern.findall(s) for i in e._encode_single_piece(piece)]
+
+        return Encoder(lambda x: list(map(ids, x)), e.decode, None, frozenset(), len(ranks), e.decode_bytes)
     raise ValueError(f"no library for {path}")
 
 

@@ -30,8 +30,14 @@ def test_ids_equal_the_library(spark, name):
         t = sentencepiece.SentencePieceProcessor(model_file=path)
         plain, back = t.encode, t.decode
     else:
-        t = encoders.load(path)
-        plain, back = (lambda s: t.encode([s])[0]), t.decode
+        import base64
+
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        t = tiktoken.Encoding("plain", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        plain, back = t.encode_ordinary, t.decode
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     got = {r.doc_id: r for r in tokens.encoded(df, path).withColumn("back", encoders.decoded(path)("ids")).collect()}
     for k, s in enumerate(TEXTS):
@@ -46,6 +52,19 @@ def test_ids_equal_the_library(spark, name):
     assert not name.endswith("model") or one.byte_fallback_tokens > 0
 
 
+def test_long_runs_of_white_space(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    own = encoders.load(public.path("byte_bpe_multi_50k.tiktoken"))
+    long = ["\n" * 1_000_000, "a b" + " " * 400_000 + "c", "x" * 50_000]
+    for s, ids in zip(long, own.encode(long), strict=True):
+        assert own.raw(ids) == s.encode() and own.decode(ids) == s
+    mixed = ["it's  a \n\n\t line" + " \n" * 9 + "of 12 words", " " * 40 + "end"]
+    usual = own.encode(mixed)
+    monkeypatch.setattr(encoders, "RUN", 0)
+    monkeypatch.setattr(encoders, "BLANKS", encoders.re.compile(r"\s{2}"))
+    assert own.encode(mixed) == usual
+
+
 def test_encode_pack_lays_tokens_end_to_end(spark):
     public = pytest.importorskip("public_tokenizers")
     path = public.path("byte_bpe_50k.json")
