@@ -1,6 +1,6 @@
 """Best-fit packing (1) into bins of several permitted lengths.
 
-Documents are measured and cut into pieces (longer ones than the largest bin are cut between tokens, none is dropped);
+Documents are measured in tokens and cut into pieces (longer ones than the largest bin are cut between tokens, none is dropped);
 each piece knows its place in the text. Pieces are dealt evenly and packed by blocks, each block in decreasing order: a
 piece goes to the open bin with the least room that holds it. If none does, a bin is opened, of the size whose cost for
 each token it can expect to hold is least, given what is left of the block. In the end each bin is sized down to the
@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmill.functions import encoders
+
 from .common import Words, map_arrow, real_id, row_id, slices
 from .token_prefix import counter
 
@@ -71,6 +73,26 @@ def by_tokens(path: str) -> Measure:
     return measure
 
 
+def by_ranks(path: str) -> Measure:
+    """Tokens of a rank file, encoded by its library, and one end marker a text. Piece k holds the tokens from k * top on;
+    a character belongs to the piece that holds its last token."""
+
+    def measure(column: pa.Array, top: int) -> tuple[np.ndarray, list[list[int]]]:
+        own, n, cuts = encoders.load(path), [], []
+        for t in column.to_pylist():
+            ids = own.encode([t or ""])[0]
+            n.append(len(ids) + 1)
+            cuts.append([])
+            if len(ids) >= top:
+                data = np.frombuffer(t.encode(), dtype=np.uint8)
+                ends = np.r_[np.flatnonzero((data[1:] & 0xC0) != 0x80) + 1, len(data)]  # bytes up to each character's end
+                upto = np.cumsum([len(own.raw(ids[b - top : b])) for b in range(top, n[-1], top)])
+                cuts[-1] = np.searchsorted(ends, upto, side="right").tolist()
+        return np.array(n, dtype=np.int64), cuts
+
+    return measure
+
+
 def pieces(docs: DataFrame, measure: Measure, top: int, id_col: str = "doc_id") -> DataFrame:
     """(the columns of PIECES, and a hash that deals them)."""
     own = docs.select(row_id(id_col).alias("rid"), "text", F.xxhash64(row_id(id_col), F.xxhash64("text"), F.spark_partition_id()).alias("dealt"))

@@ -36,7 +36,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 @query
 def op1_best_fit_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), packing.by_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
 
 @query

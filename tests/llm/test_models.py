@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from sparkmill.llm import ann, packing, pii, quality, toxicity
+from sparkmill.llm import ann, byte_bpe, packing, pii, quality, toxicity
 from sparkmill.llm.ann import Index
 
 BAD = ["idiot", "Trash", "loweiung", "loweikeit"]
@@ -217,6 +217,32 @@ def test_packing_by_tokens(spark):
         assert sum(x.length for x in own) == n + 1 and "".join((t or "")[x.char_start : x.char_end] for x in own) == (t or "")
 
 
+def test_packing_by_ranks(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import tiktoken.load
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    plain = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tiktoken.load.load_tiktoken_bpe(path), special_tokens={})
+    alphabet = ["wörd", " the", "🙂", "漢字", "\n\n", " 12", "ɸ", "\u200b", "  "]
+    r = random.Random(14)
+    rows = [(k, "".join(r.choice(alphabet) for _ in range(n))) for k, n in enumerate([0, 1, 20, 63, 64, 65, 500, 3000])]
+    rows += [(20, "🙂" * 400), (21, " the" * 255), (22, " the" * 256), (23, " " * 30_000 + "x"), (24, None), (3, rows[6][1]), (3, rows[6][1]), (None, "ɸ" * 700)]
+    docs = spark.createDataFrame([(*x, "x") for x in rows], "doc_id long, text string, rid string")
+    got = packing.pack(docs, packing.by_ranks(path), sizes=(64, 256)).collect()
+    for k, t in rows:
+        own = sorted((x for x in got if x.doc_id == k), key=lambda x: x.piece)
+        if k == 3:
+            continue
+        ids = plain.encode_ordinary(t) if k not in (23, 24) else [i for i in byte_bpe.bpe(path).encode([t or ""])[0]]
+        assert [x.length for x in own] == [min(256, len(ids) + 1 - b) for b in range(0, len(ids) + 1, 256)]
+        assert "".join((t or "")[x.char_start : x.char_end] for x in own) == (t or "")
+        for x in own:  # the characters that are whole within the first tokens
+            assert x.char_end == len(plain.decode_bytes(ids[: x.start + x.length]).decode(errors="ignore"))
+    twice = len(plain.encode_ordinary(rows[6][1])) + 1
+    assert sum(x.length for x in got if x.doc_id == 3) == 2 * twice + len(plain.encode_ordinary(rows[3][1])) + 1
+    assert packing.pack(docs.limit(0), packing.by_ranks(path)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_best_fit_against_a_plain_version(seed):
     r = random.Random(seed)

@@ -2,14 +2,19 @@
 
 import random
 
+import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from sparkmill.llm import toxicity
+from sparkmill.llm import byte_bpe, toxicity
 
 from .test_near import plain_components, plain_fingerprint, plain_repeats
 
 
+def n_tokens(text):
+    return len(byte_bpe.bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).encode([text or ""])[0]) + 1
+
+
 @pytest.fixture(scope="module")
 def planted(spark, tmp_path_factory):
     r = random.Random(12)
@@ -62,7 +67,7 @@ def test_stages(spark, planted):
         out.write.parquet(at := f"{planted}/stage{k}")
         docs = spark.read.parquet(at)
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, planted).collect()
-    assert {p.doc_id: p.length for p in pieces} == {r.doc_id: len((r.text or "").split()) + 1 for r in docs.collect()}
+    assert {p.doc_id: p.length for p in pieces} == {r.doc_id: n_tokens(r.text) for r in docs.collect()}
 
 
 def test_run_gives_what_the_stages_give(spark, planted):
@@ -117,7 +122,7 @@ def test_stages_on_repeated_and_null_ids_and_clashing_columns(spark, planted, tm
         docs = spark.createDataFrame(out.collect(), out.schema)
     assert 3 not in kept and kept[0].text == one and kept[1].text == two and "[EMAIL]" in kept[5].text and len(kept[9].text.split()) == 20_000
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
-    assert sum(x.length for x in packed) == sum(len((x.text or "").split()) + 1 for x in kept.values()) and {x.doc_id for x in packed} == {x.doc_id for x in kept.values()}
+    assert sum(x.length for x in packed) == sum(n_tokens(x.text) for x in kept.values()) and {x.doc_id for x in packed} == {x.doc_id for x in kept.values()}
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0

@@ -103,4 +103,17 @@ def test_urls_and_vectors(spark, sf):
         hit += len(set(want) & {k for _, k, _ in own})
         assert [n for n, _, _ in own] == list(range(1, 21)) and all(abs(s - score[k]) < 1e-12 for _, k, s in own) and own == sorted(own, key=lambda f: (-f[2], f[1]))
     assert hit >= 0.9 * 240
-    assert {x.doc_id for x in run(spark, sf, "op1_best_fit_packing")} == set(sf[1])
+
+
+def test_packing(spark, sf):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import tiktoken.load
+
+    ranks = tiktoken.load.load_tiktoken_bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    plain = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    length, bins = {}, {}
+    for x in run(spark, sf, "op1_best_fit_packing"):
+        length[x.doc_id] = length.get(x.doc_id, 0) + x.length
+        bins.setdefault((x.bin_id, x.bin_size, x.bin_fill), []).append(x.length)
+    assert length == {k: len(plain.encode_ordinary(t or "")) + 1 for k, t in sf[1].items()}
+    assert all(sum(own) == fill <= size for (_, size, fill), own in bins.items()) and len({b for b, _, _ in bins}) == len(bins)
