@@ -9,17 +9,19 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DataType
 
 from . import kernels, numbers
 
 
-def udf(kind: str):
+def udf(kind: str | DataType):
     """An Arrow UDF that is made when it is first applied, as that needs a session."""
 
-    def wrap(f) -> Callable[[Column | str], Column]:
-        return lambda x: pandas_udf(f, kind)(x)
+    def wrap(f) -> Callable[..., Column]:
+        return lambda *x: pandas_udf(f, kind)(*x)
 
     return wrap
 
@@ -196,12 +198,32 @@ def agrees(text: Column | str, reference: Column | str) -> Column:
     return agree(text, reference)
 
 
-def grams(longest: int, bits: int):
-    """Numbers, below 2**bits, of the hashed character n-grams of up to `longest` characters of the whole text; each is
-    given 1 + log2(count) times, rounded. Long texts are counted block by block."""
+def gram_counts(longest: int, bits: int):
+    """Numbers, below 2**bits, of the hashed character n-grams of up to `longest` characters of the whole text, and how often
+    each occurs; none for a null text. Long texts are counted block by block."""
 
-    @udf("array<string>")
-    def counted(x: pd.Series) -> pd.Series:
-        return x.map(lambda s: kernels.grams(s, longest, bits), na_action="ignore")
+    @udf("struct<at: array<int>, n: array<int>>")
+    def counted(x: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([kernels.gram_counts("" if s is None else s, longest, bits) for s in x], columns=["at", "n"])
 
     return counted
+
+
+def sparse(weight: np.ndarray):
+    """A sparse vector of counted terms, 1 + ln(count) times the term's weight, scaled to length 1, with measures after them."""
+    size = len(weight)
+
+    def one(at: np.ndarray, n: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        v = (1 + np.log(n)) * weight[at]
+        at, v = at[v > 0], v[v > 0]
+        norm = np.sqrt(v @ v) or 1.0
+        return np.concatenate([at, size + np.arange(len(own))]), np.concatenate([v / norm, own])
+
+    @udf(VectorUDT())
+    def vector(terms: pd.DataFrame, own: pd.Series) -> pd.DataFrame:
+        both = [one(at, n, x) for at, n, x in zip(terms["at"], terms["n"], own, strict=True)]
+        length = size + (len(own.iloc[0]) if len(own) else 0)
+        # A vector comes back as the fields of its type: 0 for sparse, its length, places and values.
+        return pd.DataFrame({"type": 0, "size": length, "indices": [b[0] for b in both], "values": [b[1] for b in both]})
+
+    return vector

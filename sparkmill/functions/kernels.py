@@ -114,7 +114,8 @@ def runs(s: str, size: int, wanted: np.ndarray | None) -> list[dict]:
     return [{"h": int(a), "at": int(b) + 1} for a, b in zip(own[order], first[order], strict=True)]
 
 
-def grams(s: str, longest: int, bits: int, block: int = 1 << 20) -> list[str]:
+def gram_counts(s: str, longest: int, bits: int, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed n-grams of up to `longest` characters that a text has, in order, and how often."""
     code = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
     n = np.zeros(1 << bits, dtype=np.int64)
     for lo in range(0, len(code), block):
@@ -127,4 +128,4 @@ def grams(s: str, longest: int, bits: int, block: int = 1 << 20) -> list[str]:
                 break
         n += np.bincount(np.concatenate(parts), minlength=1 << bits)
     at = np.flatnonzero(n)
-    return np.repeat(at, np.rint(1 + np.log2(n[at])).astype(np.int64)).astype(str).tolist()
+    return at, n[at]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
+from typing import NamedTuple
+
+import numpy as np
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,15 @@ from . import dedup, reports, windows
 
 
 LONGEST, BITS = 5, 18
+#: A term counts if it is in so many training texts at least and in such a share of them at most.
+LEAST_DOCUMENTS, LARGEST_SHARE = 2, 0.995
+
+
+class Quality(NamedTuple):
+    """A fitted filter: the weight of each term, 0 for terms that are too rare or too frequent, and the model over them."""
+
+    weight: np.ndarray
+    line: LogisticRegressionModel
 
 
 def stratified_split(df: DataFrame, label: str, order: Column, train: float = 0.7, valid: float = 0.15) -> DataFrame:
@@ -26,54 +36,74 @@ def stratified_split(df: DataFrame, label: str, order: Column, train: float = 0.
     return j.withColumn("part", F.when(p < train, "train").when(p < train + valid, "valid").otherwise("test")).select(*df.columns, "part")
 
 
-#: Levels of a measure in [0, 1]; each level is a term of its own beside the n-grams.
-LEVELS = 32
+def featured(df: DataFrame, text: str = "text") -> DataFrame:
+    """With `__terms`, the counted n-grams of the whole text, and `__own`, its six measures."""
+    own = [F.coalesce(c, F.lit(0.0)) for c in T.text_features(text).values()]
+    return df.withColumn("__terms", arrow.gram_counts(LONGEST, BITS)(text)).withColumn("__own", F.array(*own))
 
 
-def featured(df: DataFrame, text: str = "text") -> DataFrame:
-    """With the terms of each text: its n-grams, and its six measures by level."""
-    own = [F.concat(F.lit(f"{n}="), F.floor(F.least(c, F.lit(1.0)) * LEVELS).cast("string")) for n, c in T.text_features(text).items()]
-    return df.withColumn("grams", F.concat(arrow.grams(LONGEST, BITS)(text), F.array(*own)))
+def term_weights(rows: DataFrame) -> np.ndarray:
+    """ln((1 + texts) / (1 + texts that have the term)) + 1 of each term of featured rows, or 0. There are 2**BITS terms at
+    most, however many rows there are, so the table of counts comes to the driver."""
+    n = rows.count()
+    held = rows.select(F.explode("__terms.at").alias("at")).groupBy("at").agg(F.count("*").alias("n")).toArrow()
+    at, texts = held["at"].to_numpy(), held["n"].to_numpy()
+    weight = np.zeros(1 << BITS)
+    weight[at] = np.where((texts >= LEAST_DOCUMENTS) & (texts <= LARGEST_SHARE * n), np.log((1 + n) / (1 + texts)) + 1, 0.0)
+    return weight
+
+
+def with_vectors(rows: DataFrame, weight: np.ndarray) -> DataFrame:
+    """Featured rows with `__x`: weighted terms of length 1 and the measures, as a sparse vector."""
+    return rows.withColumn("__x", arrow.sparse(weight)("__terms", "__own")).drop("__terms", "__own")
+
+
+def _line(label: str) -> LogisticRegression:
+    names = {"featuresCol": "__x", "probabilityCol": "__p", "rawPredictionCol": "__raw", "predictionCol": "__hit"}
+    return LogisticRegression(labelCol=label, weightCol="__w", maxIter=30, **names)
+
+
+def _prepared(train: DataFrame, label: str) -> tuple[np.ndarray, DataFrame]:
+    """Weights of the terms, and the training vectors with weights by which both labels count alike; written once."""
+    rows = dedup.written(featured(train.select("text", F.col(label).cast("double").alias(label))), "featured")
+    share = rows.agg(F.avg(label)).first()[0] or 0.0
+    p = min(max(share, 1e-6), 1 - 1e-6)
+    weight = term_weights(rows)
+    x = with_vectors(rows, weight).select("__x", label, F.when(F.col(label) == 1, 0.5 / p).otherwise(0.5 / (1 - p)).alias("__w"))
+    return weight, dedup.written(x, "vectors")
 
 
-def fit_quality(train: DataFrame, label: str = "quality", features: int = 1 << BITS, reg: float = 0.01) -> PipelineModel:
-    """Balanced logistic regression on hashed TF-IDF of character 1- to 5-grams of the whole text and six measures by level."""
-    n = train.groupBy().agg(F.sum(label).alias("p"), F.count("*").alias("n")).first()
-    p = max((n.p or 0) / max(n.n, 1), 1e-6)
-    weighted = dedup.written(featured(train), "featured").withColumn("w", F.when(F.col(label) == 1, 0.5 / p).otherwise(0.5 / max(1 - p, 1e-6)))
-    stages = [HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x", minDocFreq=2), LogisticRegression(featuresCol="x", labelCol=label, weightCol="w", regParam=reg, maxIter=30)]
-    return Pipeline(stages=stages).fit(weighted)
+def fit_quality(train: DataFrame, label: str = "quality", reg: float = 0.01) -> Quality:
+    """Balanced logistic regression on hashed TF-IDF of character 1- to 5-grams of the whole text and six measures."""
+    weight, x = _prepared(train, label)
+    return Quality(weight, _line(label).setRegParam(reg).fit(x))
 
 
 #: Strengths of regularisation that are tried.
 GRID = (0.001, 0.01, 0.1)
 
 
-def fit_path(train: DataFrame, valid: DataFrame, label: str = "quality", grid: tuple[float, ...] = GRID, least_precision: float = 0.65, features: int = 1 << BITS) -> tuple[PipelineModel, float, bool]:
-    """(model, its strength, whether the constraint held): of models of several strengths, fitted on features written once,
+def fit_path(train: DataFrame, valid: DataFrame, label: str = "quality", grid: tuple[float, ...] = GRID, least_precision: float = 0.65) -> tuple[Quality, float, bool]:
+    """(model, its strength, whether the constraint held): of models of several strengths, fitted on vectors written once,
     the one of the best macro F1 on the validation rows among those of the least precision there, or among all if none is."""
-    p = train.agg(F.avg((F.col(label) == 1).cast("double"))).first()[0] or 0.0
-    share = min(max(p, 1e-6), 1 - 1e-6)
-    first = Pipeline(stages=[HashingTF(inputCol="grams", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x", minDocFreq=2)])
-    own = dedup.written(featured(train), "featured")
-    begun = first.fit(own)
-    weight = F.when(F.col(label) == 1, 0.5 / share).otherwise(0.5 / (1 - share))
-    x = dedup.written(begun.transform(own).select("x", F.col(label).cast("double").alias(label), weight.alias("w")), "vectors")
-    held = dedup.written(begun.transform(featured(valid)).select("x", F.col(label).cast("double").alias(label)), "held")
-    line = LogisticRegression(featuresCol="x", labelCol=label, weightCol="w", maxIter=30)
+    weight, x = _prepared(train, label)
+    held = dedup.written(with_vectors(featured(valid), weight).select("__x", F.col(label).cast("double").alias(label)), "held")
+    line = _line(label)
     best = None
     for k, model in line.fitMultiple(x, [{line.regParam: r} for r in grid]):
-        counts = model.transform(held).agg(*reports.confusion(F.col(label), vector_to_array("probability")[1] >= 0.5))
+        counts = model.transform(held).agg(*reports.confusion(F.col(label), vector_to_array("__p")[1] >= 0.5))
         m = reports.classifier_metrics(*map(F.col, ("tp", "fp", "fn", "tn")))
         one = counts.select(m["macro_f1"].alias("f"), m["precision"].alias("p")).first()
         rank = ((one.p or 0.0) >= least_precision, one.f or 0.0, -k)
         if best is None or rank > best[0]:
             best = (rank, model, grid[k])
-    return PipelineModel(stages=[*begun.stages, best[1]]), best[2], best[0][0]
+    return Quality(weight, best[1]), best[2], best[0][0]
 
 
-def score_quality(df: DataFrame, model: PipelineModel) -> DataFrame:
-    return model.transform(featured(df)).withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
+def score_quality(df: DataFrame, model: Quality) -> DataFrame:
+    """With `score`; null for a null text."""
+    rows = model.line.transform(with_vectors(featured(df), model.weight))
+    return rows.select(*df.columns, F.when(F.col("text").isNotNull(), vector_to_array("__p")[1]).alias("score"))
 
 
 def keep(score: Column, applies: Column, least: float) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import query, table
 from ..functions import text as T
-from ..operators import dedup, filters as Q
+from ..operators import candidates, dedup, filters as Q
 from ..operators import learned, reports
 from ..sources import readers, writers
 from ..streaming import jobs
@@ -225,15 +225,31 @@ def l03(spark, sf):
 def l04(spark, sf):
     _, model = model_of(spark, sf)
     scored = learned.score_quality(docs(spark, sf).select("doc_id", "text", "source"), model)
-    return scored.where(learned.keep(F.col("score"), F.col("source") != "src3", 0.3)).select("doc_id", F.least(F.floor(F.col("score") * 10), F.lit(9)).alias("bucket"))
+    return scored.where(learned.keep(F.col("score"), F.col("source") != "src3", 0.3)).select("doc_id", F.when(F.col("score").isNotNull(), F.least(F.floor(F.col("score") * 10), F.lit(9))).alias("bucket"))
+
+
+def candidates_of(spark, sf):
+    """The documents but those of src5 as candidates, met with src5 as the earlier corpus, with the model's scores."""
+    _, model = model_of(spark, sf)
+    d = docs(spark, sf)
+    every = dedup.written(candidates.admitted(d.where("source is distinct from 'src5'"), d.where("source = 'src5'"), "doc_id", "lang"), "admitted")
+    return every, dedup.written(candidates.scored(every, model, 0.5), "scored")
+
+
+@query("a09_scored_candidates")
+def a09_scored(spark, sf):
+    """The profile of candidates in full: drops, topics in documents and words, accepted ones, duplicates within, scores."""
+    every, kept = candidates_of(spark, sf)
+    return candidates.profile(every, kept, "doc_id", F.regexp_count("text", F.lit(r"\S+")))
 
 
 @query("l05_topic_derivative")
 def l05(spark, sf):
-    _, model = model_of(spark, sf)
-    rows = docs(spark, sf).where((F.length("text") >= 200) & Q.topic_gate(F.col("text"), "(?i)(the|der|que) ", "(?i)(and|und|los) "))
-    scored = learned.score_quality(rows.select("doc_id", "text", "source", "lang"), model)
-    return scored.where("score >= 0.5").select("doc_id", "source", "lang", F.sha2("text", 256).alias("upstream_text_sha256"), F.round("score", 4).alias("score"))
+    """Candidates of the engineering, literature and mathematics topics; literature behind the precision gate."""
+    _, kept = candidates_of(spark, sf)
+    gates = {"literature_web": Q.topic_gate(F.col("text"), "(?i)(the|der|que) ", "(?i)(and|und|los) ")}
+    rows = candidates.derivative(kept, ["stem_engineering", "literature_web", "math_calculation"], gates)
+    return rows.where("reason = ''").select("doc_id", "source", "lang", "topic", "upstream_text_sha256", "document_sha256", "legacy_exact_overlap", "legacy_near_overlap", F.round("score", 4).alias("score"))
 
 
 @query("l06_model_gate")

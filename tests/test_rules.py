@@ -1,7 +1,6 @@
 """Rules and functions on hand-written rows."""
 
 import base64
-import math
 import random
 from collections import Counter
 
@@ -131,10 +130,9 @@ def test_kernels_against_plain_versions():
         assert [s[x["at"] - 1 : x["at"] + 4] for x in got] == list(want) and len({x["h"] for x in got}) == len(got)
         wanted = np.sort(np.array([x["h"] for x in got[::2]], dtype=np.int64))
         assert kernels.runs(s, 5, wanted) == got[::2]
-        whole = Counter(kernels.grams(s, 3, 16))
-        assert whole == Counter(kernels.grams(s, 3, 16, block=7))
+        assert [x.tolist() for x in kernels.gram_counts(s, 3, 16)] == [x.tolist() for x in kernels.gram_counts(s, 3, 16, block=7)]
     n = Counter(s[i : i + k] for s in ["abcabcab"] for k in (1, 2, 3) for i in range(len(s) - k + 1))
-    assert sum(Counter(kernels.grams("abcabcab", 3, 16)).values()) == sum(round(1 + math.log2(c)) for c in n.values())
+    assert sorted(kernels.gram_counts("abcabcab", 3, 16)[1].tolist()) == sorted(n.values())
     assert kernels.clean("a\r\nb\x00\u200b\ufffd c\u0301\n\nCopyright\nPrivacy Policy ", True) == "a\nb ć\n\nCopyright"
 
 
