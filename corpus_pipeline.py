@@ -20,8 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (shingles of five words, similarity 0.8), that of the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near copies (shingles of five words, similarity 0.8), that of the smallest id: pairs
+    within operator 3's radius of SimHash fingerprints, and beyond it pairs from MinHash blocks, all verified."""
+    return near_copies.keep_one(docs, by_fingerprint=True)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

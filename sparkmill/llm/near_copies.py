@@ -1,4 +1,4 @@
-"""Near copies by word shingles: candidates from blocks of MinHash values, verified by exact Jaccard similarity.
+"""Near copies by word shingles: candidates from SimHash and MinHash blocks, verified by exact Jaccard similarity.
 
 A text is the set of its shingles of `size` words, A-Z lower-cased; a shorter text is one shingle. Texts of the same words
 are one node. Each node has `BANDS` blocks of `ROWS` minima; two texts of similarity 0.8 share a block with a probability
@@ -11,8 +11,12 @@ of 1 - (1 - 0.8**5)**24 = 0.9999. All that share a block and have the similarity
   are compared in the first block they share. A pair of tiles gives a chain of the components it joins, not pairs.
 
 So a group whose members are linked at once costs in proportion to its size, and only nodes that stay apart are compared
-with all of their block. The pipeline's stage of the name simhash_near_dedup is built on this and not on SimHash: within
-radius 2 fingerprints would miss most copies of similarity 0.8.
+with all of their block.
+
+With `by_fingerprint`, as in the pipeline's stage simhash_near_dedup, the buckets of operator 3 (`simhash.tables`: covering
+masks over SimHash fingerprints) are blocks as well, so that of fingerprints within its radius no pair of the similarity is
+missed. Radius 2 holds a small part of the texts of similarity 0.8, whose fingerprints mostly differ in 7 to 10 of 64 bits;
+the MinHash blocks add those beyond it.
 
 Rows: null and empty texts, and ones of white space only, are copies of each other. Rows that repeat an id are compared
 by their own texts; a row with a null id comes last. Other columns are kept, whatever their names. An empty table gives
@@ -27,9 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, join_hot, map_arrow, materialize, real_id, row_id, slices
+from .common import Words, join_hot, map_arrow, materialize, real_id, row_id, slices, texts
 from .components import components
-from .simhash import keep_first
+from .simhash import MASKS, RADIUS, fingerprint, keep_first, signed, tables
 from .substring import both
 from .vector_copies import chains
 
@@ -67,16 +71,26 @@ def _own(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.select(row_id(id_col).alias("rid"), F.xxhash64("text").alias("h"), "text")
 
 
-def blocks(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE) -> DataFrame:
-    """(rid, h, same, keys): the id, a hash of the text, a 128-bit name of the text's words and one number for each band."""
+def blocks(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE, by_fingerprint: bool = False) -> DataFrame:
+    """(rid, h, same, keys, fp): the id, a hash of the text, a 128-bit name of the text's words, one number for each band and
+    the fingerprint (null without by_fingerprint)."""
 
     def run(batch: pa.RecordBatch):
         for lo, hi in slices(batch.column("text")):
             part = batch.slice(lo, hi - lo)
             words, name, first = shingles(part.column("text"), size)
-            yield {"rid": part.column("rid"), "h": part.column("h"), "same": [xxhash.xxh3_128_hexdigest(x) for x in words], "keys": pa.array(list(minima(name, first).T.view(np.int64)), pa.list_(pa.int64()))}
+            fp = [signed(fingerprint(t)) for t in texts(part)] if by_fingerprint else pa.nulls(len(part), pa.int64())
+            yield {"rid": part.column("rid"), "h": part.column("h"), "same": [xxhash.xxh3_128_hexdigest(x) for x in words], "keys": pa.array(list(minima(name, first).T.view(np.int64)), pa.list_(pa.int64())), "fp": fp}
+
+    return map_arrow(_own(docs, id_col), "rid long, h long, same string, keys array<long>, fp long", run)
+
 
-    return map_arrow(_own(docs, id_col), "rid long, h long, same string, keys array<long>", run)
+def _fingerprint_blocks(unique: DataFrame) -> DataFrame:
+    """(node, band, block) of (node, fp): the buckets that operator 3 deals fingerprints into; their bands follow BANDS."""
+    counted = materialize(unique.groupBy("fp").agg(F.count("*").alias("n")), "fingerprints")
+    dealt = tables(counted.select("fp")).select("fp", (F.lit(BANDS) + F.col("t")).cast("int").alias("band"), F.xxhash64("t", "mask", "key").alias("block"))
+    each = dealt.groupBy("fp").agg(F.collect_list(F.struct("band", "block")).alias("own")).join(counted, "fp")
+    return join_hot(unique.select("node", "fp"), materialize(each, "dealt"), "fp").select("node", F.explode("own").alias("x")).select("node", "x.band", "x.block")
 
 
 def verified(pairs: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -158,8 +172,14 @@ def _compared(rows: DataFrame, similarity: float) -> DataFrame:
         n = np.array([len(x) for x in sets])
         left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
         try_ = (who[left][:, None] != who[right][None]) & (np.minimum(n[left][:, None], n[right][None]) >= similarity * np.maximum(n[left][:, None], n[right][None]))
-        for k in range(band):  # compared where they met first
+        for k in range(keys.shape[1]):  # compared where they met first
             try_ &= keys[left, k][:, None] != keys[right, k][None]
+        if band >= BANDS:
+            fp = t["fp"].to_numpy().view(np.uint64)
+            bits = fp[left][:, None] ^ fp[right][None]
+            try_ &= np.bitwise_count(bits) <= RADIUS
+            for mask in MASKS[: (band - BANDS) // 8]:
+                try_ &= bits & np.uint64(mask) != 0
         i, j = np.nonzero(try_)
         if len(i):
             li, ri = np.unique(i), np.unique(j)
@@ -176,11 +196,13 @@ def _compared(rows: DataFrame, similarity: float) -> DataFrame:
     return out.selectExpr("struct(arid as rid, ah as h) as a", "struct(brid as rid, bh as h) as b")
 
 
-def _groups(docs: DataFrame, id_col: str, size: int, similarity: float) -> DataFrame:
+def _groups(docs: DataFrame, id_col: str, size: int, similarity: float, by_fingerprint: bool) -> DataFrame:
     """(rid, first): with each row the first (rid, h) of its group. A node is the first (rid, h) of texts of the same words."""
-    each = materialize(blocks(docs, id_col, size), "blocks")
-    unique = materialize(each.groupBy("same").agg(F.min(F.struct("rid", "h")).alias("node"), F.first("keys").alias("keys"), F.count("*").alias("n")), "unique")
+    each = materialize(blocks(docs, id_col, size, by_fingerprint), "blocks")
+    unique = materialize(each.groupBy("same").agg(F.min(F.struct("rid", "h")).alias("node"), F.first("keys").alias("keys"), F.first("fp").alias("fp"), F.count("*").alias("n")), "unique")
     keyed = unique.select("node", F.posexplode("keys").alias("band", "key")).select("node", "band", F.xxhash64("band", "key").alias("block"))
+    if by_fingerprint:
+        keyed = keyed.unionByName(materialize(_fingerprint_blocks(unique), "buckets"))
     sizes = materialize(keyed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").withColumn("held", F.col("n")), "sizes")
     met = materialize(join_hot(keyed, sizes, "block").select("node", "band", "block", "held"), "met")
     pairs = materialize(_met_first(met), "pairs")
@@ -193,30 +215,31 @@ def _groups(docs: DataFrame, id_col: str, size: int, similarity: float) -> DataF
     tiles = materialize(_tiles(big), "tiles")
     if not tiles.isEmpty():
         sets = _shingle_sets(_texts(docs, id_col, tiles.select("node")), size)
-        rows = tiles.join(materialize(sets, "sets"), "node").select("block", "band", "a", "b", "own", F.col("comp.rid").alias("crid"), F.col("comp.h").alias("ch"), "keys", "shingles")
+        rows = tiles.join(materialize(sets, "sets"), "node").select("block", "band", "a", "b", "own", F.col("comp.rid").alias("crid"), F.col("comp.h").alias("ch"), "keys", "fp", "shingles")
         further = components(materialize(_compared(rows, similarity), "joined"))
         labelled = labelled.join(further.select(F.col("node").alias("comp"), F.col("root").alias("least")), "comp", "left").withColumn("comp", F.coalesce("least", "comp"))
     named = materialize(labelled.select("same", "n", F.col("comp").alias("first")), "named")
     return join_hot(each.select("rid", "same"), named, "same").select("rid", "first")
 
 
-def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
-    """(node, keys, shingles): the band keys and the sorted distinct shingle names of each text."""
+def _shingle_sets(own: DataFrame, size: int) -> DataFrame:
+    """(node, keys, fp, shingles): the band keys, the fingerprint and the sorted distinct shingle names of each text."""
 
     def run(batch: pa.RecordBatch):
         for lo, hi in slices(batch.column("text")):
             part = batch.slice(lo, hi - lo)
             _, name, first = shingles(part.column("text"), size)
-            yield {"rid": part.column("rid"), "h": part.column("h"), "keys": pa.array(list(minima(name, first).T.view(np.int64)), pa.list_(pa.int64())), "shingles": pa.array([np.unique(name[i:j]).tobytes() for i, j in zip(first[:-1], first[1:], strict=True)], pa.binary())}
+            fp = [signed(fingerprint(t)) for t in texts(part)]
+            yield {"rid": part.column("rid"), "h": part.column("h"), "fp": fp, "keys": pa.array(list(minima(name, first).T.view(np.int64)), pa.list_(pa.int64())), "shingles": pa.array([np.unique(name[i:j]).tobytes() for i, j in zip(first[:-1], first[1:], strict=True)], pa.binary())}
 
-    return map_arrow(texts, "rid long, h long, keys array<long>, shingles binary", run).select(F.struct("rid", "h").alias("node"), "keys", "shingles")
+    return map_arrow(own, "rid long, h long, keys array<long>, fp long, shingles binary", run).select(F.struct("rid", "h").alias("node"), "keys", "fp", "shingles")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY, by_fingerprint: bool = False) -> DataFrame:
     """Per row: the id and `component_id`, the smallest id that chains of near copies lead to."""
-    return _groups(docs, id_col, size, similarity).select(real_id().alias(id_col), real_id("first.rid").alias("component_id"))
+    return _groups(docs, id_col, size, similarity, by_fingerprint).select(real_id().alias(id_col), real_id("first.rid").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY, by_fingerprint: bool = False) -> DataFrame:
     """One row of each group, that of the smallest id (of texts under one id, of the smallest hash); columns as they are."""
-    return keep_first(docs, _groups(docs, id_col, size, similarity).select("first"), id_col)
+    return keep_first(docs, _groups(docs, id_col, size, similarity, by_fingerprint).select("first"), id_col)

@@ -112,18 +112,22 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield stars(held)
 
 
-def links(unique: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (fp) whose components are those of all links."""
-    tables = F.explode(F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(MASKS)]))
-    rows = unique.select("fp", tables.alias("x")).select("fp", "x.t", "x.key")
+def tables(unique: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(t, mask, key, fp): the buckets of distinct fingerprints (fp); any two within the radius share one. t // 8 is the
+    place in MASKS of the mask that a bucket, and those it is dealt into, come from."""
+    each = F.explode(F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for t, m in enumerate(MASKS)]))
+    rows = unique.select("fp", each.alias("x")).select("fp", "x.t", "x.key")
     many = materialize(rows.groupBy("t", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "buckets")
     finer = F.array(*[F.array(*[F.lit(signed(m)) for m in own]) for own in FINER])
     masks = F.when(F.col("n").isNull(), F.array(F.element_at(F.array(*[F.lit(signed(m)) for m in MASKS]), F.col("t").cast("int") + 1))).otherwise(F.element_at(finer, F.col("t").cast("int") + 1))
     dealt = rows.join(many, ["t", "key"], "left").select("fp", "t", F.posexplode(masks).alias("u", "mask"))
-    dealt = dealt.select((F.col("t") * 8 + F.col("u")).alias("t"), F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-    spark = unique.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "t", "mask", "key").sortWithinPartitions("t", "mask", "key").mapInArrow(_stars, "a long, b long")
+    return dealt.select((F.col("t") * 8 + F.col("u")).alias("t"), F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+
+
+def links(unique: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints (fp) whose components are those of all links."""
+    n = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tables(unique, bucket).repartition(n, "t", "mask", "key").sortWithinPartitions("t", "mask", "key").mapInArrow(_stars, "a long, b long")
 
 
 def _groups(docs: DataFrame, id_col: str, bucket: int) -> DataFrame:

@@ -3,12 +3,13 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from sparkmill.llm import byte_bpe, toxicity
+from sparkmill.llm import byte_bpe, near_copies, toxicity
 
-from .test_near import plain_components, plain_fingerprint, plain_repeats
+from .test_near import plain_components, plain_fingerprint, plain_near, plain_repeats
 
 
 def n_tokens(text):
@@ -105,6 +106,40 @@ def test_edited_copies_go(spark):
     assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
 
 
+def test_no_pair_within_the_radius_is_missed(spark):
+    pairs = []
+    for seed, k in ((10, 724), (38, 300), (39, 583)):  # pairs of similarity 0.81 that share no MinHash block
+        r = random.Random(seed)
+        for _ in range(k + 1):
+            passage = " ".join(f"w{r.randrange(9000)}" for _ in range(17))
+            pair = [" ".join([passage] * 10 + [f"w{r.randrange(9000)}" for _ in range(2)]) for _ in range(2)]
+        _, name, first = near_copies.shingles(pa.array(pair))
+        assert len(set(near_copies.minima(name, first).ravel().tolist())) == 2 * near_copies.BANDS and len(set(map(plain_fingerprint, pair))) == 1
+        pairs += pair
+    docs = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string")
+    assert sorted(x.doc_id for x in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [0, 2, 4]
+
+
+def test_large_buckets_of_fingerprints_are_compared_wholly(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "TILE", 16)
+    r = random.Random(34)
+    words = lambda n: [f"w{r.randrange(9000)}" for _ in range(n)]
+    texts = []
+    for n, of, tail in ((9, 40, 2), (9, 31, 6), (15, 21, 9)):  # a passage many times and a few words of one's own
+        passage = words(n) * of
+        texts += [" ".join(passage + words(tail)) for _ in range(40)]
+    texts += [" ".join(words(40)) for _ in range(30)]
+    r.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x.component_id for x in near_copies.near_groups(docs, similarity=0.4, by_fingerprint=True).collect()}
+    all_pairs, fp = plain_near(rows, least=0.4), [plain_fingerprint(t) for t in texts]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    assert all(all_pairs[i] == all_pairs[c] for i, c in got.items())
+    close = [(i, j) for i in got for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 2 and len(sets[i] & sets[j]) >= 0.4 * len(sets[i] | sets[j])]
+    assert len(close) > 500 and all(got[i] == got[j] for i, j in close)
+
+
 def test_stages_on_repeated_and_null_ids_and_clashing_columns(spark, planted, tmp_path):
     r = random.Random(31)
     text = lambda n: " ".join(f"w{r.randrange(9000)}" for _ in range(n))
