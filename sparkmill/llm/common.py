@@ -55,6 +55,21 @@ def join_hot(rows: DataFrame, named: DataFrame, key: str, n: str = "n") -> DataF
     return few.unionByName(rows.join(keys, key, "left_anti").join(named.where(~hot).drop(n), key))
 
 
+#: Bits of the mask that `maybe` makes, in rows of 64: at most 2**18 rows, however many keys there are.
+MASK_BITS = 1 << 24
+
+
+def maybe(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys wanted has, and a few others: a mask of the keys' hashes is broadcast, so that a join which
+    follows shuffles few rows in vain. No row of a wanted key is lost; beyond some 10^7 keys the mask filters little."""
+    at, bits = fresh(rows, "at", "bits")
+    place = F.pmod(F.xxhash64(*keys), F.lit(MASK_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    held = wanted.select(F.shiftright(place, 6).alias(at), bit.alias(bits)).groupBy(at).agg(F.bit_or(bits).alias(bits))
+    met = rows.withColumn(at, F.shiftright(place, 6)).join(F.broadcast(held), at)
+    return met.where(F.col(bits).bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def with_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Only the id and the text: `rid` never null, text null as it is. Other columns, whatever their names, go."""
     return df.select(row_id(id_col).alias("rid"), F.col("text"))

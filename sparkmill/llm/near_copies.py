@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, join_hot, map_arrow, materialize, real_id, row_id, slices, texts
+from .common import Words, join_hot, map_arrow, materialize, maybe, real_id, row_id, slices, texts
 from .components import components
 from .simhash import MASKS, RADIUS, fingerprint, keep_first, signed, tables
 from .substring import both
@@ -111,7 +111,8 @@ def verified(pairs: DataFrame, size: int, similarity: float) -> DataFrame:
 
 def _texts(docs: DataFrame, id_col: str, nodes: DataFrame) -> DataFrame:
     """(rid, h, text) of distinct nodes."""
-    own = _own(docs, id_col).join(nodes.select("node.rid", "node.h").distinct(), ["rid", "h"], "left_semi")
+    wanted = materialize(nodes.select("node.rid", "node.h").distinct(), "wanted")
+    own = maybe(_own(docs, id_col), wanted, "rid", "h").join(wanted, ["rid", "h"])  # a semi join would be pushed below the mask
     return own.groupBy("rid", "h").agg(F.min("text").alias("text"))
 
 

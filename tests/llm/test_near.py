@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from sparkmill.llm import near_copies, simhash, substring
+from sparkmill.llm.common import maybe
 from sparkmill.llm.components import components
 
 
@@ -237,6 +238,18 @@ def test_near_copies_of_large_groups(spark, monkeypatch, tile):
     assert sum(got[k] == k for k in range(300)) > 10
 
 
+def test_few_texts_are_fetched_and_none_is_missed(spark):
+    docs = spark.range(0, 6000, 3).selectExpr("if(id % 7 = 0, null, id) as doc_id", "concat('text ', id % 900) as text").repartition(5)
+    own = near_copies._own(docs, "doc_id").select("rid", "h", "text")
+    for share in (0, 1, 50):
+        wanted = own.where(f"pmod(xxhash64(text), 1000) < {share}").select("rid", "h").distinct()
+        want = {(x.rid, x.h, x.text) for x in own.join(wanted, ["rid", "h"]).collect()}
+        sent = [tuple(x) for x in maybe(own, wanted, "rid", "h").collect()]
+        assert want <= set(sent) and len(set(sent) - want) <= 2
+        got = near_copies._texts(docs, "doc_id", wanted.selectExpr("struct(rid, h) as node"))
+        assert {tuple(x) for x in got.select("rid", "h", "text").collect()} == want
+
+
 def test_shared_counts():
     r = np.random.default_rng(3)
     sets = [np.unique(r.integers(0, 6000, 3000).astype(np.uint64)) for _ in range(12)] + [np.zeros(0, dtype=np.uint64)]
