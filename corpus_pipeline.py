@@ -7,6 +7,8 @@ row; a document whose words all repeat earlier ones stays with an empty text.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,12 +43,29 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.by_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
 
+#: Rows that Spark sends to Python at a time (10,000 by default, some 30 MB of whole texts in each of several buffers).
+BATCH_ROWS = 1000
+
+
+def in_small_batches(stage):
+    """The stage with Arrow batches of at most BATCH_ROWS rows. The setting stays in the session, as tables are lazy."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        if not 0 < own <= BATCH_ROWS:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("simhash_near_dedup", drop_near_copies),
-    ("substring_dedup", cut_repeats),
-    ("pii", redact_private),
-    ("best_fit_packing", pack),
+    ("toxicity", in_small_batches(drop_toxic)),
+    ("simhash_near_dedup", in_small_batches(drop_near_copies)),
+    ("substring_dedup", in_small_batches(cut_repeats)),
+    ("pii", in_small_batches(redact_private)),
+    ("best_fit_packing", in_small_batches(pack)),
 ]
 
 #: Learned models, fingerprints of overlapping words and packing can't be put in SQL.

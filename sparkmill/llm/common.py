@@ -117,12 +117,13 @@ def map_arrow(df: DataFrame, schema: str, per_batch: Callable[[pa.RecordBatch],
 
 
 def map_rows(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch], drop: tuple[str, ...] = ()) -> DataFrame:
-    """mapInArrow from rows to rows of the same columns, without those in drop."""
+    """mapInArrow from rows to rows of the same columns, without those in drop, by runs of about SLICE bytes of text."""
     schema = df.drop(*drop).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield per_batch(batch)
+            for lo, hi in slices(batch.column("text")):
+                yield per_batch(batch.slice(lo, hi - lo))
 
     return df.mapInArrow(run, schema)
 
@@ -145,7 +146,7 @@ def ids(batch: pa.RecordBatch, column: str = "rid") -> np.ndarray:
 
 
 #: Bytes that the word hash takes at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 #: Odd base of the word hash and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -215,11 +216,15 @@ class Words:
         return out
 
 
-def slices(column: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about `size` bytes of text; a longer text stays whole."""
-    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    total, lo = np.cumsum(lengths), 0
-    while lo < len(column):
+#: Bytes of text that a kernel takes at a time; those that make arrays of all shingles or windows take the finer one.
+SLICE, FINE = 1 << 22, 1 << 20
+
+
+def slices(*columns: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about `size` bytes of text in all columns; a longer row stays whole."""
+    lengths = [pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+    total, lo = np.cumsum(np.sum(lengths, axis=0)), 0
+    while lo < len(total):
         hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + size, side="right")))
         yield lo, hi
         lo = hi

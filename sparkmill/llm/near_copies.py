@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, join_hot, map_arrow, materialize, maybe, real_id, row_id, slices, texts
+from .common import FINE, Words, join_hot, map_arrow, materialize, maybe, real_id, row_id, slices, texts
 from .components import components
 from .simhash import MASKS, RADIUS, fingerprint, keep_first, signed, tables
 from .substring import both
@@ -76,7 +76,7 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", size: int = SIZE, by_fingerp
     the fingerprint (null without by_fingerprint)."""
 
     def run(batch: pa.RecordBatch):
-        for lo, hi in slices(batch.column("text")):
+        for lo, hi in slices(batch.column("text"), size=FINE):
             part = batch.slice(lo, hi - lo)
             words, name, first = shingles(part.column("text"), size)
             fp = [signed(fingerprint(t)) for t in texts(part)] if by_fingerprint else pa.nulls(len(part), pa.int64())
@@ -96,14 +96,15 @@ def _fingerprint_blocks(unique: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The (a, b) of (a, b, ta, tb) whose texts have the similarity."""
 
-    def run(batch: pa.RecordBatch) -> dict[str, object]:
-        sets = []
-        for c in ("ta", "tb"):
-            _, name, first = shingles(batch.column(c), size)
-            sets.append([np.unique(name[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)])
-        shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sets, strict=True)]
-        hold = pa.array([s >= similarity * (len(x) + len(y) - s) for s, x, y in zip(shared, *sets, strict=True)], pa.bool_())
-        return {c: batch.column(c).filter(hold) for c in ("a", "b")}
+    def run(batch: pa.RecordBatch):
+        for lo, hi in slices(batch.column("ta"), batch.column("tb"), size=FINE):
+            part, sets = batch.slice(lo, hi - lo), []
+            for c in ("ta", "tb"):
+                _, name, first = shingles(part.column(c), size)
+                sets.append([np.unique(name[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)])
+            shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sets, strict=True)]
+            hold = pa.array([s >= similarity * (len(x) + len(y) - s) for s, x, y in zip(shared, *sets, strict=True)], pa.bool_())
+            yield {c: part.column(c).filter(hold) for c in ("a", "b")}
 
     node = "struct<rid: bigint, h: bigint>"
     return map_arrow(pairs, f"a {node}, b {node}", run)
@@ -227,7 +228,7 @@ def _shingle_sets(own: DataFrame, size: int) -> DataFrame:
     """(node, keys, fp, shingles): the band keys, the fingerprint and the sorted distinct shingle names of each text."""
 
     def run(batch: pa.RecordBatch):
-        for lo, hi in slices(batch.column("text")):
+        for lo, hi in slices(batch.column("text"), size=FINE):
             part = batch.slice(lo, hi - lo)
             _, name, first = shingles(part.column("text"), size)
             fp = [signed(fingerprint(t)) for t in texts(part)]

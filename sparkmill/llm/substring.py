@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, Words, fresh, map_arrow, map_rows, materialize, mix, real_id, row_id, slices, with_text
+from .common import FINE, IS_SPACE, Words, fresh, map_arrow, map_rows, materialize, mix, real_id, row_id, slices, with_text
 
 WINDOW, ROUNDS, FLANK = 20, 1, 2
 #: Names that a task holds before it sends them on, names in a row, bytes of text that share a bucket.
@@ -197,7 +197,10 @@ def deal(docs: DataFrame, occurrences, first_of_many: bool, n_buckets: int) -> D
     """
 
     def send(parts: list) -> Iterator[pa.RecordBatch]:
-        g = Groups(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        parts.clear()  # they are large, and copied twice
+        g = Groups(*columns)
+        del columns
         known = np.flatnonzero(g.later() if first_of_many else g.shared())
         kept = np.flatnonzero(g.new)
         bucket = (mix(g.key[kept]) % np.uint64(n_buckets)).astype(np.int64)
@@ -220,7 +223,7 @@ def deal(docs: DataFrame, occurrences, first_of_many: bool, n_buckets: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text"), size=FINE):
                 part = batch.slice(lo, hi - lo)
                 key, wide, row, at = occurrences(part)
                 if len(key):
