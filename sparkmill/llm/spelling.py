@@ -9,7 +9,8 @@ equal part with the other word's length, which bounds the shift, and one key hol
 edit distance.
 
 Everything but the choice of grams is Spark SQL. Counts of bigrams go to every task: letters are a-z and U+00C0 to U+00FF,
-so there are at most 90 * 90.
+so there are at most 90 * 90. Tables of words and keys are never broadcast: Spark takes a word's dozen keys for one row, and
+compressed files for what they hold, so just below its threshold it would send a vocabulary through the driver.
 
 Rows: null texts have no words; a null doc_id counts as an empty string before the colon. Repeated rows count each.
 Very long texts are split like others. Ties of forms go to the smaller word. Other columns are dropped, whatever their
@@ -99,7 +100,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """(a, na, b, nb), each two near words once; words (word, n) are distinct and have GRAM * EDITS + GRAM code points or more."""
     count = gram_counts(words)
     own = _keys(words, count, True).select("key", F.col("word").alias("w"), F.col("n").alias("nw"), F.col("rank").alias("rw"))
-    met = own.join(_keys(words, count, False), "key").where((F.col("rw") <= F.col("rank")) & (F.col("w") != F.col("word")))
+    met = own.hint("merge").join(_keys(words, count, False), "key").where((F.col("rw") <= F.col("rank")) & (F.col("w") != F.col("word")))
     near = met.where(F.levenshtein("w", "word", EDITS) == EDITS)
     first = F.col("w") < F.col("word")
     sides = [F.when(first, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("w", "word", "a"), ("nw", "n", "na"), ("word", "w", "b"), ("n", "nw", "nb"))]
@@ -117,8 +118,8 @@ def variants(words: DataFrame, times: int = 2) -> DataFrame:
     tops = materialize(formed.where("form is not null").select("word", F.col("form").alias("top")), "tops")
     while True:  # a form has twice the occurrences at least, so chains are short, and each round doubles what is followed
         step = tops.select(F.col("word").alias("top"), F.col("top").alias("further"))
-        tops = materialize(tops.join(step, "top", "left").select("word", F.coalesce("further", "top").alias("top"), F.col("further").isNotNull().alias("went")), "tops")
+        tops = materialize(tops.hint("merge").join(step, "top", "left").select("word", F.coalesce("further", "top").alias("top"), F.col("further").isNotNull().alias("went")), "tops")
         if tops.where("went").isEmpty():
             break
-    out = words.join(formed, "word", "left").join(tops.select("word", "top"), "word", "left")
+    out = words.hint("merge").join(formed, "word", "left").hint("merge").join(tops.select("word", "top"), "word", "left")
     return out.select("word", "form", F.coalesce("top", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")

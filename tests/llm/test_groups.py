@@ -163,6 +163,12 @@ def test_spelling_of_dense_words(spark):
     assert sorted(got) == want and sum(w[4] for w in want) > 1000 and any(w[1] and w[2] != w[1] for w in want)
 
 
+def test_words_and_their_keys_are_not_broadcast(spark):
+    words = spelling.materialize(spark.createDataFrame([(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}", k + 3) for k in range(300)], "word string, n long"), "words")
+    for out in (spelling.near_pairs(words), spelling.variants(words)):
+        assert out.count() and "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spelling_of_texts(spark):
     r = random.Random(4)
     stems = ["straße", "général", "ordinary", "ordnary", "ordinarys", "Window", "wïndow", "übergang", "ubergang", "×÷×÷×", "short", "abcd", "_under_score_"]
