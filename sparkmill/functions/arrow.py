@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from . import kernels, numbers
 
@@ -198,32 +200,41 @@ def agrees(text: Column | str, reference: Column | str) -> Column:
     return agree(text, reference)
 
 
-def gram_counts(longest: int, bits: int):
-    """Numbers, below 2**bits, of the hashed character n-grams of up to `longest` characters of the whole text, and how often
-    each occurs; none for a null text. Long texts are counted block by block."""
+#: Characters of text whose results, many times as large, a worker makes at a time, whatever the rows of an Arrow batch.
+SLICE = 1 << 18
 
-    @udf("struct<at: array<int>, n: array<int>>")
-    def counted(x: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([kernels.gram_counts("" if s is None else s, longest, bits) for s in x], columns=["at", "n"])
 
-    return counted
+def term_texts(rows: DataFrame, text: str, longest: int, bits: int) -> DataFrame:
+    """(at, n): how many texts have each hashed character n-gram of up to `longest` characters; one row a partition and term."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n = kernels.term_texts((s or "" for b in batches for s in b.column(0).to_pylist()), longest, bits)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["at", "n"])
 
-def sparse(weight: np.ndarray):
-    """A sparse vector of counted terms, 1 + ln(count) times the term's weight, scaled to length 1, with measures after them."""
-    size = len(weight)
+    return rows.select(text).mapInArrow(run, "at long, n long")
 
-    def one(at: np.ndarray, n: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        v = (1 + np.log(n)) * weight[at]
-        at, v = at[v > 0], v[v > 0]
-        norm = np.sqrt(v @ v) or 1.0
-        return np.concatenate([at, size + np.arange(len(own))]), np.concatenate([v / norm, own])
 
-    @udf(VectorUDT())
-    def vector(terms: pd.DataFrame, own: pd.Series) -> pd.DataFrame:
-        both = [one(at, n, x) for at, n, x in zip(terms["at"], terms["n"], own, strict=True)]
-        length = size + (len(own.iloc[0]) if len(own) else 0)
-        # A vector comes back as the fields of its type: 0 for sparse, its length, places and values.
-        return pd.DataFrame({"type": 0, "size": length, "indices": [b[0] for b in both], "values": [b[1] for b in both]})
+def vectors(batches: Iterator[pa.RecordBatch], text: str, weight: np.ndarray, longest: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows with sparse vectors, as the fields of their type, in the place of a text; a batch for each SLICE of text. A null
+    text is taken as an empty one."""
+    for b in batches:
+        for lo, hi in kernels.runs_of(pc.fill_null(pc.utf8_length(b[text]), 0).to_numpy(), SLICE):
+            rows = b.slice(lo, hi - lo)
+            at, values = [], []
+            for s in rows[text].to_pylist():
+                places, v = kernels.sparse_terms(s or "", weight, longest, bits)
+                own = kernels.measures(s or "")
+                at.append(np.concatenate([places, len(weight) + np.arange(len(own))]).astype(np.int32))
+                values.append(np.concatenate([v, own]))
+            ends = np.cumsum([0, *map(len, at)]).astype(np.int32)
+            size = np.full(len(at), len(weight) + len(own), dtype=np.int32)
+            fields = [np.zeros(len(at), dtype=np.int8), size, *(pa.ListArray.from_arrays(ends, np.concatenate(x)) for x in (at, values))]
+            vector = pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["type", "size", "indices", "values"])
+            kept = {n: c for n, c in zip(rows.schema.names, rows.columns, strict=True) if n != text}
+            yield pa.RecordBatch.from_arrays([*kept.values(), vector], names=[*kept, "vector"])
 
-    return vector
+
+def with_sparse(rows: DataFrame, text: str, name: str, weight: np.ndarray, longest: int, bits: int) -> DataFrame:
+    """Rows with a sparse vector of a text's weighted terms, and its six measures after them, in the text's place."""
+    fields = [*rows.drop(text).schema.fields, StructField(name, VectorUDT())]
+    return rows.mapInArrow(lambda batches: vectors(batches, text, weight, longest, bits), StructType(fields))

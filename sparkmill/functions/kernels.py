@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 import unicodedata
 import zlib
 from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -114,18 +117,71 @@ def runs(s: str, size: int, wanted: np.ndarray | None) -> list[dict]:
     return [{"h": int(a), "at": int(b) + 1} for a, b in zip(own[order], first[order], strict=True)]
 
 
-def gram_counts(s: str, longest: int, bits: int, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed n-grams of up to `longest` characters that a text has, in order, and how often."""
+def gram_counts(s: str, longest: int, bits: int, block: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed n-grams of up to `longest` characters that a text has, in order, and how often. A text of one block is
+    sorted; a longer one is counted block by block."""
     code = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-    n = np.zeros(1 << bits, dtype=np.int64)
-    for lo in range(0, len(code), block):
+    n = np.zeros(1 << bits, dtype=np.int64) if len(code) > block else None
+    for lo in range(0, max(len(code), 1), block):
         own = code[lo : lo + block + longest - 1]
         h, parts = np.zeros(len(own), dtype=np.uint64), []
         for k in range(1, longest + 1):
             h = h[: len(own) - k + 1] * _FACTOR + own[k - 1 :]
-            parts.append(((h ^ (h >> np.uint64(31))) * _FACTOR >> np.uint64(64 - bits))[:block].astype(np.int64))
+            parts.append(((h ^ (h >> np.uint64(31))) * _FACTOR >> np.uint64(64 - bits))[:block].astype(np.uint32))
             if len(own) <= k:
                 break
-        n += np.bincount(np.concatenate(parts), minlength=1 << bits)
+        every = np.concatenate(parts)
+        if n is None:
+            every.sort()
+            edge = np.flatnonzero(np.diff(every, prepend=every[:1] + 1, append=every[-1:] + 1))
+            return every[edge[:-1]].astype(np.int64), np.diff(edge)
+        n += np.bincount(every, minlength=1 << bits)
+    at = np.flatnonzero(n)
+    return at, n[at]
+
+
+def runs_of(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of at most so many characters together; a longer row is one of its own."""
+    total, lo = np.cumsum(lengths), 0
+    while lo < len(total):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def sparse_terms(s: str, weight: np.ndarray, longest: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of a text's terms: 1 + ln(count) times the term's weight, scaled to length 1."""
+    at, n = gram_counts(s, longest, bits)
+    v = (1 + np.log(n)) * weight[at]
+    at, v = at[v > 0], v[v > 0]
+    return at, v / (np.sqrt(v @ v) or 1.0)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Of each code point, as bits: CJK, a decimal digit, a Latin letter, a punctuation mark."""
+    out = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    out[0x3400:0xA000] = 1
+    out[[c for c in range(len(out)) if chr(c).isdecimal()]] |= 2
+    out[[*range(65, 91), *range(97, 123)]] |= 4
+    out[[*map(ord, "，。！？；：,.!?;:")]] |= 8
+    return out
+
+
+_URL = re.compile(P.URL, re.ASCII)
+
+
+def measures(s: str) -> list[float]:
+    """The six measures of text.text_features, in their order."""
+    kind = np.bincount(_kinds()[np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)], minlength=16)
+    n, (cjk, digit, latin, punct) = max(len(s), 1), (int(kind[[k for k in range(16) if k & b]].sum()) for b in (1, 2, 4, 8))
+    return [min(math.log2(n + 1) / 16, 1.0), cjk / n, digit / n, latin / n, min(len(_URL.findall(s)) / 5, 1.0), punct / n]
+
+
+def term_texts(texts: Iterator[str], longest: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that texts have, and how many of the texts have each."""
+    n = np.zeros(1 << bits, dtype=np.int64)
+    for s in texts:
+        n[gram_counts(s, longest, bits)[0]] += 1
     at = np.flatnonzero(n)
     return at, n[at]

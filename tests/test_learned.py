@@ -1,16 +1,19 @@
 """The quality model that validation chooses, and its constraint."""
 
 import math
+import os
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparkmill import catalog, plans  # noqa: F401
-from sparkmill.functions import kernels
-from sparkmill.operators import learned, reports
+from sparkmill.functions import arrow, kernels, text
+from sparkmill.operators import dedup, learned, reports
 
 
 def test_validation_chooses_and_refuses(spark):
@@ -64,3 +67,26 @@ def test_registered_learned_queries(spark, tmp_path):
     assert set(kept) == {k for k, _, _, source, *_ in rows if source == "src3" or scores[k] is None or scores[k] >= 0.3}
     assert all(b is None if scores[k] is None else b == min(int(scores[k] * 10), 9) for k, b in kept.items())
     assert {x.part: (x.precision, x.recall, x.macro_f1) for x in run("l02_fit_quality_proxy")} == dict.fromkeys(("train", "valid", "test"), (1, 1, 1))
+
+
+def test_terms_and_vectors_are_made_by_slices_and_not_kept(spark):
+    r = random.Random(6)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(4000)) for _ in range(400)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    tracemalloc.start()
+    n = sum(len(x) for x in arrow.vectors(iter([batch]), "text", np.ones(1 << learned.BITS), learned.LONGEST, learned.BITS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and peak < 60e6, peak
+    rows = [(k, f"text {k} {'good' if k % 2 else 'bad'}", k % 2) for k in range(60)]
+    before = set(os.listdir(dedup.shared(spark)))
+    learned.fit_path(*[spark.createDataFrame(rows, "doc_id long, text string, quality int")] * 2, grid=(0.01,))
+    kept = [spark.read.parquet(f"{dedup.shared(spark)}/{x}") for x in set(os.listdir(dedup.shared(spark))) - before]
+    assert kept and all(kind in ("string", "double") for t in kept for _, kind in t.dtypes)
+
+
+def test_measures_are_those_of_the_text_functions(spark):
+    texts = ["", "a", "Ab1 ٣४ 𝟘 中文，。!", "HTTP://x www. httpſ:// wWw.WWW. ,;:", "x" * 70_000 + "。", "龠鿿ꀀ㐀㏿ÀÿK"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").select("k", *text.text_features("text").values())
+    for k, *want in df.collect():
+        assert kernels.measures(texts[k]) == pytest.approx(want), texts[k]
