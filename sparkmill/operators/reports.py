@@ -200,3 +200,12 @@ def trajectory(parts: dict[str, DataFrame]) -> DataFrame:
         own = rows.groupBy("step").agg(F.count("*").alias("n"), F.first("value").alias("v")).select("step", F.when(F.col("n") > 1, twice).otherwise(F.col("v")).alias(name))
         out = own if out is None else out.join(own, "step", "full_outer")
     return out
+
+
+def spread_at_least(x: Column, least: int) -> Column:
+    """Whether the standard deviation of a group's values is `least` or more. Whole hundredths are compared in exact numbers,
+    so a group that lies on the bound is judged alike whatever the order of its rows; other values by stddev_pop."""
+    h = F.round(x * 100)
+    n, ones, squares = F.count(x), F.sum(h), F.sum(h * h)
+    exact = F.bool_and(h / 100 == x) & (n * squares <= 2.0**53)
+    return F.when(exact, n * squares - ones * ones >= F.lit(10_000.0 * least * least) * n * n).otherwise(F.stddev_pop(x) >= least)

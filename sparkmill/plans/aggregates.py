@@ -247,8 +247,8 @@ def a17(spark, sf):
 
 @query("a18_group_signal", "SELECT count(*) AS groups, count(*) FILTER (WHERE n >= 2 AND s >= 5) AS with_signal FROM (SELECT count(*) AS n, stddev_pop(l_quantity::DOUBLE) AS s FROM lineitem GROUP BY l_orderkey)")
 def a18(spark, sf):
-    g = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.stddev_pop(F.col("l_quantity").cast("double")).alias("s"))
-    return g.agg(F.count("*").alias("groups"), F.count_if((F.col("n") >= 2) & (F.col("s") >= 5)).alias("with_signal"))
+    g = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), reports.spread_at_least(F.col("l_quantity").cast("double"), 5).alias("s"))
+    return g.agg(F.count("*").alias("groups"), F.count_if((F.col("n") >= 2) & F.col("s")).alias("with_signal"))
 
 
 @query("a19_preference_pairs", "SELECT l_orderkey AS prompt_id, hi.i AS chosen, lo.i AS rejected FROM (SELECT l_orderkey, max({'s': l_quantity, 'i': CAST(l_linenumber AS VARCHAR)}) AS hi, min({'s': l_quantity, 'i': CAST(l_linenumber AS VARCHAR)}) AS lo, count(*) AS n FROM lineitem GROUP BY l_orderkey) WHERE n >= 2 AND hi.s - lo.s >= 20")

@@ -210,3 +210,11 @@ def test_streams_take_each_file_once(spark, tmp_path):
     except ValueError:
         return
     raise AssertionError("changed settings must be refused")
+
+
+def test_spread_on_the_bound_does_not_follow_the_order(spark):
+    orders = [[38, 38, 28, 28], [38, 28, 28, 38], [28, 28, 38, 38], [1, 11], [1.5, 11.5], [1, 10.99], [0.07, 10.07], [7], [None, None], [1, None, 11], [1e12, 1e12 + 10], [0.001, 10.001], [float("nan"), 1]]
+    rows = [(k, i, x if x is None else float(x)) for k, o in enumerate(orders) for i, x in enumerate(o)]
+    df = spark.createDataFrame(rows, "k int, i int, x double").coalesce(1)
+    got = {r.k: r.s for r in df.groupBy("k").agg(reports.spread_at_least(F.col("x"), 5).alias("s")).collect()}
+    assert [got[k] for k in range(len(orders))] == [True, True, True, True, True, False, True, False, None, True, True, True, True]
