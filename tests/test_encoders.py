@@ -5,6 +5,7 @@ import random
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,14 @@ def test_code_files_with_a_budget(spark, tmp_path):
 def test_token_shards_of_ids(spark):
     df = spark.createDataFrame([("a", 1, [1, 2, 3]), ("a", 2, [4, 5])], "k string, doc_id long, ids array<int>")
     assert [(r.shard, r.tokens) for r in writers.shard_manifest(writers.token_shards(df, "k", ["doc_id"], "ids", 4), "k").orderBy("shard").collect()] == [(0, 4), (1, 1)]
+
+
+def test_texts_are_encoded_by_slices(spark):
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    texts = pd.Series(["some words of a text " * 500, None, ""] * 100)
+    plain = encoders.load(path).encode(texts.fillna("").tolist())
+    for f in (encoders.token_ids(path), encoders.audited(path)):
+        parts = list(f.func(iter([texts, texts[:0]])))
+        assert len(parts) > 3 and max(map(len, parts)) < 100 and sum(map(len, parts)) == len(texts)
+    got = [i for part in encoders.token_ids(path).func(iter([texts])) for i in part]
+    assert [i.tolist() for i in got] == plain
