@@ -2,6 +2,7 @@
 
 import base64
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -142,3 +143,20 @@ def test_forbidden_rows_stop_if_asked(spark):
     assert sorted(r.forbidden for r in Q.forbidden(rows, "path", ["/bad"], "repo", denied).collect()) == ["", "", "root", "upstream"]
     with pytest.raises(Exception, match="upstream: /ok"):
         Q.forbidden(rows.where("path = '/ok'"), "path", ["/bad"], "repo", denied, stop=True).collect()
+
+
+def test_alternatives_by_script():
+    assert Q.by_script(r"(?i)银行(?:业)?|PE\b|法?x|\b(?:law|法)\b|[、.]\s|第[一二|]{1,6}条|a\|贷|x贷{0,3}") == (r"(?i)银行(?:业)?|第[一二|]{1,6}条|a\|贷", r"(?i)PE\b|法?x|\b(?:law|法)\b|[、.]\s|x贷{0,3}")
+    assert Q.by_script("利率|收益率") == ("利率|收益率", None) and Q.by_script("a|b") == (None, "a|b")
+    every = [p for n, p in vars(K).items() if n.isupper() and isinstance(p, str)]
+    for p in every:  # each alternative of an East Asian half matches nothing in Latin text, and the halves have all of them
+        own, rest = Q.by_script(p)
+        flags = re.match(r"(?:\(\?[a-z]+\))?", p)[0]
+        assert sum(len(h) - len(flags) for h in (own, rest) if h) + (1 if own and rest else 0) == len(p) - len(flags)
+        assert not own or not re.search(own, "".join(map(chr, range(0x2E80))))
+
+
+def test_taxonomy_strips_a_text_once(spark):
+    df = spark.createDataFrame([("A text",), (None,)], "t string").select(Q.taxonomy(F.col("t")).alias("label"))
+    assert df._jdf.queryExecution().analyzed().toString().count(r"(?U)^\s+|\s+$") == 1 + 1  # the text, and forum_talk's lines
+    assert [r.label for r in df.collect()] == ["other", "other"]
