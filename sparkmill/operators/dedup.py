@@ -74,8 +74,9 @@ def bands(df: DataFrame, sig: str = "sig") -> DataFrame:
     return df.where(F.size(sig) == COORDINATES).select("*", F.explode(each).alias("__b")).select("*", "__b.band", "__b.x", "__b.y").drop("__b")
 
 
-def prefix_keys(df: DataFrame, sig: str, least: int, size: int) -> DataFrame:
-    """A row for each key under which a signature can meet another that shares `least` of its `size` coordinates.
+def prefix_keys(df: DataFrame, sig: str, least: int, size: int, name: str | None = None) -> DataFrame:
+    """A row for each key under which a signature can meet another that shares `least` of its `size` coordinates, with the
+    signature, or with its name, if the table has one that stands for it.
 
     Coordinates are ordered by how many signatures hold them, rarest first. Two signatures that share `least` share two of
     their size - least + 2 first ones (one of size - least + 1), so the keys are the pairs of these (of wide signatures, the
@@ -83,18 +84,19 @@ def prefix_keys(df: DataFrame, sig: str, least: int, size: int) -> DataFrame:
     a key only for those that hold nearly nothing else. Coordinates that one signature holds make no key."""
     two = size <= 16
     first = size - least + (2 if two else 1)
-    rows = df.select(sig, F.posexplode(sig).alias("__c", "__x")).select(sig, F.struct("__c", "__x").alias("__t"))
+    name = name or sig
+    rows = df.select(name, F.posexplode(sig).alias("__c", "__x")).select(name, F.struct("__c", "__x").alias("__t"))
     often = written(rows.groupBy("__t").agg(F.count("*").alias("__n")).where("__n > 1"), "coordinates")
     held = join_counted(rows, often.withColumn("__often", F.col("__n")), "__t", "__n")
-    own = held.groupBy(sig).agg(F.sort_array(F.collect_list(F.struct("__often", "__t"))).alias("__h"))
+    own = held.groupBy(name).agg(F.sort_array(F.collect_list(F.struct("__often", "__t"))).alias("__h"))
     # Coordinates of one signature alone come first in its order: so many places of the prefix are taken by them.
     room = F.lit(first) - (F.lit(size) - F.size("__h"))
     kept = F.when(room > 0, F.transform(F.slice("__h", 1, F.greatest(room, F.lit(0))), lambda h: h["__t"])).otherwise(F.array().cast("array<struct<__c: int, __x: bigint>>"))
-    keyed = own.select(sig, kept.alias("__k"))
+    keyed = own.select(name, kept.alias("__k"))
     if not two:
-        return keyed.select(sig, F.explode(F.transform("__k", lambda t: F.xxhash64(t["__c"], t["__x"]))).alias("key"))
+        return keyed.select(name, F.explode(F.transform("__k", lambda t: F.xxhash64(t["__c"], t["__x"]))).alias("key"))
     later = lambda t, i: F.transform(F.slice("__k", i + 2, first), lambda u: F.xxhash64(t["__c"], t["__x"], u["__c"], u["__x"]))
-    return keyed.select(sig, F.explode(F.flatten(F.transform("__k", later))).alias("key"))
+    return keyed.select(name, F.explode(F.flatten(F.transform("__k", later))).alias("key"))
 
 
 def band_pairs(sig: str = "sig") -> Column:
@@ -139,13 +141,21 @@ def wide_signed(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def wide_pairs(df: DataFrame, order: str, threshold: float = 0.75) -> DataFrame:
-    """Pairs (a, b, shared), a before b, of distinct 64-coordinate signatures that share int(64 * threshold) and more."""
+    """Pairs (a, b, shared), a before b, of distinct 64-coordinate signatures that share int(64 * threshold) and more.
+
+    Signatures, half a kilobyte each, stand under a name in all that is dealt by coordinates and keys; they meet again for
+    the distinct pairs of names, first one side, then the other."""
     least = max(int(WIDE * threshold), 1)
-    unique = written(df.where(F.size("sig") == WIDE).groupBy("sig").agg(F.min(order).alias("ord")), "unique")
-    keyed = written(prefix_keys(unique, "sig", least, WIDE).join(unique, "sig"), "keys")
-    met = keyed.select(F.col("ord").alias("a"), F.col("sig").alias("sa"), "key").join(keyed.select(F.col("ord").alias("b"), F.col("sig").alias("sb"), "key"), "key")
+    unique = df.where(F.size("sig") == WIDE).groupBy("sig").agg(F.min(order).alias("ord"))
+    # The least id is a name unless ids repeat; the hash of the signature tells those apart.
+    unique = written(unique.withColumn("name", F.struct("ord", F.xxhash64("sig").alias("h"))), "unique")
+    keyed = written(prefix_keys(unique, "sig", least, WIDE, "name"), "keys")
+    met = keyed.select(F.col("name").alias("a"), "key").join(keyed.select(F.col("name").alias("b"), "key"), "key")
+    pairs = written(met.where("a.ord < b.ord").select("a", "b").distinct(), "pairs")
+    one = pairs.join(unique.select(F.col("name").alias("a"), F.col("sig").alias("sa")), "a")
+    both = one.join(unique.select(F.col("name").alias("b"), F.col("sig").alias("sb")), "b")
     shared_ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
-    return met.where("a < b").select("a", "b", shared_.alias("shared")).where(F.col("shared") >= least).distinct()
+    return both.select("a.ord", F.col("b.ord").alias("b"), shared_.alias("shared")).withColumnRenamed("ord", "a").where(F.col("shared") >= least).distinct()
 
 
 #: Rounds that look at neighbours only, before chains of what is left are followed whole; pairs of a chain, and nodes of

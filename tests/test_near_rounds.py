@@ -1,6 +1,7 @@
 """Near copies: prefix keys, decisions in few rounds, and the stream that keeps them, against plain versions."""
 
 import itertools
+import os
 import random
 
 import pytest
@@ -127,3 +128,13 @@ def test_stream_decides_as_the_batch_and_survives_a_restart(spark, tmp_path):
     assert spark.read.schema(jobs.ACCEPTED).parquet(f"{state}/accepted").count() == len(want)
     with pytest.raises(ValueError, match="settings"):
         jobs.stream_clean(spark, source, docs.schema, state, 151)
+
+
+def test_wide_signatures_stand_under_names(spark):
+    base = [list(range(64)), [*range(48), *range(100, 116)], list(range(1000, 1064)), [*range(1000, 1060), 1, 2, 3, 4]]
+    rows = [(1, base[0]), (1, base[1]), (2, base[2]), (3, base[3]), (4, base[3]), (5, [])]  # an id that repeats stands for two
+    before = set(os.listdir(dedup.shared(spark)))
+    got = dedup.wide_pairs(spark.createDataFrame(rows, "doc_id long, sig array<long>"), "doc_id").collect()
+    assert [(x.a, x.b, x.shared) for x in got] == [(2, 3, 60)]
+    made = [x for x in set(os.listdir(dedup.shared(spark))) - before if x.startswith(("keys-", "coordinates-", "pairs-"))]
+    assert len(made) == 3 and not any("array" in kind for x in made for _, kind in spark.read.parquet(f"{dedup.shared(spark)}/{x}").dtypes)
