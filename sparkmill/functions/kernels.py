@@ -162,7 +162,7 @@ def _kinds() -> np.ndarray:
     """Of each code point, as bits: CJK, a decimal digit, a Latin letter, a punctuation mark."""
     out = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
     out[0x3400:0xA000] = 1
-    out[[c for c in range(len(out)) if chr(c).isdecimal()]] |= 2
+    out[[c for c in range(0x20000) if chr(c).isdecimal()]] |= 2  # there are none beyond
     out[[*range(65, 91), *range(97, 123)]] |= 4
     out[[*map(ord, "，。！？；：,.!?;:")]] |= 8
     return out
@@ -175,7 +175,8 @@ def measures(s: str) -> list[float]:
     """The six measures of text.text_features, in their order."""
     kind = np.bincount(_kinds()[np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)], minlength=16)
     n, (cjk, digit, latin, punct) = max(len(s), 1), (int(kind[[k for k in range(16) if k & b]].sum()) for b in (1, 2, 4, 8))
-    return [min(math.log2(n + 1) / 16, 1.0), cjk / n, digit / n, latin / n, min(len(_URL.findall(s)) / 5, 1.0), punct / n]
+    urls = len(_URL.findall(s)) if "://" in s or "www." in s.lower() else 0
+    return [min(math.log2(n + 1) / 16, 1.0), cjk / n, digit / n, latin / n, min(urls / 5, 1.0), punct / n]
 
 
 def term_texts(texts: Iterator[str], longest: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
